@@ -18,11 +18,13 @@ def title_label(name: Column | str) -> Column:
 
 
 def fmt1(x: Column | str) -> Column:
-    return F.format_string("%.1f", _c(x))
+    """``%.1f`` of the value rounded half-up to 1 decimal (so the text never
+    depends on how a binary fraction prints)."""
+    return F.format_string("%.1f", F.round(_c(x), 1))
 
 
 def fmt0(x: Column | str) -> Column:
-    return F.format_string("%.0f", _c(x))
+    return F.format_string("%.0f", F.round(_c(x), 0))
 
 
 def ratio_text(n: Column | str, m: Column | str) -> Column:

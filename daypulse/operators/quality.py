@@ -100,9 +100,10 @@ def trailing_daily_sum(df: DataFrame, ts: str, value: str, anchor: dt.date, days
 
     The range predicate is on the raw timestamp so it reaches the scan.
     """
-    lo = dt.datetime.combine(anchor - dt.timedelta(days=days), dt.time())
-    hi = dt.datetime.combine(anchor, dt.time())
-    return (df.where((F.col(ts) >= F.lit(lo)) & (F.col(ts) < F.lit(hi)))
+    ts_type = df.schema[ts].dataType
+    lo = F.lit(f"{anchor - dt.timedelta(days=days)} 00:00:00").cast(ts_type)
+    hi = F.lit(f"{anchor} 00:00:00").cast(ts_type)
+    return (df.where((F.col(ts) >= lo) & (F.col(ts) < hi))
             .groupBy(*by, F.to_date(F.col(ts)).alias("day"))
             .agg(F.sum(F.col(value).cast(T.DecimalType(38, 9))).cast("double").alias("total"),
                  F.count(F.lit(1)).alias("rows")))

@@ -86,8 +86,11 @@ def with_period(df: DataFrame, period_type: str, start: dt.date, end: dt.date,
             .withColumn("end_date", F.lit(end)))
 
 
-def _lit_map(d: Mapping[str, object]) -> Column:
-    return F.create_map(*[F.lit(x) for kv in d.items() for x in kv])
+def _lit_map(d: Mapping[str, object], value_type: str) -> Column:
+    """A literal map (JVM-side lookup, no join); typed even when empty."""
+    if not d:
+        return F.lit(None).cast(f"map<string,{value_type}>")
+    return F.create_map(*[F.lit(x) for kv in d.items() for x in kv]).cast(f"map<string,{value_type}>")
 
 
 def _as_col(x: Column | str | dt.date) -> Column:
@@ -207,9 +210,9 @@ def alerts_from_stats(stats: DataFrame, by: Sequence[str] = PERIOD,
     of the first and last day present, change below ``-DECLINE_ALERT_PCT``.
     ``alert_rank`` orders thresholds by table order, then declines by metric order.
     """
-    tmap = _lit_map({k: float(v) for k, v in thresholds.items()})
-    t_rank = _lit_map({k: i for i, k in enumerate(thresholds)})
-    d_rank = _lit_map({k: 100 + i for i, k in enumerate(metrics)})
+    tmap = _lit_map({k: float(v) for k, v in thresholds.items()}, "double")
+    t_rank = _lit_map({k: i for i, k in enumerate(thresholds)}, "int")
+    d_rank = _lit_map({k: 100 + i for i, k in enumerate(metrics)}, "int")
     target = tmap[F.col("metric")]
     mean = as_double(F.try_divide(F.col("s"), F.col("days_with_data")))
     below = target.isNotNull() & (mean < target)
@@ -219,7 +222,7 @@ def alerts_from_stats(stats: DataFrame, by: Sequence[str] = PERIOD,
               .when(declined, declined_reason(dpct)))
     kind = F.when(below, F.lit("threshold")).when(declined, F.lit("decline"))
     rank = F.when(below, t_rank[F.col("metric")]).otherwise(d_rank[F.col("metric")])
-    sugg = F.coalesce(_lit_map(suggestions)[F.col("metric")], F.lit(DEFAULT_SUGGESTION))
+    sugg = F.coalesce(_lit_map(suggestions, "string")[F.col("metric")], F.lit(DEFAULT_SUGGESTION))
     return (stats.where((F.col("days_with_data") > 0) & (below | declined))
             .select(*by, "metric", kind.alias("kind"), reason.alias("reason"),
                     round2(F.try_divide(F.col("s"), F.col("days_with_data"))).alias("current_avg"),

@@ -178,11 +178,12 @@ FEEDS: dict[str, FeedSpec] = {
 VALID_TABLES = frozenset(FEEDS)
 
 
-def feed(name: str) -> FeedSpec:
+def feed(name: str, registry: dict[str, FeedSpec] | None = None) -> FeedSpec:
     """Registry lookup; unknown names are rejected (table whitelist)."""
-    if not isinstance(name, str) or name not in FEEDS:
+    reg = FEEDS if registry is None else registry
+    if not isinstance(name, str) or name not in reg:
         raise ValueError(f"Invalid table name: {name!r}")
-    return FEEDS[name]
+    return reg[name]
 
 
 def endpoint_for(kind: str) -> str:

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .feeds import feed
+from .feeds import FeedSpec, feed
 
 RAW_SCHEMA = T.StructType([T.StructField("raw_data", T.VariantType(), True)])
 
@@ -50,9 +50,10 @@ def to_raw(df: DataFrame, json_col: str | None = None, keep: Sequence[str] = ())
     return df.select(*keep, v.alias("raw_data"))
 
 
-def read_raw(spark: SparkSession, root: str, name: str) -> DataFrame:
+def read_raw(spark: SparkSession, root: str, name: str,
+             registry: dict[str, FeedSpec] | None = None) -> DataFrame:
     """A landed raw table: ``raw_data VARIANT, partition_date DATE``."""
-    feed(name)
+    feed(name, registry)
     return (spark.read.option("basePath", f"{root}/{name}")
             .parquet(f"{root}/{name}")
             .withColumn("partition_date", F.col("partition_date").cast("date")))
@@ -67,14 +68,14 @@ def _check_day(day: dt.date) -> dt.date:
 
 
 def upsert_day(spark: SparkSession, root: str, name: str, batch: DataFrame | None,
-               day: dt.date) -> int:
+               day: dt.date, registry: dict[str, FeedSpec] | None = None) -> int:
     """Replace one day of a raw table with ``batch`` and return its row count.
 
     The table folder is created if absent; an empty or ``None`` batch still
     clears the day (static partition overwrite). The count comes from an
     observation on the write itself, not from a second pass.
     """
-    feed(name)
+    feed(name, registry)
     _check_day(day)
     if batch is None:
         batch = spark.createDataFrame([], RAW_SCHEMA)
@@ -85,7 +86,7 @@ def upsert_day(spark: SparkSession, root: str, name: str, batch: DataFrame | Non
 
 
 def backfill(spark: SparkSession, root: str, name: str, batch: DataFrame,
-             days: Iterable[dt.date]) -> dict[str, int]:
+             days: Iterable[dt.date], registry: dict[str, FeedSpec] | None = None) -> dict[str, int]:
     """Load many days in one job; requested days that got no rows are cleared.
 
     ``batch`` holds ``raw_data`` and ``partition_date``. Days present in the
@@ -93,7 +94,7 @@ def backfill(spark: SparkSession, root: str, name: str, batch: DataFrame,
     partitions change); requested days absent from the batch are then emptied.
     Returns ``{"rows": n, "days_written": k, "days_cleared": m}``.
     """
-    feed(name)
+    feed(name, registry)
     days = sorted({_check_day(d) for d in days})
     obs = Observation(f"backfill_{name}")
     out = (batch.select("raw_data", F.col("partition_date").cast("date").alias("partition_date"))
@@ -106,7 +107,7 @@ def backfill(spark: SparkSession, root: str, name: str, batch: DataFrame,
     written = set(m["written"] or [])
     empty = [d for d in days if d not in written]
     for d in empty:
-        upsert_day(spark, root, name, None, d)
+        upsert_day(spark, root, name, None, d, registry)
     return {"rows": int(m["rows"]), "days_written": len(written), "days_cleared": len(empty)}
 
 
