@@ -61,6 +61,16 @@ def _valid(keys: Sequence[str], day: str) -> Column:
     return reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in (*keys, day)])
 
 
+def _lone_nulls(u: DataFrame, keys: Sequence[str], day: str) -> DataFrame:
+    """Add ``_lone``: NULL for rows with a full key, a unique id otherwise.
+
+    A join never matches a NULL key, so such rows must stay on their own when
+    grouping; the id keeps them apart in the same single pass (no second scan).
+    """
+    return u.withColumn("_lone", F.when(_valid(keys, day), F.lit(None).cast("long"))
+                        .otherwise(F.monotonically_increasing_id()))
+
+
 def full_outer_chain(legs: Mapping[str, DataFrame], keys: Sequence[str] = (), day: str = "day",
                      method: str = "join") -> DataFrame:
     """J1, the faithful chain. ``method="grouped"`` needs unique legs per key and day."""
@@ -111,10 +121,8 @@ def _chain_grouped(legs: Mapping[str, DataFrame], keys: Sequence[str], day: str)
                        *[F.col(f"_{m}").cast(schema_of[m]).alias(f"_{m}") for m in LEGS])
               for t in tagged]
     u = reduce(lambda a, b: a.unionByName(b), tagged)
-    valid = u.where(_valid(keys, day))
-    invalid = u.where(~_valid(keys, day))
-    g = valid.groupBy(*kd).agg(*[F.first(f"_{m}", ignorenulls=True).alias(f"_{m}") for m in LEGS])
-    g = g.unionByName(invalid.select(*kd, *[f"_{m}" for m in LEGS]))
+    g = (_lone_nulls(u, keys, day).groupBy(*kd, "_lone")
+         .agg(*[F.first(f"_{m}", ignorenulls=True).alias(f"_{m}") for m in LEGS]))
 
     def row(valid_c: Column, present: Sequence[str]) -> Column:
         fields = [valid_c.alias("ok")]
@@ -151,9 +159,9 @@ def full_outer_on_key(legs: Mapping[str, DataFrame] | Sequence[DataFrame], keys:
         return reduce(lambda a, b: a.join(b, kd, "full_outer"), frames)
     u = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
     vals = [c for f in frames for c in _value_cols(f, keys, day)]
-    valid = u.where(_valid(keys, day))
-    g = valid.groupBy(*kd).agg(*[F.first(c, ignorenulls=True).alias(c) for c in vals])
-    return g.unionByName(u.where(~_valid(keys, day)).select(*kd, *vals))
+    g = (_lone_nulls(u, keys, day).groupBy(*kd, "_lone")
+         .agg(*[F.first(c, ignorenulls=True).alias(c) for c in vals]))
+    return g.select(*kd, *vals)
 
 
 # Sleep detail columns, from the sleep periods and the sleep

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from ..functions.exact import CENTS
 from ..operators.report import assign_periods
 from ..operators.stage import project_variant
+from ..session import shared_dir
 from ..sources.feeds import Column as Spec
 
 KEYS = ["user_id"]
@@ -50,8 +51,23 @@ def stage_events(raw: DataFrame, strict: bool = False) -> DataFrame:
     return project_variant(raw, EVENT_COLUMNS, strict=strict)
 
 
+# The staged columns of the props object.
+PROPS_COLUMNS = (Spec("k", "int", "k"),)
+
+
 def staged_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stage_events(land_events(table(spark, sf_dir, "events")))
+    """Staged events for marts and reports.
+
+    The table is typed except ``props``, so only ``props`` is staged from
+    VARIANT (one parse per row); the full record round trip through VARIANT is
+    the landing path (``land_events`` / ``stage_events``).
+    """
+    e = table(spark, sf_dir, "events")
+    props = project_variant(e.select("*", F.try_parse_json("props").alias("_p")), PROPS_COLUMNS,
+                            variant_col="_p",
+                            passthrough=("event_id", "user_id", "ts", "event_type", "value"))
+    return props.select("event_id", "user_id", F.to_date("ts").alias("day"), "event_type",
+                        "value", "k", F.to_date("ts").alias("partition_date"))
 
 
 def _sum2(cond: Column, value: str = "value") -> Column:
@@ -59,11 +75,14 @@ def _sum2(cond: Column, value: str = "value") -> Column:
     return F.sum(F.when(cond, F.col(value).cast(CENTS))).cast("double")
 
 
-def event_legs(staged: DataFrame) -> dict[str, DataFrame]:
+def event_legs(staged: DataFrame, materialize: bool = True) -> dict[str, DataFrame]:
     """The six daily legs, unique per (user_id, day).
 
-    One aggregation computes every leg; each leg is a projection of it, so the
-    shuffle is planned once and reused by all six branches.
+    One aggregation computes every leg. Left alone, column pruning would give
+    each leg its own slimmer aggregate and thus its own scan of ``events``; with
+    ``materialize`` the per-day aggregate (one row per user and day, far smaller
+    than the events) is checkpointed once to the shared checkpoint folder and
+    every leg reads it.
     """
     t = F.col("event_type")
     click, view, buy, err, sign = (t == "click", t == "view", t == "purchase", t == "error",
@@ -85,6 +104,9 @@ def event_legs(staged: DataFrame) -> dict[str, DataFrame]:
         F.max(F.when(res, F.col("value"))).alias("daytime_recovery_score"),
         F.min(F.when(res, F.col("value"))).alias("resilience_stress_score"),
     )
+    if materialize:
+        shared_dir(daily.sparkSession)
+        daily = daily.checkpoint(eager=True)
     spec = {
         "ready": ("n_ready", ["readiness_score"]),
         "sleep": ("n_sleep", ["sleep_score", "sleep_efficiency"]),
