@@ -90,8 +90,8 @@ _SPECS = (
     ), ("ts", "bpm", "partition_date")),
     ("spo2", "daily_spo2", "daily", _cols(
         ("day", "date", "day"),
-        ("spo2_percentage.average", "float", "avg_spo2_pct"),
-        ("breathing_disturbance_index", "float", "breathing_disturbance_index"),
+        ("spo2_percentage.average", "double", "avg_spo2_pct"),
+        ("breathing_disturbance_index", "double", "breathing_disturbance_index"),
     ), ("day", "partition_date", "avg_spo2_pct")),
     ("stress", "daily_stress", "daily", _cols(
         ("day", "date", "day"),
@@ -102,9 +102,9 @@ _SPECS = (
     ("resilience", "daily_resilience", "daily", _cols(
         ("day", "date", "day"),
         ("level", "string", "resilience_level"),
-        ("contributors.sleep_recovery", "float", "sleep_recovery_score"),
-        ("contributors.daytime_recovery", "float", "daytime_recovery_score"),
-        ("contributors.stress", "float", "stress_score"),
+        ("contributors.sleep_recovery", "double", "sleep_recovery_score"),
+        ("contributors.daytime_recovery", "double", "daytime_recovery_score"),
+        ("contributors.stress", "double", "stress_score"),
     ), ("day", "partition_date", "resilience_level")),
     ("sleep_periods", "sleep", "granular", _cols(
         ("id", "string", "id"),
@@ -120,10 +120,10 @@ _SPECS = (
         ("time_in_bed", "int", "time_in_bed"),
         ("efficiency", "int", "efficiency"),
         ("latency", "int", "latency"),
-        ("average_heart_rate", "float", "avg_hr"),
-        ("average_hrv", "float", "avg_hrv"),
+        ("average_heart_rate", "double", "avg_hr"),
+        ("average_hrv", "double", "avg_hrv"),
         ("lowest_heart_rate", "int", "lowest_hr"),
-        ("average_breath", "float", "avg_breath"),
+        ("average_breath", "double", "avg_breath"),
         ("restless_periods", "int", "restless_periods"),
     ), ("id", "day", "partition_date", "sleep_type")),
     ("sleep_time", "sleep_time", "granular", _cols(
@@ -142,8 +142,8 @@ _SPECS = (
         ("end_datetime", "string", "end_datetime"),
         ("intensity", "string", "intensity"),
         ("source", "string", "workout_source"),
-        ("calories", "float", "workout_calories"),
-        ("distance", "float", "workout_distance_m"),
+        ("calories", "double", "workout_calories"),
+        ("distance", "double", "workout_distance_m"),
         ("label", "string", "workout_label"),
     ), ("id", "day", "partition_date", "workout_activity")),
     ("sessions", "session", "granular", _cols(
