@@ -111,10 +111,13 @@ def trailing_daily_sum(df: DataFrame, ts: str, value: str, anchor: dt.date, days
 
 def day_grid(feeds: DataFrame, start: dt.date | Column, end: dt.date | Column,
              feed: str = "feed") -> DataFrame:
-    """Every feed x every day from ``start`` to ``end`` (explode of a date sequence)."""
+    """Every feed x every day from ``start`` to ``end`` (explode of a date sequence).
+
+    Other columns of ``feeds`` (e.g. a problem / control group label) are kept.
+    """
     s = F.lit(start) if isinstance(start, dt.date) else start
     e = F.lit(end) if isinstance(end, dt.date) else end
-    return feeds.select(feed, F.explode(F.sequence(s, e, F.expr("interval 1 day"))).alias("day"))
+    return feeds.select("*", F.explode(F.sequence(s, e, F.expr("interval 1 day"))).alias("day"))
 
 
 def feed_day_grid(counts: DataFrame, feeds: DataFrame, start: dt.date | Column,
@@ -126,7 +129,7 @@ def feed_day_grid(counts: DataFrame, feeds: DataFrame, start: dt.date | Column,
     ``existing`` (one column ``feed``) lists feeds whose table exists; other
     feeds are ``missing``.
     """
-    grid = day_grid(feeds.select(feed), start, end, feed)
+    grid = day_grid(feeds, start, end, feed)
     out = grid.join(counts.select(feed, F.col(day).alias("day"), rows), [feed, "day"], "left") \
         .withColumn(rows, F.coalesce(F.col(rows), F.lit(0)).cast("long"))
     ex = None

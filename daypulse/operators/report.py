@@ -315,6 +315,24 @@ def workout_summary(workouts: DataFrame, by: Sequence[str] = PERIOD,
         F.coalesce(F.sum("_cal").over(w), F.lit(0).cast(DEC)).cast("double").alias("total_calories"))
 
 
+def packed_by_activity(summary: DataFrame, by: Sequence[str] = PERIOD) -> DataFrame:
+    """one row per group with ``by_activity`` as a map (activity -> sessions).
+
+    The long rows of ``workout_summary`` stay the contract (map order is not
+    kept); the map is only a final packing, bounded by the activity vocabulary.
+    """
+    return summary.groupBy(*by).agg(
+        F.first("total_count").alias("total_count"), F.first("total_calories").alias("total_calories"),
+        F.map_from_entries(F.array_sort(F.collect_list(F.struct(
+            F.coalesce(F.col("activity"), F.lit("")).alias("k"), F.col("sessions").alias("v")))))
+        .alias("by_activity"))
+
+
+def display_order(df: DataFrame, by: Sequence[str] = PERIOD, name: str = "metric") -> DataFrame:
+    """Order a report part for display (by group, then name or day); sink only."""
+    return df.orderBy(*by, name)
+
+
 def sufficiency_gate(wellness: DataFrame, by: Sequence[str] = PERIOD,
                      a: str = "readiness_score", b: str = "sleep_score",
                      min_rows: int = MIN_SCORE_ROWS) -> DataFrame:

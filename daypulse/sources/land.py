@@ -111,6 +111,18 @@ def backfill(spark: SparkSession, root: str, name: str, batch: DataFrame,
     return {"rows": int(m["rows"]), "days_written": len(written), "days_cleared": len(empty)}
 
 
+def load_feed_day(spark: SparkSession, root: str, name: str, path: str, day: dt.date,
+                  envelope: bool = True, registry: dict[str, FeedSpec] | None = None) -> int:
+    """A daily or granular feed for one day: read its JSON files and replace the day.
+
+    With ``envelope`` each file line is a page ``{"data": [...]}`` and only
+    the records of ``data`` are kept (a page without ``data`` adds nothing).
+    """
+    pages = read_json_records(spark, path)
+    batch = envelope_records(pages) if envelope else pages
+    return upsert_day(spark, root, name, batch.select("raw_data"), day, registry)
+
+
 def materialize(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> DataFrame:
     """Full rebuild of a model as a Parquet table; returns a reader on it.
 

@@ -113,3 +113,28 @@ def test_stream_rebuilds_touched_days_from_all_files(spark, tmp_root):
     # a replay with no new files changes nothing
     start_landing(spark, landing, root, "sleep", ck).awaitTermination()
     assert read_raw(spark, root, "sleep").count() == 6
+
+
+def test_load_feed_day_from_envelope_files(spark, tmp_root):
+    from daypulse.sources.land import load_feed_day
+    import os
+    src = f"{tmp_root}/pages"
+    os.makedirs(src)
+    with open(f"{src}/p1.json", "w") as fh:
+        fh.write('{"data": [{"day": "2026-01-15", "score": 80}, {"day": "2026-01-15", "score": 81}]}\n')
+        fh.write('{"next_token": null}\n')
+    assert load_feed_day(spark, tmp_root, "readiness", src, D1) == 2
+    from daypulse.operators.stage import stage
+    got = sorted(r["readiness_score"] for r in stage(read_raw(spark, tmp_root, "readiness"), "readiness").collect())
+    assert got == [80, 81]
+
+
+def test_csv_lower_and_materialize(spark, tmp_root):
+    from daypulse.sources.land import lower_columns, materialize, read_csv
+    with open(f"{tmp_root}/w.csv", "w") as fh:
+        fh.write("DAY,Steps\n2025-01-01,5000\n2025-01-02,\n")
+    df = lower_columns(read_csv(spark, f"{tmp_root}/w.csv", "DAY date, Steps long"))
+    assert df.columns == ["day", "steps"]
+    back = materialize(df, f"{tmp_root}/mart")
+    assert sorted((r["day"], r["steps"]) for r in back.collect()) == \
+        [(dt.date(2025, 1, 1), 5000), (dt.date(2025, 1, 2), None)]

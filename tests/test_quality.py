@@ -62,3 +62,11 @@ def test_key_null_counts(spark):
     df = spark.createDataFrame([(1, None), (None, "a")], "id int, day string")
     r = quality.key_null_counts(df, ["id", "day"]).first()
     assert (r["rows"], r["id_nulls"], r["day_non_null"]) == (2, 1, 1)
+
+
+def test_gap_audit_keeps_group_labels(spark):
+    counts = spark.createDataFrame([("activity", D1, 0)], "feed string, day date, rows long")
+    feeds = spark.createDataFrame([("activity", "PROBLEM"), ("heartrate", "CONTROL")], "feed string, grp string")
+    grid = quality.feed_day_grid(counts, feeds, D1, dt.date(2024, 1, 4))
+    assert grid.count() == 8 and set(grid.columns) >= {"feed", "grp", "day", "rows", "status"}
+    assert {r["status"] for r in grid.collect()} == {"empty"}
