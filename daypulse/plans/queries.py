@@ -252,7 +252,8 @@ def report_display(spark, sf):
 def latest_by(spark, sf):
     e = ev.table(spark, sf, "events").select(
         "user_id", "event_id", "event_type", "value",
-        F.unix_micros(F.col("ts").cast("timestamp")).alias("ts_us"))
+        F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"),
+                         F.col("ts")).alias("ts_us"))
     return land.latest_by(e, ["user_id"], ["ts_us", "event_id"])
 
 
