@@ -1,14 +1,17 @@
 """Chart series as data: positions, labels and values ready for plotting.
 
 Each series is computed for every group of ``by`` (entity keys plus report
-period). Windows are partitioned by ``by``, so a partition holds one report
-period of one entity; the gates that decide whether a chart exists are
-window counts over the same partition (no second pass, no join).
+period). Positions come from per-day counts (a window over at most one row per
+day) plus a rank inside each (group, day); the rolling mean is a grouped
+aggregation over (group, position). No task ever holds a whole series, so an
+entity with a third of all rows is spread over its days and positions. The
+chart gates are counts over the group.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -33,11 +36,39 @@ def _order(day: str, tiebreak: Sequence[str]) -> list[Column]:
 
 
 def positions(df: DataFrame, by: Sequence[str] = PERIOD, day: str = "day",
-              tiebreak: Sequence[str] = ()) -> DataFrame:
-    """0-based position ``idx`` and series length ``n`` per group."""
-    w = Window.partitionBy(*by).orderBy(*_order(day, tiebreak))
-    return (df.withColumn("idx", (F.row_number().over(w) - 1).cast("int"))
-            .withColumn("n", F.count(F.lit(1)).over(Window.partitionBy(*by)).cast("int")))
+              tiebreak: Sequence[str] = (), method: str = "daily",
+              group_counts: Sequence[str] = ()) -> DataFrame:
+    """0-based position ``idx`` and series length ``n`` per group.
+
+    ``method="daily"`` (default) never puts a whole series in one task: rows
+    per (group, day) are counted first (partial aggregation), a window over
+    those small per-day counts gives each day's offset and the series length,
+    and only the rank inside a day is a window, partitioned by (group, day).
+    ``method="window"`` is one row_number over the group. ``group_counts``
+    adds ``_nn_<col>``: the non-null count of each column over the group.
+    """
+    grp = Window.partitionBy(*by)
+    if method == "window":
+        w = Window.partitionBy(*by).orderBy(*_order(day, tiebreak))
+        out = (df.withColumn("idx", (F.row_number().over(w) - 1).cast("int"))
+               .withColumn("n", F.count(F.lit(1)).over(grp).cast("int")))
+        for c in group_counts:
+            out = out.withColumn(f"_nn_{c}", F.count(F.col(c)).over(grp))
+        return out
+    per_day = df.groupBy(*by, day).agg(F.count(F.lit(1)).alias("_cnt"),
+                                        *[F.count(F.col(c)).alias(f"_d_{c}") for c in group_counts])
+    before = Window.partitionBy(*by).orderBy(day).rowsBetween(Window.unboundedPreceding, -1)
+    per_day = per_day.select(
+        *[F.col(c).alias(f"_k_{c}") for c in (*by, day)],
+        F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off"),
+        F.sum("_cnt").over(grp).cast("int").alias("n"),
+        *[F.sum(f"_d_{c}").over(grp).alias(f"_nn_{c}") for c in group_counts])
+    cond = [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in (*by, day)]
+    j = df.join(per_day, reduce(lambda a, b: a & b, cond), "inner") \
+        .drop(*[f"_k_{c}" for c in (*by, day)])
+    inner = Window.partitionBy(*by, day).orderBy(*[F.col(c) for c in tiebreak] or [F.lit(1)])
+    return (j.withColumn("idx", (F.col("_off") + F.row_number().over(inner) - 1).cast("int"))
+            .drop("_off"))
 
 
 def downsample_nth(df: DataFrame, by: Sequence[str] = PERIOD, day: str = "day",
@@ -52,11 +83,32 @@ def downsample_nth(df: DataFrame, by: Sequence[str] = PERIOD, day: str = "day",
 
 def rolling_mean(df: DataFrame, value: str, by: Sequence[str] = PERIOD, day: str = "day",
                  tiebreak: Sequence[str] = (), rows: int = ROLLING_ROWS) -> Column:
-    """Mean of the current and up to ``rows - 1`` preceding rows (a row frame)."""
+    """W1 as a window: mean of the current and up to ``rows - 1`` preceding rows."""
     w = Window.partitionBy(*by).orderBy(*_order(day, tiebreak)).rowsBetween(-(rows - 1), 0)
     return F.avg(F.col(value)).over(w)
 
 
+def rolling_by_position(p: DataFrame, value: str, by: Sequence[str], keep: Sequence[str],
+                        rows: int = ROLLING_ROWS) -> DataFrame:
+    """W1 without a window over the series: each row contributes its value to its own
+    position and the next ``rows - 1`` ones, and one grouped aggregation on
+    (group, position) averages them (partially aggregated, spread over positions).
+
+    ``p`` has ``idx`` and ``n`` (from ``positions``); ``keep`` columns of the row
+    itself are carried through.
+    """
+    contrib = p.select(*by, *keep, "idx", "n", F.col(value).alias("_v"),
+                       F.explode(F.sequence(F.col("idx"), F.col("idx") + rows - 1)).alias("_t"))
+    contrib = contrib.where(F.col("_t") < F.col("n"))
+    own = F.col("_t") == F.col("idx")
+    agg = contrib.groupBy(*by, F.col("_t").alias("idx")).agg(
+        F.avg("_v").alias("rolling_mean"),
+        F.max(F.when(own, F.col("n"))).alias("n"),
+        F.max(F.when(own, F.col("_v"))).alias(value),
+        *[F.max(F.when(own, F.col(c))).alias(c) for c in keep])
+    return agg
+
+
 def series_scores(wellness: DataFrame, by: Sequence[str] = PERIOD, day: str = "day",
                   lines: Sequence[tuple[str, str]] = SCORE_LINES,
                   tiebreak: Sequence[str] = ()) -> DataFrame:
@@ -65,10 +117,9 @@ def series_scores(wellness: DataFrame, by: Sequence[str] = PERIOD, day: str = "d
     No output for a group with fewer than 2 rows or with every line all NULL.
     """
     cols = [c for c, _ in lines]
-    w = Window.partitionBy(*by)
-    p = positions(wellness.select(*by, day, *cols, *tiebreak), by, day, tiebreak)
-    anyv = F.greatest(*[F.count(F.col(c)).over(w) for c in cols]) if len(cols) > 1 \
-        else F.count(F.col(cols[0])).over(w)
+    p = positions(wellness.select(*by, day, *cols, *tiebreak), by, day, tiebreak,
+                  group_counts=cols)
+    anyv = F.greatest(*[F.col(f"_nn_{c}") for c in cols]) if len(cols) > 1 else F.col(f"_nn_{cols[0]}")
     p = p.withColumn("_any", anyv)
     long = p.where((F.col("n") >= 2) & (F.col("_any") > 0)).select(
         *by, day, "idx", day_label(day).alias("label"),
@@ -84,11 +135,11 @@ def series_target(wellness: DataFrame, by: Sequence[str] = PERIOD, day: str = "d
 
     No output for a group whose values are all NULL.
     """
-    w = Window.partitionBy(*by)
-    p = positions(wellness.select(*by, day, value, *tiebreak), by, day, tiebreak)
+    p = positions(wellness.select(*by, day, value, *tiebreak), by, day, tiebreak,
+                  group_counts=[value])
     v = F.coalesce(F.col(value).cast("double"), F.lit(0.0))
     met = v >= F.lit(float(target))
-    return (p.withColumn("_nn", F.count(F.col(value)).over(w)).where(F.col("_nn") > 0)
+    return (p.where(F.col(f"_nn_{value}") > 0)
             .select(*by, day, "idx", day_label(day).alias("label"), v.alias("value"),
                     F.lit(float(target)).alias("target"), met.alias("met"),
                     F.when(met, F.lit(MET_ALPHA)).otherwise(F.lit(MISSED_ALPHA)).alias("alpha")))
@@ -110,14 +161,18 @@ def series_stacked(sleep: DataFrame, by: Sequence[str] = PERIOD, day: str = "day
 
 def series_rolling(sleep: DataFrame, by: Sequence[str] = PERIOD, day: str = "day",
                    value: str = "avg_hrv", tiebreak: Sequence[str] = ("id",),
-                   long_sleep: str = LONG_SLEEP) -> DataFrame:
+                   long_sleep: str = LONG_SLEEP, method: str = "daily") -> DataFrame:
     """C4: non-null long_sleep values and their 3-row mean; needs at least 2 points."""
     ls = sleep.where((F.col("sleep_type") == long_sleep) & F.col(value).isNotNull())
-    p = positions(ls.select(*by, day, value, *tiebreak), by, day, tiebreak)
-    return (p.where(F.col("n") >= 2)
+    p = positions(ls.select(*by, day, value, *tiebreak), by, day, tiebreak, method)
+    if method == "window":
+        out = p.select(*by, day, *tiebreak, "idx", "n", value,
+                       rolling_mean(p, value, by, day, tiebreak).alias("rolling_mean"))
+    else:
+        out = rolling_by_position(p, value, by, keep=(day, *tiebreak))
+    return (out.where(F.col("n") >= 2)
             .select(*by, day, *tiebreak, "idx", day_label(day).alias("label"),
-                    F.col(value).cast("double").alias("value"),
-                    rolling_mean(p, value, by, day, tiebreak).alias("rolling_mean")))
+                    F.col(value).cast("double").alias("value"), "rolling_mean"))
 
 
 def chart_series(wellness: DataFrame, sleep: DataFrame, by: Sequence[str] = PERIOD) -> dict[str, DataFrame]:

@@ -78,3 +78,24 @@ def test_chart_counts(spark):
                                   "rem_sleep_duration int, awake_time int")
     c = series.chart_counts(series.chart_series(w, sleep, ["g"]), ["g"]).first()
     assert c["charts"] == 2  # scores + stages; steps all null, one HRV point
+
+
+def test_daily_positions_equal_window_positions(spark):
+    import random
+    rnd = random.Random(3)
+    rows = [(g, f"id{i:03d}", START + dt.timedelta(days=rnd.randrange(6)), "long_sleep",
+             None if rnd.random() < 0.1 else float(rnd.randrange(20, 90)))
+            for g in (1, 2) for i in range(40)]
+    rows.append((None, "idz", START, "long_sleep", 50.0))
+    df = spark.createDataFrame(rows, "g int, id string, day date, sleep_type string, avg_hrv double")
+    a = series.series_rolling(df, ["g"], method="daily")
+    b = series.series_rolling(df, ["g"], method="window")
+    key = lambda r: (r["g"] is not None, r["g"] or 0, r["idx"])
+    ra, rb = sorted(a.collect(), key=key), sorted(b.collect(), key=key)
+    assert len(ra) == len(rb) > 60
+    for x, y in zip(ra, rb):
+        assert (x["g"], x["idx"], x["id"], x["day"], x["value"]) == (y["g"], y["idx"], y["id"], y["day"], y["value"])
+        assert abs(x["rolling_mean"] - y["rolling_mean"]) < 1e-9
+    pa = series.positions(df, ["g"], tiebreak=["id"]).select("g", "id", "idx", "n")
+    pb = series.positions(df, ["g"], tiebreak=["id"], method="window").select("g", "id", "idx", "n")
+    assert sorted(map(str, pa.collect())) == sorted(map(str, pb.collect()))
