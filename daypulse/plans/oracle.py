@@ -417,6 +417,21 @@ FROM feeds f CROSS JOIN days d LEFT JOIN cnt c ON c.feed = f.feed AND c.day = d.
     q["reconcile"] = """SELECT CAST(ts AS DATE) AS partition_date, count(*) AS raw_rows, count(*) AS staged_rows,
   count(*) AS matched, CAST(0 AS BIGINT) AS missing_in_staged, CAST(0 AS BIGINT) AS extra_in_staged
 FROM events GROUP BY ALL"""
+    q["row_count_checks"] = "\nUNION ALL\n".join(
+        f"SELECT '{t}' AS table_name, TRUE AS \"exists\", count(*) AS row_count, "
+        f"CASE WHEN count(*) = 0 THEN 'WARN' END AS severity, TRUE AS passed, "
+        f"CASE WHEN count(*) = 0 THEN 'Table {t} exists but has no rows.' END AS description FROM {t}"
+        for t in TABLES)
+    q["key_null_counts"] = _with(*_mart_ctes("j2")) + """SELECT count(*) AS rows,
+  count(user_id) AS user_id_non_null, count(day) AS day_non_null,
+  count(*) - count(user_id) AS user_id_nulls, count(*) - count(day) AS day_nulls FROM mart"""
+    q["feed_coverage"] = "WITH grid AS (" + q["feed_day_grid"] + """)
+SELECT feed, CAST(sum(rows) AS BIGINT) AS rows, count(*) FILTER (WHERE rows > 0) AS days_with_rows,
+  CASE WHEN sum(rows) = 0 THEN 'OK but no data' ELSE '' END AS note
+FROM grid GROUP BY feed"""
+    q["flatten_tags"] = """SELECT event_id, 0 AS pos, event_type AS tag FROM events
+UNION ALL
+SELECT event_id, 1 AS pos, 'k' || json_extract_string(props, '$.k') AS tag FROM events"""
     q["trailing_daily_sum"] = """SELECT event_type, CAST(ts AS DATE) AS day,
   CAST(sum(CAST(value AS DECIMAL(38,9))) AS DOUBLE) AS total, count(*) AS rows
 FROM events WHERE ts >= TIMESTAMP '2024-01-24 00:00:00' AND ts < TIMESTAMP '2024-01-31 00:00:00'

@@ -341,6 +341,36 @@ def reconcile(spark, sf):
     return quality.reconcile(raw, staged, ["id"])
 
 
+def row_count_checks(spark, sf):
+    """Q2 over every driver table (all exist and have rows: pass without severity)."""
+    from functools import reduce
+    sfp = sf.rstrip("/")
+    parts = [quality.row_count_check(spark, t, f"{sfp}/{t}.parquet") for t in TABLES]
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+def key_null_counts(spark, sf):
+    """Q6 on the daily mart keys."""
+    return quality.key_null_counts(_mart2(spark, sf), ["user_id", "day"])
+
+
+def feed_coverage(spark, sf):
+    """Q3: rows per feed over the audit grid, with the note for feeds without rows."""
+    return quality.feed_coverage(feed_day_grid(spark, sf))
+
+
+def flatten_tags(spark, sf):
+    """A per-event tag array landed in VARIANT, flattened to one row per element."""
+    e = ev.table(spark, sf, "events")
+    k = F.try_variant_get(F.try_parse_json("props"), "$.k", "int")
+    tags = F.array(F.col("event_type"), F.concat(F.lit("k"), k.cast("string")))
+    raw = e.select("event_id", F.to_variant_object(F.struct(tags.alias("tags"))).alias("raw_data"))
+    from ..operators.stage import flatten_array
+    flat = flatten_array(raw, "tags", keep=["event_id"])
+    return flat.select("event_id", F.col("pos").cast("int").alias("pos"),
+                       F.try_variant_get("value", "$", "string").alias("tag"))
+
+
 def trailing_daily_sum(spark, sf):
     e = ev.table(spark, sf, "events")
     return quality.trailing_daily_sum(e, "ts", "value", TRAILING_ANCHOR, 7, ["event_type"])
@@ -356,6 +386,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         rolling_mean3, downsample_nth, series_scores, series_target, series_stacked, chart_counts,
         report_display, latest_by, upsert_idempotent, backfill_range, stream_land,
         not_null_audit, completeness, coverage, union_counts, feed_day_grid, reconcile,
-        trailing_daily_sum,
+        trailing_daily_sum, row_count_checks, key_null_counts, feed_coverage, flatten_tags,
     )
 }
