@@ -8,15 +8,16 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions import display as D
 from ..functions.dates import LONG_DATE, SHORT_DATE, WEEKDAY_DATE, previous_month, previous_week
 from ..functions.exact import DEC
 from ..operators import marts, quality, report, series
+from ..operators.stage import flatten_array, project_variant
 from ..session import fresh_path
 from ..sources import land
 from ..sources.feeds import FeedSpec
@@ -81,7 +82,6 @@ def stage_variant(spark, sf):
 
 def stage_missing_path(spark, sf):
     raw = ev.land_events(ev.table(spark, sf, "events"))
-    from ..operators.stage import project_variant
     cols = (Spec("id", "bigint", "event_id"), Spec("props.k", "int", "k"),
             Spec("note", "int", "missing"), Spec("props.missing.deep", "int", "missing_nested"),
             Spec("type", "int", "type_as_int"))
@@ -306,7 +306,6 @@ def stream_land(spark, sf):
 
 def not_null_audit(spark, sf):
     raw = ev.land_events(ev.table(spark, sf, "events"))
-    from ..operators.stage import project_variant
     staged = project_variant(raw, (*ev.EVENT_COLUMNS, Spec("note", "string", "note")))
     return quality.not_null_audit(staged, "stg_events",
                                   ["event_id", "user_id", "day", "event_type", "k", "note",
@@ -343,7 +342,6 @@ def reconcile(spark, sf):
 
 def row_count_checks(spark, sf):
     """Q2 over every driver table (all exist and have rows: pass without severity)."""
-    from functools import reduce
     sfp = sf.rstrip("/")
     parts = [quality.row_count_check(spark, t, f"{sfp}/{t}.parquet") for t in TABLES]
     return reduce(lambda a, b: a.unionByName(b), parts)
@@ -365,7 +363,6 @@ def flatten_tags(spark, sf):
     k = F.try_variant_get(F.try_parse_json("props"), "$.k", "int")
     tags = F.array(F.col("event_type"), F.concat(F.lit("k"), k.cast("string")))
     raw = e.select("event_id", F.to_variant_object(F.struct(tags.alias("tags"))).alias("raw_data"))
-    from ..operators.stage import flatten_array
     flat = flatten_array(raw, "tags", keep=["event_id"])
     return flat.select("event_id", F.col("pos").cast("int").alias("pos"),
                        F.try_variant_get("value", "$", "string").alias("tag"))
