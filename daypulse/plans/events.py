@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..functions.exact import CENTS
 from ..operators.report import assign_periods
 from ..operators.stage import project_variant
-from ..session import shared_dir
+from ..session import cut_lineage
 from ..sources.feeds import Column as Spec
 
 KEYS = ["user_id"]
@@ -105,8 +105,7 @@ def event_legs(staged: DataFrame, materialize: bool = True) -> dict[str, DataFra
         F.min(F.when(res, F.col("value"))).alias("resilience_stress_score"),
     )
     if materialize:
-        shared_dir(daily.sparkSession)
-        daily = daily.checkpoint(eager=True)
+        daily = cut_lineage(daily)
     spec = {
         "ready": ("n_ready", ["readiness_score"]),
         "sleep": ("n_sleep", ["sleep_score", "sleep_efficiency"]),

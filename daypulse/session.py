@@ -37,14 +37,32 @@ def shared_dir(spark: SparkSession) -> str:
     tests) a fresh temporary folder is created and registered.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
+    if d:
+        return d.rstrip("/")
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a Connect session has no SparkContext; the server owns the folder
+        return tempfile.mkdtemp(prefix="daypulse-work-")
+    d = sc.getCheckpointDir()
     if not d:
-        d = spark.sparkContext.getCheckpointDir()
-    if not d:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="daypulse-ckpt-"))
-        d = spark.sparkContext.getCheckpointDir()
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="daypulse-ckpt-"))
+        d = sc.getCheckpointDir()
     return d.rstrip("/")
 
 
+def cut_lineage(df):
+    """Reliable checkpoint into the shared folder (never a local checkpoint).
+
+    If the session cannot checkpoint (no folder configured on a Connect server)
+    the plan is returned unchanged, which gives the same rows.
+    """
+    try:
+        shared_dir(df.sparkSession)
+        return df.checkpoint(eager=True)
+    except Exception:
+        return df
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A new, unused path under the shared folder."""
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
