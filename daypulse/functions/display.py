@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .dates import LONG_DATE, SHORT_DATE
+from .dates import LONG_DATE, MONTH_DAY, SHORT_DATE, WEEKDAY_DATE
 
 
 def _c(c: Column | str) -> Column:
@@ -32,7 +32,7 @@ def ratio_text(n: Column | str, m: Column | str) -> Column:
 
 
 # Trend arrows by trend class.
-TREND_ARROWS = {"improving": "↑", "declining": "↓", "stable": "→"}
+TREND_ARROWS = {"improving": "▲", "declining": "▼", "stable": "▶"}
 
 
 def trend_arrow(direction: Column | str) -> Column:
@@ -60,6 +60,23 @@ def report_subject(period_type: Column | str, start: Column | str, end: Column |
                     F.lit(" - "), F.date_format(_c(end), LONG_DATE))
 
 
+def period_header(start: Column | str, end: Column | str) -> Column:
+    """``January 06 — January 12, 2025``."""
+    return F.concat(F.date_format(_c(start), MONTH_DAY), F.lit(" — "),
+                    F.date_format(_c(end), MONTH_DAY + ", yyyy"))
+
+
+def pct_text(pct: Column | str) -> Column:
+    """Absolute percent with one decimal and a percent sign: ``18.6%``."""
+    return F.concat(fmt1(F.abs(_c(pct))), F.lit("%"))
+
+
+def best_line(metric: Column | str, value: Column | str, day: Column | str) -> Column:
+    """``Readiness Score: 85.0 on Sunday, Jan 05``."""
+    return F.concat(title_label(metric), F.lit(": "), fmt1(value), F.lit(" on "),
+                    F.date_format(_c(day), WEEKDAY_DATE))
+
+
 def audit_status(rows: Column | str, exists: Column | None = None) -> Column:
     """Audit cell: ``ok`` when rows > 0, ``empty`` when 0, ``missing`` when absent."""
     r = _c(rows)

@@ -377,14 +377,22 @@ FROM spp WHERE sleep_type = 'view'"""
 SELECT {BYC}, count(*) AS charts FROM charts GROUP BY {BYC}"""
     q["report_display"] = f"""SELECT {BYC}, metric, {_title('metric')} AS label,
   {_fmt1('mean')} AS mean_text,
-  CASE trend_direction WHEN 'improving' THEN '↑' WHEN 'declining' THEN '↓' ELSE '→' END AS arrow,
-  {_fmt1('abs(trend_pct)')} AS pct_text,
+  {_fmt1('max_val')} AS max_text, {_fmt1('min_val')} AS min_text,
+  CASE trend_direction WHEN 'improving' THEN '▲' WHEN 'declining' THEN '▼' ELSE '▶' END AS arrow,
+  {_fmt1('abs(trend_pct)')} || '%' AS pct_text,
   CAST(days_with_data AS VARCHAR) || '/' || CAST(total_days AS VARCHAR) AS days_text,
   CASE WHEN period_type = 'weekly' THEN 'Weekly' ELSE 'Monthly' END || ' Health Report: '
     || strftime(start_date, '%b %d') || ' - ' || strftime(end_date, '%b %d, %Y') AS subject,
+  strftime(start_date, '%B %d') || ' — ' || strftime(end_date, '%B %d, %Y') AS header,
   strftime(start_date, '%A, %b %d') AS start_label,
   strftime(end_date, '%b %d') AS end_short, strftime(end_date, '%b %d, %Y') AS end_long
 FROM ({_summary_sql('j2')})"""
+    best_titles = {"readiness_score": "Readiness Score", "sleep_score": "Sleep Score", "steps": "Steps",
+                   "avg_hrv": "Avg Hrv", "lowest_hr": "Lowest Hr"}
+    title = "CASE metric " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in best_titles.items()) + " END"
+    q["bests_display"] = f"""SELECT {BYC}, metric,
+  {title} || ': ' || {_fmt1('value')} || ' on ' || strftime(day, '%A, %b %d') AS line
+FROM ({q['personal_bests']})"""
     q["latest_by"] = """SELECT user_id, event_id, event_type, value, ts_us FROM (
   SELECT user_id, event_id, event_type, value, epoch_us(ts) AS ts_us,
          row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn

@@ -238,15 +238,21 @@ def report_display(spark, sf):
     s = metric_summary(spark, sf)
     return s.select(
         *BY, "metric", D.title_label("metric").alias("label"), D.fmt1("mean").alias("mean_text"),
-        D.trend_arrow("trend_direction").alias("arrow"),
-        D.fmt1(F.abs(F.col("trend_pct"))).alias("pct_text"),
+        D.fmt1("max_val").alias("max_text"), D.fmt1("min_val").alias("min_text"),
+        D.trend_arrow("trend_direction").alias("arrow"), D.pct_text("trend_pct").alias("pct_text"),
         D.ratio_text("days_with_data", "total_days").alias("days_text"),
         D.report_subject("period_type", "start_date", "end_date").alias("subject"),
+        D.period_header("start_date", "end_date").alias("header"),
         F.date_format("start_date", WEEKDAY_DATE).alias("start_label"),
         F.date_format("end_date", SHORT_DATE).alias("end_short"),
         F.date_format("end_date", LONG_DATE).alias("end_long"))
 
 
+def bests_display(spark, sf):
+    b = personal_bests(spark, sf)
+    return b.select(*BY, "metric", D.best_line("metric", "value", "day").alias("line"))
+
+
 # ---- landing ---------------------------------------------------------------------
 
 def latest_by(spark, sf):
@@ -381,7 +387,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         alerts_merged, personal_bests, ratio_summary, activity_summary, sufficiency_gate,
         report_gated_summary, period_weekly, period_monthly,
         rolling_mean3, downsample_nth, series_scores, series_target, series_stacked, chart_counts,
-        report_display, latest_by, upsert_idempotent, backfill_range, stream_land,
+        report_display, bests_display, latest_by, upsert_idempotent, backfill_range, stream_land,
         not_null_audit, completeness, coverage, union_counts, feed_day_grid, reconcile,
         trailing_daily_sum, row_count_checks, key_null_counts, feed_coverage, flatten_tags,
     )
