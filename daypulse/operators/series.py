@@ -192,3 +192,28 @@ def chart_counts(series: dict[str, DataFrame], by: Sequence[str] = PERIOD) -> Da
     for p in parts[1:]:
         u = u.unionByName(p)
     return u.groupBy(*by).agg(F.count(F.lit(1)).alias("charts"))
+
+
+def chart_presence(wellness: DataFrame, sleep: DataFrame, by: Sequence[str] = PERIOD,
+                   lines: Sequence[tuple[str, str]] = SCORE_LINES, steps: str = "steps",
+                   value: str = "avg_hrv", long_sleep: str = LONG_SLEEP) -> DataFrame:
+    """G13 from the gates alone: which of the four charts exist per group, and how many.
+
+    Two grouped aggregations (one per source) are unioned and regrouped, so no
+    series is built and no join is needed (NULL keys group like any key).
+    """
+    cols = [c for c, _ in lines]
+    w = wellness.groupBy(*by).agg(
+        ((F.count(F.lit(1)) >= 2) & (F.greatest(*[F.count(F.col(c)) for c in cols]) > 0)
+         if len(cols) > 1 else (F.count(F.lit(1)) >= 2) & (F.count(F.col(cols[0])) > 0))
+        .alias("daily_scores"),
+        (F.count(F.col(steps)) > 0).alias("steps"))
+    ls = F.col("sleep_type") == long_sleep
+    s = sleep.groupBy(*by).agg(
+        (F.count_if(ls) > 0).alias("sleep_stages"),
+        (F.count_if(ls & F.col(value).isNotNull()) >= 2).alias("hrv_trend"))
+    flags = ["daily_scores", "steps", "sleep_stages", "hrv_trend"]
+    u = w.unionByName(s, allowMissingColumns=True)
+    g = u.groupBy(*by).agg(*[F.coalesce(F.max(f), F.lit(False)).alias(f) for f in flags])
+    n = sum((F.col(f).cast("long") for f in flags), F.lit(0).cast("long"))
+    return g.withColumn("charts", n).where(F.col("charts") > 0)

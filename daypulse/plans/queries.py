@@ -223,15 +223,8 @@ def series_stacked(spark, sf):
 
 
 def chart_counts(spark, sf):
-    sp = _sleep_per(spark, sf)
-    w = _per2(spark, sf)
-    parts = {
-        "daily_scores": series.series_scores(w, BY),
-        "steps": series.series_target(w, BY, value="steps", target=STEP_TARGET),
-        "sleep_stages": series.series_stacked(sp, BY, long_sleep=ev.LONG_SLEEP),
-        "hrv_trend": series.series_rolling(sp, BY, long_sleep=ev.LONG_SLEEP),
-    }
-    return series.chart_counts(parts, BY)
+    return series.chart_presence(_per2(spark, sf), _sleep_per(spark, sf), BY,
+                                 long_sleep=ev.LONG_SLEEP).select(*BY, "charts")
 
 
 def report_display(spark, sf):

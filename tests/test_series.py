@@ -99,3 +99,21 @@ def test_daily_positions_equal_window_positions(spark):
     pa = series.positions(df, ["g"], tiebreak=["id"]).select("g", "id", "idx", "n")
     pb = series.positions(df, ["g"], tiebreak=["id"], method="window").select("g", "id", "idx", "n")
     assert sorted(map(str, pa.collect())) == sorted(map(str, pb.collect()))
+
+
+def test_chart_presence_equals_series_counts(spark):
+    import random
+    rnd = random.Random(5)
+    w_rows = [(g, START + dt.timedelta(days=i), rnd.choice([None, 70.0]), rnd.choice([None, 80.0]),
+               rnd.choice([None, 9000]))
+              for g in range(6) for i in range(rnd.randrange(1, 4))]
+    w = spark.createDataFrame(w_rows, "g int, day date, readiness_score double, sleep_score double, steps int")
+    s_rows = [(g, f"i{g}{i}", START + dt.timedelta(days=i), rnd.choice(["long_sleep", "nap"]),
+               rnd.choice([None, 40.0]), 1, 1, 1, 1)
+              for g in range(3, 9) for i in range(rnd.randrange(0, 4))]
+    s = spark.createDataFrame(s_rows, "g int, id string, day date, sleep_type string, avg_hrv double, "
+                                      "deep_sleep_duration int, light_sleep_duration int, "
+                                      "rem_sleep_duration int, awake_time int")
+    a = {r["g"]: r["charts"] for r in series.chart_counts(series.chart_series(w, s, ["g"]), ["g"]).collect()}
+    b = {r["g"]: r["charts"] for r in series.chart_presence(w, s, ["g"]).collect()}
+    assert a == b
