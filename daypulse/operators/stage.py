@@ -33,14 +33,18 @@ def project_variant(raw: DataFrame, columns: Iterable[Spec], variant_col: str =
 
 
 def stage(raw: DataFrame, name: str | FeedSpec, strict: bool = False,
-          keys: Sequence[str] = ()) -> DataFrame:
-    """Staged table of a registered feed: the spec's columns plus ``partition_date``.
+          keys: Sequence[str] = (), key_type: str = "string") -> DataFrame:
+    """Staged table of a registered feed: keys, the spec's columns and ``partition_date``.
 
-    ``keys`` are entity columns carried through from the raw table unchanged.
+    ``keys`` are entity columns: taken from ``raw`` when it has them, else read
+    from the record at ``$.<key>`` as ``key_type``.
     """
     spec = name if isinstance(name, FeedSpec) else feed(name)
-    return project_variant(raw, spec.columns, strict=strict,
-                           passthrough=(*keys, "partition_date"))
+    from_record = tuple(Spec(k, key_type, k) for k in keys if k not in raw.columns)
+    carried = tuple(k for k in keys if k in raw.columns)
+    out = project_variant(raw, (*from_record, *spec.columns), strict=strict,
+                          passthrough=(*carried, "partition_date"))
+    return out.select(*keys, *[c for c in out.columns if c not in keys])
 
 
 def flatten_array(raw: DataFrame, path: str, variant_col: str = "raw_data",
