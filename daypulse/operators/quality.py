@@ -148,8 +148,27 @@ def feed_coverage(grid: DataFrame, feed: str = "feed", rows: str = "rows") -> Da
 
 
 def reconcile(raw: DataFrame, staged: DataFrame, keys: Sequence[str],
-              partition: str = "partition_date") -> DataFrame:
-    """Per partition, rows on each side, rows matched on the keys, and gaps."""
+              partition: str = "partition_date", method: str = "join") -> DataFrame:
+    """Per partition, rows on each side and how they match on the keys.
+
+    ``method="join"``: full outer join on (partition, keys) -> matched, missing
+    and extra rows. ``method="checksum"``: no row-level join -- per partition
+    the row count and an order-independent checksum of the keys on each side
+    (aggregates only, so only one row per partition is shuffled); run the join
+    form afterwards on the partitions whose ``equal`` is false.
+    """
+    if method == "checksum":
+        def side(df: DataFrame, tag: str) -> DataFrame:
+            h = F.xxhash64(*[F.col(k) for k in keys]).cast(T.DecimalType(38, 0))
+            return df.groupBy(partition).agg(F.count(F.lit(1)).alias(f"{tag}_rows"),
+                                             F.sum(h).alias(f"{tag}_checksum"))
+        u = side(raw, "raw").unionByName(side(staged, "staged"), allowMissingColumns=True)
+        g = u.groupBy(partition).agg(*[F.max(c).alias(c) for c in
+                                       ("raw_rows", "raw_checksum", "staged_rows", "staged_checksum")])
+        return g.select(partition, F.coalesce("raw_rows", F.lit(0)).alias("raw_rows"),
+                        F.coalesce("staged_rows", F.lit(0)).alias("staged_rows"),
+                        ((F.coalesce("raw_rows", F.lit(0)) == F.coalesce("staged_rows", F.lit(0))) &
+                         F.col("raw_checksum").eqNullSafe(F.col("staged_checksum"))).alias("equal"))
     r = raw.select(partition, *keys).withColumn("_r", F.lit(1))
     s = staged.select(partition, *keys).withColumn("_s", F.lit(1))
     j = r.join(s, [partition, *keys], "full_outer")

@@ -69,3 +69,14 @@ def test_gap_audit_keeps_group_labels(spark):
     grid = quality.feed_day_grid(counts, feeds, D1, dt.date(2024, 1, 4))
     assert grid.count() == 8 and set(grid.columns) >= {"feed", "grp", "day", "rows", "status"}
     assert {r["status"] for r in grid.collect()} == {"empty"}
+
+
+def test_reconcile_checksum(spark):
+    d2 = dt.date(2024, 1, 2)
+    raw = spark.createDataFrame([(D1, 1), (D1, 2), (d2, 5)], "partition_date date, id int")
+    same = spark.createDataFrame([(D1, 2), (D1, 1), (d2, 5)], "partition_date date, id int")
+    other = spark.createDataFrame([(D1, 1), (D1, 3), (d2, 5)], "partition_date date, id int")
+    a = {r["partition_date"]: r["equal"] for r in quality.reconcile(raw, same, ["id"], method="checksum").collect()}
+    b = {r["partition_date"]: r["equal"] for r in quality.reconcile(raw, other, ["id"], method="checksum").collect()}
+    assert a == {D1: True, d2: True}
+    assert b == {D1: False, d2: True}
