@@ -50,3 +50,76 @@ def test_shared_key_forms_agree_and_one_row_per_key(spark, spec):
     assert rows(a) == rows(b)
     keyed = {(u, d) for r in spec.values() for (u, d) in r if u is not None}
     assert a.where("user_id is not null").count() == len(keyed)
+
+
+START = dt.date(2025, 3, 3)
+value = st.one_of(st.none(), st.integers(min_value=0, max_value=12000).map(lambda c: c / 100))
+frame = st.lists(st.tuples(st.sampled_from(["a", "b"]), st.integers(0, 13), value, value),
+                 min_size=1, max_size=25)
+
+
+def py_report(rows, start, end):
+    """Plain-Python report formulas for one group: summary and alerts per metric."""
+    from datetime import date as D
+    days = [d for d, _, _ in rows]
+    out = {}
+    pmid = D.fromordinal((start.toordinal() + end.toordinal()) // 2)
+    dmid = D.fromordinal((min(days).toordinal() + max(days).toordinal()) // 2)
+    for m, col in (("readiness_score", 1), ("steps", 2)):
+        vals = [(d, r[col]) for r in rows for d in [r[0]] if r[col] is not None]
+        if not vals:
+            continue
+
+        def split(mid):
+            a = [v for d, v in vals if d <= mid]
+            b = [v for d, v in vals if d > mid]
+            if not a or not b:
+                return None
+            m1, m2 = sum(a) / len(a), sum(b) / len(b)
+            return None if m1 == 0 else (m2 - m1) / m1 * 100
+        mean = sum(v for _, v in vals) / len(vals)
+        p = split(pmid)
+        pct = 0.0 if p is None else p
+        trend = "improving" if pct > 5 else "declining" if pct < -5 else "stable"
+        dp = split(dmid)
+        alert = None
+        if m == "readiness_score" and mean < 70.0:
+            alert = "Below target of 70.0"
+        elif dp is not None and dp < -10:
+            alert = f"Declined {abs(round(dp, 1))}% over period"
+        out[m] = (mean, trend, pct, len(vals), len(rows), alert, dp)
+    return out
+
+
+@settings(max_examples=8)
+@given(frame)
+def test_report_matches_plain_python(spark, data):
+    from pyspark.sql import functions as F
+    from daypulse.operators import report
+    rows = [(g, START + dt.timedelta(days=o), r, s) for g, o, r, s in data]
+    df = spark.createDataFrame(rows, "g string, day date, readiness_score double, steps double")
+    end = START + dt.timedelta(days=13)
+    df = df.withColumn("start_date", F.lit(START)).withColumn("end_date", F.lit(end))
+    by = ["g", "start_date", "end_date"]
+    stats = report.metric_stats(df, by, metrics=("readiness_score", "steps"))
+    summ = {(r["g"], r["metric"]): r for r in report.summarize(stats, by).collect()}
+    alerts = {(r["g"], r["metric"]): r["reason"] for r in report.alerts_from_stats(
+        stats, by, metrics=("readiness_score", "steps")).collect()}
+    for g in ("a", "b"):
+        grp = [(d, r, s) for gg, d, r, s in rows if gg == g]
+        if not grp:
+            continue
+        exp = py_report(grp, START, end)
+        assert {m for (gg, m) in summ if gg == g} == set(exp)
+        for m, (mean, trend, pct, n, total, alert, dp) in exp.items():
+            got = summ[(g, m)]
+            assert abs(got["mean"] - mean) <= 0.005 + 1e-9
+            assert got["days_with_data"] == n and got["total_days"] == total
+            assert abs(got["trend_pct"] - pct) <= 0.005 + 1e-6
+            if abs(abs(pct) - 5) > 1e-6:
+                assert got["trend_direction"] == trend
+            if dp is None or abs(dp + 10) > 1e-6:
+                if alert is None or alert.startswith("Below"):
+                    assert alerts.get((g, m)) == alert
+                else:
+                    assert alerts.get((g, m), "").startswith("Declined ")
