@@ -106,12 +106,16 @@ def _as_col(x: Column | str | dt.date) -> Column:
 def metric_stats(df: DataFrame, by: Sequence[str] = PERIOD,
                  metrics: Sequence[str] = WELLNESS_METRICS, day: str = "day",
                  start: Column | str | dt.date = "start_date",
-                 end: Column | str | dt.date = "end_date") -> DataFrame:
+                 end: Column | str | dt.date = "end_date", data_split: bool = True) -> DataFrame:
     """Per (by, metric): row and value counts, exact sums, min/max, and the sums
-    and counts of both halves split at the period midpoint and at the data midpoint.
+    and counts of both halves split at the period midpoint and (with
+    ``data_split``) at the midpoint of the first and last day present.
 
     Metrics absent from ``df`` are skipped. ``start``/``end`` give the period
-    (columns in ``by`` or literal dates).
+    (columns in ``by`` or literal dates). Without ``data_split`` rows go
+    straight to one partially aggregated (by, metric) aggregation; with it, a
+    per-(by, day) aggregate comes first so the data span is a window over at
+    most one row per day.
     """
     metrics = [m for m in metrics if m in df.columns]
     if not metrics:
@@ -128,6 +132,24 @@ def metric_stats(df: DataFrame, by: Sequence[str] = PERIOD,
     pend = F.col(end) if isinstance(end, str) and end in by else F.col("_pend")
     pcols = [c for c in ("_pstart", "_pend") if c in base.columns]
 
+    if not data_split:
+        rows = F.array(*[F.struct(F.lit(m).alias("metric"), dec(F.col(m)).alias("s"),
+                                  F.col(m).isNotNull().cast("long").alias("c"),
+                                  F.col(m).cast("double").alias("lo"), F.col(m).cast("double").alias("hi"))
+                         for m in metrics])
+        long = base.select(*by, *pcols, day, F.lit(1).cast("long").alias("_n"), F.inline(rows))
+        pmid = midpoint(pstart, pend)
+        d = F.col(day)
+
+        def cnt1(cond: Column) -> Column:
+            return F.coalesce(F.sum(F.when(cond, F.col("c"))), F.lit(0)).cast("long")
+        return long.groupBy(*by, "metric").agg(
+            F.sum("_n").cast("long").alias("total_days"),
+            F.sum("c").cast("long").alias("days_with_data"),
+            F.sum("s").cast(DEC).alias("s"), F.min("lo").alias("lo"), F.max("hi").alias("hi"),
+            F.sum(F.when(d <= pmid, F.col("s"))).cast(DEC).alias("s1"), cnt1(d <= pmid).alias("c1"),
+            F.sum(F.when(d > pmid, F.col("s"))).cast(DEC).alias("s2"), cnt1(d > pmid).alias("c2"))
+
     aggs = [F.count(F.lit(1)).alias("_n")]
     for i, m in enumerate(metrics):
         v = F.col(m)
@@ -197,7 +219,7 @@ def metric_summary(df: DataFrame, by: Sequence[str] = PERIOD,
                    start: Column | str | dt.date = "start_date",
                    end: Column | str | dt.date = "end_date") -> DataFrame:
     """G1 + G2: one row per (by, metric) that has at least one non-null value."""
-    return summarize(metric_stats(df, by, metrics, day, start, end), by)
+    return summarize(metric_stats(df, by, metrics, day, start, end, data_split=False), by)
 
 
 def alerts_from_stats(stats: DataFrame, by: Sequence[str] = PERIOD,

@@ -125,11 +125,11 @@ def mart_left_detail(spark, sf):
 # ---- report ----------------------------------------------------------------------
 
 def metric_summary(spark, sf):
-    return report.summarize(_stats(spark, sf), BY)
+    return report.metric_summary(_per2(spark, sf), BY)
 
 
 def metric_summary_chain(spark, sf):
-    return report.summarize(_stats(spark, sf, "j1"), BY)
+    return report.metric_summary(ev.with_periods(_mart1(spark, sf, "grouped")), BY)
 
 
 def trend_split_half(spark, sf):
