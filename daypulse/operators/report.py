@@ -370,15 +370,21 @@ def sufficiency_gate(wellness: DataFrame, by: Sequence[str] = PERIOD,
                     F.when(skipped, reason).alias("reason"))
 
 
+def keep_ok(part: DataFrame, gate: DataFrame, by: Sequence[str] = PERIOD) -> DataFrame:
+    """Rows of a report part whose group passed the sufficiency gate (left semi join
+    of two per-group tables, so no group is larger than its own report rows)."""
+    ok = gate.where(F.col("status") == "ok").select(*by)
+    return part.join(ok, list(by), "left_semi")
+
+
 def build_report(wellness: DataFrame, sleep: DataFrame, workouts: DataFrame,
                  by: Sequence[str] = PERIOD) -> dict[str, DataFrame]:
     """All report parts for every group of ``by``; parts of skipped groups are dropped."""
     gate = sufficiency_gate(wellness, by)
-    ok = gate.where(F.col("status") == "ok").select(*by)
     stats = metric_stats(wellness, by)
 
     def keep(df: DataFrame) -> DataFrame:
-        return df.join(ok, list(by), "left_semi")
+        return keep_ok(df, gate, by)
 
     return {
         "gate": gate,

@@ -167,11 +167,8 @@ def sufficiency_gate(spark, sf):
 
 def report_gated_summary(spark, sf):
     """The metric summaries of groups that pass the gate."""
-    st = _staged(spark, sf)
     w = _per2(spark, sf)
-    parts = report.build_report(w, ev.with_periods(ev.sleep_periods(st)),
-                                ev.with_periods(ev.workouts(st)), BY)
-    return parts["metric_summaries"]
+    return report.keep_ok(report.metric_summary(w, BY), report.sufficiency_gate(w, BY), BY)
 
 
 def _orders_days(spark, sf):
