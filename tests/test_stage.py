@@ -114,3 +114,12 @@ def test_flatten_array(spark):
     raw = raw_of(spark, [{"tags": ["a", "b", "c"]}, {"tags": []}, {}])
     out = flatten_array(raw, "tags").select("pos", F.try_variant_get("value", "$", "string").alias("v"))
     assert sorted((r["pos"], r["v"]) for r in out.collect()) == [(0, "a"), (1, "b"), (2, "c")]
+
+
+def test_registry_frame(spark):
+    df = feeds.registry_frame(spark)
+    rows = {r["feed"]: r for r in df.collect()}
+    assert len(rows) == 13
+    assert rows["activity"]["endpoint"] == "daily_activity" and rows["activity"]["end_exclusive"]
+    assert rows["heartrate"]["kind"] == "granular" and not rows["heartrate"]["end_exclusive"]
+    assert rows["sleep_periods"]["n_columns"] == 18
