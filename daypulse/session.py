@@ -23,6 +23,7 @@ def build_session(master: str = "local[8]", app: str = "daypulse",
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", "16g")
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
+        .config("spark.sql.codegen.cache.maxEntries", "1000")
     )
     for k, v in conf.items():
         builder = builder.config(k, v)
