@@ -1,8 +1,11 @@
 """Period reports for every entity and period in one job.
 
 ``by`` is the grouping of one report: entity keys plus the period columns
-(``period_type``, ``start_date``, ``end_date`` from ``assign_periods``). The
-metric operators share one plan:
+(``period_type``, ``start_date``, ``end_date`` from ``assign_periods``).
+
+Summaries unpivot each row into (metric, value) and run one partially
+aggregated (by, metric) aggregation. Alerts also need the span of days present,
+so their statistics take three steps:
 
 1. partial aggregate per (by, day) -- map-side combine, so an entity holding a
    third of all rows ships at most one row per day and period;
