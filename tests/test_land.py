@@ -138,3 +138,16 @@ def test_csv_lower_and_materialize(spark, tmp_root):
     back = materialize(df, f"{tmp_root}/mart")
     assert sorted((r["day"], r["steps"]) for r in back.collect()) == \
         [(dt.date(2025, 1, 1), 5000), (dt.date(2025, 1, 2), None)]
+
+
+def test_stream_many_micro_batches_one_day(spark, tmp_root):
+    from daypulse.streaming.landing import start_landing
+    landing, root, ck = f"{tmp_root}/landing", f"{tmp_root}/raw", f"{tmp_root}/ck"
+    for tag in "abc":
+        rows = [(f'{{"id": "{tag}{i}"}}', D1) for i in range(2)]
+        (spark.createDataFrame(rows, "value string, partition_date date").coalesce(1).write.mode("append")
+         .partitionBy("partition_date").text(landing))
+    q = start_landing(spark, landing, root, "sleep", ck, max_files=1)
+    q.awaitTermination()
+    assert len(q.recentProgress) >= 3  # one file per micro-batch
+    assert count_day(spark, root, D1) == 6
