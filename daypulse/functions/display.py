@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .dates import LONG_DATE, MONTH_DAY, SHORT_DATE, WEEKDAY_DATE
+from .exact import round_half_up
 
 
 def _c(c: Column | str) -> Column:
@@ -20,11 +21,11 @@ def title_label(name: Column | str) -> Column:
 def fmt1(x: Column | str) -> Column:
     """``%.1f`` of the value rounded half-up to 1 decimal (so the text never
     depends on how a binary fraction prints)."""
-    return F.format_string("%.1f", F.round(_c(x), 1))
+    return F.format_string("%.1f", round_half_up(_c(x), 1))
 
 
 def fmt0(x: Column | str) -> Column:
-    return F.format_string("%.0f", F.round(_c(x), 0))
+    return F.format_string("%.0f", round_half_up(_c(x), 0))
 
 
 def ratio_text(n: Column | str, m: Column | str) -> Column:
@@ -49,7 +50,7 @@ def below_target_reason(target: Column | str) -> Column:
 
 def declined_reason(pct: Column | str) -> Column:
     """``Declined 18.5% over period`` from an unrounded percent change."""
-    return F.concat(F.lit("Declined "), fmt1(F.abs(F.round(_c(pct), 1))), F.lit("% over period"))
+    return F.concat(F.lit("Declined "), fmt1(F.abs(round_half_up(_c(pct), 1))), F.lit("% over period"))
 
 
 def report_subject(period_type: Column | str, start: Column | str, end: Column | str) -> Column:

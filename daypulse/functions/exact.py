@@ -41,9 +41,21 @@ def as_double(c: Column) -> Column:
     return c.cast("double")
 
 
+def round_half_up(c: Column, scale: int) -> Column:
+    """Round half-up to ``scale`` decimals and return DOUBLE.
+
+    The value is first brought to DECIMAL(38, 9), so binary noise below 1e-9
+    cannot move a tie: 117.375 computed as 117.37499999999999 still rounds to
+    117.38, as the exact value does.
+    """
+    exact = F.round(c.try_cast(DEC), scale).cast("double")
+    return F.when(c.isNull(), F.lit(None).cast("double")).otherwise(
+        F.coalesce(exact, F.round(c.cast("double"), scale)))  # beyond DECIMAL(38, 9): plain rounding
+
+
 def round2(c: Column) -> Column:
     """Round half-up to 2 decimals and return DOUBLE."""
-    return F.round(c, 2).cast("double")
+    return round_half_up(c, 2)
 
 
 def cents_sum(c: Column | str) -> Column:
