@@ -74,3 +74,58 @@ def test_land_stage_mart_report(spark, tmp_root):
     assert bests[("u2", "steps")] == (11000.0, DAYS[6])
     assert parts["sleep_summary"].count() == 0
     assert parts["workout_summary"].where(F.col("user_id") == "u1").first()["total_calories"] == 300.0
+
+
+def granular(feed, user, i, day):
+    if feed == "sleep_periods":
+        total = 25200 + 600 * i
+        return {"user_id": user, "id": f"{user}-p{i}", "day": day.isoformat(), "type": "long_sleep",
+                "total_sleep_duration": total, "deep_sleep_duration": total // 5,
+                "light_sleep_duration": total // 2, "rem_sleep_duration": total - total // 5 - total // 2,
+                "awake_time": 1800, "time_in_bed": total + 1800, "efficiency": 85 + i % 3,
+                "average_heart_rate": 55.0, "average_hrv": 40.0 + i, "lowest_heart_rate": 48 - i % 2}
+    if feed == "sleep_time":
+        return {"user_id": user, "day": day.isoformat(), "recommendation": "earlier_bedtime",
+                "optimal_bedtime": {"start_offset": -1800, "end_offset": 1800, "day_tz": 0}, "status": "ok"}
+    return {"user_id": user, "id": f"{user}-w{i}", "day": day.isoformat(),
+            "activity": "running" if i % 2 else "walking", "calories": 100.0 + i}
+
+
+def test_readme_flow_on_a_landed_lake(spark, tmp_root):
+    from daypulse.operators import series
+    feeds = ("readiness", "sleep", "activity", "spo2", "stress", "resilience")
+    for i, day in enumerate(DAYS):
+        for f in feeds:
+            rows = [(json.dumps(records(f, u, i, day)),) for u in USERS]
+            land.upsert_day(spark, tmp_root, f, land.to_raw(spark.createDataFrame(rows, "js string"), "js"), day)
+        for f in ("sleep_periods", "sleep_time", "workouts"):
+            rows = [(json.dumps(granular(f, u, i, day)),) for u in USERS]
+            land.upsert_day(spark, tmp_root, f, land.to_raw(spark.createDataFrame(rows, "js string"), "js"), day)
+
+    # the README example, verbatim apart from the lake path
+    keys = ["user_id"]
+    raw = lambda f: land.read_raw(spark, tmp_root, f)
+    staged = {f: stage.stage(raw(f), f, keys=keys)
+              for f in ("sleep", "activity", "readiness", "spo2", "stress", "resilience")}
+    daily = marts.full_outer_on_key(marts.wellness_legs(staged, keys), keys)
+    sleep = marts.sleep_detail(stage.stage(raw("sleep_periods"), "sleep_periods", keys=keys),
+                               stage.stage(raw("sleep_time"), "sleep_time", keys=keys), keys)
+    workouts = stage.stage(raw("workouts"), "workouts", keys=keys)
+    by = [*keys, "period_type", "start_date", "end_date"]
+    parts = report.build_report(report.assign_periods(daily), report.assign_periods(sleep),
+                                report.assign_periods(workouts), by)
+    charts = series.chart_series(report.assign_periods(daily), report.assign_periods(sleep), by)
+
+    ss = {(r["user_id"], r["period_type"]): r for r in parts["sleep_summary"].collect()}
+    totals = [25200 + 600 * i for i in range(7)]
+    assert ss[("u1", "weekly")]["nights"] == 7
+    assert ss[("u1", "weekly")]["avg_duration_hrs"] == round(sum(totals) / 7 / 3600, 2)
+    assert ss[("u1", "weekly")]["avg_hrv"] == 43.0
+    wk = {(r["user_id"], r["period_type"], r["activity"]): r for r in parts["workout_summary"].collect()}
+    assert wk[("u2", "weekly", "running")]["sessions"] == 3 and wk[("u2", "weekly", "walking")]["sessions"] == 4
+    assert wk[("u2", "weekly", "running")]["total_calories"] == sum(100.0 + i for i in range(7))
+    bests = {(r["user_id"], r["period_type"], r["metric"]): r["value"] for r in parts["personal_bests"].collect()}
+    assert bests[("u1", "weekly", "avg_hrv")] == 46.0 and bests[("u1", "weekly", "lowest_hr")] == 47.0
+    hrv = charts["hrv_trend"].where("user_id = 'u1' and period_type = 'weekly'").orderBy("idx").collect()
+    assert [round(r["rolling_mean"], 4) for r in hrv[:3]] == [40.0, 40.5, 41.0]
+    assert charts["sleep_stages"].count() == 2 * 7 * 2  # two users, seven nights, two period types
