@@ -43,8 +43,8 @@ def shared_dir(spark: SparkSession) -> str:
         return d.rstrip("/")
     try:
         sc = spark.sparkContext
-    except Exception:  # a Connect session has no SparkContext; the server owns the folder
-        return tempfile.mkdtemp(prefix="daypulse-work-")
+    except Exception as e:  # a Connect session: the folder must come from the cluster
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder for this session") from e
     d = sc.getCheckpointDir()
     if not d:
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="daypulse-ckpt-"))
