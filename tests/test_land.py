@@ -151,3 +151,16 @@ def test_stream_many_micro_batches_one_day(spark, tmp_root):
     q.awaitTermination()
     assert len(q.recentProgress) >= 3  # one file per micro-batch
     assert count_day(spark, root, D1) == 6
+
+
+def test_rebuild_is_idempotent_on_replay(spark, tmp_root):
+    """A micro-batch re-run after a failure rebuilds the same days from the same files."""
+    from daypulse.streaming.landing import rebuild_days
+    landing, root = f"{tmp_root}/landing", f"{tmp_root}/raw"
+    rows = [(f'{{"id": "a{i}"}}', D1 if i % 2 else D2) for i in range(6)]
+    (spark.createDataFrame(rows, "value string, partition_date date").write.mode("append")
+     .partitionBy("partition_date").text(landing))
+    first = rebuild_days(spark, landing, root, "sleep", [D1, D2])
+    second = rebuild_days(spark, landing, root, "sleep", [D1, D2])
+    assert first == second == {"rows": 6, "days_written": 2, "days_cleared": 0}
+    assert count_day(spark, root, D1) == 3 and count_day(spark, root, D2) == 3

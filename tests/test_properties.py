@@ -123,3 +123,39 @@ def test_report_matches_plain_python(spark, data):
                     assert alerts.get((g, m)) == alert
                 else:
                     assert alerts.get((g, m), "").startswith("Declined ")
+
+
+@settings(max_examples=10)
+@given(st.lists(st.integers(min_value=1, max_value=40), min_size=1, max_size=4))
+def test_downsample_rule(spark, sizes):
+    """Ticks: all points up to 10; beyond, every max(n // 7, 2)-th index plus the last."""
+    from daypulse.operators import series
+    rows = [(g, dt.date(2025, 1, 1) + dt.timedelta(days=i)) for g, n in enumerate(sizes) for i in range(n)]
+    df = spark.createDataFrame(rows, "g int, day date")
+    got = {}
+    for r in series.downsample_nth(df, ["g"]).collect():
+        got.setdefault(r["g"], []).append(r["idx"])
+    for g, n in enumerate(sizes):
+        if n > 10:
+            step = max(n // 7, 2)
+            exp = list(range(0, n, step))
+            if n - 1 not in exp:
+                exp.append(n - 1)
+        else:
+            exp = list(range(n))
+        assert sorted(got[g]) == exp
+
+
+@settings(max_examples=10)
+@given(st.lists(st.dates(min_value=dt.date(1999, 1, 1), max_value=dt.date(2031, 12, 31)), min_size=1, max_size=20))
+def test_periods_match_calendar(spark, days):
+    from daypulse.operators import report
+    df = spark.createDataFrame([(d,) for d in days], "day date")
+    for r in report.assign_periods(df).collect():
+        d = r["day"]
+        if r["period_type"] == "weekly":
+            monday = d - dt.timedelta(days=d.weekday())
+            assert (r["start_date"], r["end_date"]) == (monday, monday + dt.timedelta(days=6))
+        else:
+            nxt = (d.replace(day=28) + dt.timedelta(days=4)).replace(day=1)
+            assert (r["start_date"], r["end_date"]) == (d.replace(day=1), nxt - dt.timedelta(days=1))
