@@ -164,3 +164,10 @@ def test_rebuild_is_idempotent_on_replay(spark, tmp_root):
     second = rebuild_days(spark, landing, root, "sleep", [D1, D2])
     assert first == second == {"rows": 6, "days_written": 2, "days_cleared": 0}
     assert count_day(spark, root, D1) == 3 and count_day(spark, root, D2) == 3
+
+
+def test_slice_period_is_inclusive(spark):
+    from daypulse.sources.land import slice_period
+    df = spark.createDataFrame([(D1 + dt.timedelta(days=i),) for i in range(10)], "day date")
+    got = sorted(r["day"] for r in slice_period(df, D1 + dt.timedelta(days=2), D1 + dt.timedelta(days=4)).collect())
+    assert got == [D1 + dt.timedelta(days=i) for i in (2, 3, 4)]

@@ -80,3 +80,14 @@ def test_reconcile_checksum(spark):
     b = {r["partition_date"]: r["equal"] for r in quality.reconcile(raw, other, ["id"], method="checksum").collect()}
     assert a == {D1: True, d2: True}
     assert b == {D1: False, d2: True}
+
+
+def test_row_count_check_on_catalog_tables(spark):
+    spark.createDataFrame([], "x int").createOrReplaceTempView("dp_empty_t")
+    spark.range(4).createOrReplaceTempView("dp_full_t")
+    e = quality.row_count_check(spark, "dp_empty_t").first()
+    f = quality.row_count_check(spark, "dp_full_t").first()
+    m = quality.row_count_check(spark, "dp_missing_t").first()
+    assert (e["exists"], e["severity"], e["row_count"]) == (True, "WARN", 0)
+    assert (f["exists"], f["severity"], f["row_count"]) == (True, None, 4)
+    assert (m["exists"], m["severity"], m["passed"]) == (False, "WARN", True)
