@@ -44,10 +44,14 @@ def positions(df: DataFrame, by: Sequence[str] = PERIOD, day: str = "day",
     per (group, day) are counted first (partial aggregation), a window over
     those small per-day counts gives each day's offset and the series length,
     and only the rank inside a day is a window, partitioned by (group, day).
-    ``method="window"`` is one row_number over the group. ``group_counts``
-    adds ``_nn_<col>``: the non-null count of each column over the group.
+    ``method="window"`` is one row_number over the group. ``method="range"``
+    also splits a single hot (group, day) (see ``_positions_by_range``).
+    ``group_counts`` adds ``_nn_<col>``: the non-null count of each column over
+    the group.
     """
     grp = Window.partitionBy(*by)
+    if method == "range":
+        return _positions_by_range(df, by, day, tiebreak, group_counts)
     if method == "window":
         w = Window.partitionBy(*by).orderBy(*_order(day, tiebreak))
         out = (df.withColumn("idx", (F.row_number().over(w) - 1).cast("int"))
@@ -71,6 +75,51 @@ def positions(df: DataFrame, by: Sequence[str] = PERIOD, day: str = "day",
             .drop("_off"))
 
 
+def _null_safe_join(left: DataFrame, right: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Inner join on ``cols`` where NULL matches NULL (as grouping does)."""
+    r = right.select(*[F.col(c).alias(f"_k_{c}") for c in cols],
+                     *[c for c in right.columns if c not in cols])
+    cond = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in cols])
+    return left.join(r, cond, "inner").drop(*[f"_k_{c}" for c in cols])
+
+
+def _positions_by_range(df: DataFrame, by: Sequence[str], day: str, tiebreak: Sequence[str],
+                        group_counts: Sequence[str]) -> DataFrame:
+    """Positions without any window over a (group, day): for days so hot that
+    even one entity-day does not fit a task.
+
+    Rows are range-partitioned and sorted by (group, day, tiebreak), numbered
+    inside each partition, and materialised once in the shared folder (so the
+    partition of every row is fixed). A (group, day) spread over several
+    partitions becomes segments; offsets come from windows over the segment
+    and per-day count tables, which hold one row per segment or per day.
+    """
+    from ..session import fresh_path
+    from ..sources.land import materialize
+    spark = df.sparkSession
+    order = [*by, day, *tiebreak]
+    n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    r = (df.repartitionByRange(n_parts, *[F.col(c) for c in order]).sortWithinPartitions(*order)
+         .withColumn("_pid", F.spark_partition_id())
+         .withColumn("_mid", F.monotonically_increasing_id()))
+    r = materialize(r, fresh_path(spark, "positions"))
+    seg = r.groupBy(*by, day, "_pid").agg(F.count(F.lit(1)).alias("_sc"), F.min("_mid").alias("_m0"),
+                                         *[F.count(F.col(c)).alias(f"_d_{c}") for c in group_counts])
+    before_seg = Window.partitionBy(*by, day).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    seg = seg.withColumn("_soff", F.coalesce(F.sum("_sc").over(before_seg), F.lit(0)))
+    per_day = seg.groupBy(*by, day).agg(F.sum("_sc").alias("_cnt"),
+                                        *[F.sum(f"_d_{c}").alias(f"_d_{c}") for c in group_counts])
+    grp = Window.partitionBy(*by)
+    before_day = Window.partitionBy(*by).orderBy(day).rowsBetween(Window.unboundedPreceding, -1)
+    per_day = per_day.select(*by, day, F.coalesce(F.sum("_cnt").over(before_day), F.lit(0)).alias("_off"),
+                             F.sum("_cnt").over(grp).cast("int").alias("n"),
+                             *[F.sum(f"_d_{c}").over(grp).alias(f"_nn_{c}") for c in group_counts])
+    seg = _null_safe_join(seg.select(*by, day, "_pid", "_m0", "_soff"), per_day, [*by, day])
+    j = _null_safe_join(r, seg, [*by, day, "_pid"])
+    idx = (F.col("_off") + F.col("_soff") + F.col("_mid") - F.col("_m0")).cast("int")
+    return j.withColumn("idx", idx).drop("_pid", "_mid", "_m0", "_soff", "_off")
+
+
 def downsample_nth(df: DataFrame, by: Sequence[str] = PERIOD, day: str = "day",
                    tiebreak: Sequence[str] = ()) -> DataFrame:
     """All points up to 10; beyond, every ``max(n // 7, 2)``-th point plus the last."""

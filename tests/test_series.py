@@ -117,3 +117,26 @@ def test_chart_presence_equals_series_counts(spark):
     a = {r["g"]: r["charts"] for r in series.chart_counts(series.chart_series(w, s, ["g"]), ["g"]).collect()}
     b = {r["g"]: r["charts"] for r in series.chart_presence(w, s, ["g"]).collect()}
     assert a == b
+
+
+def test_range_positions_split_a_hot_day(spark):
+    """One entity-day holding most rows: range positions equal the window ones."""
+    import random
+    rnd = random.Random(9)
+    rows = [(1, f"h{i:04d}", START, float(rnd.randrange(100))) for i in range(600)]      # the hot day
+    rows += [(1, f"o{i:03d}", START + dt.timedelta(days=1 + i % 3), 1.0) for i in range(30)]
+    rows += [(2, f"p{i:03d}", START + dt.timedelta(days=i % 4), None) for i in range(20)]
+    rows += [(None, "z", START, 5.0)]
+    df = spark.createDataFrame(rows, "g int, id string, day date, v double")
+    a = series.positions(df, ["g"], tiebreak=["id"], method="range", group_counts=["v"])
+    b = series.positions(df, ["g"], tiebreak=["id"], method="window", group_counts=["v"])
+    cols = ["g", "id", "idx", "n", "_nn_v"]
+    assert sorted(map(str, a.select(*cols).collect())) == sorted(map(str, b.select(*cols).collect()))
+
+
+def test_rolling_with_range_positions(spark):
+    rows = [(1, f"id{i:03d}", START + dt.timedelta(days=i // 50), "long_sleep", float(i % 17)) for i in range(200)]
+    df = spark.createDataFrame(rows, "g int, id string, day date, sleep_type string, avg_hrv double")
+    a = {r["idx"]: r["rolling_mean"] for r in series.series_rolling(df, ["g"], method="range").collect()}
+    b = {r["idx"]: r["rolling_mean"] for r in series.series_rolling(df, ["g"], method="window").collect()}
+    assert a.keys() == b.keys() and all(abs(a[k] - b[k]) < 1e-9 for k in a)
