@@ -11,6 +11,7 @@ sink idempotent).
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -42,9 +43,16 @@ def rebuild_days(spark: SparkSession, landing: str, root: str, name: str, days:
 
 def start_landing(spark: SparkSession, landing: str, root: str, name: str, checkpoint: str,
                   registry: dict[str, FeedSpec] | None = None, available_now: bool = True,
-                  max_files: int | None = None) -> StreamingQuery:
-    """Start the stream; with ``available_now`` it processes what is there and stops."""
+                  max_files: int | None = None) -> StreamingQuery | None:
+    """Start the stream; with ``available_now`` it processes what is there and stops.
+
+    Returns ``None`` when the landing folder does not exist yet (nothing landed).
+    """
     feed(name, registry)
+    try:
+        spark.read.format("text").load(landing).limit(0).schema  # existence check only
+    except AnalysisException:
+        return None
 
     def each_batch(batch: DataFrame, epoch_id: int) -> None:
         # Only the distinct touched days reach the driver (bounded by the calendar).

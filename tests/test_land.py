@@ -171,3 +171,8 @@ def test_slice_period_is_inclusive(spark):
     df = spark.createDataFrame([(D1 + dt.timedelta(days=i),) for i in range(10)], "day date")
     got = sorted(r["day"] for r in slice_period(df, D1 + dt.timedelta(days=2), D1 + dt.timedelta(days=4)).collect())
     assert got == [D1 + dt.timedelta(days=i) for i in (2, 3, 4)]
+
+
+def test_stream_without_landing_folder_is_a_no_op(spark, tmp_root):
+    from daypulse.streaming.landing import start_landing
+    assert start_landing(spark, f"{tmp_root}/none", f"{tmp_root}/raw", "sleep", f"{tmp_root}/ck") is None
