@@ -61,6 +61,13 @@ def read_raw(spark: SparkSession, root: str, name: str,
 
 # ---- writes ---------------------------------------------------------------
 
+def _raw_col(batch: DataFrame) -> Column:
+    """``raw_data`` as VARIANT: JSON text is parsed (leniently) in the same projection."""
+    if isinstance(batch.schema["raw_data"].dataType, T.StringType):
+        return F.try_parse_json(F.col("raw_data")).alias("raw_data")
+    return F.col("raw_data")
+
+
 def _check_day(day: dt.date) -> dt.date:
     if isinstance(day, dt.datetime) or not isinstance(day, dt.date):
         raise ValueError(f"partition day must be a date, got {day!r}")
@@ -80,7 +87,7 @@ def upsert_day(spark: SparkSession, root: str, name: str, batch: DataFrame | Non
     if batch is None:
         batch = spark.createDataFrame([], RAW_SCHEMA)
     obs = Observation(f"land_{name}_{day.isoformat()}")
-    out = batch.select("raw_data").observe(obs, F.count(F.lit(1)).alias("rows"))
+    out = batch.select(_raw_col(batch)).observe(obs, F.count(F.lit(1)).alias("rows"))
     out.write.mode("overwrite").parquet(f"{root}/{name}/partition_date={day.isoformat()}")
     return int(obs.get["rows"])
 
@@ -97,7 +104,7 @@ def backfill(spark: SparkSession, root: str, name: str, batch: DataFrame,
     feed(name, registry)
     days = sorted({_check_day(d) for d in days})
     obs = Observation(f"backfill_{name}")
-    out = (batch.select("raw_data", F.col("partition_date").cast("date").alias("partition_date"))
+    out = (batch.select(_raw_col(batch), F.col("partition_date").cast("date").alias("partition_date"))
            .where(F.col("partition_date").isin(days) if days else F.lit(True))
            .observe(obs, F.count(F.lit(1)).alias("rows"),
                     F.array_sort(F.collect_set("partition_date")).alias("written")))

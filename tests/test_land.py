@@ -176,3 +176,11 @@ def test_slice_period_is_inclusive(spark):
 def test_stream_without_landing_folder_is_a_no_op(spark, tmp_root):
     from daypulse.streaming.landing import start_landing
     assert start_landing(spark, f"{tmp_root}/none", f"{tmp_root}/raw", "sleep", f"{tmp_root}/ck") is None
+
+
+def test_json_text_batches_are_parsed_on_landing(spark, tmp_root):
+    from daypulse.operators.stage import stage
+    text = spark.createDataFrame([('{"day": "2026-01-15", "score": 77}',), ("not json",)], "raw_data string")
+    assert upsert_day(spark, tmp_root, "readiness", text, D1) == 2
+    got = [(r["readiness_score"], r["day"]) for r in stage(read_raw(spark, tmp_root, "readiness"), "readiness").collect()]
+    assert sorted(got, key=str) == sorted([(77, dt.date(2026, 1, 15)), (None, None)], key=str)
