@@ -142,6 +142,11 @@ def materialize(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> D
     return df.sparkSession.read.parquet(path)
 
 
+def append(df: DataFrame, path: str) -> None:
+    """Append-only log write (A13): records are never rewritten; read with ``latest_by``."""
+    df.write.mode("append").parquet(path)
+
+
 # ---- readers on landed / modelled tables ------------------------------------
 
 def latest_by(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:

@@ -184,3 +184,12 @@ def test_json_text_batches_are_parsed_on_landing(spark, tmp_root):
     assert upsert_day(spark, tmp_root, "readiness", text, D1) == 2
     got = [(r["readiness_score"], r["day"]) for r in stage(read_raw(spark, tmp_root, "readiness"), "readiness").collect()]
     assert sorted(got, key=str) == sorted([(77, dt.date(2026, 1, 15)), (None, None)], key=str)
+
+
+def test_append_log_then_latest(spark, tmp_root):
+    from daypulse.sources.land import append
+    log = f"{tmp_root}/tokens"
+    append(spark.createDataFrame([("k", 1, "old")], "key string, updated_at int, token string"), log)
+    append(spark.createDataFrame([("k", 2, "new")], "key string, updated_at int, token string"), log)
+    rows = latest_by(spark.read.parquet(log), ["key"], ["updated_at"]).collect()
+    assert [(r["key"], r["token"]) for r in rows] == [("k", "new")]
