@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from daypulse.llm import decontaminate, mixing, quality
+from daypulse.llm import bwtmerge, decontaminate, mixing, quality, recompression
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -18,10 +18,18 @@ def op1_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op4_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return recompression.remove_repeats(_read(spark, sf_dir, "documents"))
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(_read(spark, sf_dir, "documents"))
 
 
+def op9_bwt_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bwtmerge.remove_repeats(_read(spark, sf_dir, "documents"))
+
+
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
     return decontaminate.decontaminate(docs, _read(spark, sf_dir, "benchmark"), drop_text=True)
@@ -29,7 +37,9 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix": op1_mix,
+    "op4_recompression": op4_recompression,
     "op6_quality": op6_quality,
+    "op9_bwt_merge": op9_bwt_merge,
     "op10_decontaminate": op10_decontaminate,
 }
 ORACLE: dict[str, str] = {}

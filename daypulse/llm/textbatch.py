@@ -169,3 +169,20 @@ def table_of(schema: pa.Schema, **columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [c if isinstance(c, pa.Array) else pa.array(c, schema.field(k).type) for k, c in
          ((f.name, columns[f.name]) for f in schema)], schema=schema)
+
+
+def room_for(first: np.ndarray, size: int) -> np.ndarray:
+    """For a sequence cut into texts at ``first``: true where ``size`` items fit before the text's end."""
+    n = int(first[-1])
+    step = np.zeros(n + 1, np.int64)
+    fits = np.diff(first) >= size
+    np.add.at(step, first[:-1][fits], 1)
+    np.add.at(step, first[1:][fits] - size + 1, -1)
+    return np.cumsum(step[:n]) > 0
+
+
+def stable_order(codes: np.ndarray) -> np.ndarray:
+    """Stable argsort of non-negative 32-bit codes: one or two 16-bit radix passes."""
+    order = np.argsort((codes & 0xFFFF).astype(np.uint16), kind="stable")
+    high = (codes >> 16).astype(np.uint16)
+    return order if not high.any() else order[np.argsort(high[order], kind="stable")]
