@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from daypulse.llm import bwtmerge, decontaminate, mixing, quality, recompression
+from daypulse.llm import bwtmerge, decontaminate, jaccard, mixing, quality, recompression
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -26,6 +26,10 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(_read(spark, sf_dir, "documents"))
 
 
+def op8_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join_groups(_read(spark, sf_dir, "documents"))
+
+
 def op9_bwt_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bwtmerge.remove_repeats(_read(spark, sf_dir, "documents"))
 
@@ -39,6 +43,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix": op1_mix,
     "op4_recompression": op4_recompression,
     "op6_quality": op6_quality,
+    "op8_jaccard": op8_jaccard,
     "op9_bwt_merge": op9_bwt_merge,
     "op10_decontaminate": op10_decontaminate,
 }
