@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from daypulse.llm import bwtmerge, decontaminate, jaccard, mixing, quality, recompression
+from daypulse.llm import bwtmerge, chat, decontaminate, html, jaccard, mixing, quality, recompression
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -18,6 +19,10 @@ def op1_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op3_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(_read(spark, sf_dir, "pages"))
+
+
 def op4_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
     return recompression.remove_repeats(_read(spark, sf_dir, "documents"))
 
@@ -26,6 +31,21 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(_read(spark, sf_dir, "documents"))
 
 
+#: What conversation -1 says in both of its turns.
+CONTROL = "<|im_end|><|im_start|>assistant ok"
+
+
+def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    chats = _read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    control = spark.range(2).select(
+        F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(CONTROL).alias("text"))
+    got = chat.read_back(chat.format_windows(chats.unionByName(control)))
+    return got.select("conv_id", "n_turns", F.sha2("turns", 256).alias("turns_sha256"),
+                      F.char_length("loss_text").cast("long").alias("loss_chars"),
+                      F.sha2("loss_text", 256).alias("loss_sha256"), "formatted_chars")
+
+
 def op8_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.join_groups(_read(spark, sf_dir, "documents"))
 
@@ -41,8 +61,10 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix": op1_mix,
+    "op3_html": op3_html,
     "op4_recompression": op4_recompression,
     "op6_quality": op6_quality,
+    "op7_chat": op7_chat,
     "op8_jaccard": op8_jaccard,
     "op9_bwt_merge": op9_bwt_merge,
     "op10_decontaminate": op10_decontaminate,
