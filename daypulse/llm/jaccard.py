@@ -21,10 +21,13 @@ of null ids only has a null id); repeated rows get equal results.
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from daypulse.llm import textbatch as tb
 from daypulse.llm.spark_utils import components, passes, sieve, stored
@@ -40,7 +43,18 @@ _NULL_ID = 1 << 62
 _INFO = {"n": 24, "l": 20}
 
 
-def shingle_sets(data: np.ndarray, offs: np.ndarray, size: int = 4):
+class Spec(NamedTuple):
+    """Words a shingle, and the least similarity in percent."""
+
+    size: int = 5
+    percent: int = 80
+
+    def least(self, n):
+        """What a set of n must share with any other that it links with: ceil(t * n)."""
+        return (self.percent * n + 99) // 100
+
+
+def shingle_sets(data: np.ndarray, offs: np.ndarray, size: int):
     """Distinct shingle names of each text, sorted within it: (names, first of each text)."""
     data = tb.LOWER[data]
     w = tb.words(data, offs)
@@ -75,16 +89,11 @@ def _ids(column: pa.Array, s: tb.Slice, name: np.ndarray) -> np.ndarray:
     return np.where(part.is_null().to_numpy(zero_copy_only=False), made, own)
 
 
-def _least(n):
-    """ceil(0.85 n): what a set must share with any other that it links with."""
-    return (85 * n + 99) // 100
-
-
-def _sets(plain: DataFrame) -> DataFrame:
+def _sets(plain: DataFrame, spec: Spec) -> DataFrame:
     def run(batches):
         for b in batches:
             for s in tb.slices(b.column(1)):
-                names, first = shingle_sets(s.data, s.offs)
+                names, first = shingle_sets(s.data, s.offs, spec.size)
                 a, z = _set_names(names, first)
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0).slice(s.first, len(s.offs) - 1), pa.array(_ids(b.column(0), s, a)),
@@ -94,7 +103,7 @@ def _sets(plain: DataFrame) -> DataFrame:
     return plain.mapInArrow(run, "doc_id long, did long, n long, s1 long, s2 long")
 
 
-def _frequent(plain: DataFrame):
+def _frequent(plain: DataFrame, spec: Spec):
     """The tokens with the highest counts, by lossy counting over all documents.
 
     A task counts a token where it occurs in two texts of a slice or more; a token in more
@@ -104,7 +113,7 @@ def _frequent(plain: DataFrame):
     def run(batches):
         for b in batches:
             for s in tb.slices(b.column(1)):
-                names, count = np.unique(shingle_sets(s.data, s.offs)[0], return_counts=True)
+                names, count = np.unique(shingle_sets(s.data, s.offs, spec.size)[0], return_counts=True)
                 many = count > 1
                 yield pa.RecordBatch.from_arrays([pa.array(tb.signed(names[many])), pa.array(count[many])],
                                                  names=["token", "c"])
@@ -116,7 +125,7 @@ def _frequent(plain: DataFrame):
     return plain.sparkSession.sparkContext.broadcast((token[order], top["c"].to_numpy()[order]))
 
 
-def choose_prefixes(names: np.ndarray, first: np.ndarray, frequent) -> tuple:
+def choose_prefixes(names: np.ndarray, first: np.ndarray, frequent, spec: Spec) -> tuple:
     """Tokens of each set's prefix, with (l, own): the matches it asks for and its infrequent tokens."""
     token, count = frequent
     text = np.repeat(np.arange(len(first) - 1), np.diff(first))
@@ -131,27 +140,27 @@ def choose_prefixes(names: np.ndarray, first: np.ndarray, frequent) -> tuple:
     reads = np.concatenate(([0], np.cumsum(est)))
     best, cost = np.ones(len(n), np.int64), np.full(len(n), np.inf)
     for matches in range(1, MAX_MATCHES + 1):
-        length = n - _least(n) + matches
+        length = n - spec.least(n) + matches
         read = reads[first[:-1] + np.minimum(length, n)] - reads[first[:-1]]
         now = np.where(length <= n, read + VERIFY_COST * read / matches, np.inf)
         better = now < cost
         best, cost = np.where(better, matches, best), np.where(better, now, cost)
-    length = np.where(n > 0, n - _least(n) + best, 0)
+    length = np.where(n > 0, n - spec.least(n) + best, 0)
     seen = np.concatenate(([0], np.cumsum(est == 0)))
     own = seen[first[1:]] - seen[first[:-1]]
     start = np.repeat(first[:-1], length) + np.arange(length.sum()) - np.repeat(np.cumsum(length) - length, length)
     return names[start], length, best, own
 
 
-def _prefixes(plain: DataFrame, frequent, copied) -> DataFrame:
+def _prefixes(plain: DataFrame, frequent, copied, spec: Spec) -> DataFrame:
     """Per document (did, info, tokens, maybe): ``maybe`` if its set may have copies."""
 
     def run(batches):
         for b in batches:
             for s in tb.slices(b.column(1)):
-                names, first = shingle_sets(s.data, s.offs)
+                names, first = shingle_sets(s.data, s.offs, spec.size)
                 a, _ = _set_names(names, first)
-                tokens, length, matches, own = choose_prefixes(names, first, frequent.value)
+                tokens, length, matches, own = choose_prefixes(names, first, frequent.value, spec)
                 info = (np.diff(first) << _INFO["n"]) | (matches << _INFO["l"]) | np.minimum(own, (1 << 20) - 1)
                 lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(length))).astype(np.int32)),
                                                  pa.array(tb.signed(tokens)))
@@ -192,21 +201,22 @@ def _n(info):
     return F.shiftright(info, _INFO["n"])
 
 
-def _enough(pairs: DataFrame) -> DataFrame:
+def _enough(pairs: DataFrame, spec: Spec) -> DataFrame:
     """Pairs (a, b) with the matches that their prefixes and sizes ask for; from (a, ia, b, ib), one row a match."""
     per = pairs.groupBy("a", "b").agg(F.count("*").alias("c"), F.min("ia").alias("ia"), F.min("ib").alias("ib"))
     na, nb = _n(F.col("ia")), _n(F.col("ib"))
-    least = lambda n: F.expr(f"(85 * {n} + 99) div 100")
+    least = lambda n: F.expr(f"({spec.percent} * {n} + 99) div 100")
     per = per.select("a", "b", "c", na.alias("na"), nb.alias("nb"),
                      F.shiftright("ia", _INFO["l"]).bitwiseAND(F.lit(15)).alias("la"),
                      F.shiftright("ib", _INFO["l"]).bitwiseAND(F.lit(15)).alias("lb"))
-    # of 100 * i >= 85 * (na + nb - i): i >= 85 (na + nb) / 185; beyond a prefix at most ceil(0.85 n) - l tokens
-    need = F.expr("(85 * (na + nb) + 184) div 185") - F.greatest(least("na") - F.col("la"), least("nb") - F.col("lb"))
+    # of i >= t (na + nb - i): i >= t / (1 + t) (na + nb); beyond a prefix lie ceil(t n) - l tokens
+    both = 100 + spec.percent
+    need = F.expr(f"({spec.percent} * (na + nb) + {both - 1}) div {both}") - F.greatest(least("na") - F.col("la"), least("nb") - F.col("lb"))
     return per.where((F.col("c") >= F.least("la", "lb")) & (F.col("c") >= need)).select("a", "b")
 
 
-def _verified(pairs: DataFrame, plain: DataFrame, label: str) -> DataFrame:
-    """The pairs whose similarity is 0.85 or more, from the whole shingle sets of both documents."""
+def _verified(pairs: DataFrame, plain: DataFrame, spec: Spec, label: str) -> DataFrame:
+    """The pairs whose similarity is high enough, from the whole shingle sets of both documents."""
     pairs = stored(pairs, f"{label}-candidates")
     wanted = sieve(pairs.select(F.explode(F.array("a", "b")).alias("x")), "x")
 
@@ -217,7 +227,7 @@ def _verified(pairs: DataFrame, plain: DataFrame, label: str) -> DataFrame:
             maybe = passes(wanted.value, own) | b.column(0).is_null().to_numpy(zero_copy_only=False)
             b = b.filter(pa.array(maybe))
             for s in tb.slices(b.column(1)):
-                names, first = shingle_sets(s.data, s.offs)
+                names, first = shingle_sets(s.data, s.offs, spec.size)
                 a, _ = _set_names(names, first)
                 body = names.tobytes()
                 yield pa.RecordBatch.from_arrays(
@@ -231,7 +241,7 @@ def _verified(pairs: DataFrame, plain: DataFrame, label: str) -> DataFrame:
             for i, (x, y) in enumerate(zip(b.column(2).to_pylist(), b.column(3).to_pylist())):
                 x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
                 both = len(np.intersect1d(x, y, assume_unique=True))
-                keep[i] = 100 * both >= 85 * (len(x) + len(y) - both)
+                keep[i] = 100 * both >= spec.percent * (len(x) + len(y) - both)
             yield b.select(["a", "b"]).filter(pa.array(keep))
 
     bodies = plain.mapInArrow(sets, "did long, body binary")
@@ -240,9 +250,9 @@ def _verified(pairs: DataFrame, plain: DataFrame, label: str) -> DataFrame:
     return stored(near.select("a", "b", "x", "y").mapInArrow(verify, "a long, b long"), f"{label}-links")
 
 
-def _star_pairs(entries: DataFrame) -> DataFrame:
+def _star_pairs(entries: DataFrame, spec: Spec) -> DataFrame:
     """Every entry with its list's pivot of the same size band."""
-    band = F.floor(F.log(_n(F.col("info")).cast("double")) / np.log(1 / 0.85)).cast("int")
+    band = F.floor(F.log(_n(F.col("info")).cast("double")) / np.log(100 / spec.percent)).cast("int")
     own = F.col("info").bitwiseAND(F.lit((1 << 20) - 1))
     rows = entries.withColumn("band", band)
     # fewest tokens of its own, then least id; all in one number pair, combined map-side
@@ -252,7 +262,7 @@ def _star_pairs(entries: DataFrame) -> DataFrame:
         F.col("p.did").alias("a"), F.col("p.info").alias("ia"), F.col("did").alias("b"), F.col("info").alias("ib"))
 
 
-def _cross_pairs(entries: DataFrame, roots: DataFrame) -> DataFrame:
+def _cross_pairs(entries: DataFrame, roots: DataFrame, spec: Spec) -> DataFrame:
     """Pairs of entries of one token list whose documents are in different components.
 
     Lists where all are in one component are left out by an aggregate. The others are cut into
@@ -277,24 +287,24 @@ def _cross_pairs(entries: DataFrame, roots: DataFrame) -> DataFrame:
             cut = np.flatnonzero((k[:, 1:] != k[:, :-1]).any(axis=0)) + 1
             edges = np.concatenate(([0], cut, [b.num_rows]))
             if held and (k[:, 0] != last).any():
-                yield from _pairs_of(held)
+                yield from _pairs_of(held, spec)
                 held = []
             held.append(b.slice(0, edges[1]))
             if len(edges) > 2:
-                yield from _pairs_of(held)
+                yield from _pairs_of(held, spec)
                 middle = b.slice(edges[1], edges[-2] - edges[1])
                 if middle.num_rows:
-                    yield from _pairs_of([middle])
+                    yield from _pairs_of([middle], spec)
                 held = [b.slice(edges[-2])]
             last = k[:, -1]
         if held:
-            yield from _pairs_of(held)
+            yield from _pairs_of(held, spec)
 
     dealt = rows.repartition("token", "p", "q").sortWithinPartitions("token", "p", "q")
     return dealt.mapInArrow(run, "a long, ia long, b long, ib long")
 
 
-def _pairs_of(held: list, most: int = 1 << 20):
+def _pairs_of(held: list, spec: Spec, most: int = 1 << 20):
     """All pairs wanted of the complete (token, p, q) groups in ``held``, at most about ``most`` compared at once."""
     t = pa.Table.from_batches(held)
     token, p, q, part, did, info, root = (t.column(i).to_numpy() for i in range(7))
@@ -303,10 +313,10 @@ def _pairs_of(held: list, most: int = 1 << 20):
     n = info >> _INFO["n"]
     new = np.flatnonzero(np.concatenate(([True], (token[1:] != token[:-1]) | (p[1:] != p[:-1]) | (q[1:] != q[:-1]))))
     end = np.repeat(np.append(new[1:], len(token)), np.diff(np.append(new, len(token))))
-    # sorted by size: an entry is paired with the following ones up to size n / 0.85
+    # sorted by size: an entry is paired with the following ones up to size n / t
     group = np.cumsum(np.isin(np.arange(len(token)), new)) - 1
     wide = int(n.max()) + 2 if len(n) else 1
-    far = np.searchsorted(group * wide + n, group * wide + np.minimum(n * 100 // 85, wide - 1), side="right")
+    far = np.searchsorted(group * wide + n, group * wide + np.minimum(n * 100 // spec.percent, wide - 1), side="right")
     many = np.minimum(far, end) - np.arange(len(token)) - 1
     i = 0
     while i < len(token):
@@ -324,23 +334,23 @@ def _pairs_of(held: list, most: int = 1 << 20):
         i = j
 
 
-def near_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def near_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", spec: Spec = Spec()) -> DataFrame:
     """Per row of ``docs``: doc_id, did (never null), n_shingles and root, the least did reachable by links."""
     plain = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    sets = stored(_sets(plain), "jaccard-sets")
+    sets = stored(_sets(plain, spec), "jaccard-sets")
     classes = sets.where("n > 0").groupBy("s1", "s2").agg(F.min("did").alias("rep"), F.count("*").alias("m"))
     classes = stored(classes.where("m > 1"), "jaccard-classes")
     copies = stored(sets.join(classes, ["s1", "s2"]).where("did <> rep").select("did", "rep").distinct(), "jaccard-copies")
 
-    prefixes = _prefixes(plain, _frequent(plain), sieve(classes, "s1"))
+    prefixes = _prefixes(plain, _frequent(plain, spec), sieve(classes, "s1"), spec)
     prefixes = stored(prefixes, "jaccard-prefixes")
     maybe = prefixes.where("maybe").join(copies, "did", "left_anti").dropDuplicates(["did"])
     entries = prefixes.where("not maybe").unionByName(maybe).select("did", "info", F.explode("tokens").alias("token"))
     entries = stored(_shared_entries(entries.select("token", "did", "info")), "jaccard-entries")
 
-    near = _verified(_enough(_star_pairs(entries)), plain, "jaccard-star")
+    near = _verified(_enough(_star_pairs(entries, spec), spec), plain, spec, "jaccard-star")
     roots = components(near, name="jaccard-first")
-    far = _verified(_enough(_cross_pairs(entries, roots)), plain, "jaccard-cross")
+    far = _verified(_enough(_cross_pairs(entries, roots, spec), spec), plain, spec, "jaccard-cross")
     roots = components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(far),
                        name="jaccard-roots")
 
@@ -349,30 +359,28 @@ def near_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     return rows.select("doc_id", "did", F.col("n").alias("n_shingles"), F.coalesce("root", "rep").alias("root"))
 
 
-def join_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def join_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", spec: Spec = Spec()) -> DataFrame:
     """Per document: doc_id, n_shingles and component_id."""
-    found = near_groups(docs, doc_id, text)
+    found = near_groups(docs, doc_id, text, spec)
     return found.select("doc_id", "n_shingles", F.when(F.col("root") < _NULL_ID, F.col("root")).alias("component_id"))
 
 
-def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", spec: Spec = Spec()) -> DataFrame:
     """One document of each group, the one that names it, with its own columns; texts without words stay."""
-    found = near_groups(docs, doc_id, text)
+    found = near_groups(docs, doc_id, text, spec)
     state = found.groupBy("did").agg(F.max((F.col("did") != F.col("root")).cast("int")).alias("gone"),
                                      F.max(F.col("n_shingles")).alias("n"), F.count("*").alias("m"))
     touched = stored(state.where("gone = 1 or (m > 1 and n > 0)"), "jaccard-touched")
     wanted = sieve(touched, "did")
     names = [f.name for f in docs.schema.fields]
     id_at, text_at = names.index(doc_id), names.index(text)
-    from pyspark.sql import types as T
-
     schema = T.StructType([*docs.schema.fields, T.StructField("__j_did", T.LongType()), T.StructField("__j_hit", T.BooleanType())])
 
     def run(batches):
         for b in batches:
             ids = b.column(id_at).cast(pa.int64())
             for s in tb.slices(b.column(text_at)):
-                a, _ = _set_names(*shingle_sets(s.data, s.offs))
+                a, _ = _set_names(*shingle_sets(s.data, s.offs, spec.size))
                 did = _ids(ids, s, a)
                 part = b.slice(s.first, len(s.offs) - 1)
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(did), pa.array(passes(wanted.value, did))],

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daypulse.llm import bwtmerge, chat, decontaminate, html, jaccard, mixing, quality, recompression
+from daypulse.llm import bwtmerge, chat, decontaminate, html, jaccard, mixing, pii, quality, recompression, secrets
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -19,6 +19,11 @@ def op1_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents")
+    return secrets.find(docs, secrets.fit_model(docs))
+
+
 def op3_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract(_read(spark, sf_dir, "pages"))
 
@@ -31,6 +36,11 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(_read(spark, sf_dir, "documents"))
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents")
+    return pii.find(docs, pii.fit_model(docs))
+
+
 #: What conversation -1 says in both of its turns.
 CONTROL = "<|im_end|><|im_start|>assistant ok"
 
@@ -47,7 +57,7 @@ def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard.join_groups(_read(spark, sf_dir, "documents"))
+    return jaccard.join_groups(_read(spark, sf_dir, "documents"), spec=jaccard.Spec(size=4, percent=85))
 
 
 def op9_bwt_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -61,8 +71,10 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix": op1_mix,
+    "op2_secrets": op2_secrets,
     "op3_html": op3_html,
     "op4_recompression": op4_recompression,
+    "op5_pii": op5_pii,
     "op6_quality": op6_quality,
     "op7_chat": op7_chat,
     "op8_jaccard": op8_jaccard,
