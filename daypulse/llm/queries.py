@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daypulse.llm import bwtmerge, chat, decontaminate, html, jaccard, mixing, pii, quality, recompression, secrets
+from daypulse.llm import bwtmerge, chat, decontaminate, html, jaccard, mixing, oracle, pii, quality, recompression, secrets
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -81,4 +81,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_bwt_merge": op9_bwt_merge,
     "op10_decontaminate": op10_decontaminate,
 }
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = dict(oracle.ORACLE)
