@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -47,18 +45,6 @@ def period_bounds(day: Column | str, period_type: str) -> tuple[Column, Column]:
     raise ValueError(f"unknown period type {period_type!r}")
 
 
-def previous_week_range(today: dt.date) -> tuple[dt.date, dt.date]:
-    """Monday..Sunday of the week before ``today`` (a scalar, for one requested report)."""
-    monday = today - dt.timedelta(days=today.weekday())
-    return monday - dt.timedelta(days=7), monday - dt.timedelta(days=1)
-
-
-def previous_month_range(today: dt.date) -> tuple[dt.date, dt.date]:
-    """First..last day of the month before ``today``."""
-    end = today.replace(day=1) - dt.timedelta(days=1)
-    return end.replace(day=1), end
-
-
 # Display formats for dates.
 DAY_LABEL = "EEE M/d"          # "Mon 1/5"
 SHORT_DATE = "MMM dd"          # "Jan 05"

@@ -21,11 +21,42 @@ def title_label(name: Column | str) -> Column:
 def fmt1(x: Column | str) -> Column:
     """``%.1f`` of the value rounded half-up to 1 decimal (so the text never
     depends on how a binary fraction prints)."""
-    return F.format_string("%.1f", round_half_up(_c(x), 1))
+    return _text("%.1f", round_half_up(_c(x), 1))
 
 
 def fmt0(x: Column | str) -> Column:
-    return F.format_string("%.0f", round_half_up(_c(x), 0))
+    """``%.0f`` of the value rounded half-up."""
+    return _text("%.0f", round_half_up(_c(x), 0))
+
+
+def _text(form: str, x: Column) -> Column:
+    """Formatted value; NULL stays NULL."""
+    return F.when(x.isNotNull(), F.format_string(form, x))
+
+
+def plain_number(x: Column | str) -> Column:
+    """A number as it was given: 85.0, 72.25 (never in exponent form for targets' sizes)."""
+    return _c(x).cast("double").cast("string")
+
+
+def pct0(x: Column | str) -> Column:
+    """``20%``."""
+    return F.concat(fmt0(x), F.lit("%"))
+
+
+def hours_text(x: Column | str) -> Column:
+    """``7.3 hours``."""
+    return F.concat(fmt1(x), F.lit(" hours"))
+
+
+def sessions_text(n: Column | str) -> Column:
+    """``4 sessions``."""
+    return F.concat(_c(n).cast("string"), F.lit(" sessions"))
+
+
+def avg_text(x: Column | str) -> Column:
+    """``(avg: 83.9)``."""
+    return F.concat(F.lit("(avg: "), fmt1(x), F.lit(")"))
 
 
 def ratio_text(n: Column | str, m: Column | str) -> Column:
@@ -44,8 +75,8 @@ def trend_arrow(direction: Column | str) -> Column:
 
 
 def below_target_reason(target: Column | str) -> Column:
-    """``Below target of 85.0``."""
-    return F.concat(F.lit("Below target of "), fmt1(target))
+    """``Below target of 85.0``: the target as it was given."""
+    return F.concat(F.lit("Below target of "), plain_number(target))
 
 
 def declined_reason(pct: Column | str) -> Column:

@@ -8,8 +8,10 @@ Two joins of the six legs are offered and never swapped silently:
   therefore yield two rows, and a day with only the last three legs three rows.
 * ``full_outer_on_key`` (J2) is "one row per key and day".
 
-Both have a join form (any leg contents) and a grouped form (one shuffle;
-requires at most one row per leg and key) that gives the same rows.
+Both have a join form (any leg contents; duplicates multiply) and a grouped form
+(one shuffle) that gives the same rows where each leg has at most one row per key. The
+grouped form counts the rows of every leg in the same aggregation and fails on a leg with
+more, so rows are never blended.
 """
 
 from __future__ import annotations
@@ -71,11 +73,23 @@ def _lone_nulls(u: DataFrame, keys: Sequence[str], day: str) -> DataFrame:
                         .otherwise(F.monotonically_increasing_id()))
 
 
+def _refuse_duplicates(g: DataFrame, legs: Sequence[str], kd: Sequence[str]) -> DataFrame:
+    """Fail where a leg brought more than one row for a key (counts ``_c_<leg>``)."""
+    out = g
+    for leg in legs:
+        said = F.concat(F.lit(f"leg {leg} has several rows for "), F.to_json(F.struct(*kd)),
+                        F.lit("; use method='join'"))
+        out = out.where(F.when(F.col(f"_c_{leg}") <= 1, F.lit(True)).otherwise(F.raise_error(said).cast("boolean")))
+    return out
+
+
 def full_outer_chain(legs: Mapping[str, DataFrame], keys: Sequence[str] = (), day: str = "day",
                      method: str = "join") -> DataFrame:
-    """J1, the faithful chain. ``method="grouped"`` needs unique legs per key and day."""
+    """J1, the faithful chain. ``method="grouped"`` fails unless legs are unique per key and day."""
     if method == "grouped":
         return _chain_grouped(legs, keys, day)
+    if method != "join":
+        raise ValueError(f"unknown method {method!r}")
     kd = [*keys, day]
 
     def pref(name: str) -> DataFrame:
@@ -122,7 +136,9 @@ def _chain_grouped(legs: Mapping[str, DataFrame], keys: Sequence[str], day: str)
               for t in tagged]
     u = reduce(lambda a, b: a.unionByName(b), tagged)
     g = (_lone_nulls(u, keys, day).groupBy(*kd, "_lone")
-         .agg(*[F.first(f"_{m}", ignorenulls=True).alias(f"_{m}") for m in LEGS]))
+         .agg(*[F.first(f"_{m}", ignorenulls=True).alias(f"_{m}") for m in LEGS],
+              *[F.count(f"_{m}").alias(f"_c_{m}") for m in LEGS]))
+    g = _refuse_duplicates(g, LEGS, kd)
 
     def row(valid_c: Column, present: Sequence[str]) -> Column:
         fields = [valid_c.alias("ok")]
@@ -150,18 +166,23 @@ def full_outer_on_key(legs: Mapping[str, DataFrame] | Sequence[DataFrame], keys:
                       day: str = "day", method: str = "grouped") -> DataFrame:
     """Full outer join of all legs on (keys, day); key columns coalesced.
 
-    ``method="grouped"`` (one shuffle) requires at most one row per leg and
+    ``method="grouped"`` (one shuffle) fails on a leg with more than one row for a
     key; ``method="join"`` chains joins and accepts anything.
     """
     frames = list(legs.values()) if isinstance(legs, Mapping) else list(legs)
     kd = [*keys, day]
     if method == "join":
         return reduce(lambda a, b: a.join(b, kd, "full_outer"), frames)
-    u = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+    if method != "grouped":
+        raise ValueError(f"unknown method {method!r}")
+    names = list(legs) if isinstance(legs, Mapping) else [str(i) for i in range(len(frames))]
+    u = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True),
+               [f.withColumn("_leg", F.lit(n)) for f, n in zip(frames, names)])
     vals = [c for f in frames for c in _value_cols(f, keys, day)]
     g = (_lone_nulls(u, keys, day).groupBy(*kd, "_lone")
-         .agg(*[F.first(c, ignorenulls=True).alias(c) for c in vals]))
-    return g.select(*kd, *vals)
+         .agg(*[F.first(c, ignorenulls=True).alias(c) for c in vals],
+              *[F.count_if(F.col("_leg") == n).alias(f"_c_{n}") for n in names]))
+    return _refuse_duplicates(g, names, kd).select(*kd, *vals)
 
 
 # Sleep detail columns, from the sleep periods and the sleep

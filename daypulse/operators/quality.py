@@ -14,9 +14,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.errors import AnalysisException
 
 from ..functions.display import audit_status
+from ..session import path_exists
 
 
 def not_null_audit(df: DataFrame, model: str, columns: Sequence[str]) -> DataFrame:
@@ -68,20 +68,11 @@ def row_count_check(spark: SparkSession, table: str, path: str | None = None) ->
 
     ``path`` reads a Parquet folder; otherwise ``table`` is looked up in the catalog.
     """
-    exists = True
-    df = None
-    try:
-        if path is not None:
-            df = spark.read.parquet(path)
-        elif spark.catalog.tableExists(table):
-            df = spark.table(table)
-        else:
-            exists = False
-    except AnalysisException:
-        exists = False
-    if df is None:
+    exists = path_exists(spark, path) if path is not None else spark.catalog.tableExists(table)
+    if not exists:
         base = spark.range(1).select(F.lit(0).cast("long").alias("row_count"))
     else:
+        df = spark.table(table) if path is None else spark.read.parquet(path)
         base = df.agg(F.count(F.lit(1)).alias("row_count"))
     n = F.col("row_count")
     if exists:
@@ -127,7 +118,7 @@ def feed_day_grid(counts: DataFrame, feeds: DataFrame, start: dt.date | Column,
 
     ``counts`` holds (feed, day, rows); missing cells count 0 (``empty``).
     ``existing`` (one column ``feed``) lists feeds whose table exists; other
-    feeds are ``missing``.
+    feeds are ``missing``. ``trailing_window`` gives a range from an anchor.
     """
     grid = day_grid(feeds, start, end, feed)
     out = grid.join(counts.select(feed, F.col(day).alias("day"), rows), [feed, "day"], "left") \
@@ -140,6 +131,12 @@ def feed_day_grid(counts: DataFrame, feeds: DataFrame, start: dt.date | Column,
     return out.drop("_exists") if existing is not None else out
 
 
+def trailing_window(anchor: dt.date | Column, days: int) -> tuple[Column, Column]:
+    """First and last day of the ``days`` days before ``anchor`` (which is not included)."""
+    a = F.lit(anchor) if isinstance(anchor, dt.date) else anchor
+    return F.date_sub(a, days), F.date_sub(a, 1)
+
+
 def feed_coverage(grid: DataFrame, feed: str = "feed", rows: str = "rows") -> DataFrame:
     """Q3 summary: rows per feed over the grid, with ``OK but no data`` for empty feeds."""
     g = grid.groupBy(feed).agg(F.sum(rows).cast("long").alias("rows"),
@@ -148,13 +145,14 @@ def feed_coverage(grid: DataFrame, feed: str = "feed", rows: str = "rows") -> Da
 
 
 def reconcile(raw: DataFrame, staged: DataFrame, keys: Sequence[str],
-              partition: str = "partition_date", method: str = "join") -> DataFrame:
+              partition: str = "partition_date", method: str = "count") -> DataFrame:
     """Per partition, rows on each side and how they match on the keys.
 
-    ``method="join"``: full outer join on (partition, keys) -> matched, missing
-    and extra rows. ``method="checksum"``: no row-level join -- per partition
+    ``method="count"``: both sides are counted per (partition, keys) in one
+    aggregation (NULL ids group like any other, hot ids combine map-side); matched
+    is the smaller count of the two, missing and extra the rest. ``method="checksum"``: no row-level join -- per partition
     the row count and an order-independent checksum of the keys on each side
-    (aggregates only, so only one row per partition is shuffled); run the join
+    (aggregates only, so only one row per partition is shuffled); run the count
     form afterwards on the partitions whose ``equal`` is false.
     """
     if method == "checksum":
@@ -169,11 +167,13 @@ def reconcile(raw: DataFrame, staged: DataFrame, keys: Sequence[str],
                         F.coalesce("staged_rows", F.lit(0)).alias("staged_rows"),
                         ((F.coalesce("raw_rows", F.lit(0)) == F.coalesce("staged_rows", F.lit(0))) &
                          F.col("raw_checksum").eqNullSafe(F.col("staged_checksum"))).alias("equal"))
-    r = raw.select(partition, *keys).withColumn("_r", F.lit(1))
-    s = staged.select(partition, *keys).withColumn("_s", F.lit(1))
-    j = r.join(s, [partition, *keys], "full_outer")
-    return j.groupBy(partition).agg(
-        F.count("_r").alias("raw_rows"), F.count("_s").alias("staged_rows"),
-        F.count_if(F.col("_r").isNotNull() & F.col("_s").isNotNull()).alias("matched"),
-        F.count_if(F.col("_s").isNull()).alias("missing_in_staged"),
-        F.count_if(F.col("_r").isNull()).alias("extra_in_staged"))
+    if method != "count":
+        raise ValueError(f"unknown method {method!r}")
+    r = raw.select(partition, *keys, F.lit(1).cast("long").alias("_r"), F.lit(0).cast("long").alias("_s"))
+    s = staged.select(partition, *keys, F.lit(0).cast("long").alias("_r"), F.lit(1).cast("long").alias("_s"))
+    per_id = r.unionByName(s).groupBy(partition, *keys).agg(F.sum("_r").alias("_r"), F.sum("_s").alias("_s"))
+    return per_id.groupBy(partition).agg(
+        F.sum("_r").alias("raw_rows"), F.sum("_s").alias("staged_rows"),
+        F.sum(F.least("_r", "_s")).alias("matched"),
+        F.sum(F.greatest(F.col("_r") - F.col("_s"), F.lit(0))).cast("long").alias("missing_in_staged"),
+        F.sum(F.greatest(F.col("_s") - F.col("_r"), F.lit(0))).cast("long").alias("extra_in_staged"))

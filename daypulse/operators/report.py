@@ -3,19 +3,18 @@
 ``by`` is the grouping of one report: entity keys plus the period columns
 (``period_type``, ``start_date``, ``end_date`` from ``assign_periods``).
 
-Summaries unpivot each row into (metric, value) and run one partially
-aggregated (by, metric) aggregation. Alerts also need the span of days present,
-so their statistics take three steps:
+Summaries are one wide, partially aggregated pass per group; the few result rows are
+unpivoted into (metric, value). Alerts also need the span of days present, so their
+statistics take three steps:
 
 1. partial aggregate per (by, day) -- map-side combine, so an entity holding a
    third of all rows ships at most one row per day and period;
 2. the data span (first/last day) per (by) as a window over those daily rows
    (bounded by the days of a period);
-3. unpivot and one grouped aggregation per (by, metric), which reuses the
-   partitioning of step 2.
+3. one wide aggregation per (by), which reuses the partitioning of step 2, unpivoted.
 
-Means are exact decimals (see ``functions.exact``); thresholds compare the
-unrounded mean, outputs are rounded half-up to 2 decimals.
+Means are exact for fixed-point columns (see ``functions.exact``); thresholds compare
+the unrounded mean, outputs are rounded half-up to 2 decimals.
 """
 
 from __future__ import annotations
@@ -28,7 +27,8 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import midpoint, period_bounds
 from ..functions.display import below_target_reason, declined_reason
-from ..functions.exact import DEC, as_double, dec, exact_mean, round2
+from ..functions.exact import DEC, dec, fixed_columns, mean_of, round2, summable
+from ..session import stored
 
 # Report metrics, targets, trend and alert limits, suggestions.
 WELLNESS_METRICS = (
@@ -55,6 +55,7 @@ SUGGESTIONS = {
     "avg_hrv": "Focus on aerobic fitness and stress reduction to improve HRV",
 }
 DEFAULT_SUGGESTION = "Review this metric with your health provider"
+GATE_REASON = "Need at least {min_rows} non-null rows for {a} or {b}, got %d and %d"
 BEST_WELLNESS = (("readiness_score", "max"), ("sleep_score", "max"), ("steps", "max"))
 BEST_SLEEP = (("avg_hrv", "max"), ("lowest_hr", "min"))
 LONG_SLEEP = "long_sleep"
@@ -109,110 +110,87 @@ def _as_col(x: Column | str | dt.date) -> Column:
 def metric_stats(df: DataFrame, by: Sequence[str] = PERIOD,
                  metrics: Sequence[str] = WELLNESS_METRICS, day: str = "day",
                  start: Column | str | dt.date = "start_date",
-                 end: Column | str | dt.date = "end_date", data_split: bool = True) -> DataFrame:
-    """Per (by, metric): row and value counts, exact sums, min/max, and the sums
-    and counts of both halves split at the period midpoint and (with
-    ``data_split``) at the midpoint of the first and last day present.
-
-    Metrics absent from ``df`` are skipped. ``start``/``end`` give the period
-    (columns in ``by`` or literal dates). Without ``data_split`` rows go
-    straight to one partially aggregated (by, metric) aggregation; with it, a
-    per-(by, day) aggregate comes first so the data span is a window over at
-    most one row per day.
+                 end: Column | str | dt.date = "end_date", data_split: bool = True,
+                 fixed: Sequence[str] = ()) -> DataFrame:
+    """Per (by, metric): row and value counts, mean, min, max, and the means and counts
+    of both halves split at the period midpoint and (with ``data_split``) at the
+    midpoint of the first and last day present.
+
+    One wide aggregate per group, then the few result rows are unpivoted; input rows
+    are never copied per metric. With ``data_split`` a per-(by, day) aggregate comes
+    first, so the data span is a window over at most one row per day. Metrics absent
+    from ``df`` are skipped. ``start``/``end`` give the period (columns in ``by`` or
+    literal dates); ``fixed`` declares double metrics with at most 9 decimals.
     """
     metrics = [m for m in metrics if m in df.columns]
     if not metrics:
         raise ValueError("none of the metrics is present")
     by = list(by)
-    s_col, e_col = _as_col(start), _as_col(end)
-    extra = []
-    if not (isinstance(start, str) and start in by):
-        extra.append(s_col.alias("_pstart"))
-    if not (isinstance(end, str) and end in by):
-        extra.append(e_col.alias("_pend"))
-    base = df.select(*by, day, *extra, *metrics)
-    pstart = F.col(start) if isinstance(start, str) and start in by else F.col("_pstart")
-    pend = F.col(end) if isinstance(end, str) and end in by else F.col("_pend")
-    pcols = [c for c in ("_pstart", "_pend") if c in base.columns]
-
-    if not data_split:
-        rows = F.array(*[F.struct(F.lit(m).alias("metric"), dec(F.col(m)).alias("s"),
-                                  F.col(m).isNotNull().cast("long").alias("c"),
-                                  F.col(m).cast("double").alias("lo"), F.col(m).cast("double").alias("hi"))
-                         for m in metrics])
-        long = base.select(*by, *pcols, day, F.lit(1).cast("long").alias("_n"), F.inline(rows))
-        pmid = midpoint(pstart, pend)
-        d = F.col(day)
-
-        def cnt1(cond: Column) -> Column:
-            return F.coalesce(F.sum(F.when(cond, F.col("c"))), F.lit(0)).cast("long")
-        return long.groupBy(*by, "metric").agg(
-            F.sum("_n").cast("long").alias("total_days"),
-            F.sum("c").cast("long").alias("days_with_data"),
-            F.sum("s").cast(DEC).alias("s"), F.min("lo").alias("lo"), F.max("hi").alias("hi"),
-            F.sum(F.when(d <= pmid, F.col("s"))).cast(DEC).alias("s1"), cnt1(d <= pmid).alias("c1"),
-            F.sum(F.when(d > pmid, F.col("s"))).cast(DEC).alias("s2"), cnt1(d > pmid).alias("c2"))
-
-    aggs = [F.count(F.lit(1)).alias("_n")]
-    for i, m in enumerate(metrics):
-        v = F.col(m)
-        aggs += [F.sum(dec(v)).alias(f"_s{i}"), F.count(v).alias(f"_c{i}"),
-                 F.min(v.cast("double")).alias(f"_lo{i}"), F.max(v.cast("double")).alias(f"_hi{i}")]
-    daily = base.groupBy(*by, *pcols, day).agg(*aggs)
+    exact = fixed_columns(df.select(*metrics), fixed)
+    bounds = {"_pstart": start, "_pend": end}
+    extra = [_as_col(x).alias(n) for n, x in bounds.items() if not (isinstance(x, str) and x in by)]
+    pcol = {n: F.col(x) if isinstance(x, str) and x in by else F.col(n) for n, x in bounds.items()}
+    rows = df.select(*by, day, *extra, *[summable(m, exact).alias(f"_v{i}") for i, m in enumerate(metrics)])
+    pcols = [c for c in bounds if c in rows.columns]
+    n_rows, parts = F.count(F.lit(1)), range(len(metrics))
+    if data_split:
+        rows = rows.groupBy(*by, *pcols, day).agg(
+            n_rows.alias("_n"), *[x for i in parts for x in (
+                F.sum(f"_v{i}").alias(f"_s{i}"), F.count(f"_v{i}").alias(f"_c{i}"),
+                F.min(F.col(f"_v{i}")).alias(f"_lo{i}"), F.max(F.col(f"_v{i}")).alias(f"_hi{i}"))])
+        w = Window.partitionBy(*by)
+        rows = rows.withColumn("_dmin", F.min(day).over(w)).withColumn("_dmax", F.max(day).over(w))
+        n_rows = F.sum("_n")
+        value, count = (lambda i: F.col(f"_s{i}")), (lambda i: F.col(f"_c{i}"))
+        low, high = (lambda i: F.col(f"_lo{i}")), (lambda i: F.col(f"_hi{i}"))
+    else:
+        value = low = high = lambda i: F.col(f"_v{i}")
+        count = lambda i: F.col(f"_v{i}").isNotNull().cast("long")
 
-    w = Window.partitionBy(*by)
-    daily = daily.withColumn("_dmin", F.min(day).over(w)).withColumn("_dmax", F.max(day).over(w))
-    rows = F.array(*[F.struct(F.lit(m).alias("metric"), F.col(f"_s{i}").alias("s"),
-                              F.col(f"_c{i}").alias("c"), F.col(f"_lo{i}").alias("lo"),
-                              F.col(f"_hi{i}").alias("hi"))
-                     for i, m in enumerate(metrics)])
-    long = daily.select(*by, *pcols, day, "_n", "_dmin", "_dmax", F.inline(rows))
-
-    pmid = midpoint(pstart, pend)
-    dmid = midpoint(F.col("_dmin"), F.col("_dmax"))
     d = F.col(day)
-
-    def half(cond: Column, col: str) -> Column:
-        return F.sum(F.when(cond, F.col(col)))
-
-    def cnt(cond: Column) -> Column:
-        return F.coalesce(F.sum(F.when(cond, F.col("c"))), F.lit(0)).cast("long")
-
-    out = long.groupBy(*by, "metric").agg(
-        F.sum("_n").cast("long").alias("total_days"),
-        F.sum("c").cast("long").alias("days_with_data"),
-        F.sum("s").cast(DEC).alias("s"),
-        F.min("lo").alias("lo"), F.max("hi").alias("hi"),
-        half(d <= pmid, "s").cast(DEC).alias("s1"), cnt(d <= pmid).alias("c1"),
-        half(d > pmid, "s").cast(DEC).alias("s2"), cnt(d > pmid).alias("c2"),
-        half(d <= dmid, "s").cast(DEC).alias("s1d"), cnt(d <= dmid).alias("c1d"),
-        half(d > dmid, "s").cast(DEC).alias("s2d"), cnt(d > dmid).alias("c2d"),
-    )
-    return out
-
-
-def _pct(s1: str, c1: str, s2: str, c2: str) -> tuple[Column, Column]:
+    splits = {"": d <= midpoint(pcol["_pstart"], pcol["_pend"])}
+    if data_split:
+        splits["d"] = d <= midpoint(F.col("_dmin"), F.col("_dmax"))
+    aggs = [n_rows.alias("total_days")]
+    for i in parts:
+        aggs += [F.sum(value(i)).alias(f"s{i}"), F.sum(count(i)).alias(f"c{i}"),
+                 F.min(low(i)).cast("double").alias(f"lo{i}"), F.max(high(i)).cast("double").alias(f"hi{i}")]
+        for tag, early in splits.items():
+            for half, cond in (("1", early), ("2", ~early)):
+                aggs += [F.sum(F.when(cond, value(i))).alias(f"s{half}{tag}_{i}"),
+                         F.coalesce(F.sum(F.when(cond, count(i))), F.lit(0)).alias(f"c{half}{tag}_{i}")]
+    wide = rows.groupBy(*by, *pcols).agg(*aggs)
+    long = F.array(*[F.struct(
+        F.lit(m).alias("metric"), F.col(f"c{i}").alias("days_with_data"),
+        mean_of(F.col(f"s{i}"), F.col(f"c{i}")).alias("mean"), F.col(f"lo{i}").alias("lo"), F.col(f"hi{i}").alias("hi"),
+        *[x for tag in splits for half in "12" for x in (
+            mean_of(F.col(f"s{half}{tag}_{i}"), F.col(f"c{half}{tag}_{i}")).alias(f"m{half}{tag}"),
+            F.col(f"c{half}{tag}_{i}").alias(f"c{half}{tag}"))]) for i, m in enumerate(metrics)])
+    return wide.select(*by, "total_days", F.inline(long))
+
+
+def _pct(tag: str = "") -> tuple[Column, Column]:
     """(valid, pct) of the split-half change ``(mean2 - mean1) / mean1 * 100``.
 
     ``valid`` is false when a half is empty or the first mean is zero.
     """
-    m1 = as_double(F.try_divide(F.col(s1), F.col(c1)))
-    m2 = as_double(F.try_divide(F.col(s2), F.col(c2)))
-    valid = (F.col(c1) > 0) & (F.col(c2) > 0) & (m1 != 0)
-    pct = F.when(valid, F.try_divide(m2 - m1, m1) * F.lit(100.0))
-    return valid, pct
+    m1, m2 = F.col(f"m1{tag}"), F.col(f"m2{tag}")
+    valid = (F.col(f"c1{tag}") > 0) & (F.col(f"c2{tag}") > 0) & (m1 != 0)
+    return valid, F.when(valid, F.try_divide(m2 - m1, m1) * F.lit(100.0))
 
 
 def summarize(stats: DataFrame, by: Sequence[str] = PERIOD) -> DataFrame:
-    """Metric summaries (mean, min, max, split-half trend) from ``metric_stats``."""
-    _, pct = _pct("s1", "c1", "s2", "c2")
-    pct = F.coalesce(pct, F.lit(0.0))
-    trend = (F.when(pct > TREND_THRESHOLD_PCT, F.lit("improving"))
+    """Metric summaries (mean, min, max, split-half trend) from ``metric_stats``.
+
+    A NaN change (a NaN among the values) is ``stable``, as it exceeds no limit.
+    """
+    pct = F.coalesce(_pct()[1], F.lit(0.0))
+    trend = (F.when(F.isnan(pct), F.lit("stable"))
+             .when(pct > TREND_THRESHOLD_PCT, F.lit("improving"))
              .when(pct < -TREND_THRESHOLD_PCT, F.lit("declining"))
              .otherwise(F.lit("stable")))
-    mean = F.try_divide(F.col("s"), F.col("days_with_data"))
     return (stats.where(F.col("days_with_data") > 0)
-            .select(*by, "metric", round2(mean).alias("mean"), round2(F.col("lo")).alias("min_val"),
+            .select(*by, "metric", round2(F.col("mean")).alias("mean"), round2(F.col("lo")).alias("min_val"),
                     round2(F.col("hi")).alias("max_val"), trend.alias("trend_direction"),
                     round2(pct).alias("trend_pct"), "days_with_data", "total_days"))
 
@@ -220,9 +198,9 @@ def summarize(stats: DataFrame, by: Sequence[str] = PERIOD) -> DataFrame:
 def metric_summary(df: DataFrame, by: Sequence[str] = PERIOD,
                    metrics: Sequence[str] = WELLNESS_METRICS, day: str = "day",
                    start: Column | str | dt.date = "start_date",
-                   end: Column | str | dt.date = "end_date") -> DataFrame:
+                   end: Column | str | dt.date = "end_date", fixed: Sequence[str] = ()) -> DataFrame:
     """G1 + G2: one row per (by, metric) that has at least one non-null value."""
-    return summarize(metric_stats(df, by, metrics, day, start, end, data_split=False), by)
+    return summarize(metric_stats(df, by, metrics, day, start, end, data_split=False, fixed=fixed), by)
 
 
 def alerts_from_stats(stats: DataFrame, by: Sequence[str] = PERIOD,
@@ -239,9 +217,8 @@ def alerts_from_stats(stats: DataFrame, by: Sequence[str] = PERIOD,
     t_rank = _lit_map({k: i for i, k in enumerate(thresholds)}, "int")
     d_rank = _lit_map({k: 100 + i for i, k in enumerate(metrics)}, "int")
     target = tmap[F.col("metric")]
-    mean = as_double(F.try_divide(F.col("s"), F.col("days_with_data")))
-    below = target.isNotNull() & (mean < target)
-    dvalid, dpct = _pct("s1d", "c1d", "s2d", "c2d")
+    below = target.isNotNull() & (F.col("mean") < target)
+    dvalid, dpct = _pct("d")
     declined = dvalid & (dpct < -DECLINE_ALERT_PCT)
     reason = (F.when(below, below_target_reason(target))
               .when(declined, declined_reason(dpct)))
@@ -250,7 +227,7 @@ def alerts_from_stats(stats: DataFrame, by: Sequence[str] = PERIOD,
     sugg = F.coalesce(_lit_map(suggestions, "string")[F.col("metric")], F.lit(DEFAULT_SUGGESTION))
     return (stats.where((F.col("days_with_data") > 0) & (below | declined))
             .select(*by, "metric", kind.alias("kind"), reason.alias("reason"),
-                    round2(F.try_divide(F.col("s"), F.col("days_with_data"))).alias("current_avg"),
+                    round2(F.col("mean")).alias("current_avg"),
                     sugg.alias("suggestion"), rank.cast("int").alias("alert_rank")))
 
 
@@ -302,26 +279,31 @@ def personal_bests(wellness: DataFrame, sleep: DataFrame | None = None,
 
 # ---- sleep, workouts, gate -------------------------------------------------------
 
-def sleep_summary(sleep: DataFrame, by: Sequence[str] = PERIOD, long_sleep: str = LONG_SLEEP) -> DataFrame:
+def sleep_summary(sleep: DataFrame, by: Sequence[str] = PERIOD, long_sleep: str = LONG_SLEEP,
+                  fixed: Sequence[str] = ()) -> DataFrame:
     """long_sleep nights only; means of per-night ratios (not ratios of sums).
 
     A zero denominator gives NULL for that night, which the mean skips.
     """
     ls = sleep.where(F.col("sleep_type") == long_sleep)
+    exact = fixed_columns(sleep, fixed)
+
+    def mean(name: str) -> Column:
+        return mean_of(F.sum(summable(name, exact)), F.count(name))
 
     def pct(num: str, den: str) -> Column:
-        return F.try_divide(F.col(num).cast("double"), F.col(den).cast("double")) * F.lit(100.0)
+        return F.avg(F.try_divide(F.col(num).cast("double"), F.col(den).cast("double")) * F.lit(100.0))
 
     return ls.groupBy(*by).agg(
         F.count(F.lit(1)).alias("nights"),
-        round2(F.try_divide(exact_mean("total_sleep_duration"), F.lit(3600))).alias("avg_duration_hrs"),
-        round2(exact_mean("efficiency")).alias("avg_efficiency"),
-        round2(exact_mean("avg_hrv")).alias("avg_hrv"),
-        round2(exact_mean("avg_hr")).alias("avg_hr"),
-        round2(exact_mean(pct("deep_sleep_duration", "total_sleep_duration"))).alias("deep_pct"),
-        round2(exact_mean(pct("light_sleep_duration", "total_sleep_duration"))).alias("light_pct"),
-        round2(exact_mean(pct("rem_sleep_duration", "total_sleep_duration"))).alias("rem_pct"),
-        round2(exact_mean(pct("awake_time", "time_in_bed"))).alias("awake_pct"),
+        round2(mean("total_sleep_duration") / F.lit(3600)).alias("avg_duration_hrs"),
+        round2(mean("efficiency")).alias("avg_efficiency"),
+        round2(mean("avg_hrv")).alias("avg_hrv"),
+        round2(mean("avg_hr")).alias("avg_hr"),
+        round2(pct("deep_sleep_duration", "total_sleep_duration")).alias("deep_pct"),
+        round2(pct("light_sleep_duration", "total_sleep_duration")).alias("light_pct"),
+        round2(pct("rem_sleep_duration", "total_sleep_duration")).alias("rem_pct"),
+        round2(pct("awake_time", "time_in_bed")).alias("awake_pct"),
     )
 
 
@@ -344,12 +326,17 @@ def packed_by_activity(summary: DataFrame, by: Sequence[str] = PERIOD) -> DataFr
     """one row per group with ``by_activity`` as a map (activity -> sessions).
 
     The long rows of ``workout_summary`` stay the contract (map order is not
-    kept); the map is only a final packing, bounded by the activity vocabulary.
+    kept); the map is only a final packing, bounded by the activity vocabulary. A
+    map has no NULL key: sessions without an activity and with an empty one share
+    the key ``""``.
     """
-    return summary.groupBy(*by).agg(
-        F.first("total_count").alias("total_count"), F.first("total_calories").alias("total_calories"),
-        F.map_from_entries(F.array_sort(F.collect_list(F.struct(
-            F.coalesce(F.col("activity"), F.lit("")).alias("k"), F.col("sessions").alias("v")))))
+    named = summary.withColumn("_k", F.coalesce(F.col("activity"), F.lit("")))
+    per = named.groupBy(*by, "_k").agg(
+        F.sum("sessions").alias("_v"), F.max("total_count").alias("total_count"),
+        F.max("total_calories").alias("total_calories"))
+    return per.groupBy(*by).agg(
+        F.max("total_count").alias("total_count"), F.max("total_calories").alias("total_calories"),
+        F.map_from_entries(F.array_sort(F.collect_list(F.struct(F.col("_k").alias("k"), F.col("_v").alias("v")))))
         .alias("by_activity"))
 
 
@@ -364,13 +351,23 @@ def sufficiency_gate(wellness: DataFrame, by: Sequence[str] = PERIOD,
     """``skipped`` when both score columns have fewer than ``min_rows`` values."""
     ca = F.count(F.col(a)) if a in wellness.columns else F.lit(0).cast("long")
     cb = F.count(F.col(b)) if b in wellness.columns else F.lit(0).cast("long")
-    g = wellness.groupBy(*by).agg(ca.alias("n_a"), cb.alias("n_b"))
+    return _gate(wellness.groupBy(*by).agg(ca.alias("n_a"), cb.alias("n_b")), by, a, b, min_rows)
+
+
+def gate_from_stats(stats: DataFrame, by: Sequence[str] = PERIOD, a: str = "readiness_score",
+                    b: str = "sleep_score", min_rows: int = MIN_SCORE_ROWS) -> DataFrame:
+    """The same gate from ``metric_stats``, whose value counts it needs."""
+    def n(m: str) -> Column:
+        return F.coalesce(F.max(F.when(F.col("metric") == m, F.col("days_with_data"))), F.lit(0)).cast("long")
+    return _gate(stats.groupBy(*by).agg(n(a).alias("n_a"), n(b).alias("n_b")), by, a, b, min_rows)
+
+
+def _gate(counts: DataFrame, by: Sequence[str], a: str, b: str, min_rows: int) -> DataFrame:
     skipped = (F.col("n_a") < min_rows) & (F.col("n_b") < min_rows)
-    reason = F.format_string(f"Need at least {min_rows} non-null rows for {a} or {b}, got %d and %d",
-                             F.col("n_a"), F.col("n_b"))
-    return g.select(*by, F.col("n_a").alias(f"n_{a}"), F.col("n_b").alias(f"n_{b}"),
-                    F.when(skipped, F.lit("skipped")).otherwise(F.lit("ok")).alias("status"),
-                    F.when(skipped, reason).alias("reason"))
+    reason = F.format_string(GATE_REASON.format(min_rows=min_rows, a=a, b=b), F.col("n_a"), F.col("n_b"))
+    return counts.select(*by, F.col("n_a").alias(f"n_{a}"), F.col("n_b").alias(f"n_{b}"),
+                         F.when(skipped, F.lit("skipped")).otherwise(F.lit("ok")).alias("status"),
+                         F.when(skipped, reason).alias("reason"))
 
 
 def keep_ok(part: DataFrame, gate: DataFrame, by: Sequence[str] = PERIOD) -> DataFrame:
@@ -381,10 +378,16 @@ def keep_ok(part: DataFrame, gate: DataFrame, by: Sequence[str] = PERIOD) -> Dat
 
 
 def build_report(wellness: DataFrame, sleep: DataFrame, workouts: DataFrame,
-                 by: Sequence[str] = PERIOD) -> dict[str, DataFrame]:
-    """All report parts for every group of ``by``; parts of skipped groups are dropped."""
-    gate = sufficiency_gate(wellness, by)
-    stats = metric_stats(wellness, by)
+                 by: Sequence[str] = PERIOD, long_sleep: str = LONG_SLEEP,
+                 fixed: Sequence[str] = ()) -> dict[str, DataFrame]:
+    """All report parts for every group of ``by``; parts of skipped groups are dropped.
+
+    A job runs here: the statistics (a row per group and metric) are computed and
+    stored once; gate, summaries and alerts read that table. Only the bests scan
+    ``wellness`` besides.
+    """
+    stats = stored(metric_stats(wellness, by, fixed=fixed), "report-stats")
+    gate = gate_from_stats(stats, by)
 
     def keep(df: DataFrame) -> DataFrame:
         return keep_ok(df, gate, by)
@@ -392,8 +395,37 @@ def build_report(wellness: DataFrame, sleep: DataFrame, workouts: DataFrame,
     return {
         "gate": gate,
         "metric_summaries": keep(summarize(stats, by)),
-        "personal_bests": keep(personal_bests(wellness, sleep, by)),
+        "personal_bests": keep(personal_bests(wellness, sleep, by, long_sleep=long_sleep)),
         "areas_to_improve": keep(alerts_from_stats(stats, by)),
-        "sleep_summary": keep(sleep_summary(sleep, by)),
+        "sleep_summary": keep(sleep_summary(sleep, by, long_sleep, fixed)),
         "workout_summary": keep(workout_summary(workouts, by)),
     }
+
+
+SLEEP_FIELDS = ("nights", "avg_duration_hrs", "avg_efficiency", "avg_hrv", "avg_hr", "deep_pct", "light_pct",
+                "rem_pct", "awake_pct")
+
+
+def report_long(parts: Mapping[str, DataFrame], by: Sequence[str] = PERIOD,
+                a: str = "readiness_score", b: str = "sleep_score") -> DataFrame:
+    """The whole report as one table: (by, part, item, value, text)."""
+    def rows(part: str, item: Column, value: Column, text: Column) -> DataFrame:
+        return parts[part].select(*by, F.lit(part).alias("part"), item.alias("item"),
+                                  value.cast("double").alias("value"), text.cast("string").alias("text"))
+
+    def unpivoted(part: str, fields: Sequence[tuple[str, str]], text: Column) -> DataFrame:
+        items = F.array(*[F.struct(F.lit(n).alias("item"), F.col(c).cast("double").alias("value")) for n, c in fields])
+        return parts[part].select(*by, F.lit(part).alias("part"), F.inline(items), text.cast("string").alias("text")) \
+            .select(*by, "part", "item", "value", "text")
+
+    none = F.lit(None)
+    out = [unpivoted("gate", [(a, f"n_{a}"), (b, f"n_{b}")], F.col("status")),
+           rows("metric_summaries", F.col("metric"), F.col("mean"), F.col("trend_direction")),
+           rows("personal_bests", F.col("metric"), F.col("value"), F.col("day")),
+           rows("areas_to_improve", F.col("metric"), F.col("current_avg"), F.col("reason")),
+           unpivoted("sleep_summary", [(f, f) for f in SLEEP_FIELDS], none),
+           rows("workout_summary", F.col("activity"), F.col("sessions"), none)]
+    whole = out[0]
+    for df in out[1:]:
+        whole = whole.unionByName(df)
+    return whole

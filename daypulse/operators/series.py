@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.dates import day_label
+from ..session import stored
 from .report import LONG_SLEEP, PERIOD
 
 # Chart lines, the daily step target, bar opacities, the
@@ -31,6 +32,9 @@ STAGES = (("deep_sleep_duration", "deep"), ("light_sleep_duration", "light"),
           ("rem_sleep_duration", "rem"), ("awake_time", "awake"))
 
 
+METHODS = ("daily", "window", "range")
+
+
 def _order(day: str, tiebreak: Sequence[str]) -> list[Column]:
     return [F.col(day), *[F.col(c) for c in tiebreak]]
 
@@ -40,6 +44,10 @@ def positions(df: DataFrame, by: Sequence[str] = PERIOD, day: str = "day",
               group_counts: Sequence[str] = ()) -> DataFrame:
     """0-based position ``idx`` and series length ``n`` per group.
 
+    Choose by the rows, not by habit: ``"window"`` for input with a row per day (a mart:
+    at most 31 rows per group and month; one scan, one shuffle), ``"daily"`` for event
+    rows, ``"range"`` for event rows where a single (group, day) may be hot.
+
     ``method="daily"`` (default) never puts a whole series in one task: rows
     per (group, day) are counted first (partial aggregation), a window over
     those small per-day counts gives each day's offset and the series length,
@@ -49,13 +57,15 @@ def positions(df: DataFrame, by: Sequence[str] = PERIOD, day: str = "day",
     ``group_counts`` adds ``_nn_<col>``: the non-null count of each column over
     the group.
     """
+    if method not in METHODS:
+        raise ValueError(f"unknown method {method!r}, expected one of {METHODS}")
     grp = Window.partitionBy(*by)
     if method == "range":
         return _positions_by_range(df, by, day, tiebreak, group_counts)
     if method == "window":
         w = Window.partitionBy(*by).orderBy(*_order(day, tiebreak))
-        out = (df.withColumn("idx", (F.row_number().over(w) - 1).cast("int"))
-               .withColumn("n", F.count(F.lit(1)).over(grp).cast("int")))
+        out = (df.withColumn("idx", (F.row_number().over(w) - 1).cast("long"))
+               .withColumn("n", F.count(F.lit(1)).over(grp)))
         for c in group_counts:
             out = out.withColumn(f"_nn_{c}", F.count(F.col(c)).over(grp))
         return out
@@ -65,13 +75,13 @@ def positions(df: DataFrame, by: Sequence[str] = PERIOD, day: str = "day",
     per_day = per_day.select(
         *[F.col(c).alias(f"_k_{c}") for c in (*by, day)],
         F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off"),
-        F.sum("_cnt").over(grp).cast("int").alias("n"),
+        F.sum("_cnt").over(grp).alias("n"),
         *[F.sum(f"_d_{c}").over(grp).alias(f"_nn_{c}") for c in group_counts])
     cond = [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in (*by, day)]
     j = df.join(per_day, reduce(lambda a, b: a & b, cond), "inner") \
         .drop(*[f"_k_{c}" for c in (*by, day)])
     inner = Window.partitionBy(*by, day).orderBy(*[F.col(c) for c in tiebreak] or [F.lit(1)])
-    return (j.withColumn("idx", (F.col("_off") + F.row_number().over(inner) - 1).cast("int"))
+    return (j.withColumn("idx", (F.col("_off") + F.row_number().over(inner) - 1).cast("long"))
             .drop("_off"))
 
 
@@ -89,20 +99,18 @@ def _positions_by_range(df: DataFrame, by: Sequence[str], day: str, tiebreak: Se
     even one entity-day does not fit a task.
 
     Rows are range-partitioned and sorted by (group, day, tiebreak), numbered
-    inside each partition, and materialised once in the shared folder (so the
-    partition of every row is fixed). A (group, day) spread over several
+    inside each partition, and written once to the shared folder (a job runs here, so
+    that the partition of every row is fixed). A (group, day) spread over several
     partitions becomes segments; offsets come from windows over the segment
     and per-day count tables, which hold one row per segment or per day.
     """
-    from ..session import fresh_path
-    from ..sources.land import materialize
     spark = df.sparkSession
     order = [*by, day, *tiebreak]
     n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     r = (df.repartitionByRange(n_parts, *[F.col(c) for c in order]).sortWithinPartitions(*order)
          .withColumn("_pid", F.spark_partition_id())
          .withColumn("_mid", F.monotonically_increasing_id()))
-    r = materialize(r, fresh_path(spark, "positions"))
+    r = stored(r, "positions")
     seg = r.groupBy(*by, day, "_pid").agg(F.count(F.lit(1)).alias("_sc"), F.min("_mid").alias("_m0"),
                                          *[F.count(F.col(c)).alias(f"_d_{c}") for c in group_counts])
     before_seg = Window.partitionBy(*by, day).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
@@ -112,19 +120,19 @@ def _positions_by_range(df: DataFrame, by: Sequence[str], day: str, tiebreak: Se
     grp = Window.partitionBy(*by)
     before_day = Window.partitionBy(*by).orderBy(day).rowsBetween(Window.unboundedPreceding, -1)
     per_day = per_day.select(*by, day, F.coalesce(F.sum("_cnt").over(before_day), F.lit(0)).alias("_off"),
-                             F.sum("_cnt").over(grp).cast("int").alias("n"),
+                             F.sum("_cnt").over(grp).alias("n"),
                              *[F.sum(f"_d_{c}").over(grp).alias(f"_nn_{c}") for c in group_counts])
     seg = _null_safe_join(seg.select(*by, day, "_pid", "_m0", "_soff"), per_day, [*by, day])
     j = _null_safe_join(r, seg, [*by, day, "_pid"])
-    idx = (F.col("_off") + F.col("_soff") + F.col("_mid") - F.col("_m0")).cast("int")
+    idx = (F.col("_off") + F.col("_soff") + F.col("_mid") - F.col("_m0")).cast("long")
     return j.withColumn("idx", idx).drop("_pid", "_mid", "_m0", "_soff", "_off")
 
 
 def downsample_nth(df: DataFrame, by: Sequence[str] = PERIOD, day: str = "day",
-                   tiebreak: Sequence[str] = ()) -> DataFrame:
+                   tiebreak: Sequence[str] = (), method: str = "daily") -> DataFrame:
     """All points up to 10; beyond, every ``max(n // 7, 2)``-th point plus the last."""
-    p = positions(df, by, day, tiebreak)
-    step = F.greatest(F.floor(F.col("n") / TICKS_PER_SERIES).cast("int"), F.lit(2))
+    p = positions(df, by, day, tiebreak, method)
+    step = F.greatest(F.floor(F.col("n") / TICKS_PER_SERIES).cast("long"), F.lit(2).cast("long"))
     keep = ((F.col("n") <= TICKS_ALL_UP_TO) | (F.col("idx") % step == 0)
             | (F.col("idx") == F.col("n") - 1))
     return p.where(keep)
@@ -160,14 +168,13 @@ def rolling_by_position(p: DataFrame, value: str, by: Sequence[str], keep: Seque
 
 def series_scores(wellness: DataFrame, by: Sequence[str] = PERIOD, day: str = "day",
                   lines: Sequence[tuple[str, str]] = SCORE_LINES,
-                  tiebreak: Sequence[str] = ()) -> DataFrame:
+                  tiebreak: Sequence[str] = (), method: str = "daily") -> DataFrame:
     """One row per (point, line) with a value; NULLs are skipped per line.
 
     No output for a group with fewer than 2 rows or with every line all NULL.
     """
     cols = [c for c, _ in lines]
-    p = positions(wellness.select(*by, day, *cols, *tiebreak), by, day, tiebreak,
-                  group_counts=cols)
+    p = positions(wellness.select(*by, day, *cols, *tiebreak), by, day, tiebreak, method, cols)
     anyv = F.greatest(*[F.col(f"_nn_{c}") for c in cols]) if len(cols) > 1 else F.col(f"_nn_{cols[0]}")
     p = p.withColumn("_any", anyv)
     long = p.where((F.col("n") >= 2) & (F.col("_any") > 0)).select(
@@ -179,13 +186,12 @@ def series_scores(wellness: DataFrame, by: Sequence[str] = PERIOD, day: str = "d
 
 def series_target(wellness: DataFrame, by: Sequence[str] = PERIOD, day: str = "day",
                   value: str = "steps", target: float = STEP_TARGET,
-                  tiebreak: Sequence[str] = ()) -> DataFrame:
+                  tiebreak: Sequence[str] = (), method: str = "daily") -> DataFrame:
     """Bars with NULL as 0, the target line, and the met flag / opacity.
 
     No output for a group whose values are all NULL.
     """
-    p = positions(wellness.select(*by, day, value, *tiebreak), by, day, tiebreak,
-                  group_counts=[value])
+    p = positions(wellness.select(*by, day, value, *tiebreak), by, day, tiebreak, method, [value])
     v = F.coalesce(F.col(value).cast("double"), F.lit(0.0))
     met = v >= F.lit(float(target))
     return (p.where(F.col(f"_nn_{value}") > 0)
@@ -195,10 +201,11 @@ def series_target(wellness: DataFrame, by: Sequence[str] = PERIOD, day: str = "d
 
 
 def series_stacked(sleep: DataFrame, by: Sequence[str] = PERIOD, day: str = "day",
-                   tiebreak: Sequence[str] = ("id",), long_sleep: str = LONG_SLEEP) -> DataFrame:
+                   tiebreak: Sequence[str] = ("id",), long_sleep: str = LONG_SLEEP,
+                   method: str = "daily") -> DataFrame:
     """Per long_sleep night the stage hours (NULL -> 0) and their stack bottoms."""
     ls = sleep.where(F.col("sleep_type") == long_sleep)
-    p = positions(ls, by, day, tiebreak)
+    p = positions(ls, by, day, tiebreak, method)
     hrs = {name: F.coalesce(F.col(c) / F.lit(3600), F.lit(0.0)) for c, name in STAGES}
     return p.select(
         *by, day, *tiebreak, "idx", day_label(day).alias("label"),
@@ -224,16 +231,36 @@ def series_rolling(sleep: DataFrame, by: Sequence[str] = PERIOD, day: str = "day
                     F.col(value).cast("double").alias("value"), "rolling_mean"))
 
 
-def chart_series(wellness: DataFrame, sleep: DataFrame, by: Sequence[str] = PERIOD) -> dict[str, DataFrame]:
-    """All four series, each independent (an empty one does not stop the others)."""
+def chart_series(wellness: DataFrame, sleep: DataFrame, by: Sequence[str] = PERIOD,
+                 long_sleep: str = LONG_SLEEP, target: float = STEP_TARGET,
+                 wellness_method: str = "window", sleep_method: str = "daily") -> dict[str, DataFrame]:
+    """All four series, each independent (an empty one does not stop the others).
+
+    ``wellness`` is a mart with a row per day by default (``wellness_method``).
+    """
     return {
-        "daily_scores": series_scores(wellness, by),
-        "steps": series_target(wellness, by),
-        "sleep_stages": series_stacked(sleep, by),
-        "hrv_trend": series_rolling(sleep, by),
+        "daily_scores": series_scores(wellness, by, method=wellness_method),
+        "steps": series_target(wellness, by, target=target, method=wellness_method),
+        "sleep_stages": series_stacked(sleep, by, long_sleep=long_sleep, method=sleep_method),
+        "hrv_trend": series_rolling(sleep, by, long_sleep=long_sleep, method=sleep_method),
     }
 
 
+def charts_long(series: dict[str, DataFrame], by: Sequence[str] = PERIOD, day: str = "day") -> DataFrame:
+    """The four series as one table: (by, chart, line, day, idx, label, value)."""
+    def put(chart: str, lines: Sequence[tuple[Column, Column]]) -> DataFrame:
+        rows = F.array(*[F.struct(name.alias("line"), v.cast("double").alias("value")) for name, v in lines])
+        return series[chart].select(*by, F.lit(chart).alias("chart"), day, "idx", "label", F.inline(rows)) \
+            .select(*by, "chart", "line", day, "idx", "label", "value")
+
+    lit, col = F.lit, F.col
+    return reduce(lambda a, b: a.unionByName(b), [
+        put("daily_scores", [(col("line"), col("value"))]),
+        put("steps", [(lit("steps"), col("value"))]),
+        put("sleep_stages", [(lit(k), col(f"{k}_h")) for _, k in STAGES]),
+        put("hrv_trend", [(lit("value"), col("value")), (lit("rolling_mean"), F.round("rolling_mean", 6))])])
+
+
 def chart_counts(series: dict[str, DataFrame], by: Sequence[str] = PERIOD) -> DataFrame:
     """How many of the charts exist per group."""
     parts = [df.select(*by).distinct().withColumn("chart", F.lit(name)) for name, df in series.items()]

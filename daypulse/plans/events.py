@@ -10,14 +10,17 @@ the sleep type / activity (``view`` is the long sleep).
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.exact import CENTS
 from ..operators.report import assign_periods
 from ..operators.stage import project_variant
-from ..session import cut_lineage
+from ..session import stored
 from ..sources.feeds import Column as Spec
+from ..sources.feeds import FeedSpec
 
 KEYS = ["user_id"]
 BY = ["user_id", "period_type", "start_date", "end_date"]
@@ -55,14 +58,16 @@ def stage_events(raw: DataFrame, strict: bool = False) -> DataFrame:
 PROPS_COLUMNS = (Spec("k", "int", "k"),)
 
 
-def staged_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+def staged_events(spark: SparkSession, sf_dir: str, whole: bool = False) -> DataFrame:
     """Staged events for marts and reports.
 
-    The table is typed except ``props``, so only ``props`` is staged from
-    VARIANT (one parse per row); the full record round trip through VARIANT is
-    the landing path (``land_events`` / ``stage_events``).
+    The driver's table is typed except ``props``; by default only ``props`` is staged from
+    VARIANT (one parse per row). ``whole`` lands every record as VARIANT and stages all of
+    its columns from there, as for a feed.
     """
     e = table(spark, sf_dir, "events")
+    if whole:
+        return stage_events(land_events(e))
     props = project_variant(e.select("*", F.try_parse_json("props").alias("_p")), PROPS_COLUMNS,
                             variant_col="_p",
                             passthrough=("event_id", "user_id", "ts", "event_type", "value"))
@@ -70,6 +75,43 @@ def staged_events(spark: SparkSession, sf_dir: str) -> DataFrame:
                         "value", "k", F.to_date("ts").alias("partition_date"))
 
 
+def feed_records(events: DataFrame, spec: FeedSpec) -> DataFrame:
+    """Every event as a record of the feed's shape: ``raw_data VARIANT, partition_date``.
+
+    Column number j (by path, from 1) holds k + j, value + j, type_j or the day, by its
+    type; tags are an array, timestamps carry an offset. Where ``k % 10 = j % 10`` the path
+    is NULL.
+    """
+    k = F.try_variant_get(F.try_parse_json("props"), "$.k", "int")
+    kind, day = F.col("event_type"), F.date_format("ts", "yyyy-MM-dd")
+    paths = list(dict.fromkeys(c.path for c in spec.columns))
+    tree: dict = {}
+    for j, path in enumerate(paths, 1):
+        types = {c.type for c in spec.columns if c.path == path}
+        if path == "tags":
+            v = F.array(kind, F.concat(F.lit("k"), k.cast("string")))
+        elif path == "timestamp":
+            v = F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"), F.lit("-07:00"))
+        elif "int" in types:
+            v = k + j
+        elif "double" in types:
+            v = F.col("value") + j
+        elif "date" in types:
+            v = day
+        else:
+            v = F.concat(kind, F.lit(f"_{j}"))
+        node = tree
+        *above, leaf = path.split(".")
+        for step in above:
+            node = node.setdefault(step, {})
+        node[leaf] = F.when(k % 10 != j % 10, v)
+
+    def build(node: dict) -> Column:
+        return F.struct(*[(build(v) if isinstance(v, dict) else v).alias(n) for n, v in node.items()])
+
+    return events.select(F.to_variant_object(build(tree)).alias("raw_data"), F.to_date("ts").alias("partition_date"))
+
+
 def _sum2(cond: Column, value: str = "value") -> Column:
     """Exact sum of 2-decimal values under ``cond`` as DOUBLE."""
     return F.sum(F.when(cond, F.col(value).cast(CENTS))).cast("double")
@@ -80,9 +122,9 @@ def event_legs(staged: DataFrame, materialize: bool = True) -> dict[str, DataFra
 
     One aggregation computes every leg. Left alone, column pruning would give
     each leg its own slimmer aggregate and thus its own scan of ``events``; with
-    ``materialize`` the per-day aggregate (one row per user and day, far smaller
-    than the events) is checkpointed once to the shared checkpoint folder and
-    every leg reads it.
+    ``materialize`` a job runs here: the per-day aggregate (one row per user and
+    day, far smaller than the events) is written once as Parquet to the shared
+    folder, and every leg scans its own columns of it with its filter pushed.
     """
     t = F.col("event_type")
     click, view, buy, err, sign = (t == "click", t == "view", t == "purchase", t == "error",
@@ -105,7 +147,7 @@ def event_legs(staged: DataFrame, materialize: bool = True) -> dict[str, DataFra
         F.min(F.when(res, F.col("value"))).alias("resilience_stress_score"),
     )
     if materialize:
-        daily = cut_lineage(daily)
+        daily = stored(daily, "daily-legs")
     spec = {
         "ready": ("n_ready", ["readiness_score"]),
         "sleep": ("n_sleep", ["sleep_score", "sleep_efficiency"]),
@@ -150,5 +192,10 @@ def workouts(staged: DataFrame) -> DataFrame:
                          F.col("value").alias("workout_calories"))
 
 
+def last_day(spark: SparkSession, sf_dir: str) -> dt.date:
+    """The last day of the table (one value, from one aggregate)."""
+    return table(spark, sf_dir, "events").agg(F.max(F.to_date("ts"))).first()[0]
+
+
 def with_periods(df: DataFrame) -> DataFrame:
     return assign_periods(df, ("weekly", "monthly"))

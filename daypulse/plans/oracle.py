@@ -7,6 +7,9 @@ DECIMALs (``_r2``). Means are exact DECIMAL sums divided by counts.
 
 from __future__ import annotations
 
+from ..operators.report import SUGGESTIONS
+from ..sources.feeds import FEEDS
+
 BYC = "user_id, period_type, start_date, end_date"
 METRICS = ("readiness_score", "sleep_score", "sleep_efficiency", "steps", "calories",
            "avg_spo2_pct", "stress_high", "recovery_high")
@@ -183,16 +186,8 @@ def _summary_sql(mart: str = "j2") -> str:
 FROM st2 WHERE days_with_data > 0"""
 
 
-_SUGG = {
-    "sleep_efficiency": "Consider consistent bedtime and limiting screen time before bed",
-    "readiness_score": "Focus on recovery days and stress management techniques",
-    "sleep_score": "Prioritize sleep hygiene: dark room, cool temperature, regular schedule",
-    "avg_spo2_pct": "Monitor breathing patterns and consider consulting a physician",
-    "steps": "Try adding a short walk after meals to increase daily movement",
-    "calories": "Review activity levels and ensure adequate energy expenditure",
-    "stress_high": "Incorporate relaxation practices such as meditation or deep breathing",
-    "recovery_high": "Allow more rest between intense training sessions",
-}
+# The fixed texts are stated once, in the marked block of the report module.
+_SUGG = {k: v for k, v in SUGGESTIONS.items() if k in METRICS}
 
 
 def _alerts_sql(use_threshold: bool = True, kind: str | None = None) -> str:
@@ -207,7 +202,7 @@ def _alerts_sql(use_threshold: bool = True, kind: str | None = None) -> str:
     sql = _with(*_stats_ctes("j2")) + f""", al AS (
   SELECT {BYC}, metric,
     CASE WHEN {below} THEN 'threshold' WHEN {declined} THEN 'decline' END AS kind,
-    CASE WHEN {below} THEN 'Below target of ' || printf('%.1f', target)
+    CASE WHEN {below} THEN 'Below target of ' || CAST(CAST(target AS DOUBLE) AS VARCHAR)
          WHEN {declined} THEN 'Declined ' || printf('%.1f', abs({_r('dpct', 1)})) || '% over period'
     END AS reason,
     CAST(round({_q('s', 'days_with_data')}, 2) AS DOUBLE) AS current_avg,
@@ -280,15 +275,18 @@ WHERE rn = 1"""
 
     def pct(a: str, b: str) -> str:
         return f"CAST({a} AS DOUBLE) / nullif(CAST({b} AS DOUBLE), 0) * 100.0"
+
+    def avg2(x: str) -> str:
+        return _r2(f"avg({x})")
     dur = _q("sum(CAST(total_sleep_duration AS DECIMAL(38,9)))", "count(total_sleep_duration)")
     q["ratio_summary"] = _with(*_sleep_per()) + f"""SELECT {BYC}, count(*) AS nights,
   CAST(round(CAST({dur} / 3600 AS DECIMAL(38,9)), 2) AS DOUBLE) AS avg_duration_hrs,
   {_mean2('efficiency')} AS avg_efficiency, {_mean2('avg_hrv')} AS avg_hrv,
   {_mean2('avg_hr')} AS avg_hr,
-  {_mean2(pct('deep_sleep_duration', 'total_sleep_duration'))} AS deep_pct,
-  {_mean2(pct('light_sleep_duration', 'total_sleep_duration'))} AS light_pct,
-  {_mean2(pct('rem_sleep_duration', 'total_sleep_duration'))} AS rem_pct,
-  {_mean2(pct('awake_time', 'time_in_bed'))} AS awake_pct
+  {avg2(pct('deep_sleep_duration', 'total_sleep_duration'))} AS deep_pct,
+  {avg2(pct('light_sleep_duration', 'total_sleep_duration'))} AS light_pct,
+  {avg2(pct('rem_sleep_duration', 'total_sleep_duration'))} AS rem_pct,
+  {avg2(pct('awake_time', 'time_in_bed'))} AS awake_pct
 FROM spp WHERE sleep_type = 'view' GROUP BY {BYC}"""
     q["activity_summary"] = _with(STAGED, WORKOUTS, _periods("wkp", "wk"), f"""pa AS (
   SELECT {BYC}, workout_activity AS activity, count(*) AS sessions,
@@ -323,18 +321,18 @@ SELECT 'monthly' AS period_type, {mo} AS start_date, CAST(last_day({mo}) AS DATE
   CAST(last_day(CAST({mo} - INTERVAL 1 MONTH AS DATE)) AS DATE) AS prev_end
 FROM o GROUP BY {mo}"""
     q["rolling_mean3"] = _with(*_sleep_per()) + f"""SELECT {BYC}, day, id, idx, label, value, rolling_mean FROM (
-  SELECT {BYC}, day, id, CAST(row_number() OVER w - 1 AS INTEGER) AS idx,
+  SELECT {BYC}, day, id, row_number() OVER w - 1 AS idx,
     count(*) OVER (PARTITION BY {BYC}) AS n, {_LABEL} AS label, CAST(avg_hrv AS DOUBLE) AS value,
     round(avg(avg_hrv) OVER (w ROWS BETWEEN 2 PRECEDING AND CURRENT ROW), 6) AS rolling_mean
   FROM spp WHERE sleep_type = 'view' AND avg_hrv IS NOT NULL
   WINDOW w AS (PARTITION BY {BYC} ORDER BY day, id)) WHERE n >= 2"""
     q["downsample_nth"] = _with(*_per2()) + f"""SELECT {BYC}, day, idx, n FROM (
-  SELECT {BYC}, day, CAST(row_number() OVER (PARTITION BY {BYC} ORDER BY day) - 1 AS INTEGER) AS idx,
-         CAST(count(*) OVER (PARTITION BY {BYC}) AS INTEGER) AS n FROM per)
+  SELECT {BYC}, day, row_number() OVER (PARTITION BY {BYC} ORDER BY day) - 1 AS idx,
+         count(*) OVER (PARTITION BY {BYC}) AS n FROM per)
 WHERE n <= 10 OR idx % greatest(n // 7, 2) = 0 OR idx = n - 1"""
     base_scores = f"""b AS (
   SELECT {BYC}, day, readiness_score, sleep_score,
-    CAST(row_number() OVER (PARTITION BY {BYC} ORDER BY day) - 1 AS INTEGER) AS idx,
+    row_number() OVER (PARTITION BY {BYC} ORDER BY day) - 1 AS idx,
     count(*) OVER (PARTITION BY {BYC}) AS n,
     greatest(count(readiness_score) OVER (PARTITION BY {BYC}),
              count(sleep_score) OVER (PARTITION BY {BYC})) AS anyv,
@@ -347,13 +345,13 @@ SELECT {BYC}, day, idx, label, 'Sleep' AS line, CAST(sleep_score AS DOUBLE) AS v
 FROM b WHERE n >= 2 AND anyv > 0 AND sleep_score IS NOT NULL"""
     q["series_target"] = _with(*_per2()) + f"""SELECT {BYC}, day, idx, label, value, target, met,
   CASE WHEN met THEN CAST(1.0 AS DOUBLE) ELSE CAST(0.6 AS DOUBLE) END AS alpha FROM (
-  SELECT {BYC}, day, CAST(row_number() OVER (PARTITION BY {BYC} ORDER BY day) - 1 AS INTEGER) AS idx,
+  SELECT {BYC}, day, row_number() OVER (PARTITION BY {BYC} ORDER BY day) - 1 AS idx,
     {_LABEL} AS label, coalesce(CAST(steps AS DOUBLE), 0.0) AS value, CAST(2.0 AS DOUBLE) AS target,
     coalesce(CAST(steps AS DOUBLE), 0.0) >= 2.0 AS met,
     count(steps) OVER (PARTITION BY {BYC}) AS nn
   FROM per) WHERE nn > 0"""
     q["series_stacked"] = _with(*_sleep_per()) + f"""SELECT {BYC}, day, id,
-  CAST(row_number() OVER (PARTITION BY {BYC} ORDER BY day, id) - 1 AS INTEGER) AS idx,
+  row_number() OVER (PARTITION BY {BYC} ORDER BY day, id) - 1 AS idx,
   {_LABEL} AS label,
   coalesce(deep_sleep_duration / 3600, 0.0) AS deep_h,
   coalesce(light_sleep_duration / 3600, 0.0) AS light_h,
@@ -414,17 +412,27 @@ FROM staged GROUP BY event_type"""
     from .queries import TABLES
     q["union_counts"] = "\nUNION ALL\n".join(
         f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {t}" for t in TABLES)
-    q["feed_day_grid"] = """WITH feeds AS (
-  SELECT * FROM (VALUES ('click'), ('error'), ('purchase'), ('signup'), ('view'), ('refund')) t(feed)),
-days AS (SELECT CAST(d AS DATE) AS day
-         FROM range(TIMESTAMP '2023-12-31', TIMESTAMP '2024-02-01', INTERVAL 1 DAY) t(d)),
-cnt AS (SELECT event_type AS feed, CAST(ts AS DATE) AS day, count(*) AS rows FROM events GROUP BY ALL)
-SELECT f.feed, d.day, CAST(coalesce(c.rows, 0) AS BIGINT) AS rows,
-  CASE WHEN coalesce(c.rows, 0) > 0 THEN 'ok' ELSE 'empty' END AS status
+    def grid(days: int, grp: str = "") -> str:
+        return f"""WITH cnt AS (SELECT event_type AS feed, CAST(ts AS DATE) AS day, count(*) AS rows FROM events GROUP BY ALL),
+feeds AS (SELECT DISTINCT feed, TRUE AS there FROM cnt UNION ALL SELECT 'refund', FALSE),
+days AS (SELECT (SELECT max(CAST(ts AS DATE)) FROM events) - CAST(i AS INTEGER) AS day FROM range({days}) r(i))
+SELECT f.feed, d.day, CAST(coalesce(c.rows, 0) AS BIGINT) AS rows, {grp}
+  CASE WHEN NOT there THEN 'missing' WHEN coalesce(c.rows, 0) > 0 THEN 'ok' ELSE 'empty' END AS status
 FROM feeds f CROSS JOIN days d LEFT JOIN cnt c ON c.feed = f.feed AND c.day = d.day"""
-    q["reconcile"] = """SELECT CAST(ts AS DATE) AS partition_date, count(*) AS raw_rows, count(*) AS staged_rows,
-  count(*) AS matched, CAST(0 AS BIGINT) AS missing_in_staged, CAST(0 AS BIGINT) AS extra_in_staged
-FROM events GROUP BY ALL"""
+    q["feed_day_grid"] = grid(32)
+    q["single_day_audit"] = grid(4, "CASE WHEN f.feed IN ('click', 'error', 'refund') THEN 'problem' ELSE 'control' END AS grp,")
+    q["reconcile"] = """WITH e AS (SELECT CAST(ts AS DATE) AS partition_date, event_id AS id FROM events),
+r AS (SELECT * FROM e UNION ALL SELECT * FROM e WHERE id % 5 = 0),
+s AS (SELECT * FROM e WHERE id % 7 <> 0
+      UNION ALL SELECT partition_date, id + 1000000000 FROM e WHERE id % 11 = 0),
+rn AS (SELECT partition_date, CASE WHEN id % 13 <> 0 THEN id END AS id, count(*) AS n FROM r GROUP BY ALL),
+sn AS (SELECT partition_date, CASE WHEN id % 13 <> 0 THEN id END AS id, count(*) AS n FROM s GROUP BY ALL),
+j AS (SELECT coalesce(rn.partition_date, sn.partition_date) AS partition_date, coalesce(rn.n, 0) AS a, coalesce(sn.n, 0) AS b
+      FROM rn FULL OUTER JOIN sn ON rn.partition_date = sn.partition_date AND rn.id IS NOT DISTINCT FROM sn.id)
+SELECT partition_date, CAST(sum(a) AS BIGINT) AS raw_rows, CAST(sum(b) AS BIGINT) AS staged_rows,
+  CAST(sum(least(a, b)) AS BIGINT) AS matched, CAST(sum(greatest(a - b, 0)) AS BIGINT) AS missing_in_staged,
+  CAST(sum(greatest(b - a, 0)) AS BIGINT) AS extra_in_staged
+FROM j GROUP BY ALL"""
     q["row_count_checks"] = "\nUNION ALL\n".join(
         f"SELECT '{t}' AS table_name, TRUE AS \"exists\", count(*) AS row_count, "
         f"CASE WHEN count(*) = 0 THEN 'WARN' END AS severity, TRUE AS passed, "
@@ -440,10 +448,93 @@ FROM grid GROUP BY feed"""
     q["flatten_tags"] = """SELECT event_id, 0 AS pos, event_type AS tag FROM events
 UNION ALL
 SELECT event_id, 1 AS pos, 'k' || json_extract_string(props, '$.k') AS tag FROM events"""
-    q["reconcile_checksum"] = """SELECT CAST(ts AS DATE) AS partition_date, count(*) AS raw_rows,
-  count(*) AS staged_rows, TRUE AS equal FROM events GROUP BY ALL"""
+    q["reconcile_checksum"] = """WITH e AS (SELECT CAST(ts AS DATE) AS partition_date, event_id AS id,
+  day(CAST(ts AS DATE)) % 2 = 1 OR event_id % 7 <> 0 AS kept FROM events)
+SELECT partition_date, count(*) AS raw_rows, count(*) FILTER (WHERE kept) AS staged_rows, bool_and(kept) AS equal
+FROM e GROUP BY ALL"""
     q["trailing_daily_sum"] = """SELECT event_type, CAST(ts AS DATE) AS day,
   CAST(sum(CAST(value AS DECIMAL(38,9))) AS DOUBLE) AS total, count(*) AS rows
 FROM events WHERE ts >= TIMESTAMP '2024-01-24 00:00:00' AND ts < TIMESTAMP '2024-01-31 00:00:00'
 GROUP BY ALL"""
+    for name, spec in FEEDS.items():
+        q[f"stage_{name}"] = f"SELECT {', '.join(f'{x} AS {c}' for c, x in _feed_columns(spec).items())} FROM e".join(
+            ["WITH e AS (SELECT *, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events)\n", ""])
+    q["not_null_pairs"] = "WITH e AS (SELECT *, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events)\n" + \
+        "\nUNION ALL\n".join(
+            f"SELECT 'stg_{spec.name}' AS model, '{c}' AS \"column\", count(*) AS rows, count(*) - count({x}) AS failures, "
+            f"count(*) = count({x}) AS passed FROM e"
+            for spec in FEEDS.values() for c, x in _feed_columns(spec).items() if c in spec.not_null)
+    q["mart_duplicates_join"] = _with(STAGED, LEGS.replace("l_ready AS", "l_ready0 AS").replace("l_sleep AS", "l_sleep0 AS"),
+        "l_ready AS (SELECT user_id, day, value AS readiness_score FROM staged WHERE event_type = 'click')",
+        "l_sleep AS (SELECT user_id, day, value AS sleep_score, k AS sleep_efficiency FROM staged WHERE event_type = 'view')",
+        MART1) + "SELECT * FROM mart"
+    q["report_one_period"] = f"SELECT * FROM ({_summary_sql('j2')}) WHERE period_type = 'weekly' AND start_date = DATE '2024-01-08'"
+    gated = lambda sql: f"SELECT s.* FROM ({sql}) s SEMI JOIN okg USING (user_id, period_type, start_date, end_date)"
+    okg = f"""okg AS (SELECT {BYC} FROM per GROUP BY {BYC} HAVING NOT ({gate_cond}))"""
+
+    def long(part: str, sql: str, item: str, value: str, text: str) -> str:
+        return f"SELECT {BYC}, '{part}' AS part, {item} AS item, CAST({value} AS DOUBLE) AS value, CAST({text} AS VARCHAR) AS text FROM ({sql})"
+    pieces = [long("gate", q["sufficiency_gate"], f"'{m}'", f"n_{m}", "status") for m in ("readiness_score", "sleep_score")]
+    pieces += [long("metric_summaries", gated(_summary_sql("j2")), "metric", "mean", "trend_direction"),
+               long("personal_bests", gated(q["personal_bests"]), "metric", "value", "day"),
+               long("areas_to_improve", gated(_alerts_sql(True)), "metric", "current_avg", "reason"),
+               long("workout_summary", gated(q["activity_summary"]), "activity", "sessions", "NULL")]
+    pieces += [long("sleep_summary", gated(q["ratio_summary"]), f"'{f}'", f, "NULL") for f in (
+        "nights", "avg_duration_hrs", "avg_efficiency", "avg_hrv", "avg_hr", "deep_pct", "light_pct", "rem_pct", "awake_pct")]
+    q["report_full"] = _with(*_per2(), okg) + "\nUNION ALL\n".join(pieces)
+
+    def f0(x: str) -> str:
+        return f"printf('%.0f', {_r(x, 0)})"
+    q["sleep_display"] = f"""SELECT {BYC}, {_fmt1('avg_duration_hrs')} || 'h' AS duration, {f0('avg_efficiency')} || '%' AS efficiency,
+  {_fmt1('avg_hrv')} || ' ms' AS hrv, {_fmt1('avg_hr')} || ' bpm' AS heart_rate,
+  concat_ws(' / ', {f0('deep_pct')} || '%', {f0('light_pct')} || '%', {f0('rem_pct')} || '%', {f0('awake_pct')} || '%') AS stages
+FROM ({q['ratio_summary']})"""
+    q["workout_display"] = f"""SELECT {BYC}, activity, upper(activity[1]) || activity[2:] || ': ' || sessions || ' sessions' AS line,
+  total_count || ' sessions' AS total, {f0('total_calories')} AS calories FROM ({q['activity_summary']})"""
+    q["areas_display"] = f"""SELECT {BYC}, metric, {_title('metric')} AS label, '(avg: ' || {_fmt1('current_avg')} || ')' AS avg_text,
+  reason, suggestion FROM ({q['alerts_merged']})"""
+    q["activity_map"] = _with(STAGED, WORKOUTS, _periods("wkp", "wk"), f"""pa AS (
+  SELECT {BYC}, CASE WHEN workout_activity IN ('error', 'signup') THEN '' ELSE workout_activity END AS a, count(*) AS n
+  FROM wkp GROUP BY ALL)""") + f"""SELECT {BYC}, CAST(sum(n) AS BIGINT) AS total_count,
+  string_agg(a || '=' || n, ',' ORDER BY a) AS sessions FROM pa GROUP BY {BYC}"""
+    q["rolling_mean3_range"], q["series_stacked_range"] = q["rolling_mean3"], q["series_stacked"]
+    chart = lambda name, key, line, value: (
+        f"SELECT {BYC}, '{name}' AS chart, {line} AS line, day, idx, label, {value} AS value FROM ({q[key]})")
+    q["charts_long"] = "\nUNION ALL\n".join([
+        chart("daily_scores", "series_scores", "line", "value"), chart("steps", "series_target", "'steps'", "value"),
+        *[chart("sleep_stages", "series_stacked", f"'{x}'", f"{x}_h") for x in ("deep", "light", "rem", "awake")],
+        chart("hrv_trend", "rolling_mean3", "'value'", "value"),
+        chart("hrv_trend", "rolling_mean3", "'rolling_mean'", "rolling_mean")])
+    q["land_envelope_files"] = q["stage_variant"]
+    q["detail_null_counts"] = f"""SELECT count(*) AS rows, count(i) AS id_non_null, count(day) AS day_non_null,
+  count(*) - count(i) AS id_nulls, count(*) - count(day) AS day_nulls
+FROM (SELECT day, CASE WHEN id % 13 <> 0 THEN id END AS i FROM ({q['mart_left_detail']}))"""
+    q["row_count_outcomes"] = """SELECT 'events' AS table_name, TRUE AS "exists", count(*) AS row_count,
+  CASE WHEN count(*) = 0 THEN 'WARN' END AS severity, TRUE AS passed,
+  CASE WHEN count(*) = 0 THEN 'Table events exists but has no rows.' END AS description FROM events
+UNION ALL SELECT 'no_rows', TRUE, 0, 'WARN', TRUE, 'Table no_rows exists but has no rows.'
+UNION ALL SELECT 'no_table', FALSE, 0, 'WARN', TRUE, 'Table no_table does not exist yet.'"""
+    q["request_days"] = "\nUNION ALL\n".join(
+        f"SELECT '{x}' AS endpoint, CAST(ts AS DATE) AS day, count(*) AS rows FROM events "
+        "WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-08' AND DATE '2024-01-14' GROUP BY ALL"
+        for x in ("daily_activity", "daily_sleep"))
     return q
+
+
+def _feed_columns(spec) -> dict[str, str]:
+    """Staged column -> SQL of the planted feed records (see ``plans.events.feed_records``)."""
+    paths = list(dict.fromkeys(c.path for c in spec.columns))
+    out = {}
+    for c in spec.columns:
+        j = paths.index(c.path) + 1
+        if c.path == "tags":
+            v = """'["' || event_type || '","k' || k || '"]'"""
+        elif c.type == "date":
+            v = "CAST(ts AS DATE)"
+        elif c.path == "timestamp":
+            v = "strftime(ts, '%Y-%m-%dT%H:%M:%S') || '-07:00'"
+        else:
+            v = {"int": f"CAST(k + {j} AS INTEGER)", "double": f"value + {j}", "string": f"event_type || '_{j}'"}[c.type]
+        out[c.alias] = f"CASE WHEN k % 10 <> {j % 10} THEN {v} END"
+    out["partition_date"] = "CAST(ts AS DATE)"
+    return out

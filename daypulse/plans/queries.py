@@ -17,27 +17,31 @@ from ..functions import display as D
 from ..functions.dates import LONG_DATE, SHORT_DATE, WEEKDAY_DATE, previous_month, previous_week
 from ..functions.exact import DEC
 from ..operators import marts, quality, report, series
-from ..operators.stage import flatten_array, project_variant
-from ..session import fresh_path
-from ..sources import land
-from ..sources.feeds import FeedSpec
+from ..operators.stage import flatten_array, project_variant, stage
+from ..session import fresh_path, stored
+from ..sources import feeds, land
+from ..sources.feeds import FEEDS, FeedSpec
 from ..sources.feeds import Column as Spec
-from ..streaming.landing import start_landing
+from ..streaming.landing import read_streamed, start_landing
 from . import events as ev
 
 BY = ev.BY
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
-# Fixed values of the driver plans: the feeds of the events stand-in (one
-# that never occurs, to show empty cells), the audit grid range, the trailing
-# window anchor, and the step target on the per-day purchase count.
-AUDIT_FEEDS = ("click", "error", "purchase", "signup", "view", "refund")
-GRID_START, GRID_END = dt.date(2023, 12, 31), dt.date(2024, 1, 31)
+# Fixed values of the driver plans: feeds that are registered besides those in the data (one
+# without a table, to show missing cells), the audit windows in days, the trailing window
+# anchor, the problem group, the requested report period, and the step target on the
+# per-day purchase count.
+REGISTERED_FEEDS = ("refund",)
+PROBLEM_FEEDS = ("click", "error", "refund")
+GRID_DAYS, SINGLE_DAYS = 32, 4
 TRAILING_ANCHOR = dt.date(2024, 1, 31)
+REPORT_WEEK = (dt.date(2024, 1, 8), dt.date(2024, 1, 14))
 STEP_TARGET = 2
-SLEEP_DETAIL_COLUMNS = ("id", "day", "sleep_type", "total_sleep_duration", "deep_sleep_duration",
-                        "light_sleep_duration", "rem_sleep_duration", "awake_time", "time_in_bed",
-                        "efficiency", "avg_hr", "avg_hrv", "lowest_hr")
+# The legs sum values of 2 decimals, and events carry such values.
+FIXED = (*report.WELLNESS_METRICS, "avg_hrv", "avg_hr")
+_NOT_IN_EVENTS = ("bedtime_start", "bedtime_end", "latency", "avg_breath", "restless_periods")
+SLEEP_DETAIL_COLUMNS = tuple(c for c in marts.SLEEP_PERIOD_COLUMNS if c not in _NOT_IN_EVENTS)
 EVENTS_FEED = {"events": FeedSpec("events", "events", "granular", ev.EVENT_COLUMNS,
                                   ("event_id", "user_id", "day", "partition_date"))}
 
@@ -67,7 +71,7 @@ def _sleep_per(spark: SparkSession, sf: str) -> DataFrame:
 def _stats(spark: SparkSession, sf: str, mart: str = "j2") -> DataFrame:
     # The legs are unique per (user_id, day), so J1 runs in its one-shuffle grouped form.
     m = _mart2(spark, sf) if mart == "j2" else _mart1(spark, sf, "grouped")
-    return report.metric_stats(ev.with_periods(m), BY)
+    return report.metric_stats(ev.with_periods(m), BY, fixed=FIXED)
 
 
 def _staged_cols(df: DataFrame) -> DataFrame:
@@ -77,7 +81,34 @@ def _staged_cols(df: DataFrame) -> DataFrame:
 # ---- staging -----------------------------------------------------------------
 
 def stage_variant(spark, sf):
-    return _staged_cols(_staged(spark, sf))
+    """Every column of the record lands as VARIANT and is staged from it."""
+    return _staged_cols(ev.staged_events(spark, sf, whole=True))
+
+
+def flagship(spark, sf):
+    """Events landed as VARIANT, staged whole, six legs, faithful mart, metric summaries."""
+    legs = ev.event_legs(ev.staged_events(spark, sf, whole=True))
+    return report.metric_summary(ev.with_periods(marts.full_outer_chain(legs, ev.KEYS, method="grouped")),
+                                 BY, fixed=FIXED)
+
+
+def _stage_feed(name: str) -> Callable[[SparkSession, str], DataFrame]:
+    def query(spark, sf):
+        return stage(ev.feed_records(ev.table(spark, sf, "events"), FEEDS[name]), name)
+    query.__name__ = f"stage_{name}"
+    query.__doc__ = f"B1-B13: all events as {name} records with planted NULLs, staged by the registry spec."
+    return query
+
+
+FEED_QUERIES = [_stage_feed(n) for n in FEEDS]
+
+
+def not_null_pairs(spark, sf):
+    """Q1: every registered (model, column) pair, one pass per model."""
+    e = ev.table(spark, sf, "events")
+    parts = [quality.not_null_audit(stage(ev.feed_records(e, f), f), f.staged_name, f.not_null)
+             for f in FEEDS.values()]
+    return reduce(lambda a, b: a.unionByName(b), parts)
 
 
 def stage_missing_path(spark, sf):
@@ -122,14 +153,24 @@ def mart_left_detail(spark, sf):
                               period_cols=SLEEP_DETAIL_COLUMNS)
 
 
+def mart_duplicates_join(spark, sf):
+    """J1 on legs with several rows per key (plain events): the join form, where they multiply."""
+    st = _staged(spark, sf)
+    legs = ev.event_legs(st)
+    of = lambda t, *cols: st.where(F.col("event_type") == t).select("user_id", "day", *cols)
+    legs |= {"ready": of("click", F.col("value").alias("readiness_score")),
+             "sleep": of("view", F.col("value").alias("sleep_score"), F.col("k").alias("sleep_efficiency"))}
+    return marts.full_outer_chain(legs, ev.KEYS)
+
+
 # ---- report ----------------------------------------------------------------------
 
 def metric_summary(spark, sf):
-    return report.metric_summary(_per2(spark, sf), BY)
+    return report.metric_summary(_per2(spark, sf), BY, fixed=FIXED)
 
 
 def metric_summary_chain(spark, sf):
-    return report.metric_summary(ev.with_periods(_mart1(spark, sf, "grouped")), BY)
+    return report.metric_summary(ev.with_periods(_mart1(spark, sf, "grouped")), BY, fixed=FIXED)
 
 
 def trend_split_half(spark, sf):
@@ -154,7 +195,7 @@ def personal_bests(spark, sf):
 
 
 def ratio_summary(spark, sf):
-    return report.sleep_summary(_sleep_per(spark, sf), BY, long_sleep=ev.LONG_SLEEP)
+    return report.sleep_summary(_sleep_per(spark, sf), BY, long_sleep=ev.LONG_SLEEP, fixed=FIXED)
 
 
 def activity_summary(spark, sf):
@@ -166,9 +207,57 @@ def sufficiency_gate(spark, sf):
 
 
 def report_gated_summary(spark, sf):
-    """The metric summaries of groups that pass the gate."""
-    w = _per2(spark, sf)
-    return report.keep_ok(report.metric_summary(w, BY), report.sufficiency_gate(w, BY), BY)
+    """The metric summaries of groups that pass the gate; one pass over the mart for both."""
+    stats = stored(report.metric_stats(_per2(spark, sf), BY, data_split=False, fixed=FIXED), "gated-stats")
+    return report.keep_ok(report.summarize(stats, BY), report.gate_from_stats(stats, BY), BY)
+
+
+def report_full(spark, sf):
+    """All six parts behind the gate, in one long table."""
+    parts = report.build_report(_per2(spark, sf), _sleep_per(spark, sf),
+                                ev.with_periods(ev.workouts(_staged(spark, sf))), BY,
+                                long_sleep=ev.LONG_SLEEP, fixed=FIXED)
+    return report.report_long(parts, BY)
+
+
+def report_one_period(spark, sf):
+    """The summaries of one requested week (an inclusive slice of the mart)."""
+    week = report.with_period(_mart2(spark, sf), "weekly", *REPORT_WEEK)
+    return report.metric_summary(week, BY, fixed=FIXED)
+
+
+def sleep_display(spark, sf):
+    s = ratio_summary(spark, sf)
+    stages = [D.pct0(f"{x}_pct") for x in ("deep", "light", "rem", "awake")]
+    return s.select(*BY, F.concat(D.fmt1("avg_duration_hrs"), F.lit("h")).alias("duration"),
+                    D.pct0("avg_efficiency").alias("efficiency"),
+                    F.concat(D.fmt1("avg_hrv"), F.lit(" ms")).alias("hrv"),
+                    F.concat(D.fmt1("avg_hr"), F.lit(" bpm")).alias("heart_rate"),
+                    F.concat_ws(" / ", *stages).alias("stages"))
+
+
+def workout_display(spark, sf):
+    w = activity_summary(spark, sf)
+    line = F.concat(D.title_label("activity"), F.lit(": "), D.sessions_text("sessions"))
+    return w.select(*BY, "activity", line.alias("line"), D.sessions_text("total_count").alias("total"),
+                    D.fmt0("total_calories").alias("calories"))
+
+
+def areas_display(spark, sf):
+    a = alerts_merged(spark, sf)
+    return a.select(*BY, "metric", D.title_label("metric").alias("label"), D.avg_text("current_avg").alias("avg_text"),
+                    "reason", "suggestion")
+
+
+def activity_map(spark, sf):
+    """F21 with sessions that have no activity (errors) and an empty one (signups)."""
+    t = F.col("workout_activity")
+    w = ev.workouts(_staged(spark, sf)).withColumn(
+        "workout_activity", F.when(t == "error", F.lit(None)).when(t == "signup", F.lit("")).otherwise(t))
+    packed = report.packed_by_activity(report.workout_summary(ev.with_periods(w), BY), BY)
+    return packed.select(*BY, "total_count", F.array_join(F.transform(
+        F.array_sort(F.map_entries("by_activity")),
+        lambda x: F.concat(x["key"], F.lit("="), x["value"].cast("string"))), ",").alias("sessions"))
 
 
 def _orders_days(spark, sf):
@@ -203,16 +292,32 @@ def rolling_mean3(spark, sf):
     return s.withColumn("rolling_mean", F.round("rolling_mean", 6))
 
 
+def rolling_mean3_range(spark, sf):
+    """W1 on event rows with the positions that split a hot (user, day)."""
+    s = series.series_rolling(_sleep_per(spark, sf), BY, long_sleep=ev.LONG_SLEEP, method="range")
+    return s.withColumn("rolling_mean", F.round("rolling_mean", 6))
+
+
+def series_stacked_range(spark, sf):
+    return series.series_stacked(_sleep_per(spark, sf), BY, long_sleep=ev.LONG_SLEEP, method="range")
+
+
+def charts_long(spark, sf):
+    """The four series in one table."""
+    parts = series.chart_series(_per2(spark, sf), _sleep_per(spark, sf), BY, ev.LONG_SLEEP, STEP_TARGET)
+    return series.charts_long(parts, BY)
+
+
 def downsample_nth(spark, sf):
-    return series.downsample_nth(_per2(spark, sf), BY).select(*BY, "day", "idx", "n")
+    return series.downsample_nth(_per2(spark, sf), BY, method="window").select(*BY, "day", "idx", "n")
 
 
 def series_scores(spark, sf):
-    return series.series_scores(_per2(spark, sf), BY)
+    return series.series_scores(_per2(spark, sf), BY, method="window")
 
 
 def series_target(spark, sf):
-    return series.series_target(_per2(spark, sf), BY, value="steps", target=STEP_TARGET)
+    return series.series_target(_per2(spark, sf), BY, value="steps", target=STEP_TARGET, method="window")
 
 
 def series_stacked(spark, sf):
@@ -285,7 +390,7 @@ def backfill_range(spark, sf):
 
 
 def stream_land(spark, sf):
-    """Two file drops per day (morning, afternoon) landed by two streaming runs."""
+    """Two file drops per day (morning, afternoon), each landed by a streaming run of several batches."""
     base = fresh_path(spark, "stream")
     landing, root, ck = f"{base}/landing", f"{base}/raw", f"{base}/checkpoint"
     raw = ev.land_events(ev.table(spark, sf, "events").withColumn("_pm", F.hour("ts") >= 12))
@@ -293,9 +398,25 @@ def stream_land(spark, sf):
         (raw.where(F.col("_pm") == F.lit(pm)).select(F.to_json("raw_data").alias("value"),
                                                      "partition_date")
          .write.mode("append").partitionBy("partition_date").text(landing))
-        q = start_landing(spark, landing, root, "events", ck, EVENTS_FEED)
+        q = start_landing(spark, landing, root, "events", ck, EVENTS_FEED, max_files=40)
         q.awaitTermination()
-    return _read_back(spark, root)
+    return _staged_cols(ev.stage_events(read_streamed(spark, root, "events", EVENTS_FEED)))
+
+
+def land_envelope_files(spark, sf):
+    """A1: envelope pages written as files (every other one over several lines), landed and staged."""
+    base = fresh_path(spark, "envelope")
+    raw = ev.land_events(ev.table(spark, sf, "events"))
+    page = F.abs(F.xxhash64(F.to_json("raw_data"))) % 2
+    pages = raw.withColumn("page", page).groupBy("partition_date", "page").agg(
+        F.collect_list(F.to_json("raw_data")).alias("r"))
+    text = F.concat(F.lit('{"data":['), F.array_join("r", ","), F.lit("]}"))
+    text = F.when(F.col("page") == 1, F.replace(text, F.lit('},{"'), F.lit('},\n  {"'))).otherwise(text)
+    pages.select(text.alias("value"), "partition_date", "page").write.partitionBy("partition_date", "page").text(f"{base}/pages")
+    found = land.envelope_records(land.read_pages(spark, f"{base}/pages"), keep=["partition_date"])
+    days = [r[0] for r in raw.select("partition_date").distinct().collect()]  # bounded by the calendar
+    land.backfill(spark, f"{base}/raw", "events", found.select("raw_data", "partition_date"), days, EVENTS_FEED)
+    return _read_back(spark, f"{base}/raw")
 
 
 # ---- quality ------------------------------------------------------------------------
@@ -321,25 +442,48 @@ def union_counts(spark, sf):
     return quality.row_counts({t: ev.table(spark, sf, t) for t in TABLES})
 
 
+def _audit_grid(spark, sf, days):
+    """All types in the data and all registered feeds over the window up to the last day."""
+    counts = _staged(spark, sf).groupBy(F.col("event_type").alias("feed"), "day").agg(F.count(F.lit(1)).alias("rows"))
+    counts = stored(counts, "feed-days")
+    there = counts.select("feed").distinct()
+    registered = spark.createDataFrame([(f,) for f in REGISTERED_FEEDS], "feed string")
+    named = there.unionByName(registered).distinct().withColumn(
+        "grp", F.when(F.col("feed").isin(*PROBLEM_FEEDS), F.lit("problem")).otherwise(F.lit("control")))
+    first, last = quality.trailing_window(ev.last_day(spark, sf) + dt.timedelta(days=1), days)
+    return quality.feed_day_grid(counts, named, first, last, existing=there)
+
+
 def feed_day_grid(spark, sf):
-    st = _staged(spark, sf)
-    counts = st.groupBy(F.col("event_type").alias("feed"), "day").agg(
-        F.count(F.lit(1)).alias("rows"))
-    feeds = spark.createDataFrame([(f,) for f in AUDIT_FEEDS], "feed string")
-    return quality.feed_day_grid(counts, feeds, GRID_START, GRID_END)
+    return _audit_grid(spark, sf, GRID_DAYS).drop("grp")
 
 
-def reconcile(spark, sf):
-    raw = ev.land_events(ev.table(spark, sf, "events")).select(
-        "partition_date", F.try_variant_get("raw_data", "$.id", "bigint").alias("id"))
+def single_day_audit(spark, sf):
+    """Q4: the last four days of the problem and the control group."""
+    return _audit_grid(spark, sf, SINGLE_DAYS)
+
+
+def _reconcile_sides(spark, sf):
+    """Landed and staged ids with planted differences: dropped, added, doubled and NULL ids."""
+    e = ev.table(spark, sf, "events")
+    raw = ev.land_events(e).select("partition_date", F.try_variant_get("raw_data", "$.id", "bigint").alias("id"))
+    raw = raw.unionByName(raw.where("id % 5 = 0"))
     staged = _staged(spark, sf).select("partition_date", F.col("event_id").alias("id"))
-    return quality.reconcile(raw, staged, ["id"])
+    staged = staged.where("id % 7 <> 0").unionByName(staged.where("id % 11 = 0").withColumn("id", F.col("id") + 1000000000))
+    null = lambda df: df.withColumn("id", F.when(F.col("id") % 13 != 0, F.col("id")))
+    return null(raw), null(staged)
+
+
+def reconcile(spark, sf):
+    return quality.reconcile(*_reconcile_sides(spark, sf), ["id"])
 
 
 def reconcile_checksum(spark, sf):
+    """Differences planted on even days only."""
     raw = ev.land_events(ev.table(spark, sf, "events")).select(
         "partition_date", F.try_variant_get("raw_data", "$.id", "bigint").alias("id"))
-    staged = _staged(spark, sf).select("partition_date", F.col("event_id").alias("id"))
+    staged = _staged(spark, sf).select("partition_date", F.col("event_id").alias("id")).where(
+        (F.day("partition_date") % 2 == 1) | (F.col("id") % 7 != 0))
     return quality.reconcile(raw, staged, ["id"], method="checksum")
 
 
@@ -355,6 +499,33 @@ def key_null_counts(spark, sf):
     return quality.key_null_counts(_mart2(spark, sf), ["user_id", "day"])
 
 
+def detail_null_counts(spark, sf):
+    """Q6 on the id of the sleep detail, with planted NULLs."""
+    st = _staged(spark, sf).withColumn("event_id", F.when(F.col("event_id") % 13 != 0, F.col("event_id")))
+    detail = marts.sleep_detail(ev.sleep_periods(st), ev.sleep_time(st), ev.KEYS, period_cols=SLEEP_DETAIL_COLUMNS)
+    return quality.key_null_counts(detail, ["id", "day"])
+
+
+def row_count_outcomes(spark, sf):
+    """Q2: a table with rows, one without, and one that does not exist."""
+    e = ev.table(spark, sf, "events")
+    empty = fresh_path(spark, "no-rows")
+    e.where("event_id is null").write.parquet(empty)
+    parts = [quality.row_count_check(spark, "events", f"{sf.rstrip('/')}/events.parquet"),
+             quality.row_count_check(spark, "no_rows", empty),
+             quality.row_count_check(spark, "no_table", fresh_path(spark, "no-table"))]
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+def request_days(spark, sf):
+    """A3: rows per day of a requested range, as an end-exclusive and an inclusive source serve it."""
+    e = ev.table(spark, sf, "events")
+    parts = [feeds.day_range(e, "ts", x, *REPORT_WEEK).groupBy(F.to_date("ts").alias("day")).agg(
+        F.count(F.lit(1)).alias("rows")).select(F.lit(x).alias("endpoint"), "day", "rows")
+        for x in ("daily_activity", "daily_sleep")]
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
 def feed_coverage(spark, sf):
     """Q3: rows per feed over the audit grid, with the note for feeds without rows."""
     return quality.feed_coverage(feed_day_grid(spark, sf))
@@ -378,7 +549,10 @@ def trailing_daily_sum(spark, sf):
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        stage_variant, stage_missing_path, explode_variant,
+        stage_variant, stage_missing_path, explode_variant, *FEED_QUERIES, not_null_pairs, mart_duplicates_join,
+        report_full, report_one_period, sleep_display, workout_display, areas_display, activity_map,
+        rolling_mean3_range, series_stacked_range, charts_long, land_envelope_files, single_day_audit,
+        detail_null_counts, row_count_outcomes, request_days,
         mart_full_outer_chain, mart_full_outer_chain_grouped, mart_full_outer_key, mart_left_detail,
         metric_summary, metric_summary_chain, trend_split_half, threshold_alerts, decline_alerts,
         alerts_merged, personal_bests, ratio_summary, activity_summary, sufficiency_gate,

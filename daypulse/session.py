@@ -5,23 +5,24 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
-def build_session(master: str = "local[8]", app: str = "daypulse",
-                  shuffle_partitions: int = 8, **conf: str) -> SparkSession:
-    """A session with AQE on, the UI off and UTC as the session time zone."""
+def build_session(app: str = "daypulse", **conf: str) -> SparkSession:
+    """A session with AQE on, the UI off and UTC as the session time zone.
+
+    Master, memory and partition counts belong to the cluster (``spark-submit``,
+    its defaults file) or to ``conf``; nothing here overrides them.
+    """
     builder = (
-        SparkSession.builder.master(master).appName(app)
+        SparkSession.builder.appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .config("spark.driver.memory", "16g")
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.sql.codegen.cache.maxEntries", "1000")
     )
@@ -33,38 +34,62 @@ def build_session(master: str = "local[8]", app: str = "daypulse",
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder for lineage cuts and written tables.
+    """The cluster's shared folder for written intermediate tables.
 
-    Read from ``spark.checkpoint.dir``; only when the session has none (local
-    tests) a fresh temporary folder is created and registered.
+    Read from ``spark.checkpoint.dir`` (or the context's checkpoint folder). A
+    ``local`` or ``local[n]`` master is one process on one machine, so there, and
+    only there, an unset folder is made once; on a cluster it is an error.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if d:
         return d.rstrip("/")
-    try:
-        sc = spark.sparkContext
-    except Exception as e:  # a Connect session: the folder must come from the cluster
-        raise RuntimeError("set spark.checkpoint.dir to a shared folder for this session") from e
+    sc = spark.sparkContext
     d = sc.getCheckpointDir()
     if not d:
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="daypulse-ckpt-"))
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="daypulse-"))
         d = sc.getCheckpointDir()
     return d.rstrip("/")
 
 
-def cut_lineage(df):
-    """Reliable checkpoint into the shared folder (never a local checkpoint).
-
-    If the session cannot checkpoint (no folder configured on a Connect server)
-    the plan is returned unchanged, which gives the same rows.
-    """
-    try:
-        shared_dir(df.sparkSession)
-        return df.checkpoint(eager=True)
-    except Exception:
-        return df
+_MADE: list[str] = []
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
-    """A new, unused path under the shared folder."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    """A new, unused path under the shared folder; see ``drop_work_folders``."""
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    _MADE.append(path)
+    return path
+
+
+def delete_path(spark: SparkSession, path: str) -> bool:
+    """Remove a folder through Spark's own file system layer (any store)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def drop_work_folders(spark: SparkSession) -> int:
+    """Delete every folder that ``fresh_path`` gave out in this process; results read from them end."""
+    n = len(_MADE)
+    while _MADE:
+        delete_path(spark, _MADE.pop())
+    return n
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Run ``df`` now, write it once as Parquet to the shared folder and read it back.
+
+    An explicit materialise step: it cuts the lineage, survives lost executors, and what
+    reads it gets column pruning and pushed filters. A failed write raises.
+    """
+    path = fresh_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

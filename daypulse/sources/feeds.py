@@ -11,6 +11,7 @@ import datetime as dt
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -196,6 +197,21 @@ def request_end(endpoint: str, end: dt.date) -> dt.date:
     return end + dt.timedelta(days=1) if endpoint in END_EXCLUSIVE_ENDPOINTS else end
 
 
+def day_range(df: DataFrame, ts: str, endpoint: str, start: dt.date, end: dt.date) -> DataFrame:
+    """Rows of the inclusive days ``start`` .. ``end`` as the source serves them for the request:
+    half-open on the raw timestamp (``start <= ts < end + 1 day``), so it is pushed to the scan.
+
+    A source with an exclusive end gets ``request_end`` and cuts there itself; an inclusive
+    one covers its last day to midnight. Both give the same rows.
+    """
+    until = request_end(endpoint, end)
+    if endpoint not in END_EXCLUSIVE_ENDPOINTS:
+        until += dt.timedelta(days=1)
+    kind = df.schema[ts].dataType
+    lo, hi = (F.lit(f"{d} 00:00:00").cast(kind) for d in (start, until))
+    return df.where((F.col(ts) >= lo) & (F.col(ts) < hi))
+
+
 def registry_frame(spark: SparkSession) -> DataFrame:
     """The registry as a DataFrame: one row per feed (bounded by the registry size)."""
     schema = T.StructType([

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import delete_path
 from .feeds import FeedSpec, feed
 
 RAW_SCHEMA = T.StructType([T.StructField("raw_data", T.VariantType(), True)])
@@ -22,9 +23,47 @@ RAW_SCHEMA = T.StructType([T.StructField("raw_data", T.VariantType(), True)])
 
 # ---- scans ---------------------------------------------------------------
 
+def _parsed(text: Column, source: Column) -> Column:
+    """JSON text as VARIANT; a text that does not parse fails the job and names its file."""
+    v = _one_document(text)
+    return F.when(v.isNotNull(), v).otherwise(
+        F.raise_error(F.concat(F.lit("not valid JSON in "), source)).cast("variant"))
+
+
+def _one_document(text: Column) -> Column:
+    """The text as VARIANT if it is exactly one JSON document, else NULL.
+
+    The parser stops after a first document and says nothing about what follows;
+    between brackets anything that follows is an error.
+    """
+    items = F.try_variant_get(F.try_parse_json(F.concat(F.lit("["), text, F.lit("]"))), "$", "array<variant>")
+    return F.when(F.size(items) == 1, F.try_element_at(items, F.lit(1)))
+
+
 def read_json_records(spark: SparkSession, path: str) -> DataFrame:
-    """One JSON object per line -> ``raw_data VARIANT`` (plus any partition columns)."""
-    return spark.read.option("singleVariantColumn", "raw_data").json(path)
+    """One JSON object per line -> ``raw_data VARIANT`` (plus any partition columns).
+
+    Empty lines are skipped; a malformed line fails the read, so a load that would
+    lose records leaves the table as it was.
+    """
+    lines = spark.read.text(path).where(F.trim("value") != "")
+    rest = [c for c in lines.columns if c != "value"]
+    return lines.select(_parsed(F.col("value"), F.input_file_name()).alias("raw_data"), *rest)
+
+
+def read_pages(spark: SparkSession, path: str) -> DataFrame:
+    """Envelope pages -> ``raw_data VARIANT``: a file is one page over any number of lines, or one page a line.
+
+    Files are read whole (a page is one response of a feed). A file that is neither
+    fails the read.
+    """
+    files = spark.read.text(path, wholetext=True).where(F.trim("value") != "")
+    whole = _one_document(F.col("value"))
+    texts = F.when(whole.isNotNull(), F.array("value")).otherwise(
+        F.filter(F.split("value", r"\r?\n"), lambda x: F.trim(x) != ""))
+    rest = [c for c in files.columns if c != "value"]
+    pages = files.select(*rest, F.input_file_name().alias("_file"), F.explode(texts).alias("_page"))
+    return pages.select(_parsed(F.col("_page"), F.col("_file")).alias("raw_data"), *rest)
 
 
 def envelope_records(pages: DataFrame, page_col: str = "raw_data",
@@ -78,18 +117,47 @@ def upsert_day(spark: SparkSession, root: str, name: str, batch: DataFrame | Non
                day: dt.date, registry: dict[str, FeedSpec] | None = None) -> int:
     """Replace one day of a raw table with ``batch`` and return its row count.
 
-    The table folder is created if absent; an empty or ``None`` batch still
-    clears the day (static partition overwrite). The count comes from an
-    observation on the write itself, not from a second pass.
+    The new day is written to a staging folder and takes the old one's place when
+    the job commits (dynamic partition overwrite), so a load that fails keeps the
+    old day. Only a batch that was read to its end without rows (or ``None``) clears
+    the day. The count is observed on the write itself.
     """
     feed(name, registry)
     _check_day(day)
     if batch is None:
-        batch = spark.createDataFrame([], RAW_SCHEMA)
-    obs = Observation(f"land_{name}_{day.isoformat()}")
-    out = batch.select(_raw_col(batch)).observe(obs, F.count(F.lit(1)).alias("rows"))
-    out.write.mode("overwrite").parquet(f"{root}/{name}/partition_date={day.isoformat()}")
-    return int(obs.get["rows"])
+        _clear(spark, root, name, [day])
+        return 0
+    dated = batch.select(_raw_col(batch), F.lit(day).alias("partition_date"))
+    rows, _ = _overwrite(dated, root, name)
+    if rows == 0:
+        _clear(spark, root, name, [day])
+    return rows
+
+
+def _overwrite(dated: DataFrame, root: str, name: str) -> tuple[int, set]:
+    """Replace the days that occur in ``dated``; (rows, days written).
+
+    ``rebalance`` lets AQE size the files by data: small days are merged into few
+    tasks and a hot day is split, whatever the number of input tasks.
+    """
+    if dated.isEmpty():  # stops at the first row; an empty plan carries no observation
+        return 0, set()
+    obs = Observation(f"land_{name}")
+    out = dated.observe(obs, F.count(F.lit(1)).alias("rows"),
+                        F.array_sort(F.collect_set("partition_date")).alias("written"))
+    (out.hint("rebalance", "partition_date").write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic").partitionBy("partition_date").parquet(f"{root}/{name}"))
+    m = obs.get
+    return int(m["rows"]), set(m["written"] or [])
+
+
+def _clear(spark: SparkSession, root: str, name: str, days: Sequence[dt.date]) -> None:
+    """Empty days by removing their folders (metadata only, no Spark job for each)."""
+    empty = spark.createDataFrame([], RAW_SCHEMA).coalesce(1)
+    for day in days:
+        delete_path(spark, f"{root}/{name}/partition_date={day.isoformat()}")
+    if days:  # the table exists from now on, with its schema
+        empty.write.mode("overwrite").parquet(f"{root}/{name}/partition_date={days[0].isoformat()}")
 
 
 def backfill(spark: SparkSession, root: str, name: str, batch: DataFrame,
@@ -99,34 +167,29 @@ def backfill(spark: SparkSession, root: str, name: str, batch: DataFrame,
     ``batch`` holds ``raw_data`` and ``partition_date``. Days present in the
     batch are replaced through a dynamic partition overwrite (only touched
     partitions change); requested days absent from the batch are then emptied.
+    No requested day: nothing is written.
     Returns ``{"rows": n, "days_written": k, "days_cleared": m}``.
     """
     feed(name, registry)
     days = sorted({_check_day(d) for d in days})
-    obs = Observation(f"backfill_{name}")
-    out = (batch.select(_raw_col(batch), F.col("partition_date").cast("date").alias("partition_date"))
-           .where(F.col("partition_date").isin(days) if days else F.lit(True))
-           .observe(obs, F.count(F.lit(1)).alias("rows"),
-                    F.array_sort(F.collect_set("partition_date")).alias("written")))
-    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy("partition_date").parquet(f"{root}/{name}"))
-    m = obs.get
-    written = set(m["written"] or [])
+    if not days:
+        return {"rows": 0, "days_written": 0, "days_cleared": 0}
+    dated = batch.select(_raw_col(batch), F.col("partition_date").cast("date").alias("partition_date"))
+    rows, written = _overwrite(dated.where(F.col("partition_date").isin(days)), root, name)
     empty = [d for d in days if d not in written]
-    for d in empty:
-        upsert_day(spark, root, name, None, d, registry)
-    return {"rows": int(m["rows"]), "days_written": len(written), "days_cleared": len(empty)}
+    _clear(spark, root, name, empty)
+    return {"rows": rows, "days_written": len(written), "days_cleared": len(empty)}
 
 
 def load_feed_day(spark: SparkSession, root: str, name: str, path: str, day: dt.date,
                   envelope: bool = True, registry: dict[str, FeedSpec] | None = None) -> int:
     """A daily or granular feed for one day: read its JSON files and replace the day.
 
-    With ``envelope`` each file line is a page ``{"data": [...]}`` and only
-    the records of ``data`` are kept (a page without ``data`` adds nothing).
+    With ``envelope`` the files hold pages ``{"data": [...]}`` and only the records
+    of ``data`` are kept (a page without ``data`` adds nothing). A page or line
+    that does not parse fails the load and leaves the day as it was.
     """
-    pages = read_json_records(spark, path)
-    batch = envelope_records(pages) if envelope else pages
+    batch = envelope_records(read_pages(spark, path)) if envelope else read_json_records(spark, path)
     return upsert_day(spark, root, name, batch.select("raw_data"), day, registry)
 
 

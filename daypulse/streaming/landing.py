@@ -1,23 +1,21 @@
 """Incremental, replayable landing of JSON files with Structured Streaming.
 
-Files arrive under ``<landing>/partition_date=YYYY-MM-DD/``. Each micro-batch
-only tells which days were touched; every touched day is then rebuilt from
-*all* of its landed files (partition-pruned batch read) and written with a
-dynamic partition overwrite. A second batch for a day therefore never drops
-the rows of the first, and replaying a batch after a failure gives the same
-table (the checkpoint makes the source exactly-once, the overwrite makes the
-sink idempotent).
+Files arrive under ``<landing>/partition_date=YYYY-MM-DD/``. A micro-batch reads its own
+new files and writes its own folder of each day it touches,
+``<root>/<feed>/partition_date=.../load_id=<batch>/``, by dynamic partition overwrite: a batch
+that is replayed after a failure overwrites exactly what it had written, and no batch reads
+or rewrites what earlier ones landed. Records whose day is NULL (an unreadable folder name)
+go to ``<root>/<feed>_rejects/load_id=<batch>/`` and the stream goes on.
 """
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..session import path_exists
 from ..sources.feeds import FeedSpec, feed
-from ..sources.land import backfill
 
 LANDING_SCHEMA = "raw_data variant, partition_date date"
 
@@ -30,15 +28,36 @@ def landing_stream(spark: SparkSession, landing: str, max_files: int | None = No
     return r.load(landing)
 
 
-def rebuild_days(spark: SparkSession, landing: str, root: str, name: str, days: list,
-                 registry: dict[str, FeedSpec] | None = None) -> dict[str, int]:
-    """Rewrite the given days of the raw table from every landed file of those days."""
-    if not days:
-        return {"rows": 0, "days_written": 0, "days_cleared": 0}
-    full = (spark.read.option("singleVariantColumn", "raw_data").json(landing)
-            .withColumn("partition_date", F.col("partition_date").cast("date"))
-            .where(F.col("partition_date").isin(days)))
-    return backfill(spark, root, name, full, days, registry)
+def write_batch(batch: DataFrame, root: str, name: str, load_id: int) -> None:
+    """Write one load: its records by day, those without a day to the reject table."""
+    def put(df: DataFrame, path: str, by: list[str]) -> None:
+        (df.withColumn("load_id", F.lit(load_id)).hint("rebalance", *by).write.mode("overwrite")
+           .option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path))
+
+    batch = batch.persist()
+    try:
+        dated = F.col("partition_date").isNotNull()
+        put(batch.where(dated), f"{root}/{name}", ["partition_date", "load_id"])
+        if not batch.where(~dated).isEmpty():
+            put(batch.where(~dated).drop("partition_date"), f"{root}/{name}_rejects", ["load_id"])
+    finally:
+        batch.unpersist()
+
+
+def read_streamed(spark: SparkSession, root: str, name: str,
+                  registry: dict[str, FeedSpec] | None = None) -> DataFrame:
+    """The raw table of all loads: ``raw_data VARIANT, partition_date DATE``."""
+    feed(name, registry)
+    return (spark.read.option("basePath", f"{root}/{name}").parquet(f"{root}/{name}")
+            .select("raw_data", F.col("partition_date").cast("date").alias("partition_date")))
+
+
+def read_rejects(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """``raw_data VARIANT, load_id`` of the records that had no day; empty if there are none."""
+    path = f"{root}/{name}_rejects"
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], "raw_data variant, load_id int")
+    return spark.read.option("basePath", path).parquet(path)
 
 
 def start_landing(spark: SparkSession, landing: str, root: str, name: str, checkpoint: str,
@@ -46,18 +65,15 @@ def start_landing(spark: SparkSession, landing: str, root: str, name: str, check
                   max_files: int | None = None) -> StreamingQuery | None:
     """Start the stream; with ``available_now`` it processes what is there and stops.
 
-    Returns ``None`` when the landing folder does not exist yet (nothing landed).
+    Returns ``None`` when the landing folder does not exist yet (nothing landed). The
+    load id is the stream's batch number, so one table needs one checkpoint.
     """
     feed(name, registry)
-    try:
-        spark.read.format("text").load(landing).limit(0).schema  # existence check only
-    except AnalysisException:
+    if not path_exists(spark, landing):
         return None
 
     def each_batch(batch: DataFrame, epoch_id: int) -> None:
-        # Only the distinct touched days reach the driver (bounded by the calendar).
-        days = [r[0] for r in batch.select("partition_date").distinct().collect()]
-        rebuild_days(batch.sparkSession, landing, root, name, sorted(days), registry)
+        write_batch(batch, root, name, epoch_id)
 
     w = (landing_stream(spark, landing, max_files).writeStream.foreachBatch(each_batch)
          .option("checkpointLocation", checkpoint))

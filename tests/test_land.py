@@ -109,7 +109,7 @@ def test_stream_rebuilds_touched_days_from_all_files(spark, tmp_root):
     drop("b", D1, 3)
     drop("c", D2, 1)
     start_landing(spark, landing, root, "sleep", ck).awaitTermination()
-    assert count_day(spark, root, D1) == 5 and count_day(spark, root, D2) == 1
+    assert count_streamed(spark, root, D1) == 5 and count_streamed(spark, root, D2) == 1
     # a replay with no new files changes nothing
     start_landing(spark, landing, root, "sleep", ck).awaitTermination()
     assert read_raw(spark, root, "sleep").count() == 6
@@ -150,20 +150,73 @@ def test_stream_many_micro_batches_one_day(spark, tmp_root):
     q = start_landing(spark, landing, root, "sleep", ck, max_files=1)
     q.awaitTermination()
     assert len(q.recentProgress) >= 3  # one file per micro-batch
-    assert count_day(spark, root, D1) == 6
-
-
-def test_rebuild_is_idempotent_on_replay(spark, tmp_root):
-    """A micro-batch re-run after a failure rebuilds the same days from the same files."""
-    from daypulse.streaming.landing import rebuild_days
-    landing, root = f"{tmp_root}/landing", f"{tmp_root}/raw"
-    rows = [(f'{{"id": "a{i}"}}', D1 if i % 2 else D2) for i in range(6)]
-    (spark.createDataFrame(rows, "value string, partition_date date").write.mode("append")
-     .partitionBy("partition_date").text(landing))
-    first = rebuild_days(spark, landing, root, "sleep", [D1, D2])
-    second = rebuild_days(spark, landing, root, "sleep", [D1, D2])
-    assert first == second == {"rows": 6, "days_written": 2, "days_cleared": 0}
-    assert count_day(spark, root, D1) == 3 and count_day(spark, root, D2) == 3
+    assert count_streamed(spark, root, D1) == 6
+
+
+def count_streamed(spark, root, day):
+    from daypulse.streaming.landing import read_streamed
+    return read_streamed(spark, root, "sleep").where(F.col("partition_date") == F.lit(day)).count()
+
+
+def test_replayed_batch_overwrites_only_its_own_files(spark, tmp_root):
+    from daypulse.streaming.landing import write_batch
+    rows = lambda tag, n: batch(spark, n, tag).withColumn("partition_date", F.lit(D1))
+    write_batch(rows("a", 3), tmp_root, "sleep", 0)
+    for _ in range(3):
+        write_batch(rows("b", 2), tmp_root, "sleep", 1)
+    assert count_streamed(spark, tmp_root, D1) == 5
+
+
+def test_streamed_null_day_goes_to_the_reject_table(spark, tmp_root):
+    from daypulse.streaming.landing import read_rejects, start_landing
+    landing, root, ck = f"{tmp_root}/landing", f"{tmp_root}/raw", f"{tmp_root}/ck"
+    rows = [('{"id": "a"}', D1), ('{"id": "b"}', None)]
+    (spark.createDataFrame(rows, "value string, partition_date date").write.partitionBy("partition_date").text(landing))
+    for _ in range(2):  # and a restart
+        start_landing(spark, landing, root, "sleep", ck).awaitTermination()
+    assert count_streamed(spark, root, D1) == 1
+    assert read_rejects(spark, root, "sleep").count() == 1
+
+
+def test_failed_load_keeps_the_old_day(spark, tmp_root):
+    upsert_day(spark, tmp_root, "sleep", batch(spark, 3), D1)
+    bad = spark.range(10).select(F.when(F.col("id") < 9, F.lit('{"id": 1}')).otherwise(F.raise_error(F.lit("boom"))).alias("raw_data"))
+    with pytest.raises(Exception, match="boom"):
+        upsert_day(spark, tmp_root, "sleep", bad, D1)
+    assert count_day(spark, tmp_root, D1) == 3
+
+
+def test_backfill_of_no_days_writes_nothing(spark, tmp_root):
+    upsert_day(spark, tmp_root, "sleep", batch(spark, 3), D1)
+    m = backfill(spark, tmp_root, "sleep", batch(spark, 4).withColumn("partition_date", F.lit(D1)), [])
+    assert m == {"rows": 0, "days_written": 0, "days_cleared": 0} and count_day(spark, tmp_root, D1) == 3
+
+
+def test_pages_over_several_lines_land_and_bad_pages_stop_the_load(spark, tmp_root):
+    import os
+
+    from daypulse.sources.land import load_feed_day
+    os.makedirs(f"{tmp_root}/p")
+    put = lambda name, text: open(f"{tmp_root}/p/{name}", "w").write(text)
+    put("a.json", '{\n  "data": [\n    {"id": "x"},\n    {"id": "y"}\n  ]\n}\n')
+    put("b.json", '{"data": [{"id": "z"}]}\n{"status": "none"}\n\n{"data": [{"id": "w"}]}\n')
+    assert load_feed_day(spark, f"{tmp_root}/raw", "sleep", f"{tmp_root}/p", D1) == 4
+    put("c.json", '{"data": [{"id": ')
+    with pytest.raises(Exception, match="not valid JSON"):
+        load_feed_day(spark, f"{tmp_root}/raw", "sleep", f"{tmp_root}/p", D1)
+    assert count_day(spark, f"{tmp_root}/raw", D1) == 4
+    with pytest.raises(Exception, match="not valid JSON"):  # a malformed line of a JSON-lines feed
+        load_feed_day(spark, f"{tmp_root}/raw", "sleep", f"{tmp_root}/p/c.json", D1, envelope=False)
+    assert count_day(spark, f"{tmp_root}/raw", D1) == 4
+
+
+def test_files_per_day_follow_the_data_not_the_tasks(spark, tmp_root):
+    import glob
+    many = spark.range(0, 4000, 1, 40).select(
+        F.to_variant_object(F.struct("id")).alias("raw_data"),
+        F.expr("date_add(date'2026-01-01', cast(id % 20 as int))").alias("partition_date"))
+    backfill(spark, tmp_root, "sleep", many, [dt.date(2026, 1, 1) + dt.timedelta(days=i) for i in range(20)])
+    assert len(glob.glob(f"{tmp_root}/sleep/*/*.parquet")) <= 40  # not 40 tasks x 20 days
 
 
 def test_slice_period_is_inclusive(spark):
