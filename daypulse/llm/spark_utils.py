@@ -2,38 +2,16 @@
 
 from __future__ import annotations
 
-import uuid
-
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from daypulse.session import stored
+
 #: Fixed width of a sieve: 2^24 bits = 2 MB, whatever the input's size.
 SIEVE_BITS = 24
 
 
-def shared_path(spark: SparkSession, name: str) -> str:
-    """A new path in the folder that the cluster shares (``spark.checkpoint.dir``).
-
-    The setting is read from the session; a SparkContext checkpoint folder set by
-    the caller (tests) counts too. Without either there is nowhere safe to write.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        jdir = spark.sparkContext._jsc.sc().getCheckpointDir()
-        base = jdir.get() if jdir.isDefined() else None
-    if not base:
-        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write once as Parquet to the shared folder and read back: a lineage cut that survives lost executors."""
-    path = shared_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def sieve(df: DataFrame, column: str, bits: int = SIEVE_BITS):
     """A broadcast bitmap over the low bits of a long column.
 
