@@ -37,7 +37,7 @@ FREQUENT = 1 << 16
 MAX_MATCHES = 8
 #: Cost of verifying a candidate, in list entries read.
 VERIFY_COST = 4.0
-#: Entries of a token list that are paired in one task; longer lists are paired block by block.
+#: Entries of a token list that are compared at once; longer lists are compared block by block.
 BLOCK = 2048
 _NULL_ID = 1 << 62
 _INFO = {"n": 24, "l": 20}
@@ -172,7 +172,7 @@ def _prefixes(plain: DataFrame, frequent, copied, spec: Spec) -> DataFrame:
 
 
 def _shared_entries(entries: DataFrame) -> DataFrame:
-    """The entries (token, did, info) of tokens with two documents or more."""
+    """The entries (token, did, info, pos) of tokens with two documents or more."""
 
     def run(batches):
         held = None
@@ -194,7 +194,7 @@ def _shared_entries(entries: DataFrame) -> DataFrame:
             yield held
 
     dealt = entries.repartition("token").sortWithinPartitions("token")
-    return dealt.mapInArrow(run, "token long, did long, info long")
+    return dealt.mapInArrow(run, "token long, did long, info long, pos int")
 
 
 def _n(info):
@@ -263,75 +263,97 @@ def _star_pairs(entries: DataFrame, spec: Spec) -> DataFrame:
 
 
 def _cross_pairs(entries: DataFrame, roots: DataFrame, spec: Spec) -> DataFrame:
-    """Pairs of entries of one token list whose documents are in different components.
+    """Pairs (a, b) from different components with the matches that their prefixes and sizes ask for.
 
-    Lists where all are in one component are left out by an aggregate. The others are cut into
-    blocks of about BLOCK entries; every pair of blocks is a task's unit of work.
+    Lists where all are in one component are left out by an aggregate. Of the others each
+    document sends its tokens along, so matches are counted where the list is read and a
+    pair is only looked at in the list of its first common token. Long lists are cut into
+    blocks of about BLOCK entries; every pair of blocks is a unit of work of its own.
     """
     rows = entries.join(roots, F.col("did") == F.col("node"), "left").select(
-        "token", "did", "info", F.coalesce("root", "did").alias("root"))
+        "token", "pos", "did", "info", F.coalesce("root", "did").alias("root"))
     mixed = rows.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("m")) \
         .where("lo <> hi").select("token", F.ceil(F.col("m") / BLOCK).cast("int").alias("parts"))
-    rows = rows.join(mixed, "token").withColumn("part", F.pmod(F.xxhash64("did"), F.col("parts")).cast("int"))
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select(
-        "token", F.least("part", "other").alias("p"), F.greatest("part", "other").alias("q"), "part",
-        "did", "info", "root")
+    per_doc = rows.join(mixed, "token").groupBy("did", "info", "root").agg(
+        F.array_sort(F.collect_list(F.struct("pos", "token", "parts"))).alias("all"))
+    sent = per_doc.select("did", "info", "root", F.transform("all", lambda x: x["token"]).alias("mine"),
+                          F.posexplode("all").alias("at", "x"))
+    part = F.pmod(F.xxhash64("did"), F.col("x.parts")).cast("int")
+    sent = sent.withColumn("part", part).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("x.parts") - 1)))
+    sent = sent.select(F.col("x.token").alias("token"), F.least("part", "other").alias("p"),
+                       F.greatest("part", "other").alias("q"), "part", "did", "info", "root", "at", "mine")
 
     def run(batches):
-        held = []
-        last = None
+        held, size = [], 0
         for b in batches:
             if not b.num_rows:
                 continue
             k = np.stack([b.column(i).to_numpy().astype(np.int64) for i in range(3)])
             cut = np.flatnonzero((k[:, 1:] != k[:, :-1]).any(axis=0)) + 1
-            edges = np.concatenate(([0], cut, [b.num_rows]))
-            if held and (k[:, 0] != last).any():
-                yield from _pairs_of(held, spec)
-                held = []
-            held.append(b.slice(0, edges[1]))
-            if len(edges) > 2:
-                yield from _pairs_of(held, spec)
-                middle = b.slice(edges[1], edges[-2] - edges[1])
-                if middle.num_rows:
-                    yield from _pairs_of([middle], spec)
-                held = [b.slice(edges[-2])]
-            last = k[:, -1]
+            if held and any(held[-1].column(i)[-1].as_py() != k[i, 0] for i in range(3)):
+                cut = np.concatenate(([0], cut))
+            at = 0
+            for c in cut:  # work is done on whole lists, a few thousand entries at once
+                if size + c - at >= BLOCK:
+                    yield from _pairs_of([*held, b.slice(at, c - at)], spec)
+                    held, size, at = [], 0, c
+            held.append(b.slice(at))
+            size += b.num_rows - at
         if held:
             yield from _pairs_of(held, spec)
 
-    dealt = rows.repartition("token", "p", "q").sortWithinPartitions("token", "p", "q")
-    return dealt.mapInArrow(run, "a long, ia long, b long, ib long")
+    dealt = sent.repartition("token", "p", "q").sortWithinPartitions("token", "p", "q")
+    return dealt.mapInArrow(run, "a long, b long")
 
 
-def _pairs_of(held: list, spec: Spec, most: int = 1 << 20):
-    """All pairs wanted of the complete (token, p, q) groups in ``held``, at most about ``most`` compared at once."""
+def _pairs_of(held: list, spec: Spec):
+    """The pairs wanted of the complete (token, p, q) groups in ``held``."""
     t = pa.Table.from_batches(held)
-    token, p, q, part, did, info, root = (t.column(i).to_numpy() for i in range(7))
-    order = np.lexsort((info, q, p, token))
-    token, p, q, part, did, info, root = (x[order] for x in (token, p, q, part, did, info, root))
-    n = info >> _INFO["n"]
-    new = np.flatnonzero(np.concatenate(([True], (token[1:] != token[:-1]) | (p[1:] != p[:-1]) | (q[1:] != q[:-1]))))
-    end = np.repeat(np.append(new[1:], len(token)), np.diff(np.append(new, len(token))))
-    # sorted by size: an entry is paired with the following ones up to size n / t
-    group = np.cumsum(np.isin(np.arange(len(token)), new)) - 1
-    wide = int(n.max()) + 2 if len(n) else 1
-    far = np.searchsorted(group * wide + n, group * wide + np.minimum(n * 100 // spec.percent, wide - 1), side="right")
-    many = np.minimum(far, end) - np.arange(len(token)) - 1
-    i = 0
-    while i < len(token):
-        total = np.cumsum(many[i:])
-        j = i + max(1, int(np.searchsorted(total, most, side="right")))
-        left = np.repeat(np.arange(i, min(j, len(token))), many[i:j])
-        right = left + 1 + np.arange(len(left)) - np.repeat(np.cumsum(many[i:j]) - many[i:j], many[i:j])
-        ok = (root[left] != root[right]) & (did[left] != did[right])
-        ok &= (p[left] == q[left]) | (part[left] != part[right])  # each pair in one pair of blocks only
-        left, right = left[ok], right[ok]
-        swap = did[left] > did[right]
-        left, right = np.where(swap, right, left), np.where(swap, left, right)
-        yield pa.RecordBatch.from_arrays([pa.array(did[left]), pa.array(info[left]), pa.array(did[right]),
-                                          pa.array(info[right])], names=["a", "ia", "b", "ib"])
-        i = j
+    token, p, q, part, did, info, root, at = (t.column(i).to_numpy() for i in range(8))
+    lists = t.column(8).combine_chunks()
+    if isinstance(lists, pa.ChunkedArray):
+        lists = pa.concat_arrays(lists.chunks)
+    flat, first = lists.flatten().to_numpy(), lists.offsets.to_numpy().astype(np.int64)
+    first = first - first[0]
+    n, matches = info >> _INFO["n"], (info >> _INFO["l"]) & 15
+    beyond = spec.least(n) - matches  # tokens after the prefix, at most
+    begin = np.flatnonzero(np.concatenate(([True], (token[1:] != token[:-1]) | (p[1:] != p[:-1]) | (q[1:] != q[:-1]))))
+    for lo, hi in zip(begin, np.append(begin[1:], len(token))):
+        rows = np.arange(lo, hi)
+        span = first[lo:hi + 1]
+        own = np.repeat(rows - lo, np.diff(span))
+        early = np.arange(span[0], span[-1]) - np.repeat(span[:-1], np.diff(span)) < np.repeat(at[lo:hi], np.diff(span))
+        name, code = np.unique(flat[span[0]:span[-1]], return_inverse=True)
+        m, width = hi - lo, len(name)
+        todo = np.arange(m)
+        if early.any():
+            # documents that share an earlier token meet in its list: none of their pairs is wanted here
+            top = np.bincount(code[early]).argmax()
+            has = np.zeros(m, bool)
+            has[own[early & (code == top)]] = True
+            todo = np.flatnonzero(~has)
+        for c in range(0, len(todo), 512):
+            mine = todo[c:c + 512]
+            both, before = np.zeros((len(mine), m), np.float32), np.zeros((len(mine), m), np.float32)
+            for w in range(0, width, 4096):
+                some = (code >= w) & (code < w + 4096)
+                for out, pick in ((both, some), (before, some & early)):
+                    grid = np.zeros((m, min(4096, width - w)), np.float32)
+                    grid[own[pick], code[pick] - w] = 1
+                    out += grid[mine] @ grid.T
+            x, y = lo + mine[:, None], rows[None, :]
+            total = n[x] + n[y]
+            need = np.maximum(-(-spec.percent * total // (100 + spec.percent)) - np.maximum(beyond[x], beyond[y]),
+                              np.minimum(matches[x], matches[y]))
+            ok = (both >= need) & (before == 0) & (root[x] != root[y]) & (did[x] != did[y])
+            ok &= 100 * np.minimum(n[x], n[y]) >= spec.percent * np.maximum(n[x], n[y])
+            ok &= (p[lo] == q[lo]) | (part[x] != part[y])  # each pair in one pair of blocks only
+            later = np.zeros(m, bool)
+            later[todo] = True  # a pair of two that are to do is taken once
+            ok &= ~later[None, :] | (mine[:, None] < np.arange(m)[None, :])
+            i, j = np.nonzero(ok)
+            i, j = did[lo + mine[i]], did[lo + j]
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(i, j)), pa.array(np.maximum(i, j))], names=["a", "b"])
 
 
 def near_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", spec: Spec = Spec()) -> DataFrame:
@@ -345,12 +367,12 @@ def near_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", spe
     prefixes = _prefixes(plain, _frequent(plain, spec), sieve(classes, "s1"), spec)
     prefixes = stored(prefixes, "jaccard-prefixes")
     maybe = prefixes.where("maybe").join(copies, "did", "left_anti").dropDuplicates(["did"])
-    entries = prefixes.where("not maybe").unionByName(maybe).select("did", "info", F.explode("tokens").alias("token"))
-    entries = stored(_shared_entries(entries.select("token", "did", "info")), "jaccard-entries")
+    entries = prefixes.where("not maybe").unionByName(maybe).select("did", "info", F.posexplode("tokens").alias("pos", "token"))
+    entries = stored(_shared_entries(entries.select("token", "did", "info", "pos")), "jaccard-entries")
 
     near = _verified(_enough(_star_pairs(entries, spec), spec), plain, spec, "jaccard-star")
     roots = components(near, name="jaccard-first")
-    far = _verified(_enough(_cross_pairs(entries, roots, spec), spec), plain, spec, "jaccard-cross")
+    far = _verified(_cross_pairs(entries, roots, spec).distinct(), plain, spec, "jaccard-cross")
     roots = components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(far),
                        name="jaccard-roots")
 
