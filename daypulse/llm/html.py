@@ -33,16 +33,19 @@ NO_TEXT = frozenset("script style noscript template iframe object svg canvas sel
 NO_ARTICLE = frozenset("nav footer aside form menu dialog".split())
 # Names that pages give to parts which are no article text.
 NAMES = re.compile(
-    r"(^|[\s_-])(ad|ads|advert|adverts|advertisement|adbox|banner|breadcrumb|breadcrumbs|comment|comments|cookie|cookies|"
-    r"consent|disqus|footer|masthead|menu|modal|nav|navbar|navigation|newsletter|notice|notices|pagination|popup|"
-    r"promo|promoted|related|respond|share|sharing|sidebar|skip|social|sponsor|sponsored|subscribe|toolbar|widget)"
-    r"(s|[\s_-]|$)", re.I)
+    r"(^|[\s_-])(ad|adbox|adsbygoogle|adslot|advert|advertisement|advertising|banner|breadcrumb|comment|commentlist|cookie|"
+    r"consent|disqus|footer|global-header|masthead|menu|modal|nav|navbar|navigation|newsletter|notice|page-header|pagination|"
+    r"popup|promo|promoted|promotion|related|respond|share|sharing|side-bar|sidebar|site-header|skip|skip-link|social|"
+    r"sponsor|sponsored|subscribe|toolbar|top-bar|topbar|widget)(s?([\s_\d-]|$))", re.I)
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar".split())
 _CLOSES = {"li": ("li", ("ul", "ol")), "dt": ("dt", ("dl",)), "dd": ("dd", ("dl",)), "tr": ("tr", ("table",)),
            "td": ("td", ("tr", "table")), "th": ("th", ("tr", "table")), "option": ("option", ("select",))}
 _SPACE = re.compile(r"[ \t\n\r\f\v]+")
 
 
+_CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
+
+
 class Node:
     __slots__ = ("tag", "parent", "items", "skip", "chars", "tags", "link_chars", "link_tags", "density")
 
@@ -53,22 +56,23 @@ class Node:
         self.density = 0.0
 
 
-def _is_boilerplate(tag: str, attrs, parent: Node) -> bool:
+def _is_boilerplate(tag: str, attrs, parent: Node, names: bool) -> bool:
     if tag in NO_TEXT or tag in NO_ARTICLE:
         return True
-    inside = False
-    if tag == "header":
+    head = tag == "header" or names and any(k == "class" and v and "header" in v.lower().split() for k, v in attrs)
+    if head:
         node = parent
-        while node is not None and not inside:
-            inside, node = node.tag in ("article", "main"), node.parent
-        if not inside:
+        while node is not None and node.tag not in ("article", "main"):
+            node = node.parent
+        if node is None:  # a page header, not an article's
             return True
     for name, value in attrs:
         if name == "hidden" or name == "aria-hidden" and value == "true":
             return True
         if name == "role" and (value or "").strip().lower() in ROLES:
             return True
-        if name in ("class", "id") and value and tag not in ("html", "body", "article", "main") and NAMES.search(value):
+        if names and name in ("class", "id") and value and tag not in ("html", "body", "article", "main") \
+                and NAMES.search(_CAMEL.sub("-", value)):
             return True
         if name == "style" and value and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
             return True
@@ -76,8 +80,9 @@ def _is_boilerplate(tag: str, attrs, parent: Node) -> bool:
 
 
 class _Tree(HTMLParser):
-    def __init__(self):
+    def __init__(self, names: bool = True):
         super().__init__(convert_charrefs=True)
+        self.names = names
         self.root = self.at = Node("#document", None, False)
         self.nodes = [self.root]
 
@@ -99,7 +104,7 @@ class _Tree(HTMLParser):
                 self._close("dd" if tag == "dt" else "dt", ("dl",))
             if tag in ("td", "th"):
                 self._close("th" if tag == "td" else "td", ("tr", "table"))
-        node = Node(tag, self.at, self.at.skip or _is_boilerplate(tag, attrs, self.at))
+        node = Node(tag, self.at, self.at.skip or _is_boilerplate(tag, attrs, self.at, self.names))
         self.at.items.append(node)
         self.nodes.append(node)
         if tag not in VOID:
@@ -225,9 +230,14 @@ def _blocks(top: Node, out: list[str]) -> None:
 
 
 def main_text(html: str | None) -> str:
+    """The article's text; where parts' names would leave nothing of a page, they are not believed."""
     if not html:
         return ""
-    tree = _Tree()
+    return _text(html, True) or _text(html, False)
+
+
+def _text(html: str, names: bool) -> str:
+    tree = _Tree(names)
     tree.feed(html)
     tree.close()
     body = next((n for n in tree.nodes if n.tag == "body"), tree.root)

@@ -8,7 +8,7 @@ farther from the border. Base findings always stay; a decoded span is added wher
 none of them, its mean marginal probability is ``SURE`` or more, and it holds an at sign or seven
 digits.
 
-Training: windows from at most about ``TRAIN_ROWS`` texts chosen by hash, labelled by the base rules,
+Training: windows from at most ``TRAIN_ROWS`` texts chosen by hash, labelled by the base rules,
 plus ``MADE_ROWS`` made lines from a fixed seed. Everything else covers all texts, whole.
 
 Defined results: null text is empty; offsets are code points, ends exclusive.
@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from daypulse.llm import nets, scan
 from daypulse.llm import textbatch as tb
 
-TRAIN_ROWS = 3000
+TRAIN_ROWS = 2000
 TRAIN_WINDOWS = 700
 MADE_ROWS = 240
 WINDOW = 64

@@ -48,10 +48,14 @@ def sha(text: str) -> str:
 
 
 def sample_texts(docs: DataFrame, text: str, rows: int, seed: int) -> list[bytes]:
-    """About ``rows`` texts, chosen by their hash (twice that at most): training rows only."""
+    """At most ``rows`` different whole texts, those with the least hashes: training rows only.
+
+    Copies of a text count once and combine map-side; reruns choose the same texts.
+    """
     total = docs.count()
-    share = min(1.0, rows / max(total, 1))
-    pick = F.pmod(F.xxhash64(F.lit(seed), F.col(text)), F.lit(1 << 20)) < int(share * (1 << 20)) + 1
-    got = docs.where(pick & F.col(text).isNotNull()).select(F.col(text).alias("t")) \
-        .limit(2 * rows).collect()
-    return sorted({r.t.encode() for r in got})
+    share = min(1.0, 2 * rows / max(total, 1))
+    name = F.xxhash64(F.lit(seed), F.col(text))
+    pick = F.pmod(name, F.lit(1 << 20)) <= int(share * (1 << 20))
+    got = (docs.where(pick & F.col(text).isNotNull()).select(F.col(text).alias("t")).distinct()
+           .orderBy(F.pmod(F.xxhash64(F.lit(seed), F.col("t")), F.lit(1 << 20)), "t").limit(rows).collect())
+    return sorted(r.t.encode() for r in got)

@@ -5,7 +5,7 @@ with its surrounding context and gives a calibrated probability; the threshold i
 that keeps the wanted recall on held-out labelled findings. Findings of the base rules always
 stay; the network adds spans of kind ``cnn`` where a candidate touches none of them.
 
-Training: at most about ``TRAIN_ROWS`` texts, chosen by hash, whose base findings are the labelled
+Training: at most ``TRAIN_ROWS`` texts, chosen by hash, whose base findings are the labelled
 positives and whose other candidates and plain tokens are the negatives, plus ``MADE_ROWS`` made
 findings and look-alikes (dates, versions, numbers, paths) from a fixed seed, so that a corpus
 without secrets can be scanned too. A candidate that no rule knows may still be a secret: a first
@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from daypulse.llm import nets, scan
 from daypulse.llm import textbatch as tb
 
-TRAIN_ROWS = 3000
+TRAIN_ROWS = 2000
 MADE_ROWS = 600
 LEFT, WIDTH = 24, 72
 KINDS = ("assign", "access", "hex", "cnn")

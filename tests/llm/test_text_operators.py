@@ -67,8 +67,9 @@ def test_byte_windows(spark, rng, monkeypatch, hot):
          ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
 
-@pytest.mark.parametrize("size,percent", [(4, 85), (5, 80)])
-def test_near_groups(spark, rng, size, percent):
+@pytest.mark.parametrize("size,percent,block", [(4, 85, 2048), (5, 80, 2048), (4, 85, 3)])
+def test_near_groups(spark, rng, monkeypatch, size, percent, block):
+    monkeypatch.setattr(jaccard, "BLOCK", block)  # lists of more entries are compared block by block
     rows = hostile(rng)
     base = sentence(rng, 100).split()
     for i in range(100, 160):  # a chain of near copies, each two edits from the one before
