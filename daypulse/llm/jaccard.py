@@ -34,9 +34,11 @@ from daypulse.llm.spark_utils import components, passes, sieve, stored
 
 #: Frequent tokens that are told to all tasks: a fixed number of 16-byte entries.
 FREQUENT = 1 << 16
-MAX_MATCHES = 8
+MIN_MATCHES, MAX_MATCHES = 3, 8
 #: Cost of verifying a candidate, in list entries read.
 VERIFY_COST = 4.0
+#: Token lists up to this many entries are thinned by size; longer ones go on whole.
+THINNED = 1 << 17
 #: Entries of a token list that are compared at once; longer lists are compared block by block.
 BLOCK = 2048
 _NULL_ID = 1 << 62
@@ -139,10 +141,11 @@ def choose_prefixes(names: np.ndarray, first: np.ndarray, frequent, spec: Spec)
     n = np.diff(first)
     reads = np.concatenate(([0], np.cumsum(est)))
     best, cost = np.ones(len(n), np.int64), np.full(len(n), np.inf)
+    least = np.minimum(MIN_MATCHES, spec.least(n))
     for matches in range(1, MAX_MATCHES + 1):
         length = n - spec.least(n) + matches
         read = reads[first[:-1] + np.minimum(length, n)] - reads[first[:-1]]
-        now = np.where(length <= n, read + VERIFY_COST * read / matches, np.inf)
+        now = np.where((length <= n) & (matches >= least), read + VERIFY_COST * read / matches, np.inf)
         better = now < cost
         best, cost = np.where(better, matches, best), np.where(better, now, cost)
     length = np.where(n > 0, n - spec.least(n) + best, 0)
@@ -265,17 +268,23 @@ def _star_pairs(entries: DataFrame, spec: Spec) -> DataFrame:
 def _cross_pairs(entries: DataFrame, roots: DataFrame, spec: Spec) -> DataFrame:
     """Pairs (a, b) from different components with the matches that their prefixes and sizes ask for.
 
-    Lists where all are in one component are left out by an aggregate. Of the others each
-    document sends its tokens along, so matches are counted where the list is read and a
+    Entries without an entry of another component and a fitting size in their list are left
+    out, and then documents with too few entries. Of the others each document sends its
+    tokens along, so matches are counted where the list is read and a
     pair is only looked at in the list of its first common token. Long lists are cut into
     blocks of about BLOCK entries; every pair of blocks is a unit of work of its own.
     """
     rows = entries.join(roots, F.col("did") == F.col("node"), "left").select(
-        "token", "pos", "did", "info", F.coalesce("root", "did").alias("root"))
-    mixed = rows.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("m")) \
-        .where("lo <> hi").select("token", F.ceil(F.col("m") / BLOCK).cast("int").alias("parts"))
-    per_doc = rows.join(mixed, "token").groupBy("did", "info", "root").agg(
+        "token", "info", "did", "pos", F.coalesce("root", "did").alias("root"))
+    rows = stored(rows.repartition("token").sortWithinPartitions("token", "info").mapInArrow(
+        lambda batches: _thinned(batches, spec), rows.schema), "jaccard-mixed")
+    long = rows.groupBy("token").agg(F.count("*").alias("m")).where(F.col("m") > BLOCK) \
+        .select("token", F.ceil(F.col("m") / BLOCK).cast("int").alias("parts"))
+    rows = rows.join(long, "token", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
+    per_doc = rows.groupBy("did", "info", "root").agg(
         F.array_sort(F.collect_list(F.struct("pos", "token", "parts"))).alias("all"))
+    # sets of five and more only link with sets that ask for MIN_MATCHES too
+    per_doc = per_doc.where((F.size("all") >= MIN_MATCHES) | (_n(F.col("info")) < 5))
     sent = per_doc.select("did", "info", "root", F.transform("all", lambda x: x["token"]).alias("mine"),
                           F.posexplode("all").alias("at", "x"))
     part = F.pmod(F.xxhash64("did"), F.col("x.parts")).cast("int")
@@ -306,6 +315,50 @@ def _cross_pairs(entries: DataFrame, roots: DataFrame, spec: Spec) -> DataFrame:
     return dealt.mapInArrow(run, "a long, b long")
 
 
+def _thinned(batches, spec: Spec):
+    """Of entries in order of (token, size): those whose list has one of another root within their sizes."""
+    def thin(b: pa.RecordBatch) -> pa.RecordBatch:
+        token, info, root = (b.column(i).to_numpy() for i in (0, 1, 4))
+        n = info >> _INFO["n"]
+        same = token[1:] == token[:-1]
+        group = np.concatenate(([0], np.cumsum(~same)))
+        wide = int(n.max()) * 2 + 2
+        place = group * wide + n
+        lo = np.searchsorted(place, group * wide + spec.least(n), side="left")
+        hi = np.searchsorted(place, group * wide + np.minimum(n * 100 // spec.percent, wide - 1), side="right")
+        change = np.concatenate(([0], np.cumsum(~same | (root[1:] != root[:-1]))))
+        return b.filter(pa.array(change[hi - 1] > change[lo]))
+
+    held, size, whole = [], 0, None
+    for b in batches:
+        if whole is not None and b.num_rows:
+            more = int(np.searchsorted(b.column(0).to_numpy(), whole, side="right"))
+            yield b.slice(0, more)
+            b = b.slice(more)
+        if not b.num_rows:
+            continue
+        token = b.column(0).to_numpy()
+        whole = None
+        last = int(np.searchsorted(token, token[-1], side="left"))  # the last list may go on
+        if held and held[-1].column(0)[-1].as_py() != token[0] or last > 0:
+            head = [*held, b.slice(0, last)] if last > 0 else held
+            if head:
+                yield from map(thin, _joined(head))
+            held, size = [], 0
+        held.append(b.slice(last))
+        size += b.num_rows - last
+        if size > THINNED:  # a list of this length goes on whole
+            yield from held
+            held, size, whole = [], 0, token[-1]
+    if held:
+        yield from map(thin, _joined(held))
+
+
+def _joined(parts: list) -> list:
+    parts = [x for x in parts if x.num_rows]
+    return [pa.RecordBatch.from_struct_array(pa.concat_arrays([x.to_struct_array() for x in parts]))] if parts else []
+
+
 def _pairs_of(held: list, spec: Spec):
     """The pairs wanted of the complete (token, p, q) groups in ``held``."""
     t = pa.Table.from_batches(held)
@@ -319,6 +372,8 @@ def _pairs_of(held: list, spec: Spec):
     beyond = spec.least(n) - matches  # tokens after the prefix, at most
     begin = np.flatnonzero(np.concatenate(([True], (token[1:] != token[:-1]) | (p[1:] != p[:-1]) | (q[1:] != q[:-1]))))
     for lo, hi in zip(begin, np.append(begin[1:], len(token))):
+        if hi - lo < 2:
+            continue
         rows = np.arange(lo, hi)
         span = first[lo:hi + 1]
         own = np.repeat(rows - lo, np.diff(span))

@@ -282,6 +282,25 @@ def test_merged_transforms_equal_one_sort(rng):
         assert prefix[i] == (depth if name[i] == name[i - 1] else shared)
 
 
+@pytest.mark.parametrize("limit", [1 << 17, 4])
+def test_thinned_lists_lose_no_fitting_entry(rng, monkeypatch, limit):
+    import pyarrow as pa
+    monkeypatch.setattr(jaccard, "THINNED", limit)
+    spec = jaccard.Spec(4, 85)
+    rows = sorted((rng.randrange(-9, 9), rng.randrange(1, 60) << 24, i, 0, rng.randrange(3)) for i in range(200))
+    batches, i = [], 0
+    while i < len(rows):
+        n = rng.randrange(0, 9)
+        batches.append(pa.RecordBatch.from_arrays([pa.array([x[k] for x in rows[i:i + n]], pa.int64()) for k in range(5)],
+                                                  names=["token", "info", "did", "pos", "root"]))
+        i += n
+    got = [tuple(d.values()) for b in jaccard._thinned(iter(batches), spec) for d in b.to_pylist()]
+    fits = lambda x, y: x[0] == y[0] and x[4] != y[4] and 100 * min(x[1], y[1]) >= 85 * max(x[1], y[1])
+    want = {x for x in rows if any(fits(x, y) for y in rows)}
+    assert want <= set(got) and len(got) == len(set(got))
+    assert limit == 4 or set(got) == want
+
+
 def test_symbols_inside_equal_windows_are_equal(rng):
     """What lies inside a window by its context is named alike wherever the window is."""
     words = [rng.choice("abcdefgh") for _ in range(60)]
