@@ -28,8 +28,12 @@ from daypulse.llm import textbatch as tb
 
 WINDOW = 200
 QGRAM = 16
-BLOCK = 25
-SHARD_BYTES = 1 << 18
+BLOCK = 50
+#: Strings of a partition that are merged at once; block names then fit 16 bits, which sort in one pass.
+MERGE_BYTES = 60_000
+SHARD_BYTES = 1 << 14
+#: Width of the classes of anchor offsets that a hot anchor is cut into.
+OFFSETS = 25
 _CHUNK = 1 << 20
 _INDEX_BITS = 21
 
@@ -64,8 +68,8 @@ def cut_stretches(data: np.ndarray, offs: np.ndarray, window: int = WINDOW, q: i
 def _payload(data, offs, rows):
     """A stretch's bytes; of a hot anchor, cut by the anchor's offset in the window, under finer keys.
 
-    Windows with the anchor at offsets ``c * BLOCK .. (c + 1) * BLOCK - 1`` share all bytes but
-    BLOCK - 1 at either end; that core names their group, so one common passage does not
+    Windows with the anchor at offsets ``c * OFFSETS .. (c + 1) * OFFSETS - 1`` share all bytes but
+    OFFSETS - 1 at either end; that core names their group, so one common passage does not
     gather all texts that have it.
     """
     begin = offs[rows["text"]] + rows["start"]
@@ -79,13 +83,13 @@ def _payload(data, offs, rows):
             group.append(key[i]), row.append(i), off.append(0), count.append(n)
             bodies.append(raw[b:b + n + WINDOW - 1])
             continue
-        for c in range(0, WINDOW // BLOCK):
+        for c in range(0, WINDOW // OFFSETS):
             # window j of the stretch has the anchor at offset at - j
-            lo, hi = max(0, at - (c + 1) * BLOCK + 1), min(n, at - c * BLOCK + 1)
+            lo, hi = max(0, at - (c + 1) * OFFSETS + 1), min(n, at - c * OFFSETS + 1)
             if lo >= hi:
                 continue
-            core = b + at - c * BLOCK
-            end = b + at - (c + 1) * BLOCK + 1 + WINDOW
+            core = b + at - c * OFFSETS
+            end = b + at - (c + 1) * OFFSETS + 1 + WINDOW
             group.append(key[i] ^ tb.mix64(roll(np.array([core]), np.array([end])) + np.uint64(c))[0])
             row.append(i), off.append(lo), count.append(hi - lo)
             bodies.append(raw[b + lo:b + hi + WINDOW - 1])
@@ -205,7 +209,7 @@ def _finish(s, start, end, text):
 def repeated_ranges(ident: DataFrame, label: str = "bytes") -> DataFrame:
     """(did, name, s, e): windows s .. e-1 of a text also start elsewhere."""
     found = rp.settled_and_open(ident, cut_stretches, [], F.col("c") >= 2, F.col("lo") == F.col("hi"), label)
-    runs = rp.compared(ident, found, _payload, _repeated, "s int, e int", label)
+    runs = rp.compared(ident, found, _payload, _repeated, "s int, e int", label, MERGE_BYTES)
     whole = found.where("whole").select("did", "name", "start", F.lit(0).alias("s"), F.col("n").alias("e"))
     rest = found.where("not whole").join(runs, ["key", "content"]).select("did", "name", "start", "s", "e")
     return whole.unionByName(rest).select("did", "name", (F.col("start") + F.col("s")).alias("s"),

@@ -32,7 +32,7 @@ NO_ID = (1 << 63) - 1
 #: Stretches of an anchor with more occurrences than this are compared under finer keys.
 HOT = 4096
 #: Payload compared at once in a task, cut between anchors.
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 18
 
 _STRETCH = "key long, content long, did long, name long, start int, n int, at int"
 
@@ -80,7 +80,7 @@ def settled_and_open(ident: DataFrame, cut: Callable, summary: list[Column], sha
 
 
 def compared(ident: DataFrame, found: DataFrame, payload: Callable, compare: Callable, out: str,
-             label: str) -> DataFrame:
+             label: str, chunk: int = CHUNK_BYTES) -> DataFrame:
     """Compare the distinct stretches of the open anchors.
 
     ``payload(data, texts, rows)`` cuts them from the texts, giving (group, row, offset, n, bytes);
@@ -97,7 +97,7 @@ def compared(ident: DataFrame, found: DataFrame, payload: Callable, compare: Cal
         lambda batches: _send(batches, payload),
         "grp long, key long, content long, did long, w long, off int, n int, body binary")
     dealt = sent.repartition("grp").sortWithinPartitions("grp")
-    return dealt.mapInArrow(lambda batches: _compare(batches, compare, out), f"key long, content long, {out}")
+    return dealt.mapInArrow(lambda batches: _compare(batches, compare, out, chunk), f"key long, content long, {out}")
 
 
 def with_names(ident: DataFrame, wanted) -> DataFrame:
@@ -134,7 +134,7 @@ def _send(batches, payload):
                 names=["grp", "key", "content", "did", "w", "off", "n", "body"])
 
 
-def _compare(batches, compare, out):
+def _compare(batches, compare, out, chunk):
     held, size = [], 0
     for b in batches:
         if not b.num_rows:
@@ -146,7 +146,7 @@ def _compare(batches, compare, out):
         at = 0
         total = np.concatenate(([0], np.cumsum(length)))
         for cut in new:
-            if size + total[cut] - total[at] >= CHUNK_BYTES:
+            if size + total[cut] - total[at] >= chunk:
                 if cut > at:
                     held.append(b.slice(at, cut - at))
                 yield from _answers(held, compare, out)
