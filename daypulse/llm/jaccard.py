@@ -277,16 +277,17 @@ def _cross_pairs(entries: DataFrame, roots: DataFrame, spec: Spec) -> DataFrame:
     rows = entries.join(roots, F.col("did") == F.col("node"), "left").select(
         "token", "info", "did", "pos", F.coalesce("root", "did").alias("root"))
     rows = stored(rows.repartition("token").sortWithinPartitions("token", "info").mapInArrow(
-        lambda batches: _thinned(batches, spec), rows.schema), "jaccard-mixed")
+        lambda batches: _thinned(batches, spec), T.StructType([*rows.schema.fields, T.StructField("head", T.BooleanType())])),
+        "jaccard-mixed")
     long = rows.groupBy("token").agg(F.count("*").alias("m")).where(F.col("m") > BLOCK) \
         .select("token", F.ceil(F.col("m") / BLOCK).cast("int").alias("parts"))
     rows = rows.join(long, "token", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
     per_doc = rows.groupBy("did", "info", "root").agg(
-        F.array_sort(F.collect_list(F.struct("pos", "token", "parts"))).alias("all"))
+        F.array_sort(F.collect_list(F.struct("pos", "token", "parts", "head"))).alias("all"))
     # sets of five and more only link with sets that ask for MIN_MATCHES too
     per_doc = per_doc.where((F.size("all") >= MIN_MATCHES) | (_n(F.col("info")) < 5))
     sent = per_doc.select("did", "info", "root", F.transform("all", lambda x: x["token"]).alias("mine"),
-                          F.posexplode("all").alias("at", "x"))
+                          F.posexplode("all").alias("at", "x")).where("x.head")
     part = F.pmod(F.xxhash64("did"), F.col("x.parts")).cast("int")
     sent = sent.withColumn("part", part).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("x.parts") - 1)))
     sent = sent.select(F.col("x.token").alias("token"), F.least("part", "other").alias("p"),
@@ -316,7 +317,11 @@ def _cross_pairs(entries: DataFrame, roots: DataFrame, spec: Spec) -> DataFrame:
 
 
 def _thinned(batches, spec: Spec):
-    """Of entries in order of (token, size): those whose list has one of another root within their sizes."""
+    """Of entries in order of (token, size): those whose list has one of another root within their sizes.
+
+    ``head`` tells if the token may be the first that the two have in common: from its
+    position on there must be enough tokens left for the overlap that their sizes ask for.
+    """
     def thin(b: pa.RecordBatch) -> pa.RecordBatch:
         token, info, root = (b.column(i).to_numpy() for i in (0, 1, 4))
         n = info >> _INFO["n"]
@@ -327,13 +332,21 @@ def _thinned(batches, spec: Spec):
         lo = np.searchsorted(place, group * wide + spec.least(n), side="left")
         hi = np.searchsorted(place, group * wide + np.minimum(n * 100 // spec.percent, wide - 1), side="right")
         change = np.concatenate(([0], np.cumsum(~same | (root[1:] != root[:-1]))))
-        return b.filter(pa.array(change[hi - 1] > change[lo]))
+        ok = change[hi - 1] > change[lo]
+        # first in common at pos: percent * (n + m) <= (100 + percent) * (n - pos)
+        most = (100 + spec.percent) * (n - b.column(3).to_numpy()) // spec.percent - n
+        end = np.searchsorted(place, group * wide + np.clip(np.minimum(most, n * 100 // spec.percent), 0, wide - 1), side="right")
+        head = (end > lo) & ((change[np.maximum(end, 1) - 1] > change[lo]) | (root[lo] != root))
+        return pa.RecordBatch.from_arrays([*b.columns, pa.array(head)], names=[*b.schema.names, "head"]).filter(pa.array(ok))
+
+    def uncut(b: pa.RecordBatch) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([*b.columns, pa.array(np.ones(b.num_rows, bool))], names=[*b.schema.names, "head"])
 
     held, size, whole = [], 0, None
     for b in batches:
         if whole is not None and b.num_rows:
             more = int(np.searchsorted(b.column(0).to_numpy(), whole, side="right"))
-            yield b.slice(0, more)
+            yield uncut(b.slice(0, more))
             b = b.slice(more)
         if not b.num_rows:
             continue
@@ -348,7 +361,7 @@ def _thinned(batches, spec: Spec):
         held.append(b.slice(last))
         size += b.num_rows - last
         if size > THINNED:  # a list of this length goes on whole
-            yield from held
+            yield from map(uncut, held)
             held, size, whole = [], 0, token[-1]
     if held:
         yield from map(thin, _joined(held))
@@ -387,13 +400,13 @@ def _pairs_of(held: list, spec: Spec):
             has = np.zeros(m, bool)
             has[own[early & (code == top)]] = True
             todo = np.flatnonzero(~has)
-        for c in range(0, len(todo), 512):
-            mine = todo[c:c + 512]
+        for c in range(0, len(todo), 128):
+            mine = todo[c:c + 128]
             both, before = np.zeros((len(mine), m), np.float32), np.zeros((len(mine), m), np.float32)
-            for w in range(0, width, 4096):
-                some = (code >= w) & (code < w + 4096)
+            for w in range(0, width, 1024):
+                some = (code >= w) & (code < w + 1024)
                 for out, pick in ((both, some), (before, some & early)):
-                    grid = np.zeros((m, min(4096, width - w)), np.float32)
+                    grid = np.zeros((m, min(1024, width - w)), np.float32)
                     grid[own[pick], code[pick] - w] = 1
                     out += grid[mine] @ grid.T
             x, y = lo + mine[:, None], rows[None, :]
