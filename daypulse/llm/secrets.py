@@ -21,7 +21,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -229,7 +229,7 @@ def redact(docs: DataFrame, model: nets.CharCnn, text: str = "text", mark: str =
             if length in names and pa.types.is_integer(b.column(names.index(length)).type):
                 i = names.index(length)
                 sizes = pa.array(sizes, b.column(i).type)
-                arrays[i] = pa.compute.coalesce(sizes, b.column(i))
+                arrays[i] = pc.coalesce(sizes, b.column(i))
             yield pa.RecordBatch.from_arrays(arrays, names=names)
 
     return docs.mapInArrow(run, docs.schema)

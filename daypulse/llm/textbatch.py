@@ -1,7 +1,7 @@
 """Vectorised work on the UTF-8 bytes of a text column, one Arrow batch at a time.
 
 Spark hands a partition to ``mapInArrow`` as record batches; the helpers here look
-at the batch's own byte buffer with numpy, a few megabytes of whole texts at a time,
+at the batch's own byte buffer with numpy, half a megabyte of whole texts at a time,
 so no Python string is made and memory stays bounded by the slice (or the longest
 single text). A null text counts as empty everywhere.
 """
@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 19
 _BASES = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
 _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
