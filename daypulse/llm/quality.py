@@ -33,13 +33,13 @@ MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words
 
 @dataclass(frozen=True)
 class Rules:
-    """Thresholds; shares are in percent of words."""
+    """Thresholds; shares are in percent of words unless the name says otherwise."""
 
     min_words: int = 50
     max_repeat_pct: int = 50
     soft_repeat_pct: int = 30
     soft_symbol_pct: int = 50
-    soft_dup_lines_pct: int = 30
+    soft_dup_lines_per_mille: int = 30
     min_mean_chars: int = 2
     max_mean_chars: int = 25
     strict_factor: float = 1.5
@@ -123,7 +123,7 @@ def soft_failed(r: Rules = Rules(), prefix: str = "") -> Column:
     c = lambda m: F.col(prefix + m)
     return (base_failed(r, prefix) | (c("n_repeat_words") * 100 > c("n_words") * r.soft_repeat_pct)
             | (c("n_symbols") * 100 > c("n_words") * r.soft_symbol_pct)
-            | (c("n_dup_lines") * 1000 > c("n_words") * r.soft_dup_lines_pct)
+            | (c("n_dup_lines") * 1000 > c("n_words") * r.soft_dup_lines_per_mille)
             | (c("word_chars") < c("n_words") * r.min_mean_chars)
             | (c("word_chars") > c("n_words") * r.max_mean_chars))
 
