@@ -279,6 +279,12 @@ def _cross_pairs(entries: DataFrame, roots: DataFrame, spec: Spec) -> DataFrame:
     rows = stored(rows.repartition("token").sortWithinPartitions("token", "info").mapInArrow(
         lambda batches: _thinned(batches, spec), T.StructType([*rows.schema.fields, T.StructField("head", T.BooleanType())])),
         "jaccard-mixed")
+    # with the number of its entries left, a document fits fewer sizes
+    left = rows.groupBy("did", "info", "root").agg(F.collect_list(F.struct("token", "pos", "head")).alias("all"))
+    left = left.select("did", "info", "root", F.size("all").alias("k"), F.inline("all")).select(
+        "token", "info", "did", "pos", "root", "head", "k")
+    rows = stored(left.repartition("token").sortWithinPartitions("token", "info").mapInArrow(
+        lambda batches: _in_lists(batches, lambda b: _reachable(b, spec), lambda b: b), left.schema), "jaccard-reachable").drop("k")
     long = rows.groupBy("token").agg(F.count("*").alias("m")).where(F.col("m") > BLOCK) \
         .select("token", F.ceil(F.col("m") / BLOCK).cast("int").alias("parts"))
     rows = rows.join(long, "token", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
@@ -342,6 +348,37 @@ def _thinned(batches, spec: Spec):
     def uncut(b: pa.RecordBatch) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([*b.columns, pa.array(np.ones(b.num_rows, bool))], names=[*b.schema.names, "head"])
 
+    yield from _in_lists(batches, thin, uncut)
+
+
+def _reachable(b: pa.RecordBatch, spec: Spec) -> pa.RecordBatch:
+    """Of entries with k, the entries that their document has left: those that may reach enough matches.
+
+    Of a pair of sizes n <= m with the longer's prefix ending last, matches must reach
+    ``t (n + m) / (1 + t) - t m + l``; with k entries that leaves two ranges of partner sizes.
+    """
+    token, info, root, k = (b.column(i).to_numpy().astype(np.int64) for i in (0, 1, 4, 6))
+    n, t = info >> _INFO["n"], spec.percent
+    same = token[1:] == token[:-1]
+    group = np.concatenate(([0], np.cumsum(~same)))
+    wide = int(n.max()) * 2 + 2
+    place = group * wide + n
+    change = np.concatenate(([0], np.cumsum(~same | (root[1:] != root[:-1]))))
+    # k >= t (n + m) / (1 + t) - t max(n, m) (the matches asked for only add to it; 2 for roundings)
+    slack = (k + 2) * (100 + t) * 100
+    ok = np.zeros(len(n), bool)
+    most = n * 100 // t
+    for low, high in ((spec.least(n), np.minimum(n, (slack // t + t * n) // 100 + 1)),
+                      (np.maximum(n, (n * 100 - slack // t) // t - 1), most)):
+        lo = np.searchsorted(place, group * wide + np.clip(low, 0, wide - 1), side="left")
+        hi = np.searchsorted(place, group * wide + np.clip(high, 0, wide - 1), side="right")
+        ok |= (hi > lo) & ((change[np.maximum(hi, 1) - 1] > change[np.minimum(lo, len(n) - 1)])
+                           | (root[np.minimum(lo, len(n) - 1)] != root))
+    return b.filter(pa.array(ok))
+
+
+def _in_lists(batches, thin, uncut):
+    """``thin`` on whole token lists, ``uncut`` on the parts of lists longer than THINNED."""
     held, size, whole = [], 0, None
     for b in batches:
         if whole is not None and b.num_rows:
