@@ -292,12 +292,16 @@ def _cross_pairs(entries: DataFrame, roots: DataFrame, spec: Spec) -> DataFrame:
         F.array_sort(F.collect_list(F.struct("pos", "token", "parts", "head"))).alias("all"))
     # sets of five and more only link with sets that ask for MIN_MATCHES too
     per_doc = per_doc.where((F.size("all") >= MIN_MATCHES) | (_n(F.col("info")) < 5))
-    sent = per_doc.select("did", "info", "root", F.transform("all", lambda x: x["token"]).alias("mine"),
-                          F.posexplode("all").alias("at", "x")).where("x.head")
+    # tokens before the list's own tell whether a pair belongs to an earlier list, so they go whole;
+    # those from it on are only counted: four bytes of each can count a match too many, never too few
+    sent = per_doc.select("did", "info", "root", F.col("all.token").alias("mine"), F.posexplode("all").alias("at", "x"))
+    sent = sent.where("x.head").select("did", "info", "root", "x", F.slice("mine", F.lit(1), F.col("at")).alias("early"),
+                                       F.transform(F.slice("mine", F.col("at") + 1, F.size("mine")), lambda t: (
+                                           t.bitwiseAND(F.lit(0x7FFFFFFF))).cast("int")).alias("rest"))
     part = F.pmod(F.xxhash64("did"), F.col("x.parts")).cast("int")
     sent = sent.withColumn("part", part).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("x.parts") - 1)))
     sent = sent.select(F.col("x.token").alias("token"), F.least("part", "other").alias("p"),
-                       F.greatest("part", "other").alias("q"), "part", "did", "info", "root", "at", "mine")
+                       F.greatest("part", "other").alias("q"), "part", "did", "info", "root", "early", "rest")
 
     def run(batches):
         held, size = [], 0
@@ -412,39 +416,42 @@ def _joined(parts: list) -> list:
 def _pairs_of(held: list, spec: Spec):
     """The pairs wanted of the complete (token, p, q) groups in ``held``."""
     t = pa.Table.from_batches(held)
-    token, p, q, part, did, info, root, at = (t.column(i).to_numpy() for i in range(8))
-    lists = t.column(8).combine_chunks()
-    if isinstance(lists, pa.ChunkedArray):
-        lists = pa.concat_arrays(lists.chunks)
-    flat, first = lists.flatten().to_numpy(), lists.offsets.to_numpy().astype(np.int64)
-    first = first - first[0]
+    token, p, q, part, did, info, root = (t.column(i).to_numpy() for i in range(7))
+
+    def lists(i: int) -> tuple[np.ndarray, np.ndarray]:
+        whole = t.column(i).combine_chunks()
+        whole = pa.concat_arrays(whole.chunks) if isinstance(whole, pa.ChunkedArray) else whole
+        first = whole.offsets.to_numpy().astype(np.int64)
+        return whole.flatten().to_numpy(), first - first[0]
+
+    early, rest = lists(7), lists(8)
     n, matches = info >> _INFO["n"], (info >> _INFO["l"]) & 15
     beyond = spec.least(n) - matches  # tokens after the prefix, at most
     begin = np.flatnonzero(np.concatenate(([True], (token[1:] != token[:-1]) | (p[1:] != p[:-1]) | (q[1:] != q[:-1]))))
     for lo, hi in zip(begin, np.append(begin[1:], len(token))):
         if hi - lo < 2:
             continue
-        rows = np.arange(lo, hi)
-        span = first[lo:hi + 1]
-        own = np.repeat(rows - lo, np.diff(span))
-        early = np.arange(span[0], span[-1]) - np.repeat(span[:-1], np.diff(span)) < np.repeat(at[lo:hi], np.diff(span))
-        name, code = np.unique(flat[span[0]:span[-1]], return_inverse=True)
-        m, width = hi - lo, len(name)
+        rows, m = np.arange(lo, hi), hi - lo
+        coded = []  # (entry, token number, tokens) of the early and of the other tokens
+        for flat, first in (early, rest):
+            span = first[lo:hi + 1]
+            name, code = np.unique(flat[span[0]:span[-1]], return_inverse=True)
+            coded.append((np.repeat(rows - lo, np.diff(span)), code, len(name)))
         todo = np.arange(m)
-        if early.any():
+        if len(coded[0][0]):
             # documents that share an earlier token meet in its list: none of their pairs is wanted here
-            top = np.bincount(code[early]).argmax()
             has = np.zeros(m, bool)
-            has[own[early & (code == top)]] = True
+            has[coded[0][0][coded[0][1] == np.bincount(coded[0][1]).argmax()]] = True
             todo = np.flatnonzero(~has)
         for c in range(0, len(todo), 128):
             mine = todo[c:c + 128]
-            both, before = np.zeros((len(mine), m), np.float32), np.zeros((len(mine), m), np.float32)
-            for w in range(0, width, 1024):
-                some = (code >= w) & (code < w + 1024)
-                for out, pick in ((both, some), (before, some & early)):
+            before, both = np.zeros((len(mine), m), np.float32), np.zeros((len(mine), m), np.float32)
+            for out, (own, code, width) in zip((before, both), coded):
+                for w in range(0, width, 1024):
+                    some = (code >= w) & (code < w + 1024)
                     grid = np.zeros((m, min(1024, width - w)), np.float32)
-                    grid[own[pick], code[pick] - w] = 1
+                    # two tokens of one document with equal short codes count twice
+                    np.add.at(grid.reshape(-1), own[some] * grid.shape[1] + code[some] - w, 1)
                     out += grid[mine] @ grid.T
             x, y = lo + mine[:, None], rows[None, :]
             total = n[x] + n[y]
