@@ -9,11 +9,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from daypulse.llm import decontaminate, jaccard, mixing, quality, secrets
-from daypulse.llm.spark_utils import stored
+from daypulse.llm.spark_utils import narrow_batches, stored
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that fail the base rules, or a soft rule on a strict host, go."""
+    narrow_batches(spark)  # for this stage and, in one session, the following ones
     return quality.keep_good(docs)
 
 

@@ -8,10 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daypulse.llm import bwtmerge, chat, decontaminate, html, jaccard, mixing, oracle, pii, quality, recompression, secrets
+from daypulse.llm.spark_utils import narrow_batches
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+    return narrow_batches(spark).read.parquet(f"{sf_dir}/{table}.parquet")
 
 
 def op1_mix(spark: SparkSession, sf_dir: str) -> DataFrame:

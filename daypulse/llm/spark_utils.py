@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daypulse.session import stored
@@ -12,6 +12,19 @@ from daypulse.session import stored
 SIEVE_BITS = 24
 
 
+_BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def narrow_batches(spark: SparkSession, rows: int = 2000) -> SparkSession:
+    """Fewer rows an Arrow batch than Spark's default of 10,000, unless the session has chosen its own.
+
+    Texts are wide: a default batch of them holds tens of MB, twice in the JVM and once in Python.
+    """
+    if spark.conf.get(_BATCH_ROWS) == "10000":
+        spark.conf.set(_BATCH_ROWS, str(rows))
+    return spark
+
+
 def sieve(df: DataFrame, column: str, bits: int = SIEVE_BITS):
     """A broadcast bitmap over the low bits of a long column.
 
