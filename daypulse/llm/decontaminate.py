@@ -222,20 +222,20 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text", ite
                      ("ids", pa.list_(pa.string()))]))
 
         found = named.select("__name", F.col(text)).mapInArrow(
-            run_block, "n string, b array<long>, e array<long>, ids array<string>").where("size(b) > 0")
+            run_block, "n string, b array<long>, e array<long>, ids array<string>").where("size(b) > 0").select(
+            "n", F.arrays_zip("b", "e").alias("hit"), "ids")  # each begin stays with its own end
         hits = found if hits is None else hits.unionByName(found)
     merged = hits.groupBy(F.col("n").alias("__hit_name")).agg(
-        F.flatten(F.collect_set("b")).alias("b"), F.flatten(F.collect_set("e")).alias("e"),
+        F.array_distinct(F.flatten(F.collect_set("hit"))).alias("hit"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_set("ids")))).alias("ids"))
     word = lambda c: F.size(F.regexp_extract_all(F.translate(
         F.coalesce(F.col(text), F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"),
         F.lit(r"([^\x00-\x2F\x3A-\x60\x7B-\x7F]+)"), F.lit(0)))
 
     rows = named.join(merged, F.col("__name") == F.col("__hit_name"), "left")
-    none = F.array().cast("array<long>")
+    none = F.array().cast("array<struct<b: bigint, e: bigint>>")
     covered = F.size(F.array_distinct(F.flatten(F.transform(
-        F.arrays_zip(F.coalesce("b", none), F.coalesce("e", none)),
-        lambda x: F.sequence(x["0"], x["1"] - 1)))))
+        F.coalesce("hit", none), lambda x: F.sequence(x["b"], x["e"] - 1)))))
     ids = F.coalesce(F.col("ids"), F.array().cast("array<string>"))
     return rows.select(*[F.col(f"`{f.name}`") for f in keep], word(text).cast("long").alias(prefix + "n_words"),
                        covered.cast("long").alias(prefix + "n_hit"), F.size(ids).cast("long").alias(prefix + "n_items"),

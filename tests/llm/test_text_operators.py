@@ -102,6 +102,16 @@ def test_contaminated(spark, rng, block):
          ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"])
 
 
+def test_hits_of_several_blocks_keep_their_own_ends(spark):
+    items = [(1, "a b c"), (2, "a b c d"), (3, "q r"), (4, "s t u v w"), (5, "c d e f")]
+    rows = [(1, "a b c d"), (2, "a b c x x x q r x x x x s t u v w"), (3, "s t u v w x x a b c d e f x q r"), (4, "x y z"), (5, None)]
+    bench = frame(spark, items, "item_id long, text string")
+    for block in (1 << 20, 60, 25):  # one block, then items of one document in different ones
+        got = decontaminate.decontaminate(docs(spark, rows).drop("n_words"), bench, block_bytes=block)
+        same(got, brute.contaminated(rows, items, 10),
+             ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"])
+
+
 def test_contaminated_keeps_clashing_columns_in_the_filter(spark, rng):
     rows = [(1, "a b c d e f g h i j k"), (2, "nothing of that kind here")]
     bench = frame(spark, [(7, "A b c d e f g h i j")], "item_id long, text string")
