@@ -1,15 +1,17 @@
 """Personal data: base rules, and a character BiLSTM with CRF transitions.
 
 The network tags characters (outside, or begin / inside of email, ip, card, phone). It reads
-windows of ``WINDOW`` bytes that overlap by half and cover every place with an at sign or a
-group of seven or more digits, with context; windows are decoded one by one and reconciled over
-the whole text: where two overlap, each character takes its tag from the window in which it is
-farther from the border. Base findings always stay; a decoded span is added where it touches
-none of them, its mean marginal probability is ``SURE`` or more, and it holds an at sign or seven
-digits.
-
-Training: windows from at most ``TRAIN_ROWS`` texts chosen by hash, labelled by the base rules,
-plus ``MADE_ROWS`` made lines from a fixed seed. Everything else covers all texts, whole.
+windows of ``WINDOW`` bytes that overlap by half and cover every text from end to end; windows are
+decoded one by one and reconciled over the whole text: where two overlap, each character takes its
+tag from the window in which it is farther from the border. Base findings always stay; a decoded
+span is added where it touches none of them and its mean marginal probability is ``SURE`` or more.
+Windows in which the path without any finding has more than half of the probability need no
+decoding: no other path can be better.
+
+Training: windows of at most ``rows`` (``TRAIN_ROWS``) texts chosen by hash, labelled by the base
+rules, plus ``MADE_ROWS`` made lines from a fixed seed. Of the windows around at signs and groups of
+seven or more digits at most ``windows`` (``TRAIN_WINDOWS``) are taken at random by a fixed seed, and
+at most as many of all others, which teach what is none. Everything else covers all texts, whole.
 
 Defined results: null text is empty; offsets are code points, ends exclusive.
 """
@@ -85,7 +87,7 @@ def base_spans(raw: bytes, data: np.ndarray, a: int, z: int, has_at: bool = True
 
 
 def triggers(raw: bytes, a: int, z: int) -> list[tuple[int, int]]:
-    """Places to look at: at signs and groups of seven or more digits."""
+    """Places with the base rules' cues, for training: at signs and groups of seven or more digits."""
     out = [(m.start(), m.end()) for m in _GROUP.finditer(raw, a, z)]
     at = raw.find(b"@", a, z)
     while at >= 0:
@@ -106,6 +108,14 @@ def window_starts(places: list[tuple[int, int]], a: int, z: int) -> list[int]:
     return out
 
 
+def all_starts(lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts of half-overlapping windows that cover the texts ``lo .. hi`` whole, and the text of each."""
+    size, step = hi - lo, WINDOW // 2
+    count = np.where(size > 0, np.maximum(-(-(size - WINDOW) // step), 0) + 1, 0)
+    text = np.repeat(np.arange(len(lo)), count)
+    return lo[text] + step * (np.arange(len(text)) - np.repeat(np.cumsum(count) - count, count)), text
+
+
 def symbols(data: np.ndarray, starts: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
     at = starts[:, None] + np.arange(WINDOW)
     ok = (at >= lo[:, None]) & (at < hi[:, None])
@@ -147,19 +157,24 @@ def _card(rng) -> str:
     return ""
 
 
-def train(texts: list[bytes], seed: int = 5) -> nets.BiLstmCrf:
-    xs, ys = [], []
-    for text in [*texts, *_made(np.random.default_rng(seed))]:
-        data = np.frombuffer(text, np.uint8)
-        starts = window_starts(triggers(text, 0, len(text)), 0, len(text))
-        if starts:
-            spans = base_spans(text, data, 0, len(text))
-            n = len(starts)
-            xs.append(symbols(data, np.array(starts), np.zeros(n, np.int64), np.full(n, len(data))))
-            ys += [_tags(spans, s) for s in starts]
-    x, y = np.concatenate(xs), np.stack(ys)
-    keep = np.sort(np.random.default_rng(seed).permutation(len(x))[:TRAIN_WINDOWS])
-    return nets.BiLstmCrf(1 + 2 * len(KINDS)).fit(x[keep], y[keep])
+def train(texts: list[bytes], seed: int = 5, windows: int = TRAIN_WINDOWS) -> nets.BiLstmCrf:
+    rng, places = np.random.default_rng(seed), ([], [])  # (text, start) of windows with and without cues
+    texts = [*texts, *_made(rng)]
+    for i, text in enumerate(texts):
+        cued = window_starts(triggers(text, 0, len(text)), 0, len(text))
+        every, _ = all_starts(np.array([0]), np.array([len(text)]))
+        places[0].extend((i, s) for s in cued)
+        places[1].extend((i, s) for s in np.setdiff1d(every, cued).tolist())
+    xs, ys, spans = [], [], {}
+    for some in places:
+        for j in np.sort(np.random.default_rng(seed).permutation(len(some))[:windows]):
+            i, s = some[j]
+            data = np.frombuffer(texts[i], np.uint8)
+            if i not in spans:
+                spans[i] = base_spans(texts[i], data, 0, len(data))
+            xs.append(symbols(data, np.array([s]), np.array([0]), np.array([len(data)])))
+            ys.append(_tags(spans[i], s))
+    return nets.BiLstmCrf(1 + 2 * len(KINDS)).fit(np.concatenate(xs), np.stack(ys))
 
 
 def _decoded(model, data: np.ndarray, starts: np.ndarray, lo: np.ndarray, hi: np.ndarray):
@@ -192,38 +207,44 @@ def _reconciled(starts: np.ndarray, tags: np.ndarray, sure: np.ndarray, z: int)
     return out
 
 
+def _loud(model, data: np.ndarray, starts: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+    """Which windows must be decoded."""
+    loud = np.zeros(len(starts), bool)
+    for c in range(0, len(starts), 512):
+        loud[c:c + 512] = ~model.quiet(symbols(data, starts[c:c + 512], lo[c:c + 512], hi[c:c + 512]))
+    return loud
+
+
 def find_slice(model: nets.BiLstmCrf, data: np.ndarray, offs: np.ndarray) -> tuple[list, list]:
     """Base and added spans (text, kind, start, end) of a slice, in bytes."""
     raw = data.tobytes()
     digit = np.concatenate(([0], np.cumsum(_DIGIT[data], dtype=np.int64)))
     with_at = scan.holding(raw, offs, (b"@",))
-    with_digit = digit[offs[1:]] - digit[offs[:-1]] >= 4
-    base, jobs, starts = [], [], []
-    for row in np.flatnonzero(with_at | with_digit):
-        a, z = int(offs[row]), int(offs[row + 1])
-        own = base_spans(raw, data, a, z, bool(with_at[row]))
-        base += [(int(row), *x) for x in own]
-        mine = window_starts(triggers(raw, a, z), a, z)
-        if mine:
-            jobs.append((int(row), a, z, own, len(mine)))
-            starts += mine
+    with_digit = digit[offs[1:]] - digit[offs[:-1]] >= 4  # the rules, not the network, need at signs or digits
+    base, own = [], {}
+    for row in np.flatnonzero(with_at | with_digit).tolist():
+        own[row] = base_spans(raw, data, int(offs[row]), int(offs[row + 1]), bool(with_at[row]))
+        base += [(row, *x) for x in own[row]]
     added = []
-    if starts:
-        count = [j[4] for j in jobs]
-        starts = np.array(starts)
-        tags, sure = _decoded(model, data, starts, np.repeat([j[1] for j in jobs], count), np.repeat([j[2] for j in jobs], count))
-        i = 0
-        for row, a, z, own, n in jobs:
-            for kind, s, e, p in _reconciled(starts[i:i + n], tags[i:i + n], sure[i:i + n], z):
-                rich = raw.find(b"@", s, e) >= 0 or digit[e] - digit[s] >= 7
-                if p >= SURE and rich and not any(x < e and s < y for _, x, y in own):
+    starts, text = all_starts(offs[:-1], offs[1:])
+    loud = _loud(model, data, starts, offs[text], offs[text + 1])
+    if loud.any():
+        tags, sure = np.zeros((len(starts), WINDOW), np.int64), np.ones((len(starts), WINDOW))
+        tags[loud], sure[loud] = _decoded(model, data, starts[loud], offs[text[loud]], offs[text[loud] + 1])
+        near = loud.copy()  # windows that overlap a decoded one count where they reach deeper
+        near[1:] |= loud[:-1]
+        near[:-1] |= loud[1:]
+        for row in np.unique(text[loud]).tolist():
+            i = np.searchsorted(text, row) + np.flatnonzero(near[text == row])
+            for kind, s, e, p in _reconciled(starts[i], tags[i], sure[i], int(offs[row + 1])):
+                if p >= SURE and not any(x < e and s < y for _, x, y in own.get(row, ())):
                     added.append((row, kind, s, e))
-            i += n
     return base, added
 
 
-def fit_model(docs: DataFrame, text: str = "text", rows: int = TRAIN_ROWS) -> nets.BiLstmCrf:
-    return train(scan.sample_texts(docs, text, rows, 13))
+def fit_model(docs: DataFrame, text: str = "text", rows: int = TRAIN_ROWS, windows: int = TRAIN_WINDOWS) -> nets.BiLstmCrf:
+    """Train on at most ``rows`` texts, at most ``windows`` windows with cues and as many without."""
+    return train(scan.sample_texts(docs, text, rows, 13), windows=windows)
 
 
 def find(docs: DataFrame, model: nets.BiLstmCrf, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

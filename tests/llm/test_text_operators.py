@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import re
 
 import numpy as np
 import pytest
@@ -237,6 +238,42 @@ def test_personal_data_base_and_added(spark):
         assert tuple(got[i][f"n_{k}"] for k in pii.KINDS) == tuple(sum(x == k for x, _, _ in want) for k in pii.KINDS)
 
 
+class FixedTagger:
+    """Takes every symbol of ``of`` for an email's, with probability ``p``, and counts the windows it reads."""
+
+    def __init__(self, of, p):
+        self.of, self.p, self.seen = list(pii.nets.SYMBOL[np.frombuffer(of, np.uint8)]), p, 0
+
+    def quiet(self, x):
+        self.seen += len(x)
+        return ~np.isin(x, self.of).any(axis=1)
+
+    def decode(self, x):
+        return np.where(np.isin(x, self.of), 2, 0), np.full(x.shape, self.p)
+
+
+@pytest.mark.parametrize("p,sure", [(0.99, True), (0.5, False)])
+def test_tagger_reads_every_text_whole(p, sure):
+    texts = [b"jane at corp dot com", b"", b"x" * 200 + b"Q" * 40 + b"y" * 9, b"plain", b"QQ", b"z" * 95 + b"Q", b"Q" * 64 + b"a"]
+    data = np.frombuffer(b"".join(texts), np.uint8)
+    offs = np.cumsum([0, *map(len, texts)])
+    model = FixedTagger(b"Q", p)
+    base, added = pii.find_slice(model, data, offs)
+    assert base == [] and model.seen == 1 + 0 + 7 + 1 + 1 + 2 + 2
+    want = [(i, m.start(), m.end()) for i, t in enumerate(texts) for m in re.finditer(rb"Q+", t)]
+    assert [(i, s - offs[i], e - offs[i]) for i, _, s, e in added] == (want if sure else [])
+
+
+def test_quiet_windows_decode_to_no_finding():
+    model = pii.train([])
+    lines = pii._made(np.random.default_rng(31)) + [b"some plain words of a text without anything to be found in it at all, really"] * 9
+    data, offs = np.frombuffer(b"".join(lines), np.uint8), np.cumsum([0, *map(len, lines)])
+    starts, text = pii.all_starts(offs[:-1], offs[1:])
+    x = pii.symbols(data, starts, offs[text], offs[text + 1])
+    quiet, tags = model.quiet(x), model.decode(x)[0]
+    assert quiet.any() and not quiet.all() and not tags[quiet].any()
+
+
 def test_tagger_on_held_out_lines():
     model = pii.train([])
     lines = [x for x in pii._made(np.random.default_rng(77)) if pii.base_spans(x, np.frombuffer(x, np.uint8), 0, len(x))]
