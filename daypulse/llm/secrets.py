@@ -1,9 +1,10 @@
 """Secret scans: base rules, and a character convolutional network over every candidate.
 
-A candidate is a run of token characters of 16 or more with digits in it. The network sees it
+A candidate is any run of 16 or more token characters. The network sees it
 with its surrounding context and gives a calibrated probability; the threshold is the largest
 that keeps the wanted recall on held-out labelled findings. Findings of the base rules always
-stay; the network adds spans of kind ``cnn`` where a candidate touches none of them.
+stay; the network adds candidates, whole, as spans of kind ``cnn``, also those that stick out of
+base findings. Only candidates that lie within base findings are not scored.
 
 Training: at most ``TRAIN_ROWS`` texts, chosen by hash, whose base findings are the labelled
 positives and whose other candidates and plain tokens are the negatives, plus ``MADE_ROWS`` made
@@ -36,7 +37,6 @@ ASSIGN = re.compile(rb"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x
 ACCESS = re.compile(rb"AKIA[A-Z0-9]+")
 _WORDS = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key")
 _HEX = tb.byte_table([(0x30, 0x39), (0x61, 0x66)])
-_DIGIT = tb.byte_table([(0x30, 0x39)])
 _TOKEN = tb.byte_table([(0x30, 0x39), (0x41, 0x5A), (0x61, 0x7A), (0x2B, 0x2B), (0x2D, 0x2D), (0x2F, 0x2F),
                         (0x3D, 0x3D), (0x5F, 0x5F)])
 
@@ -60,11 +60,8 @@ def base_spans(data: np.ndarray, offs: np.ndarray) -> list[tuple[int, int, int,
 
 
 def candidates(data: np.ndarray, offs: np.ndarray):
-    """Runs of 16 or more token characters, 4 of them digits: start, end, text."""
-    s, e, row = scan.runs(_TOKEN[data], offs, 16)
-    digits = np.concatenate(([0], np.cumsum(_DIGIT[data], dtype=np.int64)))
-    ok = digits[e] - digits[s] >= 4
-    return s[ok], e[ok], row[ok]
+    """Runs of 16 or more token characters: start, end, text."""
+    return scan.runs(_TOKEN[data], offs, 16)
 
 
 def windows(data: np.ndarray, s: np.ndarray, e: np.ndarray, lo: np.ndarray, hi: np.ndarray):
@@ -143,8 +140,8 @@ def find_slice(model: nets.CharCnn, data: np.ndarray, offs: np.ndarray) -> tuple
             taken[a] += 1
             taken[b] -= 1
         covered = np.concatenate(([0], np.cumsum(np.cumsum(taken[:-1]) > 0)))
-        free = covered[e] == covered[s]
-        s, e, row = s[free], e[free], row[free]
+        out = covered[e] - covered[s] < e - s
+        s, e, row = s[out], e[out], row[out]
     added = []
     for c in range(0, len(s), 512):
         a, b, r = s[c:c + 512], e[c:c + 512], row[c:c + 512]

@@ -223,6 +223,39 @@ def test_cnn_on_held_out_rows():
     assert right >= 0.9 * len(rows)
 
 
+class FixedCnn:
+    """Gives 1 to windows whose marked part has ``what``, and keeps what it saw."""
+
+    threshold = 0.5
+
+    def __init__(self, what=b""):
+        self.what, self.seen = what, []
+
+    def probability(self, x, mark):
+        byte = np.zeros(99, np.uint8)
+        byte[1:96] = np.arange(0x20, 0x7F)
+        marked = [bytes(byte[a][m > 0]) for a, m in zip(x, mark)]
+        self.seen += marked
+        return np.array([float(self.what in t) for t in marked])
+
+
+def added_by(model, text):
+    base, added = secrets.find_slice(model, np.frombuffer(text, np.uint8), np.array([0, len(text)]))
+    return [text[a:b] for _, _, a, b in base], [text[a:b] for _, _, a, b in added]
+
+
+@pytest.mark.parametrize("key", [b"QwErTyUiOpAsDfGhJkLz", b"aB3dEfGhIjKlMnOpQrStUv7w", b"x" * 16])
+def test_candidates_need_no_digits(key):
+    assert added_by(FixedCnn(), b"the key " + key + b" and short words") == ([], [key])
+
+
+def test_candidate_around_a_base_span_is_scored_and_added_whole():
+    hexed, key = b"0123456789abcdef", b"Zk9Q0123456789abcdefXyWvUt"
+    assert added_by(FixedCnn(), b"a " + key + b" b") == ([hexed], [key])
+    model = FixedCnn()
+    assert added_by(model, b"a " + hexed + b" b") == ([hexed], []) and model.seen == []
+
+
 PERSONAL = ["mail a.b+c@ex-ample.co.uk, x@y or @z.com a@b.c@d.e", "at 10.0.255.1 and 300.1.1.1 or 1.2.3.4.5.6.7.8", "card 4111 1111 1111 1111 or 4111111111111112",
             "é +1 (555) 010-9999 or +1 2 3", None, "", "no data", "1234567890123456789012345", "+12", "日本 a@b.co 4111-1111-1111-1111", "%@a.b",
             "1.2.3.4@a.b.c", "a" * 3000 + "@", "1." * 2000]
