@@ -1,7 +1,9 @@
 """Secret scans: base rules, and a character convolutional network over every candidate.
 
-A candidate is any run of 16 or more token characters. The network sees it
-with its surrounding context and gives a calibrated probability; the threshold is the largest
+A candidate is any run of 16 or more token characters. The network sees it with its surrounding
+context, in one window of ``WIDTH`` bytes or, where it is longer than ``WIDTH - LEFT``, in overlapping
+windows every ``LEFT`` bytes until the context after its end has been read; the greatest of their
+calibrated probabilities is the candidate's. The threshold is the largest
 that keeps the wanted recall on held-out labelled findings. Findings of the base rules always
 stay; the network adds candidates, whole, as spans of kind ``cnn``, also those that stick out of
 base findings. Only candidates that lie within base findings are not scored.
@@ -64,14 +66,21 @@ def candidates(data: np.ndarray, offs: np.ndarray):
     return scan.runs(_TOKEN[data], offs, 16)
 
 
-def windows(data: np.ndarray, s: np.ndarray, e: np.ndarray, lo: np.ndarray, hi: np.ndarray):
-    """Symbols and candidate marks of the context windows; nothing outside ``lo .. hi`` is seen."""
-    at = s[:, None] - LEFT + np.arange(WIDTH)
+def windows(data: np.ndarray, s: np.ndarray, e: np.ndarray, lo: np.ndarray, hi: np.ndarray, at: np.ndarray | None = None):
+    """Symbols and candidate marks of the context windows, at ``s`` or the places ``at``; nothing outside ``lo .. hi`` is seen."""
+    at = (s if at is None else at)[:, None] - LEFT + np.arange(WIDTH)
     inside = (at >= lo[:, None]) & (at < hi[:, None])
     x = np.where(inside, nets.SYMBOL[data[np.clip(at, 0, max(len(data) - 1, 0))]], 0).astype(np.int16)
     return x, (inside & (at >= s[:, None]) & (at < e[:, None])).astype(np.float64)
 
 
+def slid(s: np.ndarray, e: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The places windows are laid at (``s`` of ``windows``) to read the candidates and LEFT bytes after them, and whose each is."""
+    more = np.where(e - s > WIDTH - LEFT, -(-(e - s + 2 * LEFT - WIDTH) // LEFT), 0)
+    own = np.repeat(np.arange(len(s)), more + 1)
+    return s[own] + LEFT * (np.arange(len(own)) - np.repeat(np.cumsum(more + 1) - more - 1, more + 1)), own
+
+
 def _made(rng: np.random.Generator, rows: int):
     """Findings and look-alikes in made contexts, as (text, start, end, label)."""
     chars = np.frombuffer(b"0123456789abcdefABCDEFGHIJKLMNOPQRSTUVWXYZghijklmnopqrstuvwxyz+/_", np.uint8)
@@ -105,16 +114,20 @@ def train(texts: list[bytes], seed: int = 7, recall: float = 0.95) -> nets.CharC
         data, offs = np.frombuffer(text, np.uint8), np.array([0, len(text)])
         found = base_spans(data, offs)
         s, e, _ = candidates(data, offs)
-        good = np.array([any(a < y and x < b for _, _, a, b in found) for x, y in zip(s, e)], bool)
+        at, own = slid(s, e)
+        s, e = s[own], e[own]
+        good = np.array([any(a < min(y, i - LEFT + WIDTH) and max(x, i - LEFT) < b for _, _, a, b in found)
+                         for i, x, y in zip(at, s, e)], bool)
         w = tb.words(data, offs)
         far = np.flatnonzero(w.end - w.start >= 10)[:4]  # plain words teach what is none
         taken = [(a, b) for _, _, a, b in found] + list(zip(s, e))
         plain = np.array([not any(a < w.end[i] and w.start[i] < b for a, b in taken) for i in far], bool)
+        at = np.concatenate((at, w.start[far[plain]] if len(far) else far)).astype(np.int64)
         s = np.concatenate((s, w.start[far[plain]] if len(far) else far)).astype(np.int64)
         e = np.concatenate((e, w.end[far[plain]] if len(far) else far)).astype(np.int64)
         y = np.concatenate((good, np.zeros(len(s) - len(good), bool)))
         if len(s):
-            x, m = windows(data, s, e, np.zeros(len(s), np.int64), np.full(len(s), len(data)))
+            x, m = windows(data, s, e, np.zeros(len(s), np.int64), np.full(len(s), len(data)), at)
             xs.append(x), marks.append(m), ys.append(y)
             known.append(np.concatenate((good, np.ones(len(s) - len(good), bool))))
     for text, a, b, good in _made(np.random.default_rng(seed), MADE_ROWS):
@@ -143,10 +156,13 @@ def find_slice(model: nets.CharCnn, data: np.ndarray, offs: np.ndarray) -> tuple
         out = covered[e] - covered[s] < e - s
         s, e, row = s[out], e[out], row[out]
     added = []
-    for c in range(0, len(s), 512):
-        a, b, r = s[c:c + 512], e[c:c + 512], row[c:c + 512]
-        p = model.probability(*windows(data, a, b, offs[r], offs[r + 1]))
-        added += [(int(r[i]), 3, int(a[i]), int(b[i])) for i in np.flatnonzero(p >= model.threshold)]
+    best = np.zeros(len(s))
+    at, own = slid(s, e)
+    for c in range(0, len(at), 512):
+        i = own[c:c + 512]
+        r = row[i]
+        np.maximum.at(best, i, model.probability(*windows(data, s[i], e[i], offs[r], offs[r + 1], at[c:c + 512])))
+    added += [(int(row[i]), 3, int(s[i]), int(e[i])) for i in np.flatnonzero(best >= model.threshold)]
     return base, added
 
 

@@ -256,6 +256,18 @@ def test_candidate_around_a_base_span_is_scored_and_added_whole():
     assert added_by(model, b"a " + hexed + b" b") == ([hexed], []) and model.seen == []
 
 
+@pytest.mark.parametrize("n", [16, 48, 49, 72, 73, 96, 97, 500])
+def test_long_candidates_are_read_to_their_end(n):
+    key = b"Zk9QwX7v"
+    path = (b"some/words/of-a/path_" * 30)[:n - 8] + key
+    text = b"left of it " + path + b" right context of it, more than LEFT bytes long"
+    assert added_by(FixedCnn(key), text) == ([], [path])
+    at, own = secrets.slid(np.array([11]), np.array([11 + n]))
+    assert not own.any() and at[0] == 11 and set(np.diff(at)) <= {secrets.LEFT}
+    if n > 48:  # the last window reaches LEFT bytes past the end
+        assert n + 24 <= at[-1] - 11 + 48 < n + 24 + secrets.LEFT
+
+
 PERSONAL = ["mail a.b+c@ex-ample.co.uk, x@y or @z.com a@b.c@d.e", "at 10.0.255.1 and 300.1.1.1 or 1.2.3.4.5.6.7.8", "card 4111 1111 1111 1111 or 4111111111111112",
             "é +1 (555) 010-9999 or +1 2 3", None, "", "no data", "1234567890123456789012345", "+12", "日本 a@b.co 4111-1111-1111-1111", "%@a.b",
             "1.2.3.4@a.b.c", "a" * 3000 + "@", "1." * 2000]
