@@ -38,6 +38,12 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
+def recall_threshold(found: np.ndarray, recall: float, otherwise: float) -> float:
+    """The largest threshold that ``recall`` of the findings' probabilities reach; ``otherwise`` without findings."""
+    found = np.sort(found)
+    return float(found[int((1 - recall) * len(found) + 1e-9)]) - 1e-9 if len(found) else otherwise
+
+
 class CharCnn:
     """Embedding, one convolution, rectifier, maximum over time, a logit.
 
@@ -94,14 +100,18 @@ class CharCnn:
         return sigmoid(self.scale * self.logits(x, mark) + self.shift)
 
     def fit(self, x, mark, y, epochs: int = 12, batch: int = 64, rate: float = 0.01, recall: float = 0.95,
-            floor: float = 0.5, seed: int = 1) -> CharCnn:
+            seed: int = 1, group: np.ndarray | None = None) -> CharCnn:
         """Train on four fifths; calibrate and choose the threshold on the rest.
 
-        The threshold is the largest that keeps ``recall`` of the held-out findings, ``floor`` at least.
+        The threshold is the largest that keeps ``recall`` of the held-out findings, however low that is.
+        Rows of one ``group`` are windows of one finding: they are held out together, and the greatest
+        probability counts, as in scans.
         """
         rng = np.random.default_rng(seed)
-        order = rng.permutation(len(y))
-        held, used = order[::5], np.delete(order, np.s_[::5])
+        group = np.arange(len(y)) if group is None else np.unique(group, return_inverse=True)[1]
+        order = rng.permutation(int(group.max()) + 1)
+        out = np.isin(group, order[::5])
+        held, used = np.flatnonzero(out), np.flatnonzero(~out)
         adam = Adam(self.p, rate)
         for _ in range(epochs):
             for part in np.array_split(rng.permutation(used), max(1, len(used) // batch)):
@@ -111,9 +121,9 @@ class CharCnn:
             q = sigmoid(self.scale * z + self.shift)
             self.scale -= 0.1 * float(((q - target) * z).mean())
             self.shift -= 0.1 * float((q - target).mean())
-        found = np.sort(self.probability(x[held], mark[held])[target > 0.5])
-        if len(found):
-            self.threshold = max(floor, float(found[int((1 - recall) * len(found))]) - 1e-9)
+        best = np.zeros(len(order))
+        np.maximum.at(best, group[held], self.probability(x[held], mark[held]))
+        self.threshold = recall_threshold(best[np.unique(group[held][target > 0.5])], recall, self.threshold)
         return self
 
 

@@ -8,11 +8,14 @@ that keeps the wanted recall on held-out labelled findings. Findings of the base
 stay; the network adds candidates, whole, as spans of kind ``cnn``, also those that stick out of
 base findings. Only candidates that lie within base findings are not scored.
 
-Training: at most ``TRAIN_ROWS`` texts, chosen by hash, whose base findings are the labelled
-positives and whose other candidates and plain tokens are the negatives, plus ``MADE_ROWS`` made
-findings and look-alikes (dates, versions, numbers, paths) from a fixed seed, so that a corpus
-without secrets can be scanned too. A candidate that no rule knows may still be a secret: a first
-fit on the labelled and made rows decides which of them are left out as negatives. Candidates are searched for in all texts, whole.
+Training: at most ``rows`` (``TRAIN_ROWS``) texts, chosen by hash, whose base findings are the
+labelled positives and whose other candidates and plain tokens are the negatives, plus ``MADE_ROWS``
+made findings and look-alikes (dates, versions, numbers, paths) from a fixed seed, so that a corpus
+without secrets can be scanned too. All windows of positives are trained on or held out; of the other
+windows as many, by a fixed seed, as make up ``windows`` (``TRAIN_WINDOWS``) with them, and half that
+number at least. A candidate that no rule knows may still be a secret: a first fit on the labelled
+and made rows decides which of them are left out as negatives. Candidates are searched for in all
+texts, whole.
 
 Defined results: null text is empty; offsets are code points, ends exclusive; repeated rows get
 equal results.
@@ -32,6 +35,7 @@ from daypulse.llm import nets, scan
 from daypulse.llm import textbatch as tb
 
 TRAIN_ROWS = 2000
+TRAIN_WINDOWS = 4000
 MADE_ROWS = 600
 LEFT, WIDTH = 24, 72
 KINDS = ("assign", "access", "hex", "cnn")
@@ -107,9 +111,15 @@ def _made(rng: np.random.Generator, rows: int):
     return out
 
 
-def train(texts: list[bytes], seed: int = 7, recall: float = 0.95) -> nets.CharCnn:
+def bounded(y: np.ndarray, most: int, seed: int) -> np.ndarray:
+    """Rows to train on: all positives, and others up to ``most`` rows in all, or half of ``most`` if that is more."""
+    other = np.random.default_rng(seed).permutation(np.flatnonzero(y < 0.5))
+    return np.sort(np.concatenate((np.flatnonzero(y > 0.5), other[:max(most - int((y > 0.5).sum()), most // 2)])))
+
+
+def train(texts: list[bytes], seed: int = 7, recall: float = 0.95, rows: int = TRAIN_WINDOWS) -> nets.CharCnn:
     """Fit the network on the texts' own findings and the made rows."""
-    xs, marks, ys, known = [], [], [], []
+    xs, marks, ys, known, groups = [], [], [], [], [np.zeros(1, np.int64)]
     for text in texts:
         data, offs = np.frombuffer(text, np.uint8), np.array([0, len(text)])
         found = base_spans(data, offs)
@@ -129,18 +139,22 @@ def train(texts: list[bytes], seed: int = 7, recall: float = 0.95) -> nets.CharC
         if len(s):
             x, m = windows(data, s, e, np.zeros(len(s), np.int64), np.full(len(s), len(data)), at)
             xs.append(x), marks.append(m), ys.append(y)
+            mine = np.concatenate((own, own.max(initial=-1) + 1 + np.arange(len(s) - len(own))))
+            groups.append(groups[-1].max() + 1 + mine)
             known.append(np.concatenate((good, np.ones(len(s) - len(good), bool))))
     for text, a, b, good in _made(np.random.default_rng(seed), MADE_ROWS):
         data = np.frombuffer(text, np.uint8)
         x, m = windows(data, np.array([a]), np.array([b]), np.array([0]), np.array([len(data)]))
         xs.append(x), marks.append(m), ys.append(np.array([good > 0.5])), known.append(np.array([True]))
+        groups.append(groups[-1].max(keepdims=True) + 1)
     x, mark, y = np.concatenate(xs), np.concatenate(marks), np.concatenate(ys).astype(np.float64)
-    keep = np.sort(np.random.default_rng(seed).permutation(len(y))[:4000])
+    keep = bounded(y, rows, seed)
     x, mark, y, known = x[keep], mark[keep], y[keep], np.concatenate(known)[keep]
+    group = np.concatenate(groups[1:])[keep]
     first = nets.CharCnn().fit(x[known], mark[known], y[known], epochs=6)
     known[~known] = first.probability(x[~known], mark[~known]) < 0.5
-    x, mark, y = x[known], mark[known], y[known]
-    return nets.CharCnn().fit(x, mark, y, recall=recall)
+    x, mark, y, group = x[known], mark[known], y[known], group[known]
+    return nets.CharCnn().fit(x, mark, y, recall=recall, group=group)
 
 
 def find_slice(model: nets.CharCnn, data: np.ndarray, offs: np.ndarray) -> tuple[list, list]:
@@ -184,8 +198,9 @@ def _text(spans) -> str:
     return scan.joined((KINDS[k], a, b) for a, k, b in sorted(spans))
 
 
-def fit_model(docs: DataFrame, text: str = "text", rows: int = TRAIN_ROWS) -> nets.CharCnn:
-    return train(scan.sample_texts(docs, text, rows, 11))
+def fit_model(docs: DataFrame, text: str = "text", rows: int = TRAIN_ROWS, windows: int = TRAIN_WINDOWS) -> nets.CharCnn:
+    """Train on at most ``rows`` texts; ``windows`` bounds the training windows that are no findings."""
+    return train(scan.sample_texts(docs, text, rows, 11), rows=windows)
 
 
 def find(docs: DataFrame, model: nets.CharCnn, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -7,7 +7,7 @@ import re
 import numpy as np
 import pytest
 
-from daypulse.llm import bwtmerge, decontaminate, jaccard, mixing, pii, quality, recompression, repeats, secrets
+from daypulse.llm import bwtmerge, decontaminate, jaccard, mixing, nets, pii, quality, recompression, repeats, secrets
 from daypulse.llm import textbatch as tb
 
 from . import brute
@@ -268,6 +268,29 @@ def test_long_candidates_are_read_to_their_end(n):
         assert n + 24 <= at[-1] - 11 + 48 < n + 24 + secrets.LEFT
 
 
+def test_threshold_keeps_the_wanted_recall_however_low():
+    found = np.linspace(0.01, 0.4, 200)
+    for recall in (0.95, 0.5, 1.0):
+        t = nets.recall_threshold(found, recall, 0.5)
+        assert (found >= t).mean() >= recall and (found >= t + 0.003).mean() < recall
+    assert nets.recall_threshold(found[:0], 0.95, 0.5) == 0.5
+    rng = np.random.default_rng(3)  # labels that nothing in the rows tells: probabilities are near their share
+    x, y = rng.integers(1, 96, (600, 72)).astype(np.int16), (rng.random(600) < 0.2).astype(float)
+    mark, group = np.ones((600, 72)), np.arange(600) // 2
+    model = nets.CharCnn().fit(x, mark, y, epochs=1, group=group)
+    held = np.isin(group, np.random.default_rng(1).permutation(300)[::5])
+    best = np.zeros(300)
+    np.maximum.at(best, group[held], model.probability(x[held], mark[held]))
+    assert model.threshold < 0.5 and (best[np.unique(group[held & (y > 0.5)])] >= model.threshold).mean() >= 0.95
+
+
+def test_bound_on_training_rows_keeps_all_positives():
+    y = (np.arange(5000) % 50 == 0).astype(float)
+    for most in (4000, 150, 20):
+        keep = secrets.bounded(y, most, 7)
+        assert y[keep].sum() == 100 and len(keep) == max(most, 100 + most // 2) and len(set(keep)) == len(keep)
+
+
 PERSONAL = ["mail a.b+c@ex-ample.co.uk, x@y or @z.com a@b.c@d.e", "at 10.0.255.1 and 300.1.1.1 or 1.2.3.4.5.6.7.8", "card 4111 1111 1111 1111 or 4111111111111112",
             "é +1 (555) 010-9999 or +1 2 3", None, "", "no data", "1234567890123456789012345", "+12", "日本 a@b.co 4111-1111-1111-1111", "%@a.b",
             "1.2.3.4@a.b.c", "a" * 3000 + "@", "1." * 2000]
