@@ -37,6 +37,10 @@ NAMES = re.compile(
     r"consent|disqus|footer|global-header|masthead|menu|modal|nav|navbar|navigation|newsletter|notice|page-header|pagination|"
     r"popup|promo|promoted|promotion|related|respond|share|sharing|side-bar|sidebar|site-header|skip|skip-link|social|"
     r"sponsor|sponsored|subscribe|toolbar|top-bar|topbar|widget)(s?([\s_\d-]|$))", re.I)
+# What may stand in a head; anything else ends it.
+IN_HEAD = frozenset("title meta base link script style noscript template noframes bgsound basefont head html".split())
+#: A part that holds this share of the page's text outside links is the page, whatever its tag.
+NEARLY_ALL = 0.9
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar".split())
 _CLOSES = {"li": ("li", ("ul", "ol")), "dt": ("dt", ("dl",)), "dd": ("dd", ("dl",)), "tr": ("tr", ("table",)),
            "td": ("td", ("tr", "table")), "th": ("th", ("tr", "table")), "option": ("option", ("select",))}
@@ -47,29 +51,36 @@ _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 
 class Node:
-    __slots__ = ("tag", "parent", "items", "skip", "chars", "tags", "link_chars", "link_tags", "density")
+    __slots__ = ("tag", "parent", "items", "skip", "soft", "chars", "tags", "link_chars", "link_tags", "density")
 
     def __init__(self, tag: str, parent: Node | None, skip: bool):
         self.tag, self.parent, self.skip = tag, parent, skip
+        self.soft = False  # skipped for its tag only
         self.items: list = []  # child nodes and texts in page order
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = 0.0
 
 
-def _is_boilerplate(tag: str, attrs, parent: Node, names: bool) -> bool:
-    if tag in NO_TEXT or tag in NO_ARTICLE:
+def _by_tag(tag: str, attrs, parent: Node, names: bool) -> bool:
+    """Whether a part is no article text by its tag, as long as it does not hold the page."""
+    if tag in NO_ARTICLE:
         return True
     head = tag == "header" or names and any(k == "class" and v and "header" in v.lower().split() for k, v in attrs)
     if head:
         node = parent
         while node is not None and node.tag not in ("article", "main"):
             node = node.parent
-        if node is None:  # a page header, not an article's
-            return True
+        return node is None  # a page header, not an article's
+    return False
+
+
+def _is_boilerplate(tag: str, attrs, names: bool) -> bool:
+    if tag in NO_TEXT:
+        return True
     for name, value in attrs:
         if name == "hidden" or name == "aria-hidden" and value == "true":
             return True
-        if name == "role" and (value or "").strip().lower() in ROLES:
+        if name == "role" and (value or "").strip().lower() in ROLES and not (tag == "form" and (value or "").strip().lower() == "form"):
             return True
         if names and name in ("class", "id") and value and tag not in ("html", "body", "article", "main") \
                 and NAMES.search(_CAMEL.sub("-", value)):
@@ -95,7 +106,19 @@ class _Tree(HTMLParser):
         if node is not None and node.parent is not None:
             self.at = node.parent
 
+    def _end_head(self) -> None:
+        """Close an open head unless something other than noscript is open in it."""
+        node = self.at
+        while node is not None and node.tag == "noscript":
+            node = node.parent
+        if node is not None and node.tag == "head":
+            self.at = node.parent
+
     def handle_starttag(self, tag, attrs):
+        if tag == "body":
+            self._close("head")
+        elif tag not in IN_HEAD:
+            self._end_head()
         if tag in BLOCK and tag not in ("html", "body"):
             self._close("p", ("td", "th", "table", "button", "object"))
         if tag in _CLOSES:
@@ -104,7 +127,8 @@ class _Tree(HTMLParser):
                 self._close("dd" if tag == "dt" else "dt", ("dl",))
             if tag in ("td", "th"):
                 self._close("th" if tag == "td" else "td", ("tr", "table"))
-        node = Node(tag, self.at, self.at.skip or _is_boilerplate(tag, attrs, self.at, self.names))
+        node = Node(tag, self.at, self.at.skip or _is_boilerplate(tag, attrs, self.names))
+        node.soft = not node.skip and _by_tag(tag, attrs, self.at, self.names)
         self.at.items.append(node)
         self.nodes.append(node)
         if tag not in VOID:
@@ -120,10 +144,26 @@ class _Tree(HTMLParser):
             self._close(tag, ("td", "th") if tag not in ("td", "th", "tr", "table", "tbody", "thead", "body", "html") else ())
 
     def handle_data(self, data):
+        if self.at.tag == "head" and data.strip():
+            self._end_head()
         if not self.at.skip:
             self.at.items.append(data)
 
 
+def _skip_parts(nodes: list[Node]) -> None:
+    """Skip what is no article text by its tag, but for parts that hold nearly all text outside links."""
+    plain = {}  # characters outside links of each subtree
+    for node in reversed(nodes):
+        n = 0
+        for item in node.items:
+            n += len(item.strip()) if isinstance(item, str) else plain[id(item)]
+        plain[id(node)] = 0 if node.tag == "a" else n
+    least = max(1, NEARLY_ALL * plain[id(nodes[0])])
+    for node in nodes[1:]:
+        if node.parent.skip or node.soft and plain[id(node)] < least:
+            node.skip = True
+
+
 def _weigh(nodes: list[Node]) -> None:
     """Characters, tags and their link shares of each subtree; parents come before children."""
     for node in reversed(nodes):
@@ -240,6 +280,7 @@ def _text(html: str, names: bool) -> str:
     tree = _Tree(names)
     tree.feed(html)
     tree.close()
+    _skip_parts(tree.nodes)
     body = next((n for n in tree.nodes if n.tag == "body"), tree.root)
     _weigh(tree.nodes)
     if not body.chars:

@@ -109,3 +109,18 @@ def test_extract_rows(spark):
     assert got[7].text.startswith("<b>")
     assert html.extract(df.limit(0)).count() == 0
     assert html.extract(df).where(F.col("page_id") == 3).count() == 2
+
+
+@pytest.mark.parametrize("page", [
+    f"<html><head><title>x</title><body><div>{ARTICLE}</div></body></html>",
+    f"<head><title>x</title><meta name=a><style>p {{}}</style>{ARTICLE}",
+    f"<html><head><title>x</title><noscript><link href=a></noscript><p></p>{ARTICLE}</html>",
+    f"<html><head><title>x</title></head><body><form id=form1 method=post><nav><a href=1>Home</a></nav><div>{ARTICLE}</div></form></body></html>",
+    f"<body><nav><ul><li><a href=1>Home</a></li></ul><div>{ARTICLE}</div></body>",
+    f"<body><aside><div>{ARTICLE}</div></body>"])
+def test_open_head_and_parts_around_the_whole_page(page):
+    assert html.main_text(page).removeprefix("Home ") == TEXT
+
+
+def test_small_forms_stay_boilerplate():
+    assert html.main_text(f"<body><form><p>Your mail</p></form><div>{ARTICLE}</div></body>") == TEXT
