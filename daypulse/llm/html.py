@@ -211,7 +211,7 @@ def _chosen(nodes: list[Node], body: Node) -> list[Node]:
         if node is body:
             break
         node = node.parent
-    top = best  # a page that names its article is believed
+    top = best  # an article or main element around the densest node widens the choice to all of it
     node = best
     while node is not None:
         if node.tag in ("article", "main"):
@@ -219,8 +219,6 @@ def _chosen(nodes: list[Node], body: Node) -> list[Node]:
             if node.tag == "article":
                 break
         node = node.parent
-    if top.tag in ("article", "main"):
-        return [top]
     while top.tag not in BLOCK and top.parent is not None:
         top = top.parent
     out = [top]

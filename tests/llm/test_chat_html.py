@@ -124,3 +124,11 @@ def test_open_head_and_parts_around_the_whole_page(page):
 
 def test_small_forms_stay_boilerplate():
     assert html.main_text(f"<body><form><p>Your mail</p></form><div>{ARTICLE}</div></body>") == TEXT
+
+
+@pytest.mark.parametrize("outer", ["body", "main", "div"])
+def test_an_article_in_two_parts_is_kept_whole(outer):
+    part = lambda w: "".join(f"<p>{f'{w}{i} words of a paragraph in one of the parts, ' * 4}</p>" for i in range(4))
+    page = f"<html><body><nav><a href=1>Home</a></nav><{outer}><article>{part('one')}</article><article>{part('two')}</article></{outer}></body></html>"
+    text = html.main_text(page)
+    assert all(f"{w}{i} words" in text for w in ("one", "two") for i in range(4)) and "Home" not in text
