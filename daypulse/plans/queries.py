@@ -10,7 +10,7 @@ import datetime as dt
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import display as D
@@ -403,15 +403,36 @@ def stream_land(spark, sf):
     return _staged_cols(ev.stage_events(read_streamed(spark, root, "events", EVENTS_FEED)))
 
 
+#: Records of an envelope page at most.
+PAGE_RECORDS = 10_000
+
+
+def _paged(raw, most):
+    """``raw_data`` as JSON with a page number: at most ``most`` records a day's page, and two pages a day at least.
+
+    A day's records are dealt to buckets, whose number grows with the day, by their place in the
+    input, so that equal records spread too; within its bucket each page ends after ``most`` records.
+    """
+    sizes = raw.groupBy("partition_date").agg(F.count(F.lit(1)).alias("n")).collect()  # bounded by the calendar
+    if not sizes:
+        return raw.select("partition_date", F.to_json("raw_data").alias("r"), F.lit(0).cast("long").alias("page"))
+    buckets = raw.sparkSession.createDataFrame(
+        [(r.partition_date, max(2, -(-2 * r.n // most))) for r in sizes], "d date, buckets long")
+    placed = raw.withColumn("_place", F.monotonically_increasing_id())
+    dealt = placed.join(F.broadcast(buckets), placed.partition_date.eqNullSafe(F.col("d"))).select(
+        "partition_date", F.to_json("raw_data").alias("r"), "_place", "buckets",
+        F.pmod(F.xxhash64("_place"), "buckets").alias("_bucket"))
+    nth = F.row_number().over(Window.partitionBy("partition_date", "_bucket").orderBy("_place")) - 1
+    return dealt.select("partition_date", "r", (F.col("_bucket") + F.col("buckets") * F.floor(nth / most)).alias("page"))
+
+
 def land_envelope_files(spark, sf):
     """A1: envelope pages written as files (every other one over several lines), landed and staged."""
     base = fresh_path(spark, "envelope")
     raw = ev.land_events(ev.table(spark, sf, "events"))
-    page = F.abs(F.xxhash64(F.to_json("raw_data"))) % 2
-    pages = raw.withColumn("page", page).groupBy("partition_date", "page").agg(
-        F.collect_list(F.to_json("raw_data")).alias("r"))
+    pages = _paged(raw, PAGE_RECORDS).groupBy("partition_date", "page").agg(F.collect_list("r").alias("r"))
     text = F.concat(F.lit('{"data":['), F.array_join("r", ","), F.lit("]}"))
-    text = F.when(F.col("page") == 1, F.replace(text, F.lit('},{"'), F.lit('},\n  {"'))).otherwise(text)
+    text = F.when(F.col("page") % 2 == 1, F.replace(text, F.lit('},{"'), F.lit('},\n  {"'))).otherwise(text)
     pages.select(text.alias("value"), "partition_date", "page").write.partitionBy("partition_date", "page").text(f"{base}/pages")
     found = land.envelope_records(land.read_pages(spark, f"{base}/pages"), keep=["partition_date"])
     days = [r[0] for r in raw.select("partition_date").distinct().collect()]  # bounded by the calendar

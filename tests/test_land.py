@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from daypulse.operators.quality import row_count_check
+from daypulse.plans import queries as plans
 from daypulse.sources.land import backfill, latest_by, read_raw, to_raw, upsert_day
 
 D1, D2 = dt.date(2026, 1, 15), dt.date(2026, 1, 16)
@@ -246,3 +247,16 @@ def test_append_log_then_latest(spark, tmp_root):
     append(spark.createDataFrame([("k", 2, "new")], "key string, updated_at int, token string"), log)
     rows = latest_by(spark.read.parquet(log), ["key"], ["updated_at"]).collect()
     assert [(r["key"], r["token"]) for r in rows] == [("k", "new")]
+
+
+def test_envelope_pages_are_bounded_and_grow_with_the_day(spark):
+    rows = [(f'{{"v": {i}}}', D1) for i in range(500)] + [('{"same": 1}', D1)] * 300 + [('{"v": 0}', D2)] * 3
+    raw = to_raw(spark.createDataFrame(rows, "js string, partition_date date"), "js", keep=["partition_date"])
+    paged = plans._paged(raw, 20).collect()
+    assert sorted((r.partition_date, r.r.replace(":", ": ")) for r in paged) == sorted((d, js) for js, d in rows)
+    sizes = {}
+    for r in paged:
+        sizes[r.partition_date, r.page] = sizes.get((r.partition_date, r.page), 0) + 1
+    assert max(sizes.values()) <= 20
+    assert sum(d == D1 for d, _ in sizes) >= 40 and all(p in (0, 1) for d, p in sizes if d == D2)
+    assert plans._paged(raw.where("false"), 20).count() == 0
