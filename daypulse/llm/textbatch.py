@@ -16,7 +16,13 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 SLICE_BYTES = 1 << 19
-_BASES = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
+#: The Mersenne prime that content hashes are taken modulo, and two bases below it.
+PRIME = (1 << 61) - 1
+_BASES = (0x1A6B3E9C5D7F2481, 0x0D5A19C4B3E86F73)
+_P, _LOW = np.uint64(PRIME), np.uint64(0xFFFFFFFF)
+_S29, _S32, _S61, _M29 = np.uint64(29), np.uint64(32), np.uint64(61), np.uint64((1 << 29) - 1)
+#: Sums of byte terms stay below 2^64 up to here; longer sequences reduce each term first.
+_PLAIN_SUM = 1 << 22
 _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
@@ -77,17 +83,36 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x
 
 
+def _reduce(x: np.ndarray) -> np.ndarray:
+    """64-bit values modulo the prime."""
+    x = (x & _P) + (x >> _S61)
+    return np.where(x >= _P, x - _P, x)
+
+
+def _times_2_32(x: np.ndarray) -> np.ndarray:
+    """``x * 2^32`` modulo the prime, up to one multiple of it."""
+    return (x >> _S29) + ((x & _M29) << _S32)
+
+
+def mulmod(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Products modulo the prime, in 32-bit halves (2^61 counts as 1, so 2^64 as 8)."""
+    ah, al, bh, bl = a >> _S32, a & _LOW, b >> _S32, b & _LOW
+    low = al * bl
+    return _reduce(((ah * bh) << np.uint64(3)) + _times_2_32(al * bh + ah * bl) + (low & _P) + (low >> _S61))
+
+
 def _powers(n: int, base: int) -> tuple[np.ndarray, np.ndarray]:
     have = _POWERS.get(base)
     if have is None or len(have[0]) < n:
-        size = max(n, 1 << 16)
-        b = _BASES[base]
-        inv = np.uint64(pow(int(b), -1, 1 << 64))
+        size = 1 << max(16, (n - 1).bit_length())
         out = []
-        for x in (b, inv):
-            p = np.full(size, x, np.uint64)
-            p[0] = 1
-            out.append(np.cumprod(p, dtype=np.uint64))
+        for x in (_BASES[base], pow(_BASES[base], -1, PRIME)):
+            p = np.ones(size, np.uint64)
+            k = 1
+            while k < size:
+                p[k:2 * k] = mulmod(p[:k], np.uint64(pow(x, k, PRIME)))
+                k *= 2
+            out.append(p)
         have = _POWERS[base] = (out[0], out[1])
     return have
 
@@ -95,19 +120,31 @@ def _powers(n: int, base: int) -> tuple[np.ndarray, np.ndarray]:
 class Rolling:
     """Content hashes of any ranges of a sequence, from one prefix sum.
 
-    The hash of ``seq[s:e]`` depends on its content only (not on ``s``), is 64 bits
-    wide and is scrambled, so it can name the range across tasks.
+    The hash of ``seq[s:e]`` is a polynomial in a fixed base modulo 2^61 - 1. It depends on
+    the content only (not on ``s``) and is scrambled, so it can name the range across tasks.
+    Two different ranges of at most n symbols share a name with a chance of about n / 2^61
+    (symbols of 64 bits are taken modulo the prime first, which adds 2^-61 for each).
     """
 
     def __init__(self, seq: np.ndarray, base: int = 0):
         n = len(seq)
         up, self._down = _powers(n + 1, base)
-        self._sum = np.zeros(n + 1, np.uint64)
-        np.cumsum((seq.astype(np.uint64) + np.uint64(1)) * up[:n], out=self._sum[1:])
+        up = up[:n]
+        if seq.dtype == np.uint8 and n <= _PLAIN_SUM:
+            x = seq.astype(np.uint64) + np.uint64(1)
+            low, high = (up & _LOW) * x, (up >> _S32) * x
+        else:
+            x = seq.astype(np.uint64)
+            term = mulmod(_reduce(_reduce(x) + np.uint64(1)), up)
+            low, high = term & _LOW, term >> _S32
+        self._low, self._high = np.zeros(n + 1, np.uint64), np.zeros(n + 1, np.uint64)
+        np.cumsum(low, out=self._low[1:])
+        np.cumsum(high, out=self._high[1:])
 
     def __call__(self, s: np.ndarray, e: np.ndarray) -> np.ndarray:
-        raw = (self._sum[e] - self._sum[s]) * self._down[s]
-        return mix64(raw ^ ((np.asarray(e) - s).astype(np.uint64) << np.uint64(40)))
+        low = self._low[e] - self._low[s]
+        raw = _reduce((low & _P) + (low >> _S61) + _times_2_32(self._high[e] - self._high[s]))
+        return mix64(mulmod(raw, self._down[s]) ^ ((np.asarray(e) - s).astype(np.uint64) << np.uint64(40)))
 
 
 class Words(NamedTuple):
