@@ -87,6 +87,7 @@ reach AS (SELECT rid AS a, rid AS b FROM l UNION SELECT r.a, e.b FROM reach r JO
 SELECT o.doc_id, coalesce(any_value(n.n), 0)::BIGINT AS n_shingles, min(m.doc_id) AS component_id
 FROM l o LEFT JOIN n USING (rid) JOIN reach r ON r.a = o.rid JOIN l m ON m.rid = r.b GROUP BY o.rid, o.doc_id"""
 
+_TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 _ALNUM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 OP10 = rf"""
 WITH l AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '{_ALNUM}') AS ws FROM documents),
@@ -104,4 +105,47 @@ SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
        sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM l LEFT JOIN words USING (rid) LEFT JOIN items USING (rid)"""
 
-ORACLE = {"op4_recompression": OP4, "op6_quality": OP6, "op7_chat": OP7, "op8_jaccard": OP8, "op10_decontaminate": OP10}
+OP12 = rf"""
+WITH d AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
+                  regexp_extract_all(coalesce(text, ''), '{_WORD}') AS ws FROM documents),
+f AS (SELECT doc_id, part, CASE WHEN len(ws) < 200 THEN 1 ELSE 0 END
+             + CASE WHEN 100 * len(list_distinct(ws)) < 50 * len(ws) THEN 2 ELSE 0 END
+             + CASE WHEN 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 3 * length(text) THEN 4 ELSE 0 END
+             + CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 8 ELSE 0 END
+             + CASE WHEN min(doc_id) OVER (PARTITION BY text) < doc_id THEN 16 ELSE 0 END AS mask FROM d),
+l AS (SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good,
+             max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic FROM labels GROUP BY doc_id),
+m AS (SELECT part, mask, count(*) AS n, sum(coalesce(good, 0)) AS good, sum(coalesce(toxic, 0)) AS toxic,
+             bit_count(mask) AS many FROM f LEFT JOIN l USING (doc_id) GROUP BY part, mask),
+c AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS c, unnest([1, 2, 4, 8, 16]) AS b),
+o AS (SELECT v.c || w.c || x.c || y.c || z.c AS filter_order, [v.b, w.b, x.b, y.b, z.b] AS bits
+      FROM c v, c w, c x, c y, c z WHERE v.b + w.b + x.b + y.b + z.b = 31 AND (v.b | w.b | x.b | y.b | z.b) = 31),
+s AS (SELECT filter_order, step::INTEGER AS step, bits[step] AS own, coalesce(list_sum(bits[1:step - 1]), 0)::INTEGER AS before
+      FROM o, range(1, 6) r(step))
+SELECT part, filter_order, step,
+       coalesce(sum(n) FILTER (WHERE mask & (own | before) = 0), 0)::BIGINT AS kept,
+       coalesce(sum(n) FILTER (WHERE mask & own <> 0 AND mask & before = 0), 0)::BIGINT AS removed,
+       coalesce(sum(n) FILTER (WHERE mask & own <> 0 AND mask & before <> 0), 0)::BIGINT AS redundant,
+       coalesce(sum(n) FILTER (WHERE mask = own), 0)::BIGINT AS unique_fails,
+       coalesce(sum(good) FILTER (WHERE mask & own <> 0 AND mask & before = 0), 0)::BIGINT AS good_lost,
+       coalesce(sum(toxic) FILTER (WHERE mask & own <> 0 AND mask & before = 0), 0)::BIGINT AS toxic_lost,
+       coalesce(sum(n * (120 // greatest(many, 1))) FILTER (WHERE mask & own <> 0), 0)::BIGINT AS shapley
+FROM m, s GROUP BY part, filter_order, step"""
+
+OP11 = rf"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id,
+                  regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '{_TERM}') AS ts FROM documents),
+g AS (SELECT count(*) FILTER (WHERE len(ts) > 0) AS docs, sum(len(ts))::HUGEINT AS total FROM d),
+b AS (SELECT row_number() OVER () AS iid, item_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '{_TERM}') AS ts FROM benchmark),
+q AS (SELECT iid, item_id, term, count(*) AS reps FROM (SELECT iid, item_id, unnest(ts) AS term FROM b) GROUP BY ALL),
+p AS (SELECT rid, term, count(*) AS tf FROM (SELECT rid, unnest(ts) AS term FROM d)
+      WHERE term IN (SELECT term FROM q) GROUP BY rid, term),
+w AS (SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM p, g GROUP BY term, docs),
+m AS (SELECT rid, doc_id, 25 + ((75 * len(ts)::HUGEINT * docs) // total)::BIGINT AS m FROM d, g WHERE len(ts) > 0),
+s AS (SELECT iid, item_id, m.rid, m.doc_id, sum(reps * w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+      FROM q JOIN p USING (term) JOIN w USING (term) JOIN m USING (rid) GROUP BY iid, item_id, m.rid, m.doc_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY iid ORDER BY score DESC, doc_id, rid) AS rank FROM s WHERE score > 0)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM r WHERE rank <= 10"""
+
+ORACLE = {"op4_recompression": OP4, "op6_quality": OP6, "op7_chat": OP7, "op8_jaccard": OP8, "op10_decontaminate": OP10,
+          "op11_rank": OP11, "op12_audit": OP12}

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daypulse.llm import bwtmerge, chat, decontaminate, html, jaccard, mixing, oracle, pii, quality, recompression, secrets
+from daypulse.llm import (audit, bpe, bwtmerge, chat, decontaminate, html, jaccard, mixing, oracle, pii, quality, rank,
+                          recompression, secrets)
 from daypulse.llm.spark_utils import narrow_batches
 
 
@@ -70,6 +71,26 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.decontaminate(docs, _read(spark, sf_dir, "benchmark"), drop_text=True)
 
 
+def op11_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rank.top_documents(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+
+
+def op12_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.audit(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+
+
+def vocabulary_path(name: str = "byte_bpe_50k.json") -> str:
+    """Where a public tokenizer's file is on this machine."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
+def op13_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    return bpe.round_trip(docs, vocabulary_path(), drop_text=True)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix": op1_mix,
     "op2_secrets": op2_secrets,
@@ -81,5 +102,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_jaccard": op8_jaccard,
     "op9_bwt_merge": op9_bwt_merge,
     "op10_decontaminate": op10_decontaminate,
+    "op11_rank": op11_rank,
+    "op12_audit": op12_audit,
+    "op13_bpe": op13_bpe,
 }
 ORACLE: dict[str, str] = dict(oracle.ORACLE)

@@ -76,3 +76,31 @@ def components(links: DataFrame, a: str = "a", b: str = "b", name: str = "links"
     else:
         raise RuntimeError("components did not converge")
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
+
+
+#: A key with more than one in so many rows is joined apart; there are at most that many of them.
+HOT_SHARE = 500
+#: Rows that are looked at to find such keys.
+LOOKED_AT = 200_000
+
+
+def join_skewed(rows: DataFrame, found: DataFrame, key: str, found_key: str, how: str = "inner") -> DataFrame:
+    """``rows`` joined with ``found`` (one row a key), safe from keys that hold much of ``rows``.
+
+    A sample of ``rows`` (which should be a stored table) shows the hot keys; the ``found`` rows of these, at
+    most ``HOT_SHARE``, are broadcast, all others are joined by a shuffle. The sample decides how a row is
+    joined, never whether.
+    """
+    total = rows.count()
+    look = rows.select(F.col(key).alias("k"))
+    look = look if total <= LOOKED_AT else look.sample(LOOKED_AT / total, 7)
+    least = max(100, min(total, LOOKED_AT) // HOT_SHARE)
+    hot = [r["k"] for r in look.groupBy("k").count().where(F.col("count") > least).orderBy(F.desc("count"))
+           .limit(HOT_SHARE).collect() if r["k"] is not None]
+    same = F.col(key) == F.col(found_key)
+    if not hot:
+        return rows.join(found, same, how)
+    is_hot = F.coalesce(F.col(key).isin(hot), F.lit(False))
+    found_hot = F.col(found_key).isin(hot)
+    return rows.where(~is_hot).join(found.where(~found_hot), same, how).unionByName(
+        rows.where(is_hot).join(F.broadcast(found.where(found_hot)), same, how))
