@@ -8,10 +8,12 @@ Two joins of the six legs are offered and never swapped silently:
   therefore yield two rows, and a day with only the last three legs three rows.
 * ``full_outer_on_key`` (J2) is "one row per key and day".
 
-Both have a join form (any leg contents; duplicates multiply) and a grouped form
-(one shuffle) that gives the same rows where each leg has at most one row per key. The
-grouped form counts the rows of every leg in the same aggregation and fails on a leg with
-more, so rows are never blended.
+Both have three forms. ``join`` chains joins and takes any legs; duplicates multiply. ``grouped``
+(one shuffle) gives the same rows where each leg has at most one row per key; it counts the rows of
+every leg in the same aggregation and fails on a leg with more, so rows are never blended.
+``product`` takes any legs with one shuffle of their rows: a key's rows are gathered in an array per
+leg and multiplied by generators. A key with more than ``SPLIT`` rows in a leg is cut into parts:
+that leg's rows are dealt to the parts, those of its other legs go to each.
 """
 
 from __future__ import annotations
@@ -22,6 +24,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import stored
+
 # The wellness legs in join order, and the columns each leg
 # contributes to the daily mart as (staged column, mart column).
 LEGS = ("ready", "sleep", "act", "spo2", "stress", "res")
@@ -88,6 +92,15 @@ def full_outer_chain(legs: Mapping[str, DataFrame], keys: Sequence[str] = (), da
     """J1, the faithful chain. ``method="grouped"`` fails unless legs are unique per key and day."""
     if method == "grouped":
         return _chain_grouped(legs, keys, day)
+    if method == "product":
+        g = _gathered({n: legs[n] for n in LEGS}, keys, day)
+        r, s, a = (_has(n) for n in ("ready", "sleep", "act"))
+        xs = ("spo2", "stress", "res")
+        lone = ~r & ~s & ~a
+        branches = [(r, ("ready", "sleep", "act", *xs)), (~r & s, ("sleep", *xs)), (~r & a, ("act", *xs)),
+                    *[(lone & _has(x), (x,)) for x in xs]]
+        vals = [c for n in _OUT_ORDER for c in _value_cols(legs[n], keys, day)]
+        return _multiplied(g, legs, keys, day, branches).select(*keys, day, *vals)
     if method != "join":
         raise ValueError(f"unknown method {method!r}")
     kd = [*keys, day]
@@ -162,15 +175,86 @@ def _chain_grouped(legs: Mapping[str, DataFrame], keys: Sequence[str], day: str)
     return ex.select(*kd, *vals)
 
 
+#: Rows of a leg for one key that are gathered in one array at most.
+SPLIT = 4096
+#: Split keys up to which their table is broadcast; beyond, it is joined by a shuffle.
+FEW_SPLIT = 10_000
+
+
+def _gathered(legs: Mapping[str, DataFrame], keys: Sequence[str], day: str) -> DataFrame:
+    """Per (keys, day, part): an array of each leg's rows, and which leg (if any) the key was split by.
+
+    A key whose rows of one leg exceed ``SPLIT`` gets as many parts as that leg, its largest, fills. The
+    counts that decide it are combined map-side; only keys beyond the limit are kept (at most the rows of
+    all legs divided by ``SPLIT``).
+    """
+    kd = [*keys, day]
+    counts = reduce(lambda a, b: a.unionByName(b), [
+        df.where(_valid(keys, day)).groupBy(*kd).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > SPLIT)
+        .withColumn("_split", F.lit(n)) for n, df in legs.items()])
+    split = counts.groupBy(*kd).agg(F.max_by(F.struct("_split", "_n"), F.struct("_n", "_split")).alias("_m"))
+    split = stored(split.select(*[F.col(c).alias(f"_k_{c}") for c in kd], F.col("_m._split").alias("_split"),
+                                F.ceil(F.col("_m._n") / SPLIT).cast("int").alias("_parts")), "split-keys")
+    many = split.limit(FEW_SPLIT + 1).count()
+
+    names, tagged = list(legs), []
+    types = {n: legs[n].select(F.struct(*_value_cols(legs[n], keys, day)).alias("s")).schema["s"].dataType for n in names}
+    for n in names:
+        row = F.struct(*[F.col(c) for c in _value_cols(legs[n], keys, day)])
+        rows = legs[n].select(*kd, *[(row if m == n else F.lit(None)).cast(types[m]).alias(f"_{m}") for m in names])
+        if many:
+            same = reduce(lambda a, b: a & b, [F.col(c) == F.col(f"_k_{c}") for c in kd])
+            rows = rows.join(F.broadcast(split) if many <= FEW_SPLIT else split, same, "left")
+            own = F.array(F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.col("_parts")).cast("int"))
+            every = F.sequence(F.lit(0), F.col("_parts") - 1)
+            part = F.when(F.col("_parts").isNull(), F.array(F.lit(0))).when(F.col("_split") == n, own).otherwise(every)
+            rows = rows.select(*kd, *[f"_{m}" for m in names], "_split", F.explode(part).alias("_part"))
+        else:
+            rows = rows.select("*", F.lit(None).cast("string").alias("_split"), F.lit(0).alias("_part"))
+        tagged.append(rows)
+    u = reduce(lambda a, b: a.unionByName(b), tagged)
+    return _lone_nulls(u, keys, day).groupBy(*kd, "_lone", "_part").agg(
+        F.max("_split").alias("_split"), *[F.collect_list(f"_{m}").alias(f"_{m}") for m in names])
+
+
+def _has(leg: str) -> Column:
+    """The key has rows of the leg, in this part or (if it is the split one) in another."""
+    return (F.size(f"_{leg}") > 0) | F.coalesce(F.col("_split") == leg, F.lit(False))
+
+
+def _multiplied(g: DataFrame, legs: Mapping[str, DataFrame], keys: Sequence[str], day: str,
+                branches: Sequence[tuple[Column, Sequence[str]]]) -> DataFrame:
+    """The rows of each branch that applies: the product of its legs' arrays, absent legs as NULLs.
+
+    In a split key a branch with the split leg runs where that leg has rows, any other one in part 0 only.
+    The product is streamed through one generator per leg and never held.
+    """
+    names, kd = list(legs), [*keys, day]
+    flags = []
+    for test, members in branches:
+        held = reduce(lambda a, b: a | b, [(F.col("_split") == m) & (F.size(f"_{m}") > 0) for m in members])
+        here = F.when(F.col("_split").isNull(), F.lit(True)).when(
+            F.col("_split").isin(*members), held).otherwise(F.col("_part") == 0)
+        flags.append(F.when(test & here, F.array(*[F.lit(m in members) for m in names])))
+    rows = g.select(*kd, *[f"_{m}" for m in names], F.explode(F.array_compact(F.array(*flags))).alias("_in"))
+    for i, m in enumerate(names):
+        rest = [f"_{x}" if j > i else f"_row_{x}" for j, x in enumerate(names) if j != i]
+        rows = rows.select(*kd, "_in", *rest, F.explode_outer(F.when(F.col("_in")[i], F.col(f"_{m}"))).alias(f"_row_{m}"))
+    return rows.select(*kd, *[F.col(f"_row_{m}")[c].alias(c) for m in names for c in _value_cols(legs[m], keys, day)])
+
+
 def full_outer_on_key(legs: Mapping[str, DataFrame] | Sequence[DataFrame], keys: Sequence[str] = (),
                       day: str = "day", method: str = "grouped") -> DataFrame:
     """Full outer join of all legs on (keys, day); key columns coalesced.
 
     ``method="grouped"`` (one shuffle) fails on a leg with more than one row for a
-    key; ``method="join"`` chains joins and accepts anything.
+    key; ``method="product"`` (one shuffle) and ``method="join"`` (a join per leg) accept anything.
     """
     frames = list(legs.values()) if isinstance(legs, Mapping) else list(legs)
     kd = [*keys, day]
+    if method == "product":
+        named = dict(legs) if isinstance(legs, Mapping) else {f"l{i}": f for i, f in enumerate(frames)}
+        return _multiplied(_gathered(named, keys, day), named, keys, day, [(F.lit(True), tuple(named))])
     if method == "join":
         return reduce(lambda a, b: a.join(b, kd, "full_outer"), frames)
     if method != "grouped":

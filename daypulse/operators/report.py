@@ -132,12 +132,30 @@ def metric_stats(df: DataFrame, by: Sequence[str] = PERIOD,
     pcol = {n: F.col(x) if isinstance(x, str) and x in by else F.col(n) for n, x in bounds.items()}
     rows = df.select(*by, day, *extra, *[summable(m, exact).alias(f"_v{i}") for i, m in enumerate(metrics)])
     pcols = [c for c in bounds if c in rows.columns]
-    n_rows, parts = F.count(F.lit(1)), range(len(metrics))
-    if data_split:
-        rows = rows.groupBy(*by, *pcols, day).agg(
-            n_rows.alias("_n"), *[x for i in parts for x in (
-                F.sum(f"_v{i}").alias(f"_s{i}"), F.count(f"_v{i}").alias(f"_c{i}"),
-                F.min(F.col(f"_v{i}")).alias(f"_lo{i}"), F.max(F.col(f"_v{i}")).alias(f"_hi{i}"))])
+    if not data_split:
+        return _wide_stats(rows, by, metrics, day, pcol, pcols)
+    days = rows.groupBy(*by, *pcols, day).agg(F.count(F.lit(1)).alias("_n"), *[
+        x for i in range(len(metrics)) for x in partials(F.col(f"_v{i}"), i)])
+    return _wide_stats(days, by, metrics, day, pcol, pcols, of_days=True)
+
+
+def partials(value: Column, i: int) -> list[Column]:
+    """The mergeable part of a metric's statistics: sum, count, least and greatest value (columns ``_s{i}`` ...)."""
+    return [F.sum(value).alias(f"_s{i}"), F.count(value).alias(f"_c{i}"),
+            F.min(value).alias(f"_lo{i}"), F.max(value).alias(f"_hi{i}")]
+
+
+def stats_of_days(days: DataFrame, by: Sequence[str], metrics: Sequence[str], day: str = "day",
+                  start: str = "start_date", end: str = "end_date") -> DataFrame:
+    """``metric_stats`` from rows that are already one per (by, day): ``_n`` and the ``partials`` of each metric."""
+    return _wide_stats(days, by, metrics, day, {"_pstart": F.col(start), "_pend": F.col(end)}, [], of_days=True)
+
+
+def _wide_stats(rows: DataFrame, by: Sequence[str], metrics: Sequence[str], day: str, pcol: Mapping[str, Column],
+                pcols: Sequence[str], of_days: bool = False) -> DataFrame:
+    """One wide aggregate per group, unpivoted. ``rows`` hold values or, ``of_days``, partials of a day each."""
+    parts, n_rows = range(len(metrics)), F.count(F.lit(1))
+    if of_days:
         w = Window.partitionBy(*by)
         rows = rows.withColumn("_dmin", F.min(day).over(w)).withColumn("_dmax", F.max(day).over(w))
         n_rows = F.sum("_n")
@@ -149,7 +167,7 @@ def metric_stats(df: DataFrame, by: Sequence[str] = PERIOD,
 
     d = F.col(day)
     splits = {"": d <= midpoint(pcol["_pstart"], pcol["_pend"])}
-    if data_split:
+    if of_days:
         splits["d"] = d <= midpoint(F.col("_dmin"), F.col("_dmax"))
     aggs = [n_rows.alias("total_days")]
     for i in parts:
@@ -271,7 +289,12 @@ def personal_bests(wellness: DataFrame, sleep: DataFrame | None = None,
     u = parts[0]
     for p in parts[1:]:
         u = u.unionByName(p)
-    best = u.groupBy(*by, "metric").agg(
+    return earliest_best(u, by)
+
+
+def earliest_best(rows: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Per (by, metric) the row (value, day) with the least ``sign * value``, the earliest day of equal ones."""
+    best = rows.groupBy(*by, "metric").agg(
         F.min_by(F.struct("value", "day"), F.struct(F.col("sign") * F.col("value"), F.col("day")))
         .alias("_b"))
     return best.select(*by, "metric", F.col("_b.value").alias("value"), F.col("_b.day").alias("day"))
@@ -279,6 +302,19 @@ def personal_bests(wellness: DataFrame, sleep: DataFrame | None = None,
 
 # ---- sleep, workouts, gate -------------------------------------------------------
 
+# The means and the ratios of the sleep summary, as (output, column, divisor) and (output, part, whole).
+SLEEP_MEANS = (("avg_duration_hrs", "total_sleep_duration", 3600), ("avg_efficiency", "efficiency", 1),
+               ("avg_hrv", "avg_hrv", 1), ("avg_hr", "avg_hr", 1))
+SLEEP_RATIOS = (("deep_pct", "deep_sleep_duration", "total_sleep_duration"),
+                ("light_pct", "light_sleep_duration", "total_sleep_duration"),
+                ("rem_pct", "rem_sleep_duration", "total_sleep_duration"), ("awake_pct", "awake_time", "time_in_bed"))
+
+
+def ratio_pct(part: str, whole: str) -> Column:
+    """A night's ratio in percent; NULL for a zero denominator."""
+    return F.try_divide(F.col(part).cast("double"), F.col(whole).cast("double")) * F.lit(100.0)
+
+
 def sleep_summary(sleep: DataFrame, by: Sequence[str] = PERIOD, long_sleep: str = LONG_SLEEP,
                   fixed: Sequence[str] = ()) -> DataFrame:
     """long_sleep nights only; means of per-night ratios (not ratios of sums).
@@ -287,24 +323,10 @@ def sleep_summary(sleep: DataFrame, by: Sequence[str] = PERIOD, long_sleep: str
     """
     ls = sleep.where(F.col("sleep_type") == long_sleep)
     exact = fixed_columns(sleep, fixed)
-
-    def mean(name: str) -> Column:
-        return mean_of(F.sum(summable(name, exact)), F.count(name))
-
-    def pct(num: str, den: str) -> Column:
-        return F.avg(F.try_divide(F.col(num).cast("double"), F.col(den).cast("double")) * F.lit(100.0))
-
     return ls.groupBy(*by).agg(
         F.count(F.lit(1)).alias("nights"),
-        round2(mean("total_sleep_duration") / F.lit(3600)).alias("avg_duration_hrs"),
-        round2(mean("efficiency")).alias("avg_efficiency"),
-        round2(mean("avg_hrv")).alias("avg_hrv"),
-        round2(mean("avg_hr")).alias("avg_hr"),
-        round2(pct("deep_sleep_duration", "total_sleep_duration")).alias("deep_pct"),
-        round2(pct("light_sleep_duration", "total_sleep_duration")).alias("light_pct"),
-        round2(pct("rem_sleep_duration", "total_sleep_duration")).alias("rem_pct"),
-        round2(pct("awake_time", "time_in_bed")).alias("awake_pct"),
-    )
+        *[round2(mean_of(F.sum(summable(c, exact)), F.count(c)) / F.lit(by_)).alias(n) for n, c, by_ in SLEEP_MEANS],
+        *[round2(F.avg(ratio_pct(a, b))).alias(n) for n, a, b in SLEEP_RATIOS])
 
 
 def workout_summary(workouts: DataFrame, by: Sequence[str] = PERIOD,
@@ -315,6 +337,11 @@ def workout_summary(workouts: DataFrame, by: Sequence[str] = PERIOD,
     """
     per = workouts.groupBy(*by, activity).agg(F.count(F.lit(1)).alias("sessions"),
                                               F.sum(dec(calories)).alias("_cal"))
+    return workout_totals(per, by, activity)
+
+
+def workout_totals(per: DataFrame, by: Sequence[str], activity: str = "workout_activity") -> DataFrame:
+    """The workout summary from rows (by, activity, sessions, ``_cal``), one per group and activity."""
     w = Window.partitionBy(*by)
     return per.select(
         *by, F.col(activity).alias("activity"), "sessions",

@@ -76,7 +76,12 @@ def staged_events(spark: SparkSession, sf_dir: str, whole: bool = False) -> Data
 
 
 def feed_records(events: DataFrame, spec: FeedSpec) -> DataFrame:
-    """Every event as a record of the feed's shape: ``raw_data VARIANT, partition_date``.
+    """Every event as a record of the feed's shape (``feed_record``): ``raw_data VARIANT, partition_date``."""
+    return events.select(F.to_variant_object(feed_record(spec)).alias("raw_data"), F.to_date("ts").alias("partition_date"))
+
+
+def feed_record(spec: FeedSpec) -> Column:
+    """An event as a struct of the feed's shape.
 
     Column number j (by path, from 1) holds k + j, value + j, type_j or the day, by its
     type; tags are an array, timestamps carry an offset. Where ``k % 10 = j % 10`` the path
@@ -109,7 +114,7 @@ def feed_records(events: DataFrame, spec: FeedSpec) -> DataFrame:
     def build(node: dict) -> Column:
         return F.struct(*[(build(v) if isinstance(v, dict) else v).alias(n) for n, v in node.items()])
 
-    return events.select(F.to_variant_object(build(tree)).alias("raw_data"), F.to_date("ts").alias("partition_date"))
+    return build(tree)
 
 
 def _sum2(cond: Column, value: str = "value") -> Column:

@@ -464,10 +464,25 @@ GROUP BY ALL"""
             f"SELECT 'stg_{spec.name}' AS model, '{c}' AS \"column\", count(*) AS rows, count(*) - count({x}) AS failures, "
             f"count(*) = count({x}) AS passed FROM e"
             for spec in FEEDS.values() for c, x in _feed_columns(spec).items() if c in spec.not_null)
-    q["mart_duplicates_join"] = _with(STAGED, LEGS.replace("l_ready AS", "l_ready0 AS").replace("l_sleep AS", "l_sleep0 AS"),
+    with_k = """WITH e AS (SELECT *, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k,
+  CASE WHEN event_id % 17 = 0 THEN 'not one JSON document' WHEN event_id % 19 = 0 THEN 'not an object' END AS reason FROM events)
+"""
+    landed = []
+    for i, spec in enumerate(FEEDS.values()):
+        good, columns = f"FROM e WHERE event_id % {len(FEEDS)} = {i} AND reason IS NULL", _feed_columns(spec)
+        landed.append(f"SELECT '{spec.name}' AS feed, 'rows' AS item, count(*) AS n {good}")
+        landed += [f"SELECT '{spec.name}' AS feed, 'null {c}' AS item, count(*) - count({columns.get(c, '1')}) AS n {good}"
+                   for c in spec.not_null]
+        landed.append(f"SELECT '{spec.name}' AS feed, reason AS item, count(*) AS n FROM e "
+                      f"WHERE event_id % {len(FEEDS)} = {i} AND reason IS NOT NULL GROUP BY reason")
+    q["land_all_feeds"] = with_k + "\nUNION ALL\n".join(landed)
+    q["stream_compact"] = q["stream_land"]
+    plain_legs = (STAGED, LEGS.replace("l_ready AS", "l_ready0 AS").replace("l_sleep AS", "l_sleep0 AS"),
         "l_ready AS (SELECT user_id, day, value AS readiness_score FROM staged WHERE event_type = 'click')",
-        "l_sleep AS (SELECT user_id, day, value AS sleep_score, k AS sleep_efficiency FROM staged WHERE event_type = 'view')",
-        MART1) + "SELECT * FROM mart"
+        "l_sleep AS (SELECT user_id, day, value AS sleep_score, k AS sleep_efficiency FROM staged WHERE event_type = 'view')")
+    q["mart_duplicates_join"] = _with(*plain_legs, MART1) + "SELECT * FROM mart"
+    q["mart_duplicates_product"] = q["mart_duplicates_join"]
+    q["mart_key_duplicates"] = _with(*plain_legs, MART2) + "SELECT * FROM mart"
     q["report_one_period"] = f"SELECT * FROM ({_summary_sql('j2')}) WHERE period_type = 'weekly' AND start_date = DATE '2024-01-08'"
     gated = lambda sql: f"SELECT s.* FROM ({sql}) s SEMI JOIN okg USING (user_id, period_type, start_date, end_date)"
     okg = f"""okg AS (SELECT {BYC} FROM per GROUP BY {BYC} HAVING NOT ({gate_cond}))"""
@@ -482,6 +497,7 @@ GROUP BY ALL"""
     pieces += [long("sleep_summary", gated(q["ratio_summary"]), f"'{f}'", f, "NULL") for f in (
         "nights", "avg_duration_hrs", "avg_efficiency", "avg_hrv", "avg_hr", "deep_pct", "light_pct", "rem_pct", "awake_pct")]
     q["report_full"] = _with(*_per2(), okg) + "\nUNION ALL\n".join(pieces)
+    q["report_from_states"] = q["report_full"]
 
     def f0(x: str) -> str:
         return f"printf('%.0f', {_r(x, 0)})"

@@ -16,13 +16,14 @@ from pyspark.sql import functions as F
 from ..functions import display as D
 from ..functions.dates import LONG_DATE, SHORT_DATE, WEEKDAY_DATE, previous_month, previous_week
 from ..functions.exact import DEC
-from ..operators import marts, quality, report, series
+from ..operators import marts, quality, report, series, states
 from ..operators.stage import flatten_array, project_variant, stage
-from ..session import fresh_path, stored
+from ..session import fresh_path, path_exists, stored
 from ..sources import feeds, land
 from ..sources.feeds import FEEDS, FeedSpec
 from ..sources.feeds import Column as Spec
-from ..streaming.landing import read_streamed, start_landing
+from ..streaming import compaction
+from ..streaming.landing import read_streamed, start_landing, write_batch
 from . import events as ev
 
 BY = ev.BY
@@ -153,14 +154,29 @@ def mart_left_detail(spark, sf):
                               period_cols=SLEEP_DETAIL_COLUMNS)
 
 
-def mart_duplicates_join(spark, sf):
-    """J1 on legs with several rows per key (plain events): the join form, where they multiply."""
+def _duplicate_legs(spark, sf):
+    """Legs with several rows per key: plain click and view events."""
     st = _staged(spark, sf)
     legs = ev.event_legs(st)
     of = lambda t, *cols: st.where(F.col("event_type") == t).select("user_id", "day", *cols)
-    legs |= {"ready": of("click", F.col("value").alias("readiness_score")),
-             "sleep": of("view", F.col("value").alias("sleep_score"), F.col("k").alias("sleep_efficiency"))}
-    return marts.full_outer_chain(legs, ev.KEYS)
+    return legs | {"ready": of("click", F.col("value").alias("readiness_score")),
+                   "sleep": of("view", F.col("value").alias("sleep_score"), F.col("k").alias("sleep_efficiency"))}
+
+
+def mart_duplicates_join(spark, sf):
+    """J1 on legs with several rows per key (plain events): the join form, where they multiply."""
+    return marts.full_outer_chain(_duplicate_legs(spark, sf), ev.KEYS)
+
+
+def mart_duplicates_product(spark, sf):
+    """J1 on the same legs with one shuffle."""
+    return marts.full_outer_chain(_duplicate_legs(spark, sf), ev.KEYS, method="product")
+
+
+def mart_key_duplicates(spark, sf):
+    """J2 on legs with several rows per key, with one shuffle."""
+    got = marts.full_outer_on_key(_duplicate_legs(spark, sf), ev.KEYS, method="product")
+    return got.select("user_id", "day", *[c for n in marts._OUT_ORDER for _, c in marts.WELLNESS_COLUMNS[n]])
 
 
 # ---- report ----------------------------------------------------------------------
@@ -220,6 +236,32 @@ def report_full(spark, sf):
     return report.report_long(parts, BY)
 
 
+STATE_SPEC = states.Spec(keys=tuple(ev.KEYS), long_sleep=ev.LONG_SLEEP, fixed=FIXED)
+
+
+def report_from_states(spark, sf):
+    """G14 from daily states: every day is loaded without its late events, then the days of late ones again.
+
+    Late are events of every third day whose id divides by 4; some days have nothing but late events of a user.
+    """
+    root = fresh_path(spark, "states")
+    whole = stored(_staged(spark, sf), "staged")
+    late = (F.day("day") % 3 == 0) & (F.col("event_id") % 4 == 0)
+
+    def sources(rows):
+        return {"wellness": marts.full_outer_on_key(ev.event_legs(rows), ev.KEYS), "sleep": ev.sleep_periods(rows),
+                "workouts": ev.workouts(rows)}
+
+    def days_of(rows):  # bounded by the calendar
+        return [r.day for r in rows.select("day").distinct().collect()]
+
+    early = whole.where(~late)
+    states.update_days(spark, root, sources(early), days_of(early), STATE_SPEC)
+    again = days_of(whole.where(late))
+    states.update_days(spark, root, sources(whole.where(F.col("day").isin(again))), again, STATE_SPEC)
+    return report.report_long(states.report_from_states(spark, root, STATE_SPEC), BY)
+
+
 def report_one_period(spark, sf):
     """The summaries of one requested week (an inclusive slice of the mart)."""
     week = report.with_period(_mart2(spark, sf), "weekly", *REPORT_WEEK)
@@ -389,20 +431,82 @@ def backfill_range(spark, sf):
     return _read_back(spark, root)
 
 
-def stream_land(spark, sf):
-    """Two file drops per day (morning, afternoon), each landed by a streaming run of several batches."""
-    base = fresh_path(spark, "stream")
-    landing, root, ck = f"{base}/landing", f"{base}/raw", f"{base}/checkpoint"
+def _half_days(spark, sf, landing):
+    """Two file drops per day (morning, afternoon), one at a time."""
     raw = ev.land_events(ev.table(spark, sf, "events").withColumn("_pm", F.hour("ts") >= 12))
     for pm in (False, True):
         (raw.where(F.col("_pm") == F.lit(pm)).select(F.to_json("raw_data").alias("value"),
                                                      "partition_date")
          .write.mode("append").partitionBy("partition_date").text(landing))
+        yield pm
+
+
+def stream_land(spark, sf):
+    """Both drops landed by a streaming run of several batches each."""
+    base = fresh_path(spark, "stream")
+    landing, root, ck = f"{base}/landing", f"{base}/raw", f"{base}/checkpoint"
+    for _ in _half_days(spark, sf, landing):
+        q = start_landing(spark, landing, root, "events", ck, EVENTS_FEED, max_files=40)
+        q.awaitTermination()
+    return _staged_cols(ev.stage_events(read_streamed(spark, root, "events", EVENTS_FEED)))
+
+
+def stream_compact(spark, sf):
+    """The stream's loads compacted after each drop, the old ones deleted, and the first batch replayed."""
+    base = fresh_path(spark, "compact")
+    landing, root, ck = f"{base}/landing", f"{base}/raw", f"{base}/checkpoint"
+    first = None
+    for _ in _half_days(spark, sf, landing):
         q = start_landing(spark, landing, root, "events", ck, EVENTS_FEED, max_files=40)
         q.awaitTermination()
+        if first is None:
+            at = f"{root}/events"
+            first = stored(spark.read.option("basePath", at).parquet(at).where("load_id = 0")
+                           .select("raw_data", F.col("partition_date").cast("date").alias("partition_date")), "first-load")
+        compaction.compact(spark, root, "events", min_loads=1)
+    compaction.vacuum(spark, root, "events")
+    write_batch(first, root, "events", 0)
     return _staged_cols(ev.stage_events(read_streamed(spark, root, "events", EVENTS_FEED)))
 
 
+LOAD_DAY = dt.date(2024, 2, 1)
+
+
+def land_all_feeds(spark, sf):
+    """Every feed landed from its files, with a quarantine, and staged: rows, rejects and NULLs of each.
+
+    Events are dealt to the 13 feeds by id. Every other feed comes as pages, the others as lines. Planted:
+    cut-off units (id divides by 17) and records that are a text (by 19).
+    """
+    base = fresh_path(spark, "feeds")
+    e, texts = ev.table(spark, sf, "events"), []
+    for i, spec in enumerate(FEEDS.values()):
+        mine = e.where(F.col("event_id") % len(FEEDS) == i)
+        good = F.to_json(ev.feed_record(spec))
+        unit = F.when(F.col("event_id") % 19 == 0, F.lit('"lost"')).otherwise(good)
+        if i % 2 == 0:
+            unit = F.concat(F.lit('{"data":['), unit, F.lit("]}"))
+        texts.append(mine.select(unit.alias("u"), "event_id", F.lit(spec.name).alias("feed")))
+    cut = F.when(F.col("event_id") % 17 == 0, F.expr("left(u, length(u) - 1)")).otherwise(F.col("u"))
+    every = reduce(lambda a, b: a.unionByName(b), texts)
+    every.select(cut.alias("value"), "feed").write.partitionBy("feed").option(
+        "maxRecordsPerFile", PAGE_RECORDS).text(f"{base}/files")
+    parts = []
+    for i, (name, spec) in enumerate(FEEDS.items()):
+        files = f"{base}/files/feed={name}"
+        if path_exists(spark, files):
+            land.load_feed_day(spark, f"{base}/raw", name, files, LOAD_DAY, envelope=i % 2 == 0, max_rejects=0.25)
+        else:
+            land.upsert_day(spark, f"{base}/raw", name, None, LOAD_DAY)
+        st = stage(land.read_raw(spark, f"{base}/raw", name), name)
+        nulls = F.array(*[F.struct(F.lit(f"null {c}").alias("item"), F.count_if(F.col(c).isNull()).alias("n"))
+                          for c in spec.not_null], F.struct(F.lit("rows").alias("item"), F.count(F.lit(1)).alias("n")))
+        parts.append(st.agg(nulls.alias("x")).select(F.lit(name).alias("feed"), F.inline("x")))
+        parts.append(land.read_rejected(spark, f"{base}/raw", name).groupBy(F.col("reason").alias("item")).agg(
+            F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("feed"), "item", "n"))
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
 #: Records of an envelope page at most.
 PAGE_RECORDS = 10_000
 
@@ -571,7 +675,8 @@ def trailing_daily_sum(spark, sf):
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         stage_variant, stage_missing_path, explode_variant, *FEED_QUERIES, not_null_pairs, mart_duplicates_join,
-        report_full, report_one_period, sleep_display, workout_display, areas_display, activity_map,
+        mart_duplicates_product, mart_key_duplicates,
+        report_full, report_from_states, report_one_period, sleep_display, workout_display, areas_display, activity_map,
         rolling_mean3_range, series_stacked_range, charts_long, land_envelope_files, single_day_audit,
         detail_null_counts, row_count_outcomes, request_days,
         mart_full_outer_chain, mart_full_outer_chain_grouped, mart_full_outer_key, mart_left_detail,
@@ -580,6 +685,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         report_gated_summary, period_weekly, period_monthly,
         rolling_mean3, downsample_nth, series_scores, series_target, series_stacked, chart_counts,
         report_display, bests_display, latest_by, upsert_idempotent, backfill_range, stream_land,
+        stream_compact, land_all_feeds,
         not_null_audit, completeness, coverage, union_counts, feed_day_grid, reconcile,
         trailing_daily_sum, reconcile_checksum, row_count_checks, key_null_counts, feed_coverage, flatten_tags,
     )

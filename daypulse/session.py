@@ -76,6 +76,24 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
+def rename_path(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a folder on its own store; an error if the store refuses."""
+    jvm = spark.sparkContext._jvm
+    a, b = jvm.org.apache.hadoop.fs.Path(source), jvm.org.apache.hadoop.fs.Path(target)
+    if not a.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).rename(a, b):
+        raise OSError(f"cannot rename {source} to {target}")
+
+
+def list_folder(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder; none if it does not exist."""
+    if not path_exists(spark, path):
+        return []
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    found = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(p)
+    return sorted(x.getPath().getName() for x in found)
+
+
 def drop_work_folders(spark: SparkSession) -> int:
     """Delete every folder that ``fresh_path`` gave out in this process; results read from them end."""
     n = len(_MADE)

@@ -15,8 +15,9 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import delete_path
+from ..session import delete_path, path_exists, stored
 from .feeds import FeedSpec, feed
+from .tables import drop_partitions, replace_partitions, swap_in
 
 RAW_SCHEMA = T.StructType([T.StructField("raw_data", T.VariantType(), True)])
 
@@ -182,26 +183,82 @@ def backfill(spark: SparkSession, root: str, name: str, batch: DataFrame,
 
 
 def load_feed_day(spark: SparkSession, root: str, name: str, path: str, day: dt.date,
-                  envelope: bool = True, registry: dict[str, FeedSpec] | None = None) -> int:
-    """A daily or granular feed for one day: read its JSON files and replace the day.
+                  envelope: bool = True, registry: dict[str, FeedSpec] | None = None,
+                  max_rejects: int | float | None = None) -> int:
+    """A daily or granular feed for one day: read its JSON files and replace the day; rows landed.
 
     With ``envelope`` the files hold pages ``{"data": [...]}`` and only the records
     of ``data`` are kept (a page without ``data`` adds nothing). A page or line
     that does not parse fails the load and leaves the day as it was.
+
+    With ``max_rejects`` such pages, lines and records that are no object go to the feed's reject table
+    (``read_rejected``) instead, with file and reason, and the load goes on: unless there are more than
+    that many (an int) or more than that share of all units (a float). Then it fails, the day stays as it
+    was and the reject table shows why.
+    """
+    if max_rejects is None:
+        batch = envelope_records(read_pages(spark, path)) if envelope else read_json_records(spark, path)
+        return upsert_day(spark, root, name, batch.select("raw_data"), day, registry)
+    feed(name, registry)
+    _check_day(day)
+    read = stored(read_sorted_out(spark, path, envelope), "sorted-out")  # the files are read and parsed once
+    bad = F.col("reason").isNotNull()
+    rows, rejects = read.agg(F.count_if(~bad), F.count_if(bad)).first()
+    rejected = read.where(bad).select("file", "reason", "text", F.lit(day).alias("partition_date"))
+    _, put = replace_partitions(rejected, f"{root}/{name}_rejected", ["partition_date"])
+    if not put:
+        drop_partitions(spark, f"{root}/{name}_rejected", ["partition_date"], [(day,)])
+    limit = max_rejects * (rows + rejects) if isinstance(max_rejects, float) else max_rejects
+    if rejects > limit:
+        raise ValueError(f"{name} {day}: {rejects} of {rows + rejects} units rejected, at most {max_rejects} allowed")
+    return upsert_day(spark, root, name, read.where(~bad).select("raw_data"), day, registry)
+
+
+NOT_JSON, NOT_OBJECT = "not one JSON document", "not an object"
+
+
+def read_sorted_out(spark: SparkSession, path: str, envelope: bool = True) -> DataFrame:
+    """Records and rejected units of JSON files in one pass: ``raw_data, file, reason, text``.
+
+    A unit is a line or, with ``envelope``, a page or a record of its ``data``. ``reason`` is NULL for good
+    records; ``text`` is what was rejected.
     """
-    batch = envelope_records(read_pages(spark, path)) if envelope else read_json_records(spark, path)
-    return upsert_day(spark, root, name, batch.select("raw_data"), day, registry)
+    is_object = lambda v: F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
+    if envelope:
+        files = spark.read.text(path, wholetext=True).where(F.trim("value") != "")
+        whole = _one_document(F.col("value"))
+        texts = F.when(whole.isNotNull(), F.array("value")).otherwise(
+            F.filter(F.split("value", r"\r?\n"), lambda x: F.trim(x) != ""))
+        units = files.select(F.input_file_name().alias("file"), F.explode(texts).alias("text"))
+    else:
+        units = spark.read.text(path).where(F.trim("value") != "").select(
+            F.input_file_name().alias("file"), F.col("value").alias("text"))
+    units = units.withColumn("v", _one_document(F.col("text")))
+    bad = F.when(F.col("v").isNull(), F.lit(NOT_JSON)).when(~is_object(F.col("v")), F.lit(NOT_OBJECT))
+    units = units.withColumn("reason", bad)
+    if envelope:
+        found = F.when(F.col("reason").isNull(), F.try_variant_get("v", "$.data", "array<variant>")).otherwise(F.array("v"))
+        units = units.select("file", "text", "reason", F.explode(found).alias("v"))
+        late = F.coalesce(F.col("reason"), F.when(F.col("v").isNull() | ~is_object(F.col("v")), F.lit(NOT_OBJECT)))
+        units = units.select("file", F.when(F.col("reason").isNotNull(), F.col("text")).otherwise(F.to_json("v")).alias("text"),
+                             "v", late.alias("reason"))
+    return units.select(F.when(F.col("reason").isNull(), F.col("v")).alias("raw_data"), "file", "reason",
+                        F.when(F.col("reason").isNotNull(), F.col("text")).alias("text"))
+
+
+def read_rejected(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """What loads of the feed rejected: ``file, reason, text, partition_date``; empty if nothing was."""
+    path, schema = f"{root}/{name}_rejected", "file string, reason string, text string, partition_date date"
+    return spark.read.schema(schema).parquet(path) if path_exists(spark, path) else spark.createDataFrame([], schema)
 
 
 def materialize(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> DataFrame:
     """Full rebuild of a model as a Parquet table; returns a reader on it.
 
-    Reading back the written table also cuts the lineage of long plans.
+    The new model is written beside the old one and swapped in, so a rebuild that fails keeps the old
+    model (``tables.swap_in``). Reading back the written table also cuts the lineage of long plans.
     """
-    w = df.write.mode("overwrite")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
+    swap_in(df, path, partition_by)
     return df.sparkSession.read.parquet(path)
 
 
@@ -237,6 +294,11 @@ def lower_columns(df: DataFrame) -> DataFrame:
     return df.toDF(*[c.lower() for c in df.columns])
 
 
+def upper_columns(df: DataFrame) -> DataFrame:
+    """Names as the warehouse spells unquoted identifiers."""
+    return df.toDF(*[c.upper() for c in df.columns])
+
+
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
     """CSV with a header and a declared schema (dates parsed as ``yyyy-MM-dd``)."""
     return spark.read.csv(path, header=True, schema=schema, dateFormat="yyyy-MM-dd")

@@ -16,6 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..session import path_exists
 from ..sources.feeds import FeedSpec, feed
+from .compaction import read_compacted
 
 LANDING_SCHEMA = "raw_data variant, partition_date date"
 
@@ -46,10 +47,9 @@ def write_batch(batch: DataFrame, root: str, name: str, load_id: int) -> None:
 
 def read_streamed(spark: SparkSession, root: str, name: str,
                   registry: dict[str, FeedSpec] | None = None) -> DataFrame:
-    """The raw table of all loads: ``raw_data VARIANT, partition_date DATE``."""
+    """The raw table of all loads, compacted or not: ``raw_data VARIANT, partition_date DATE``."""
     feed(name, registry)
-    return (spark.read.option("basePath", f"{root}/{name}").parquet(f"{root}/{name}")
-            .select("raw_data", F.col("partition_date").cast("date").alias("partition_date")))
+    return read_compacted(spark, root, name)
 
 
 def read_rejects(spark: SparkSession, root: str, name: str) -> DataFrame:

@@ -1,5 +1,7 @@
 import datetime as dt
+import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from daypulse.operators import marts
@@ -89,3 +91,47 @@ def test_wellness_legs_renames(spark):
     out = marts.full_outer_on_key(marts.wellness_legs(staged))
     assert "sleep_efficiency" in out.columns and "resilience_stress_score" in out.columns
     assert out.count() == 1
+
+
+# ---- legs with several rows per key, one shuffle ---------------------------------
+
+def _many_legs(spark, seed, hot=0):
+    """Six legs with 0 to 3 rows a key, repeated rows, NULL keys and days; ``hot`` more rows in one leg."""
+    rng = random.Random(seed)
+    out = {}
+    for n, leg in enumerate(marts.LEGS):
+        cols = [c for _, c in marts.WELLNESS_COLUMNS[leg]]
+        rows = []
+        for u in (1, 2, 3, None):
+            for d in (dt.date(2024, 1, 1), dt.date(2024, 1, 2), None):
+                for _ in range(rng.choice([0, 0, 1, 1, 2, 3])):
+                    rows.append((u, d, *[str(rng.randrange(5)) if rng.random() < 0.9 else None for _ in cols]))
+        if leg == marts.LEGS[seed % 6]:
+            rows += [(2, dt.date(2024, 1, 1), *[str(i % 7) for _ in cols]) for i in range(hot)]
+        out[leg] = spark.createDataFrame(rows, "user_id long, day date, " + ", ".join(f"{c} string" for c in cols))
+    return out
+
+
+def _bag(df):
+    return sorted(map(str, df.select(*sorted(df.columns)).collect()))
+
+
+@pytest.mark.parametrize("seed,split,hot", [(0, 4096, 0), (1, 1, 0), (2, 2, 9), (3, 3, 20), (4, 2, 9), (5, 1, 5), (6, 2, 12)])
+def test_product_form_equals_joins(spark, monkeypatch, seed, split, hot):
+    monkeypatch.setattr(marts, "SPLIT", split)
+    monkeypatch.setattr(marts, "FEW_SPLIT", 1 if seed % 2 else 10_000)
+    legs = _many_legs(spark, seed, hot)
+    assert _bag(marts.full_outer_chain(legs, ["user_id"], method="product")) == _bag(marts.full_outer_chain(legs, ["user_id"]))
+    assert _bag(marts.full_outer_on_key(legs, ["user_id"], method="product")) == _bag(
+        marts.full_outer_on_key(legs, ["user_id"], method="join"))
+
+
+def test_product_form_shuffles_once_and_splits_a_hot_key(spark, monkeypatch):
+    monkeypatch.setattr(marts, "SPLIT", 50)
+    legs = _many_legs(spark, 1, 400)
+    got = marts.full_outer_chain(legs, ["user_id"], method="product")
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "SortMergeJoin" not in plan
+    parts = marts._gathered(legs, ["user_id"], "day").where("user_id = 2 and day = date'2024-01-01'")
+    sizes = [r.n for r in parts.selectExpr("size(_sleep) as n").collect()]
+    assert len(sizes) == 9 and sum(sizes) >= 400 and max(sizes) < 150
