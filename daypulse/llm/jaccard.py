@@ -16,7 +16,8 @@ between different components is found, so components are exact.
 
 Defined results: a text with fewer words than a shingle is one shingle, a text without words
 (or null) has none and links with nothing; a null doc_id never names a component (a component
-of null ids only has a null id); repeated rows get equal results.
+of null ids only has a null id); repeated rows get equal results. Rows that share a doc_id but not
+the set of shingles are documents of their own; ids are read as longs.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from daypulse.llm import textbatch as tb
-from daypulse.llm.spark_utils import components, passes, sieve, stored
+from daypulse.llm.spark_utils import components, join_skewed, passes, sieve, stored
 
 #: Frequent tokens that are told to all tasks: a fixed number of 16-byte entries.
 FREQUENT = 1 << 16
@@ -83,12 +84,18 @@ def _set_names(names: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.nda
     return out[0], out[1]
 
 
-def _ids(column: pa.Array, s: tb.Slice, name: np.ndarray) -> np.ndarray:
-    """The rows' ids; a null id is replaced by a large one made from the set's name."""
+def _ids(column: pa.Array, s: tb.Slice, name: np.ndarray, shared: np.ndarray) -> np.ndarray:
+    """Ids that stand for one set each, where rows tell ids and sets apart.
+
+    A null id is replaced by a large one made from the set's name, an id that several sets may share
+    (it is in the bitmap ``shared``) by one made from itself and the set's name.
+    """
     part = column.slice(s.first, len(s.offs) - 1)
+    null = part.is_null().to_numpy(zero_copy_only=False)
     own = part.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
-    made = np.int64(_NULL_ID) + (name >> np.uint64(3)).astype(np.int64)
-    return np.where(part.is_null().to_numpy(zero_copy_only=False), made, own)
+    source = np.where(null, name, tb.mix64(name ^ tb.mix64(own.view(np.uint64))))
+    made = np.int64(_NULL_ID) + (source >> np.uint64(3)).astype(np.int64)
+    return np.where(null | passes(shared, own), made, own)
 
 
 def _sets(plain: DataFrame, spec: Spec) -> DataFrame:
@@ -98,11 +105,27 @@ def _sets(plain: DataFrame, spec: Spec) -> DataFrame:
                 names, first = shingle_sets(s.data, s.offs, spec.size)
                 a, z = _set_names(names, first)
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0).slice(s.first, len(s.offs) - 1), pa.array(_ids(b.column(0), s, a)),
-                     pa.array(np.diff(first)), pa.array(tb.signed(a)), pa.array(tb.signed(z))],
-                    names=["doc_id", "did", "n", "s1", "s2"])
+                    [b.column(0).slice(s.first, len(s.offs) - 1), pa.array(np.diff(first)), pa.array(tb.signed(a)),
+                     pa.array(tb.signed(z))], names=["doc_id", "n", "s1", "s2"])
+
+    return plain.mapInArrow(run, "doc_id long, n long, s1 long, s2 long")
+
+
+def _shared_ids(sets: DataFrame):
+    """A bitmap of the ids that rows with different sets share (few others pass)."""
+    per = sets.where("doc_id is not null").groupBy("doc_id").agg(
+        F.min("s1").alias("a"), F.max("s1").alias("b"), F.min("s2").alias("c"), F.max("s2").alias("d"))
+    return sieve(per.where("a <> b or c <> d"), "doc_id")
+
+
+def _with_ids(sets: DataFrame, shared) -> DataFrame:
+    def run(batches):
+        for b in batches:
+            n = b.num_rows
+            did = _ids(b.column(0), tb.Slice(0, np.zeros(n + 1, np.int64), None), b.column(2).to_numpy().view(np.uint64), shared.value)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(did)], names=[*b.schema.names, "did"])
 
-    return plain.mapInArrow(run, "doc_id long, did long, n long, s1 long, s2 long")
+    return sets.mapInArrow(run, "doc_id long, n long, s1 long, s2 long, did long")
 
 
 def _frequent(plain: DataFrame, spec: Spec):
@@ -155,7 +178,7 @@ def choose_prefixes(names: np.ndarray, first: np.ndarray, frequent, spec: Spec)
     return names[start], length, best, own
 
 
-def _prefixes(plain: DataFrame, frequent, copied, spec: Spec) -> DataFrame:
+def _prefixes(plain: DataFrame, frequent, copied, shared, spec: Spec) -> DataFrame:
     """Per document (did, info, tokens, maybe): ``maybe`` if its set may have copies."""
 
     def run(batches):
@@ -168,7 +191,7 @@ def _prefixes(plain: DataFrame, frequent, copied, spec: Spec) -> DataFrame:
                 lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(length))).astype(np.int32)),
                                                  pa.array(tb.signed(tokens)))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(_ids(b.column(0), s, a)), pa.array(info), lists, pa.array(passes(copied.value, tb.signed(a)))],
+                    [pa.array(_ids(b.column(0), s, a, shared.value)), pa.array(info), lists, pa.array(passes(copied.value, tb.signed(a)))],
                     names=["did", "info", "tokens", "maybe"])
 
     return plain.mapInArrow(run, "did long, info long, tokens array<long>, maybe boolean")
@@ -218,23 +241,23 @@ def _enough(pairs: DataFrame, spec: Spec) -> DataFrame:
     return per.where((F.col("c") >= F.least("la", "lb")) & (F.col("c") >= need)).select("a", "b")
 
 
-def _verified(pairs: DataFrame, plain: DataFrame, spec: Spec, label: str) -> DataFrame:
+def _verified(pairs: DataFrame, plain: DataFrame, shared, spec: Spec, label: str) -> DataFrame:
     """The pairs whose similarity is high enough, from the whole shingle sets of both documents."""
     pairs = stored(pairs, f"{label}-candidates")
     wanted = sieve(pairs.select(F.explode(F.array("a", "b")).alias("x")), "x")
 
     def sets(batches):
         for b in batches:
-            # a null id is made from the text, so it is only known further down
+            # an id that is made from the text is only known further down
             own = b.column(0).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
-            maybe = passes(wanted.value, own) | b.column(0).is_null().to_numpy(zero_copy_only=False)
+            maybe = passes(wanted.value, own) | passes(shared.value, own) | b.column(0).is_null().to_numpy(zero_copy_only=False)
             b = b.filter(pa.array(maybe))
             for s in tb.slices(b.column(1)):
                 names, first = shingle_sets(s.data, s.offs, spec.size)
                 a, _ = _set_names(names, first)
                 body = names.tobytes()
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(_ids(b.column(0), s, a)),
+                    [pa.array(_ids(b.column(0), s, a, shared.value)),
                      pa.array([body[8 * i:8 * j] for i, j in zip(first[:-1], first[1:])], pa.binary())],
                     names=["did", "body"])
 
@@ -468,40 +491,59 @@ def _pairs_of(held: list, spec: Spec):
             yield pa.RecordBatch.from_arrays([pa.array(np.minimum(i, j)), pa.array(np.maximum(i, j))], names=["a", "b"])
 
 
-def near_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", spec: Spec = Spec()) -> DataFrame:
-    """Per row of ``docs``: doc_id, did (never null), n_shingles and root, the least did reachable by links."""
+def _near_groups(docs: DataFrame, doc_id: str, text: str, spec: Spec):
+    """The rows of ``near_groups`` and the bitmap of shared ids."""
     plain = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    sets = stored(_sets(plain, spec), "jaccard-sets")
+    sets = stored(_sets(plain, spec), "jaccard-names")
+    shared = _shared_ids(sets)
+    sets = stored(_with_ids(sets, shared), "jaccard-sets")
     classes = sets.where("n > 0").groupBy("s1", "s2").agg(F.min("did").alias("rep"), F.count("*").alias("m"))
     classes = stored(classes.where("m > 1"), "jaccard-classes")
     copies = stored(sets.join(classes, ["s1", "s2"]).where("did <> rep").select("did", "rep").distinct(), "jaccard-copies")
 
-    prefixes = _prefixes(plain, _frequent(plain, spec), sieve(classes, "s1"), spec)
+    prefixes = _prefixes(plain, _frequent(plain, spec), sieve(classes, "s1"), shared, spec)
     prefixes = stored(prefixes, "jaccard-prefixes")
     maybe = prefixes.where("maybe").join(copies, "did", "left_anti").dropDuplicates(["did"])
     entries = prefixes.where("not maybe").unionByName(maybe).select("did", "info", F.posexplode("tokens").alias("pos", "token"))
     entries = stored(_shared_entries(entries.select("token", "did", "info", "pos")), "jaccard-entries")
 
-    near = _verified(_enough(_star_pairs(entries, spec), spec), plain, spec, "jaccard-star")
+    near = _verified(_enough(_star_pairs(entries, spec), spec), plain, shared, spec, "jaccard-star")
     roots = components(near, name="jaccard-first")
-    far = _verified(_cross_pairs(entries, roots, spec).distinct(), plain, spec, "jaccard-cross")
+    far = _verified(_cross_pairs(entries, roots, spec).distinct(), plain, shared, spec, "jaccard-cross")
     roots = components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(far),
                        name="jaccard-roots")
 
     rows = sets.join(copies, "did", "left").withColumn("rep", F.coalesce("rep", "did"))
     rows = rows.join(roots, F.col("rep") == F.col("node"), "left")
-    return rows.select("doc_id", "did", F.col("n").alias("n_shingles"), F.coalesce("root", "rep").alias("root"))
+    rows = rows.select("doc_id", "did", F.col("n").alias("n_shingles"), F.coalesce("root", "rep").alias("root"))
+    if sets.where(F.col("did") >= _NULL_ID).where("doc_id is not null").isEmpty():
+        return rows.withColumn("component_id", F.when(F.col("root") < _NULL_ID, F.col("root"))), shared
+    # made ids are not in the order of the ids that they stand for: name each group by its least doc_id
+    rows = stored(rows, "jaccard-groups")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("x"), "doc_id", "did"))
+    named = rows.groupBy(F.col("root").alias("__root")).agg(first.alias("f")).select(
+        "__root", F.col("f.doc_id").alias("component_id"), F.col("f.did").alias("__first"))
+    rows = join_skewed(rows, named, "root", "__root")
+    return rows.select("doc_id", "did", "n_shingles", F.col("__first").alias("root"), "component_id"), shared
+
+
+def near_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", spec: Spec = Spec()) -> DataFrame:
+    """Per row of ``docs``: doc_id, did (one id per doc_id and set), n_shingles, component_id and root.
+
+    ``component_id`` is the least doc_id reachable by links, ``root`` the did of one such row.
+    """
+    return _near_groups(docs, doc_id, text, spec)[0]
 
 
 def join_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", spec: Spec = Spec()) -> DataFrame:
     """Per document: doc_id, n_shingles and component_id."""
     found = near_groups(docs, doc_id, text, spec)
-    return found.select("doc_id", "n_shingles", F.when(F.col("root") < _NULL_ID, F.col("root")).alias("component_id"))
+    return found.select("doc_id", "n_shingles", "component_id")
 
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", spec: Spec = Spec()) -> DataFrame:
     """One document of each group, the one that names it, with its own columns; texts without words stay."""
-    found = near_groups(docs, doc_id, text, spec)
+    found, shared = _near_groups(docs, doc_id, text, spec)
     state = found.groupBy("did").agg(F.max((F.col("did") != F.col("root")).cast("int")).alias("gone"),
                                      F.max(F.col("n_shingles")).alias("n"), F.count("*").alias("m"))
     touched = stored(state.where("gone = 1 or (m > 1 and n > 0)"), "jaccard-touched")
@@ -515,7 +557,7 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", spec:
             ids = b.column(id_at).cast(pa.int64())
             for s in tb.slices(b.column(text_at)):
                 a, _ = _set_names(*shingle_sets(s.data, s.offs, spec.size))
-                did = _ids(ids, s, a)
+                did = _ids(ids, s, a, shared.value)
                 part = b.slice(s.first, len(s.offs) - 1)
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(did), pa.array(passes(wanted.value, did))],
                                                  names=[*names, "__j_did", "__j_hit"])

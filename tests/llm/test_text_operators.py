@@ -438,3 +438,79 @@ def test_slices_cover_texts_of_any_layout():
         for col in (column, column.cast(pa.large_string()), column.slice(2, 3)):
             got = [bytes(s.data[a:b]).decode() for s in tb.slices(col, limit) for a, b in zip(s.offs[:-1], s.offs[1:])]
             assert got == [x or "" for x in col.to_pylist()]
+
+
+def morse(n):
+    """A Thue-Morse sequence and its complement, as 0 and 1: equal under polynomials modulo a power of two."""
+    t = [0]
+    while len(t) < n:
+        t += [1 - x for x in t]
+    return np.array(t[:n]), 1 - np.array(t[:n])
+
+
+@pytest.mark.parametrize("n", [512, 1024, 4096])
+def test_names_of_thue_morse_strings(spark, n):
+    a, b = ("".join("ab"[i] for i in x) for x in morse(n))
+    for base in (0, 1):
+        one, two = (tb.Rolling(np.frombuffer(x.encode(), np.uint8), base)(np.array([0]), np.array([n]))[0] for x in (a, b))
+        assert one != two
+    words = [" ".join(("one", "two")[i] for i in x) for x in morse(n)]
+    rows = [(1, a + "\n" + b), (2, a), (3, b), (4, words[0]), (5, words[1])]
+    got = {r.doc_id: r for r in quality.judge(docs(spark, rows)).collect()}
+    assert got[1].n_dup_lines == 0
+    same(jaccard.join_groups(docs(spark, rows), spec=jaccard.Spec(4, 85)), brute.near_groups(rows, 4, 85),
+         ["doc_id", "n_shingles", "component_id"])
+    same(recompression.remove_repeats(docs(spark, rows)), brute.word_windows(rows, 50), ["doc_id", "n_words", "n_removed", "kept_sha256"])
+
+
+def test_hash_is_exact_modulo_the_prime(rng):
+    x = np.array([rng.randrange(1 << 64) for _ in range(200)], np.uint64)
+    for base in (0, 1):
+        for s, e in ((0, 200), (3, 60), (199, 200), (5, 5)):
+            raw = sum((int(v) % tb.PRIME + 1) * pow(tb._BASES[base], i, tb.PRIME) for i, v in enumerate(x[s:e])) % tb.PRIME
+            assert tb.Rolling(x, base)(np.array([s]), np.array([e]))[0] == tb.mix64(np.array([raw ^ ((e - s) << 40)], np.uint64))[0]
+
+
+def shared_id_rows(rng):
+    """Rows that share a doc_id with other texts, near copies and exact copies among them."""
+    base = [sentence(rng, 80).split() for _ in range(6)]
+    rows = []
+    for i in range(60):
+        words = list(rng.choice(base))
+        if rng.random() < 0.5:
+            words[rng.randrange(80)] = f"edit{i}"
+        rows.append((rng.randrange(12), " ".join(words)))
+    rows += [(5, sentence(rng, 90)), (5, ""), (5, None), (None, " ".join(base[0])), (None, sentence(rng, 70)), (5, rows[0][1])]
+    rows += [(300, sentence(rng, 50)), (301, rows[3][1])]
+    return rows
+
+
+def test_ids_that_rows_with_different_texts_share(spark, rng):
+    a, b, c = (sentence(rng, 60) for _ in range(3))
+    for rows in ([(5, a), (5, b)], [(5, a), (5, b), (1, a), (2, b)], [(5, a), (5, b), (6, a), (3, b), (1, c), (2, c)], shared_id_rows(rng)):
+        want = brute.near_groups(rows, 5, 80)
+        same(jaccard.join_groups(docs(spark, rows).repartition(3)), want, ["doc_id", "n_shingles", "component_id"])
+        kept = jaccard.keep_one(docs(spark, rows).repartition(3)).collect()
+        # one row of each group stays, one with its least id; rows without words stay
+        sets = [(d, brute.shingles(x, 5)) for d, x in rows]
+        groups, empty = {}, 0
+        for i, (d, s) in enumerate(sets):
+            if not s:
+                empty += 1
+            else:
+                groups.setdefault(next((k for k, v in groups.items() if any(
+                    sets[j][1] and 100 * len(s & sets[j][1]) >= 80 * len(s | sets[j][1]) for j in v)), i), []).append(i)
+        merged = True
+        while merged:
+            merged = False
+            keys = list(groups)
+            for x in keys:
+                for y in keys:
+                    if x < y and x in groups and y in groups and any(
+                            100 * len(sets[i][1] & sets[j][1]) >= 80 * len(sets[i][1] | sets[j][1]) for i in groups[x] for j in groups[y]):
+                        groups[x] += groups.pop(y)
+                        merged = True
+        least = sorted((min(((sets[i][0] is None, sets[i][0] or 0) for i in v)) for v in groups.values()))
+        with_words = [r for r in kept if brute.shingles(r.text, 5)]
+        assert len(kept) - len(with_words) == empty
+        assert sorted((r.doc_id is None, r.doc_id or 0) for r in with_words) == least
