@@ -31,7 +31,9 @@ import hashlib
 import json
 import os
 import unicodedata
+from array import array
 from dataclasses import dataclass
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -50,8 +52,8 @@ PIECE = 4096
 FAN_IN = 16
 #: Bytes at the end of a part in which another ending could move a border (four times 16 code points).
 MARGIN = 64
-#: Pieces whose tokens a worker remembers.
-REMEMBERED = 1 << 18
+#: Pieces of one generation that a worker remembers; it holds two.
+REMEMBERED = 1 << 17
 
 #: Fixed value: the split of byte-level BPE vocabularies of this kind.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -69,6 +71,18 @@ def _unassigned() -> np.ndarray:
     return np.fromiter((unicodedata.category(chr(c)) == "Cn" for c in range(0x110000)), bool, 0x110000)
 
 
+#: Ids as they are held and sent: vocabularies of up to 65,536 tokens fit two bytes.
+ID = np.dtype(np.uint16)
+
+
+class Piece(NamedTuple):
+    """A piece's ids, packed, printed and decoded."""
+
+    ids: bytes
+    shown: str
+    raw: bytes
+
+
 @dataclass
 class Segment:
     """Ids of a stretch of text and, for each, whether it begins a piece."""
@@ -97,6 +111,8 @@ class Coder:
         value = {c: b for b, c in enumerate(letters)}
         vocab = spec["model"]["vocab"]
         size = 1 + max([*vocab.values(), *(t["id"] for t in spec["added_tokens"])])
+        if size > 1 << 8 * ID.itemsize:
+            raise ValueError("too many tokens for two-byte ids")
         self.bytes: list[bytes] = [b""] * size
         for token, i in vocab.items():
             self.bytes[i] = bytes(value[c] for c in token) if all(c in value for c in token) else token.encode()
@@ -109,11 +125,12 @@ class Coder:
         self._table = str.maketrans({chr(b): c for b, c in enumerate(letters)})
         self._library = Tokenizer.from_str(content)
         raw = spec | {"pre_tokenizer": None, "decoder": None, "added_tokens": [], "truncation": None, "padding": None}
-        self._raw = Tokenizer.from_str(json.dumps(raw))
+        self._model = Tokenizer.from_str(json.dumps(raw)).model
         self._split = regex.compile("(" + "|".join(map(regex.escape, sorted(added, key=len, reverse=True))) + ")") if added else None
         self._pattern = regex.compile(PATTERN)
         self._new = _unassigned()
-        self._known: dict[str, tuple[list[int], str]] = {}
+        self._known: dict[str, Piece] = {}
+        self._before: dict[str, Piece] = {}
 
     # pieces -----------------------------------------------------------------------------------
 
@@ -140,7 +157,7 @@ class Coder:
     def _plain(self, parts: list[bytes]) -> list[list[int]]:
         """Tokens of byte strings, each taken as one piece."""
         spelled = [p.decode("latin-1").translate(self._table) for p in parts]
-        return [e.ids for e in self._raw.encode_batch(spelled, add_special_tokens=False)]
+        return [[t.id for t in self._model.tokenize(p)] for p in spelled]
 
     def tokens(self, piece: bytes) -> list[int]:
         """Tokens of one piece; a long one is encoded in halves."""
@@ -159,32 +176,41 @@ class Coder:
                 return a[:-wide] + got + b[wide:]
             wide *= 2
 
-    def learn(self, pieces: list[str]) -> dict[str, tuple[list[int], str]]:
-        """Ids and their printed form of every distinct piece."""
+    def learn(self, pieces: list[str]) -> list[Piece]:
+        """The tokens of each piece; what was met before is remembered, in two generations."""
         known = self._known
+        try:
+            return [known[p] for p in pieces]
+        except KeyError:
+            pass
         new = [p for p in set(pieces) if p not in known]
-        if new:
-            if len(known) + len(new) > REMEMBERED:
-                known.clear()
-                new = list(set(pieces))
-            plain = [p for p in new if p not in self.special and len(p) * 4 <= PIECE]
-            found = dict(zip(plain, self._plain([p.encode() for p in plain])))
-            for p in new:
-                ids = [self.special[p]] if p in self.special else found.get(p) or self.tokens(p.encode())
-                known[p] = ids, ",".join([self.shown[i] for i in ids])
-        return known
+        if len(known) + len(new) > REMEMBERED:
+            self._before, self._known = known, {}
+            known, new = self._known, list(set(pieces))
+        again = [p for p in new if p in self._before]
+        known.update((p, self._before[p]) for p in again)
+        new = [p for p in new if p not in known]
+        plain = [p for p in new if p not in self.special and len(p) * 4 <= PIECE]
+        found = dict(zip(plain, self._plain([p.encode() for p in plain])))
+        for p in new:
+            ids = [self.special[p]] if p in self.special else found.get(p) or self.tokens(p.encode())
+            known[p] = Piece(array("H", ids).tobytes(), ",".join([self.shown[i] for i in ids]), self._bytes(ids))
+        return [known[p] for p in pieces]
 
     # segments ---------------------------------------------------------------------------------
 
     def encode(self, text: str) -> Segment:
-        pieces = self.pieces(text)
-        known = self.learn(pieces)
-        per = [known[p][0] for p in pieces]
-        ids = np.array([i for p in per for i in p], np.int32)
-        first = np.zeros(len(ids), bool)
-        if per:
-            first[np.concatenate(([0], np.cumsum([len(p) for p in per])[:-1]))] = True
-        return Segment(ids, first)
+        ids = [p.ids for p in self.learn(self.pieces(text))]
+        first = np.zeros(sum(map(len, ids)) // ID.itemsize, bool)
+        if ids:
+            first[np.concatenate(([0], np.cumsum([len(x) // ID.itemsize for x in ids])[:-1]))] = True
+        return Segment(np.frombuffer(b"".join(ids), ID), first)
+
+    def digests(self, text: str) -> tuple[int, str, str]:
+        """Number of ids, SHA-256 of the printed ids and of the text that they decode to."""
+        found = self.learn(self.pieces(text))
+        return (sum([len(p.ids) for p in found]) // ID.itemsize, _sha(",".join([p.shown for p in found])),
+                _sha(b"".join([p.raw for p in found]).decode("utf-8", "replace")))
 
     def _bytes(self, ids) -> bytes:
         return b"".join([self.bytes[i] for i in ids])
@@ -249,7 +275,7 @@ class Coder:
         begins = np.zeros(len(ids), bool)
         begins[first] = True
         rest = b_token[stop]
-        return Segment(np.concatenate((a.ids[:keep], np.array(ids, np.int32), b.ids[rest:])),
+        return Segment(np.concatenate((a.ids[:keep], np.array(ids, ID), b.ids[rest:])),
                        np.concatenate((a.first[:keep], begins, b.first[rest:])))
 
     def fold(self, parts: list[Segment]) -> Segment:
@@ -266,14 +292,21 @@ class Coder:
 _CODERS: dict[str, Coder] = {}
 
 
-def coder(content: str) -> Coder:
-    """One coder a worker and vocabulary, so that what it remembers serves all batches."""
-    name = hashlib.sha256(content.encode()).hexdigest()
+def coder(named: tuple[str, str]) -> Coder:
+    """One coder a worker and vocabulary (its name and content), so that what it remembers serves all batches."""
+    name, content = named
     if name not in _CODERS:
         _CODERS[name] = Coder(content)
     return _CODERS[name]
 
 
+def read_vocabulary(path: str) -> tuple[str, str]:
+    """Name (SHA-256) and content of a tokenizer file."""
+    with open(path, encoding="utf-8") as f:
+        content = f.read()
+    return _sha(content), content
+
+
 def leaves(text: str, leaf: int) -> list[str]:
     """The text cut in halves until no part is longer than ``leaf`` code points."""
     n = 1
@@ -300,11 +333,6 @@ def _batch(schema: T.StructType, columns: list) -> pa.RecordBatch:
                                        for c, f in zip(columns, want)], names=want.names)
 
 
-def read_vocabulary(path: str) -> str:
-    with open(path, encoding="utf-8") as f:
-        return f.read()
-
-
 def _short(docs: DataFrame, text: str, shared, leaf: int, prefix: str, keep: list) -> DataFrame:
     """Every row with its digests; those of long texts are null and the text's name is given instead."""
     schema = T.StructType([*keep, *(T.StructField(prefix + f.name, f.dataType) for f in _DIGEST.fields),
@@ -313,24 +341,11 @@ def _short(docs: DataFrame, text: str, shared, leaf: int, prefix: str, keep: lis
     def run(batches):
         code = coder(shared.value)
         for b in batches:
-            column = b.column(b.schema.get_field_index(text))
-            texts = [x or "" for x in column.to_pylist()]
-            cut = [code.pieces(x) if len(x) <= leaf else None for x in texts]
-            n, ids, back, name = [], [], [], []
-            for x, pieces in zip(texts, cut):
-                if pieces is None:
-                    n.append(None)
-                    ids.append(None)
-                    back.append(None)
-                    name.append(_sha(x))
-                    continue
-                known = code.learn(pieces)
-                per = [known[p] for p in pieces]
-                n.append(sum([len(p[0]) for p in per]))
-                ids.append(_sha(",".join([p[1] for p in per])))
-                back.append(_sha(code.decode([i for p in per for i in p[0]])))
-                name.append(None)
-            yield _batch(schema, [b.column(b.schema.get_field_index(f.name)) for f in keep] + [n, ids, back, name])
+            texts = [x or "" for x in b.column(b.schema.get_field_index(text)).to_pylist()]
+            got = [code.digests(x) if len(x) <= leaf else (None, None, None) for x in texts]
+            name = [_sha(x) if len(x) > leaf else None for x in texts]
+            n, ids, back = zip(*got) if got else ((), (), ())
+            yield _batch(schema, [b.column(b.schema.get_field_index(f.name)) for f in keep] + [list(n), list(ids), list(back), name])
 
     return docs.mapInArrow(run, schema)
 
@@ -364,7 +379,7 @@ def _joined(segments: DataFrame, shared, fan_in: int) -> DataFrame:
     def run(table: pa.Table) -> pa.Table:
         code = coder(shared.value)
         rows = sorted(table.to_pylist(), key=lambda r: r["idx"])
-        ids = [np.frombuffer(r["ids"], np.int32) for r in rows]
+        ids = [np.frombuffer(r["ids"], ID) for r in rows]
         parts = [Segment(i, np.unpackbits(np.frombuffer(r["first"], np.uint8), count=len(i)).astype(bool))
                  for i, r in zip(ids, rows)]
         whole = code.fold(parts)
@@ -394,7 +409,7 @@ def _digests(whole: DataFrame, shared) -> DataFrame:
         for b in batches:
             n, ids, back = [], [], []
             for x in b.column(1).to_pylist():
-                x = np.frombuffer(x, np.int32).tolist()
+                x = np.frombuffer(x, ID).tolist()
                 n.append(len(x))
                 ids.append(_sha(",".join([code.shown[i] for i in x])))
                 back.append(_sha(code.decode(x)))
@@ -433,12 +448,12 @@ def tokenize(docs: DataFrame, vocabulary: str, text: str = "text", out: str = "i
         code = coder(shared.value)
         for b in batches:
             texts = [x or "" for x in b.column(b.schema.get_field_index(text)).to_pylist()]
-            yield _batch(schema, [*b.columns, [code.encode(x).ids if len(x) <= leaf else None for x in texts]])
+            yield _batch(schema, [*b.columns, [code.encode(x).ids.astype(np.int32) if len(x) <= leaf else None for x in texts]])
 
     def spelled(batches):
         for b in batches:
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(
-                [np.frombuffer(x, np.int32) for x in b.column(1).to_pylist()], pa.list_(pa.int32()))], names=["__t_key", "__t_ids"])
+                [np.frombuffer(x, ID).astype(np.int32) for x in b.column(1).to_pylist()], pa.list_(pa.int32()))], names=["__t_key", "__t_ids"])
 
     whole = encode_long(docs, text, shared, leaf, fan_in).select("name", "ids")
     long = join_skewed(named.where("__t_name is not null"), whole.mapInArrow(spelled, "__t_key string, __t_ids array<int>"),
