@@ -1,17 +1,20 @@
 """Personal data: base rules, and a character BiLSTM with CRF transitions.
 
 The network tags characters (outside, or begin / inside of email, ip, card, phone). It reads
-windows of ``WINDOW`` bytes that overlap by half and cover every text from end to end; windows are
+windows of ``WINDOW`` bytes that overlap by ``OVERLAP`` and cover every text from end to end; windows are
 decoded one by one and reconciled over the whole text: where two overlap, each character takes its
 tag from the window in which it is farther from the border. Base findings always stay; a decoded
-span is added where it touches none of them and its mean marginal probability is ``SURE`` or more.
-Windows in which the path without any finding has more than half of the probability need no
-decoding: no other path can be better.
-
-Training: windows of at most ``rows`` (``TRAIN_ROWS``) texts chosen by hash, labelled by the base
-rules, plus ``MADE_ROWS`` made lines from a fixed seed. Of the windows around at signs and groups of
-seven or more digits at most ``windows`` (``TRAIN_WINDOWS``) are taken at random by a fixed seed, and
-at most as many of all others, which teach what is none. Everything else covers all texts, whole.
+span is added where letters or digits of it lie outside of them and its mean marginal probability is
+``SURE`` or more. What the rules check by counting (a card's check digit, an address's parts) is checked
+on decoded spans too. Windows in which the path without any finding has more than half of the
+probability need no decoding: no other path can be better. Equal windows of a slice are read once.
+
+Training: at most ``rows`` (``TRAIN_ROWS``) texts chosen by hash, labelled by the base rules, plus
+``MADE_ROWS`` made lines of each shape from a fixed seed, common and unusual spellings. Windows of
+``TRAIN_WIDTH`` bytes are drawn by a fixed seed: at most ``windows`` (``TRAIN_WINDOWS``) of them, a sixth for
+the findings of each kind, so that rare kinds are learned too, a twelfth around at signs and groups of
+seven or more digits that are none, a quarter anywhere. Windows with a number that only fails the count
+are left out, as nothing else tells it from a finding. Everything else covers all texts, whole.
 
 Defined results: null text is empty; offsets are code points, ends exclusive.
 """
@@ -29,9 +32,15 @@ from daypulse.llm import nets, scan
 from daypulse.llm import textbatch as tb
 
 TRAIN_ROWS = 2000
-TRAIN_WINDOWS = 700
-MADE_ROWS = 240
-WINDOW = 64
+TRAIN_WINDOWS = 1500
+MADE_ROWS = 40
+TRAIN_WIDTH = 96
+WINDOW = 320
+OVERLAP = 40
+#: Units of the network each way.
+HIDDEN = 16
+#: Windows that the network reads at once.
+BATCH = 512
 SURE = 0.95
 KINDS = ("email", "ip", "card", "phone")
 _LOCAL = re.compile(rb"[A-Za-z0-9._%+-]")
@@ -43,6 +52,7 @@ _CARD = re.compile(rb"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(rb"\+[0-9][\x20().0-9-]+[0-9]")
 _GROUP = re.compile(rb"[0-9](?:[\x20().-]{0,2}[0-9]){6,}")
 _DIGIT = tb.byte_table([(0x30, 0x39)])
+_WORDY = tb.byte_table([(0x30, 0x39), (0x41, 0x5A), (0x61, 0x7A), (0x80, 0xFF)])
 
 
 def _digits(x: bytes) -> bytes:
@@ -96,93 +106,133 @@ def triggers(raw: bytes, a: int, z: int) -> list[tuple[int, int]]:
     return sorted(out)
 
 
-def window_starts(places: list[tuple[int, int]], a: int, z: int) -> list[int]:
-    """Starts of half-overlapping windows over the places and WINDOW / 4 bytes around them."""
-    step, out, done = WINDOW // 2, [], a - WINDOW
-    for s, e in places:
-        p = max(a + (max(s - WINDOW // 2, a) - a) // step * step, done)
-        while p < min(e + WINDOW // 4, z):
-            out.append(p)
-            p += step
-        done = max(done, p)
-    return out
-
-
 def all_starts(lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Starts of half-overlapping windows that cover the texts ``lo .. hi`` whole, and the text of each."""
-    size, step = hi - lo, WINDOW // 2
+    """Starts of overlapping windows that cover the texts ``lo .. hi`` whole, and the text of each."""
+    size, step = hi - lo, WINDOW - OVERLAP
     count = np.where(size > 0, np.maximum(-(-(size - WINDOW) // step), 0) + 1, 0)
     text = np.repeat(np.arange(len(lo)), count)
     return lo[text] + step * (np.arange(len(text)) - np.repeat(np.cumsum(count) - count, count)), text
 
 
-def symbols(data: np.ndarray, starts: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
-    at = starts[:, None] + np.arange(WINDOW)
+def symbols(data: np.ndarray, starts: np.ndarray, lo: np.ndarray, hi: np.ndarray, width: int = WINDOW) -> np.ndarray:
+    at = starts[:, None] + np.arange(width)
     ok = (at >= lo[:, None]) & (at < hi[:, None])
     return np.where(ok, nets.SYMBOL[data[np.clip(at, 0, max(len(data) - 1, 0))]], 0)
 
 
 def _tags(spans, start: int) -> np.ndarray:
-    y = np.zeros(WINDOW, np.int64)
+    y = np.zeros(TRAIN_WIDTH, np.int64)
     for kind, s, e in spans:
-        if e > start and s < start + WINDOW:
+        if e > start and s < start + TRAIN_WIDTH:
             y[max(s - start, 0):e - start] = 2 + 2 * kind
             if s >= start:
                 y[s - start] = 1 + 2 * kind
     return y
 
 
-def _made(rng: np.random.Generator) -> list[bytes]:
-    """Lines with one piece of personal data each, by fixed seed."""
+def _card(rng, digits: int = 16) -> str:
+    body = [int(x) for x in rng.integers(0, 10, digits - 1)]
+    body[0] = int(rng.integers(3, 7))
+    return next(s for last in range(10) if luhn((s := "".join(map(str, [*body, last]))).encode()))
+
+
+def _shapes(rng: np.random.Generator) -> list:
+    """(kind, writer) of the made findings, with spellings that the rules know and others."""
     d = lambda n: "".join(map(str, rng.integers(0, 10, n)))
     w = lambda: "".join(rng.choice(list("aeioulnrstdmhv"), int(rng.integers(2, 9))))
+    end = lambda: str(rng.choice(["com", "org", "net", "io", "co.uk", "de"]))
+    ip = lambda: ".".join(str(x) for x in rng.integers(0, 256, 4))
+    cut = lambda by, n=16: by.join(c[i:i + 4] for c in [_card(rng, n)] for i in range(0, n, 4))
+    hex4 = lambda: f"{rng.integers(0, 65536):x}"
+    cc = lambda: str(rng.integers(1, 99))
+    return [
+        (0, lambda: f"{w()}.{d(2)}@{w()}.{end()}"), (0, lambda: f"{w()}@{w()}.{end()}"), (0, lambda: f"{w()}{d(3)}@{w()}-{w()}.{end()}"),
+        (0, lambda: f"{w()}.{w()} at {w()} dot {end()}"), (0, lambda: f"{w()} [at] {w()} [dot] {end()}"), (0, lambda: f"{w()}(at){w()}.{end()}"),
+        (1, ip), (1, lambda: ":".join(hex4() for _ in range(8))), (1, lambda: f"fe80::{hex4()}:{hex4()}:{hex4()}"),
+        (2, lambda: _card(rng)), (2, lambda: cut(" ")), (2, lambda: cut("-")), (2, lambda: cut("/")),
+        (2, lambda: _card(rng, int(rng.integers(16, 20)))),
+        (3, lambda: f"+{cc()} ({d(3)}) {d(3)}-{d(4)}"), (3, lambda: f"+{cc()} {d(3)} {d(3)} {d(4)}"), (3, lambda: f"+{cc()}{d(10)}"),
+        (3, lambda: f"+{cc()}-{d(3)}-{d(3)}-{d(4)}"), (3, lambda: f"({d(3)}) {d(3)}-{d(4)}"),
+        (None, lambda: d(int(rng.integers(7, 13)))), (None, lambda: f"{d(4)}-{d(2)}-{d(2)} {d(2)}:{d(2)}"), (None, lambda: f"{d(3)}.{d(2)}"),
+        (None, lambda: f"{d(1)}.{d(1)}.{d(2)}"), (None, lambda: f"{w()} at {w()} dot")]
+
+
+def _made(rng: np.random.Generator, rows: int = MADE_ROWS) -> list[tuple[bytes, list]]:
+    """Lines with one finding (or a look-alike) each and its span, ``rows`` of every shape, by fixed seed."""
     out = []
-    for i in range(MADE_ROWS):
-        body = [lambda: f"{w()}.{d(2)}@{w()}.{rng.choice(['com', 'org', 'net'])}",
-                lambda: ".".join(str(x) for x in rng.integers(0, 256, 4)),
-                lambda: _card(rng), lambda: f"+{rng.integers(1, 99)} ({d(3)}) {d(3)}-{d(4)}",
-                lambda: f"+{rng.integers(1, 99)} {d(3)} {d(3)} {d(4)}", lambda: d(int(rng.integers(7, 13))),
-                lambda: f"{d(4)}-{d(2)}-{d(2)} {d(2)}"][i % 7]()
-        out.append(f"{w()} {w()} {w()} {body} {w()} {w()}, {w()}.".encode())
+    w = lambda: "".join(rng.choice(list("aeioulnrstdmhvbcgp"), int(rng.integers(2, 10))))
+    lead = ["call", "mail", "card", "from", "host", "tel", "contact", "see", "ref", "no"]
+    for kind, write in _shapes(rng):
+        for i in range(rows):
+            words = [w() for _ in range(int(rng.integers(0, 9)))]
+            head = " ".join([*words, *([str(rng.choice(lead)) + ("" if i % 2 else ":")] if i % 3 else [])])
+            body = write()
+            head += str(rng.choice([" ", "\n", ", "])) if head else ""
+            line = head + body + str(rng.choice([" ", ", ", "\n", ". ", ""]))
+            line += " ".join(w() for _ in range(int(rng.integers(0, 9)))) if not line.endswith(body) else ""
+            out.append((line.encode(), [] if kind is None else [(kind, len(head), len(head) + len(body))]))
     return out
 
 
-def _card(rng) -> str:
-    body = [int(x) for x in rng.integers(0, 10, 15)]
-    body[0] = 4
-    for last in range(10):
-        if luhn(bytes(48 + x for x in [*body, last])):
-            s = "".join(map(str, [*body, last]))
-            return " ".join(s[i:i + 4] for i in range(0, 16, 4)) if rng.random() < 0.5 else s
-    return ""
+def counted_out(kind: int, body: bytes) -> bool:
+    """The text of a card or address fails the count that the rules make: it is none, whatever it looks like."""
+    if kind == 1 and b":" not in body:
+        parts = body.split(b".")
+        return len(parts) != 4 or any(not p.isdigit() or int(p) > 255 for p in parts)
+    digits = _digits(body)
+    return kind == 2 and not (13 <= len(digits) <= 19 and luhn(digits))
+
+
+def near_misses(raw: bytes) -> list[tuple[int, int]]:
+    """Places that look like a card or an address and fail the count."""
+    cards = [m.span() for m in _CARD.finditer(raw) if len(_digits(m[0])) >= 13 and counted_out(2, m[0])]
+    return cards + [m.span() for m in _IP.finditer(raw) if counted_out(1, m[0])]
 
 
 def train(texts: list[bytes], seed: int = 5, windows: int = TRAIN_WINDOWS) -> nets.BiLstmCrf:
-    rng, places = np.random.default_rng(seed), ([], [])  # (text, start) of windows with and without cues
-    texts = [*texts, *_made(rng)]
-    for i, text in enumerate(texts):
-        cued = window_starts(triggers(text, 0, len(text)), 0, len(text))
-        every, _ = all_starts(np.array([0]), np.array([len(text)]))
-        places[0].extend((i, s) for s in cued)
-        places[1].extend((i, s) for s in np.setdiff1d(every, cued).tolist())
-    xs, ys, spans = [], [], {}
-    for some in places:
-        for j in np.sort(np.random.default_rng(seed).permutation(len(some))[:windows]):
-            i, s = some[j]
-            data = np.frombuffer(texts[i], np.uint8)
-            if i not in spans:
-                spans[i] = base_spans(texts[i], data, 0, len(data))
-            xs.append(symbols(data, np.array([s]), np.array([0]), np.array([len(data)])))
-            ys.append(_tags(spans[i], s))
-    return nets.BiLstmCrf(1 + 2 * len(KINDS)).fit(np.concatenate(xs), np.stack(ys))
+    rng = np.random.default_rng(seed)
+    rows = []
+    for text in texts:
+        rows.append((text, base_spans(text, np.frombuffer(text, np.uint8), 0, len(text))))
+    rows += _made(rng)
+    kinds: list[list] = [[] for _ in range(len(KINDS) + 2)]  # places of each kind, of cues that are none, anywhere
+    for i, (text, spans) in enumerate(rows):
+        for kind, s, e in spans:
+            kinds[kind].append((i, s, e))
+        kinds[-2] += [(i, s, e) for s, e in triggers(text, 0, len(text)) if not any(s < y and x < e for _, x, y in spans)]
+        kinds[-1].append((i, int(rng.integers(0, max(len(text), 1))), 0))
+    xs, ys = [], []
+    for k, places in enumerate(kinds):
+        share = windows // (6 if k < len(KINDS) else 12 if k == len(KINDS) else 4)
+        for j in np.sort(rng.permutation(len(places))[:share]):
+            i, s, e = places[j]
+            text, spans = rows[i]
+            room = max(TRAIN_WIDTH - max(e - s, 0), 1)
+            start = max(s - int(rng.integers(0, room)), 0)
+            if any(x < start + TRAIN_WIDTH and start < y for x, y in near_misses(text)):
+                continue
+            data = np.frombuffer(text, np.uint8)
+            xs.append(symbols(data, np.array([start]), np.array([0]), np.array([len(data)]), TRAIN_WIDTH))
+            ys.append(_tags(spans, start))
+    return nets.BiLstmCrf(1 + 2 * len(KINDS), hidden=HIDDEN).fit(np.concatenate(xs), np.stack(ys))
+
+
+def _batches(starts: np.ndarray, hi: np.ndarray):
+    """Windows in groups of similar length, and the width that holds each group."""
+    size = np.minimum(hi - starts, WINDOW)
+    order = np.argsort(size, kind="stable")
+    for c in range(0, len(order), BATCH):
+        some = order[c:c + BATCH]
+        yield some, int(size[some[-1]])
 
 
 def _decoded(model, data: np.ndarray, starts: np.ndarray, lo: np.ndarray, hi: np.ndarray):
-    tags, sure = [], []
-    for c in range(0, len(starts), 512):
-        t, p = model.decode(symbols(data, starts[c:c + 512], lo[c:c + 512], hi[c:c + 512]))
-        tags.append(t), sure.append(p)
-    return np.concatenate(tags), np.concatenate(sure)
+    """Tags and their probabilities, a row of WINDOW each; beyond a text's end nothing is found."""
+    tags, sure = np.zeros((len(starts), WINDOW), np.int64), np.ones((len(starts), WINDOW))
+    for some, width in _batches(starts, hi):
+        t, p = model.decode(symbols(data, starts[some], lo[some], hi[some], width))
+        tags[some, :width], sure[some, :width] = t, p
+    return tags, sure
 
 
 def _reconciled(starts: np.ndarray, tags: np.ndarray, sure: np.ndarray, z: int) -> list[tuple[int, int, int, float]]:
@@ -208,11 +258,22 @@ def _reconciled(starts: np.ndarray, tags: np.ndarray, sure: np.ndarray, z: int)
 
 
 def _loud(model, data: np.ndarray, starts: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
-    """Which windows must be decoded."""
-    loud = np.zeros(len(starts), bool)
-    for c in range(0, len(starts), 512):
-        loud[c:c + 512] = ~model.quiet(symbols(data, starts[c:c + 512], lo[c:c + 512], hi[c:c + 512]))
-    return loud
+    """Which windows must be decoded; of equal ones one is read."""
+    end = np.minimum(starts + WINDOW, hi)
+    _, one, same = np.unique(tb.Rolling(data)(starts, end), return_index=True, return_inverse=True)
+    loud = np.zeros(len(one), bool)
+    for some, width in _batches(starts[one], hi[one]):
+        i = one[some]
+        loud[some] = ~model.quiet(symbols(data, starts[i], lo[i], hi[i], width))
+    return loud[same]
+
+
+def _sticks_out(data: np.ndarray, s: int, e: int, spans) -> bool:
+    """Letters or digits of the span lie outside of all ``spans``."""
+    left = _WORDY[data[s:e]].copy()
+    for _, x, y in spans:
+        left[max(x - s, 0):max(y - s, 0)] = False
+    return bool(left.any())
 
 
 def find_slice(model: nets.BiLstmCrf, data: np.ndarray, offs: np.ndarray) -> tuple[list, list]:
@@ -237,13 +298,13 @@ def find_slice(model: nets.BiLstmCrf, data: np.ndarray, offs: np.ndarray) -> tup
         for row in np.unique(text[loud]).tolist():
             i = np.searchsorted(text, row) + np.flatnonzero(near[text == row])
             for kind, s, e, p in _reconciled(starts[i], tags[i], sure[i], int(offs[row + 1])):
-                if p >= SURE and not any(x < e and s < y for _, x, y in own.get(row, ())):
+                if p >= SURE and not counted_out(kind, raw[s:e]) and _sticks_out(data, s, e, own.get(row, ())):
                     added.append((row, kind, s, e))
     return base, added
 
 
 def fit_model(docs: DataFrame, text: str = "text", rows: int = TRAIN_ROWS, windows: int = TRAIN_WINDOWS) -> nets.BiLstmCrf:
-    """Train on at most ``rows`` texts, at most ``windows`` windows with cues and as many without."""
+    """Train on at most ``rows`` texts and ``windows`` windows."""
     return train(scan.sample_texts(docs, text, rows, 13), windows=windows)
 
 
