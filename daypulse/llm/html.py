@@ -5,7 +5,10 @@ The page becomes a tree of elements. Every node gets its characters per tag, adj
 node with the largest sum of its children's densities holds the article; the least density on
 its path to the body is the threshold that a neighbouring subtree must reach to belong to it.
 Elements that are no article text by their kind (scripts, forms, menus, adverts, notices, reader
-comments ...) are taken out first and count for nothing.
+comments ...) are taken out first and count for nothing. A tag, class or id is a hint only: a part
+that holds nearly all of the page's text outside links stays whatever it is called, one that is
+called after a layout (``has-sidebar``) already with more than half of it, and within an article a
+name that articles use themselves (``related-work``) only counts for short or link-heavy parts.
 
 Defined results: null or empty html gives an empty text; character references are decoded;
 white space (ASCII) inside a block is one space, blocks are joined by one space in page order;
@@ -31,16 +34,25 @@ BLOCK = frozenset("address article aside blockquote body center dd details dialo
 NO_TEXT = frozenset("script style noscript template iframe object svg canvas select option button textarea head title "
                     "input label audio video map".split())
 NO_ARTICLE = frozenset("nav footer aside form menu dialog".split())
-# Names that pages give to parts which are no article text.
+# Names that pages give to parts which are no article text; of these, names of reader
+# comments, and names that parts of an article bear as well; words that only speak of a part elsewhere.
 NAMES = re.compile(
     r"(^|[\s_-])(ad|adbox|adsbygoogle|adslot|advert|advertisement|advertising|banner|breadcrumb|comment|commentlist|cookie|"
     r"consent|disqus|footer|global-header|masthead|menu|modal|nav|navbar|navigation|newsletter|notice|page-header|pagination|"
     r"popup|promo|promoted|promotion|related|respond|share|sharing|side-bar|sidebar|site-header|skip|skip-link|social|"
     r"sponsor|sponsored|subscribe|toolbar|top-bar|topbar|widget)(s?([\s_\d-]|$))", re.I)
+COMMENTS = re.compile(r"comment|disqus|respond", re.I)
+ALSO_ARTICLE = frozenset("banner breadcrumb consent cookie menu modal nav navigation newsletter notice popup promo promotion related "
+                         "share sharing skip social sponsor sponsored subscribe toolbar widget".split())
+ELSEWHERE = re.compile(r"(^|[\s_-])(has|have|with|without|no|not|hide|hidden|show)([_-]\w+)+", re.I)
+#: A part that bears such a name within an article is short up to so many characters.
+SHORT = 80
 # What may stand in a head; anything else ends it.
 IN_HEAD = frozenset("title meta base link script style noscript template noframes bgsound basefont head html".split())
 #: A part that holds this share of the page's text outside links is the page, whatever its tag.
 NEARLY_ALL = 0.9
+#: The share for parts that are named after something else than reader comments.
+MOST = 0.5
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar".split())
 _CLOSES = {"li": ("li", ("ul", "ol")), "dt": ("dt", ("dl",)), "dd": ("dd", ("dl",)), "tr": ("tr", ("table",)),
            "td": ("td", ("tr", "table")), "th": ("th", ("tr", "table")), "option": ("option", ("select",))}
@@ -51,30 +63,44 @@ _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 
 class Node:
-    __slots__ = ("tag", "parent", "items", "skip", "soft", "chars", "tags", "link_chars", "link_tags", "density")
+    __slots__ = ("tag", "parent", "depth", "items", "skip", "soft", "short", "chars", "tags", "link_chars", "link_tags", "density")
 
     def __init__(self, tag: str, parent: Node | None, skip: bool):
         self.tag, self.parent, self.skip = tag, parent, skip
-        self.soft = False  # skipped for its tag only
+        self.depth = 0 if parent is None else parent.depth + 1
+        self.soft = 0.0  # skipped for its tag or name unless it holds this share of the page
+        self.short = False  # and only if it is short or link-heavy
         self.items: list = []  # child nodes and texts in page order
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = 0.0
 
 
-def _by_tag(tag: str, attrs, parent: Node, names: bool) -> bool:
+def _by_tag(tag: str, attrs, in_article: bool, names: bool) -> bool:
     """Whether a part is no article text by its tag, as long as it does not hold the page."""
     if tag in NO_ARTICLE:
         return True
     head = tag == "header" or names and any(k == "class" and v and "header" in v.lower().split() for k, v in attrs)
-    if head:
-        node = parent
-        while node is not None and node.tag not in ("article", "main"):
-            node = node.parent
-        return node is None  # a page header, not an article's
-    return False
+    return head and not in_article  # a page header, not an article's
+
+
+def _by_name(tag: str, attrs, in_article: bool) -> tuple[float, bool]:
+    """(share, short) of a part whose class or id names it as no article text; share 0 if none does."""
+    if tag in ("html", "body", "article", "main"):
+        return 0.0, False
+    for name, value in attrs:
+        if name not in ("class", "id") or not value:
+            continue
+        plain = ELSEWHERE.sub(" ", _CAMEL.sub("-", value))
+        found = NAMES.search(plain)
+        if found:
+            if COMMENTS.search(plain):
+                return NEARLY_ALL, False
+            whole = found[2].lower() in re.split(r"\s+", plain.lower())
+            return MOST, in_article and not whole and found[2].lower() in ALSO_ARTICLE
+    return 0.0, False
 
 
-def _is_boilerplate(tag: str, attrs, names: bool) -> bool:
+def _is_boilerplate(tag: str, attrs) -> bool:
     if tag in NO_TEXT:
         return True
     for name, value in attrs:
@@ -82,9 +108,6 @@ def _is_boilerplate(tag: str, attrs, names: bool) -> bool:
             return True
         if name == "role" and (value or "").strip().lower() in ROLES and not (tag == "form" and (value or "").strip().lower() == "form"):
             return True
-        if names and name in ("class", "id") and value and tag not in ("html", "body", "article", "main") \
-                and NAMES.search(_CAMEL.sub("-", value)):
-            return True
         if name == "style" and value and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
             return True
     return False
@@ -96,23 +119,29 @@ class _Tree(HTMLParser):
         self.names = names
         self.root = self.at = Node("#document", None, False)
         self.nodes = [self.root]
+        self.open: dict[str, list[Node]] = {}  # open elements by tag, innermost last
+
+    def _leave(self, node: Node) -> None:
+        """Close ``node`` and all that is open in it."""
+        while self.at is not node.parent:
+            self.open[self.at.tag].pop()
+            self.at = self.at.parent
 
     def _close(self, tag: str, until: tuple = ()) -> None:
-        node = self.at
-        while node is not None and node.tag != tag:
-            if node.tag in until or node.parent is None:
-                return
-            node = node.parent
-        if node is not None and node.parent is not None:
-            self.at = node.parent
+        """Close the innermost open ``tag`` unless one of ``until`` is open inside it."""
+        if self.open.get(tag):
+            node = self.open[tag][-1]
+            if not any(self.open.get(u) and self.open[u][-1].depth > node.depth for u in until):
+                self._leave(node)
 
     def _end_head(self) -> None:
         """Close an open head unless something other than noscript is open in it."""
-        node = self.at
-        while node is not None and node.tag == "noscript":
-            node = node.parent
-        if node is not None and node.tag == "head":
-            self.at = node.parent
+        if self.open.get("head"):
+            node = self.at
+            while node.tag == "noscript":
+                node = node.parent
+            if node.tag == "head":
+                self._leave(node)
 
     def handle_starttag(self, tag, attrs):
         if tag == "body":
@@ -127,12 +156,18 @@ class _Tree(HTMLParser):
                 self._close("dd" if tag == "dt" else "dt", ("dl",))
             if tag in ("td", "th"):
                 self._close("th" if tag == "td" else "td", ("tr", "table"))
-        node = Node(tag, self.at, self.at.skip or _is_boilerplate(tag, attrs, self.names))
-        node.soft = not node.skip and _by_tag(tag, attrs, self.at, self.names)
+        node = Node(tag, self.at, self.at.skip or _is_boilerplate(tag, attrs))
+        if not node.skip:
+            in_article = bool(self.open.get("article") or self.open.get("main"))
+            if _by_tag(tag, attrs, in_article, self.names):
+                node.soft = NEARLY_ALL
+            elif self.names and attrs:
+                node.soft, node.short = _by_name(tag, attrs, in_article)
         self.at.items.append(node)
         self.nodes.append(node)
         if tag not in VOID:
             self.at = node
+            self.open.setdefault(tag, []).append(node)
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -151,17 +186,24 @@ class _Tree(HTMLParser):
 
 
 def _skip_parts(nodes: list[Node]) -> None:
-    """Skip what is no article text by its tag, but for parts that hold nearly all text outside links."""
-    plain = {}  # characters outside links of each subtree
+    """Skip what is no article text by its tag or name, but for parts that hold the page's text outside links."""
+    plain, every = {}, {}  # characters outside links, and all, of each subtree
     for node in reversed(nodes):
-        n = 0
+        n = m = 0
         for item in node.items:
-            n += len(item.strip()) if isinstance(item, str) else plain[id(item)]
-        plain[id(node)] = 0 if node.tag == "a" else n
-    least = max(1, NEARLY_ALL * plain[id(nodes[0])])
+            if isinstance(item, str):
+                size = len(item.strip())
+                n, m = n + size, m + size
+            else:
+                n, m = n + plain[id(item)], m + every[id(item)]
+        plain[id(node)], every[id(node)] = 0 if node.tag == "a" else n, m
+    page = plain[id(nodes[0])]
     for node in nodes[1:]:
-        if node.parent.skip or node.soft and plain[id(node)] < least:
+        own, whole = plain[id(node)], every[id(node)]
+        if node.parent.skip:
             node.skip = True
+        elif node.soft and own < max(1, node.soft * page):
+            node.skip = not node.short or whole <= SHORT or 2 * own < whole
 
 
 def _weigh(nodes: list[Node]) -> None:

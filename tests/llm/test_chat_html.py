@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -132,3 +133,96 @@ def test_an_article_in_two_parts_is_kept_whole(outer):
     page = f"<html><body><nav><a href=1>Home</a></nav><{outer}><article>{part('one')}</article><article>{part('two')}</article></{outer}></body></html>"
     text = html.main_text(page)
     assert all(f"{w}{i} words" in text for w in ("one", "two") for i in range(4)) and "Home" not in text
+
+
+# ---- names are hints, markup of any shape takes linear time, and the choice against a plain version ----
+
+LONG = "<p>" + "The quick brown fox, fond of long sentences, walks around the garden of a friend. " * 4 + "</p>"
+PLAIN = LONG[3:-4].strip()
+PAGE_END = "<div class='footer'>Copyright 2024 all rights reserved</div><div id='imprint-nav'><a href=i>Imprint</a></div>"
+
+
+@pytest.mark.parametrize("name", ["site has-sidebar", "layout with-nav", "no-sidebar", "sidebar-left", "page-with-widgets", "hasSidebar", "nav-top-layout"])
+def test_wrappers_named_after_other_parts(name):
+    page = (f"<html><body><div class='{name}'><div class='nav'><a href=h>Home</a> <a href=a>About</a></div><div class=text>{LONG}{LONG}</div>"
+            f"<div class='sidebar'>Popular <a href=p>posts</a></div></div>{PAGE_END}</body></html>")
+    assert html.main_text(page) == f"{PLAIN} {PLAIN}"
+
+
+@pytest.mark.parametrize("part", ["<section id='related-work'><h2>Related</h2>{}</section>", "<div class='post-banner'>{}</div>",
+                                  "<div class='share-of-voice'>{}</div>", "<div class='text-widget'>{}</div>"])
+def test_parts_of_an_article_with_such_names(part):
+    got = html.main_text(f"<body><article>{LONG}{part.format(LONG)}<div class='related-posts'><a href=1>One</a> <a href=2>Two</a></div>"
+                         f"<div class='share'>Tell all your friends about this nice page today</div></article>{PAGE_END}</body>")
+    assert got.count(PLAIN) == 2 and "One" not in got and "friends" not in got.replace(PLAIN, "") and "Copyright" not in got
+
+
+def test_comments_go_even_if_they_are_longer():
+    got = html.main_text(f"<body><div class=post>{LONG}</div><div class='comments-area'>{LONG.replace('fox', 'hen') * 3}</div></body>")
+    assert got == PLAIN
+
+
+@pytest.mark.parametrize("page", [
+    "<div>" * 50_000 + "x", "<div><b>" * 25_000 + "</i>" * 25_000 + "x", "<table><tr><td>" + "<span>" * 25_000 + "</i>" * 25_000 + "x",
+    "<p>" * 50_000 + "x", "<i><table><td>" + "<span>" * 25_000 + "</i>" * 25_000 + "x", "<header>" * 50_000 + "x",
+    "<ul><li>" * 25_000 + "x", "<head><noscript></noscript>" + "<noscript>" * 20_000 + "</noscript>" * 20_000 + "<div>" * 20_000 + "x"])
+def test_deep_and_unclosed_markup_takes_linear_time(page):
+    began = time.process_time()
+    assert html.main_text(page) == "x"
+    assert time.process_time() - began < 4
+
+
+def plain_choice(tree):
+    """Text of the subtree with the largest sum of child densities, widened along the path, by plain recursion."""
+    import math
+
+    def measure(n):
+        c = t = lc = lt = 0
+        for x in n.items:
+            if isinstance(x, str):
+                c += len(x.strip())
+            elif not x.skip:
+                a, b, d, e = measure(x)
+                c, t, lc, lt = c + a, t + b + 1, lc + d, lt + e + (x.tag == "a")
+        return c, t, c if n.tag == "a" else lc, lt
+
+    nodes, body = tree.nodes, next((n for n in tree.nodes if n.tag == "body"), tree.root)
+    bc, _, bl, _ = measure(body)
+
+    def density(n):
+        c, t, lc, lt = measure(n)
+        if not c:
+            return 0.0
+        base = math.log(c / max(c - lc, 1) * lc + bl / max(bc, 1) * c + math.e)
+        inside = c / max(lc, 1) * max(t, 1) / max(lt, 1)
+        return c / max(t, 1) * (math.log(inside + 1e-9) / math.log(max(base, 1 + 1e-9)) if base > 1 else math.log(max(inside, 1) + math.e - 1))
+
+    live = [n for n in nodes if not n.skip]
+    best = max(live, key=lambda n: sum(density(x) for x in n.items if not isinstance(x, str) and not x.skip))
+    limit, n = density(best), best
+    while n is not body:
+        n = n.parent
+        limit = min(limit, density(n))
+    chosen, n = [best], best
+    while n is not body:
+        chosen += [x for x in n.parent.items if not isinstance(x, str) and x is not n and not x.skip and density(x) >= limit > 0]
+        n = n.parent
+    order = {id(x): i for i, x in enumerate(nodes)}
+    out = []
+    for n in sorted(chosen, key=lambda x: order[id(x)]):
+        html._blocks(n, out)
+    return " ".join(out)
+
+
+def test_choice_against_a_plain_version(rng):
+    for _ in range(60):
+        words = lambda n: " ".join(rng.choice(["alpha", "beta,", "gamma", "delta."]) for _ in range(n))
+        link = lambda: f"<a href=x>{words(rng.randrange(1, 4))}</a>"
+        side = lambda: "<div>" + "".join(f"<div>{link()}</div>" for _ in range(rng.randrange(2, 7))) + "</div>"
+        text = "<div>" + "".join(f"<p>{words(rng.randrange(3, 60))} {link() if rng.random() < 0.3 else ''}</p>" for _ in range(rng.randrange(2, 9))) + "</div>"
+        page = "<body>" + "".join(rng.sample([side(), text, side(), f"<div><div>{words(5)}</div></div>"], 4)) + "</body>"
+        tree = html._Tree()
+        tree.feed(page)
+        tree.close()
+        html._skip_parts(tree.nodes)
+        assert html.main_text(page) == plain_choice(tree)
