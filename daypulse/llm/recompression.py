@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from daypulse.llm import repeats as rp
 from daypulse.llm import textbatch as tb
+from daypulse.llm.spark_utils import join_skewed, stored
 
 WINDOW = 50
 #: Symbols with a longer context are no anchors; a window looks at symbols in its first WINDOW - CONTEXT + 1 places.
@@ -168,6 +169,20 @@ def _least_document(group, did, w, off, n, data, offs):
     return r, s.astype(np.int32), (s + length).astype(np.int32), least[first]
 
 
+def _least_of_hot(ident: DataFrame, found: DataFrame, window: int, label: str) -> DataFrame:
+    """The least document of each window of hot anchors that several have, as (key, content, s, e, m).
+
+    Windows go by their own names and are counted with partial aggregates, so one that is in every
+    document costs a task one row; the few most frequent ones are broadcast on the way back.
+    """
+    rows = rp.cut_out(ident, found, _payload(window), f"{label}-hot")
+    rows = stored(rows.select("key", "content", "did", "w", F.col("off").alias("s"), F.concat_ws(
+        ":", "key", F.hex("body")).alias("name")), f"{label}-hot-windows")
+    least = rows.groupBy(F.col("name").alias("window")).agg(F.min("did").alias("m"), F.sum("w").alias("c"))
+    hits = join_skewed(rows, least.where("c > 1").drop("c"), "name", "window")
+    return hits.select("key", "content", "s", (F.col("s") + 1).cast("int").alias("e"), "m")
+
+
 def _finish(window: int):
     def finish(s, start, end, text):
         w = tb.words(s.data, s.offs)
@@ -195,7 +210,8 @@ def repeated_ranges(ident: DataFrame, window: int = WINDOW, label: str = "words"
     found = rp.settled_and_open(
         ident, cut_stretches, [F.min("did").alias("least"), F.max("did").alias("most")],
         F.col("least") < F.col("most"), F.col("lo") == F.col("hi"), label)
-    runs = rp.compared(ident, found, _payload(window), _least_document, "s int, e int, m long", label)
+    cool = rp.compared(ident, found.where("not hot"), _payload(window), _least_document, "s int, e int, m long", label)
+    runs = cool.unionByName(_least_of_hot(ident, found.where("hot"), window, label))
     whole = found.where("whole and did > least").select("did", "name", "start", F.lit(0).alias("s"), F.col("n").alias("e"))
     rest = (found.where("not whole").join(runs, ["key", "content"]).where("did > m")
             .select("did", "name", "start", "s", "e"))

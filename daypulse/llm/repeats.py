@@ -81,11 +81,19 @@ def settled_and_open(ident: DataFrame, cut: Callable, summary: list[Column], sha
 
 def compared(ident: DataFrame, found: DataFrame, payload: Callable, compare: Callable, out: str,
              label: str, chunk: int = CHUNK_BYTES) -> DataFrame:
-    """Compare the distinct stretches of the open anchors.
+    """Compare the distinct stretches of the open anchors, group by group.
 
-    ``payload(data, texts, rows)`` cuts them from the texts, giving (group, row, offset, n, bytes);
     ``compare(groups, dids, weights, ns, payloads)`` gives for each the answers, columns ``out``.
     """
+    dealt = cut_out(ident, found, payload, label).repartition("grp").sortWithinPartitions("grp")
+    return dealt.mapInArrow(lambda batches: _compare(batches, compare, out, chunk), f"key long, content long, {out}")
+
+
+def cut_out(ident: DataFrame, found: DataFrame, payload: Callable, label: str) -> DataFrame:
+    """The distinct stretches of the open anchors, each from its document of least id: rows as ``payload`` cuts them.
+
+    ``payload(data, texts, rows)`` gives (group, row, offset, n, bytes).
+    """
     rep = F.min(F.struct("did", "name", "start", "n", "at"))
     open_ = (found.where("not whole").groupBy("key", "content", "hot").agg(F.count("*").alias("w"), rep.alias("r"))
              .select("key", "content", "hot", "w", "r.*"))
@@ -93,11 +101,9 @@ def compared(ident: DataFrame, found: DataFrame, payload: Callable, compare: Cal
         F.collect_list(F.struct("key", "content", "hot", "w", "start", "n", "at")).alias("cuts")), f"{label}-cuts")
     wanted = sieve(per_text, "did")
     texts = with_names(ident, wanted).join(per_text, ["did", "name"])
-    sent = texts.select("did", "text", "cuts").mapInArrow(
+    return texts.select("did", "text", "cuts").mapInArrow(
         lambda batches: _send(batches, payload),
         "grp long, key long, content long, did long, w long, off int, n int, body binary")
-    dealt = sent.repartition("grp").sortWithinPartitions("grp")
-    return dealt.mapInArrow(lambda batches: _compare(batches, compare, out, chunk), f"key long, content long, {out}")
 
 
 def with_names(ident: DataFrame, wanted) -> DataFrame:

@@ -6,6 +6,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from daypulse.llm import bwtmerge, decontaminate, jaccard, mixing, nets, pii, quality, recompression, repeats, secrets
 from daypulse.llm import textbatch as tb
@@ -60,6 +61,22 @@ def test_word_windows(spark, rng, monkeypatch, hot):
          ["doc_id", "n_words", "n_removed", "kept_sha256"])
 
 
+def test_a_passage_in_every_document_is_no_group_of_its_own(spark, rng, monkeypatch):
+    """Compared in groups are at most HOT stretches; what is more frequent is counted by aggregates."""
+    monkeypatch.setattr(repeats, "HOT", 20)
+    passage, most = sentence(rng, 70), []
+    for n in (60, 120):
+        rows = [(i, f"{sentence(rng, 12)} {passage} {sentence(rng, 12)}") for i in range(n)]
+        ident = repeats.identified(docs(spark, rows), "doc_id", "text")
+        found = repeats.settled_and_open(ident, recompression.cut_stretches, [F.min("did").alias("least"), F.max("did").alias("most")],
+                                         F.col("least") < F.col("most"), F.col("lo") == F.col("hi"), "words")
+        assert found.where("hot and not whole").count() >= n
+        sent = repeats.cut_out(ident, found.where("not hot"), recompression._payload(50), "words")
+        most.append(max([r["count"] for r in sent.groupBy("grp").count().collect()], default=0))
+        same(recompression.remove_repeats(docs(spark, rows)), brute.word_windows(rows, 50), ["doc_id", "n_words", "n_removed", "kept_sha256"])
+    assert max(most) <= 20, most
+
+
 @pytest.mark.parametrize("hot", [4096, 2])
 def test_byte_windows(spark, rng, monkeypatch, hot):
     monkeypatch.setattr(repeats, "HOT", hot)
