@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.display import audit_status
-from ..session import path_exists
+from ..session import path_exists, stored
 
 
 def not_null_audit(df: DataFrame, model: str, columns: Sequence[str]) -> DataFrame:
@@ -153,8 +153,11 @@ def reconcile(raw: DataFrame, staged: DataFrame, keys: Sequence[str],
     is the smaller count of the two, missing and extra the rest. ``method="checksum"``: no row-level join -- per partition
     the row count and an order-independent checksum of the keys on each side
     (aggregates only, so only one row per partition is shuffled); run the count
-    form afterwards on the partitions whose ``equal`` is false.
+    form afterwards on the partitions whose ``equal`` is false. ``method="tree"``: the rows of
+    ``count`` from checksums per partition and hash range of the keys; see ``_reconcile_tree``.
     """
+    if method == "tree":
+        return _reconcile_tree(raw, staged, keys, partition)
     if method == "checksum":
         def side(df: DataFrame, tag: str) -> DataFrame:
             h = F.xxhash64(*[F.col(k) for k in keys]).cast(T.DecimalType(38, 0))
@@ -169,10 +172,54 @@ def reconcile(raw: DataFrame, staged: DataFrame, keys: Sequence[str],
                          F.col("raw_checksum").eqNullSafe(F.col("staged_checksum"))).alias("equal"))
     if method != "count":
         raise ValueError(f"unknown method {method!r}")
+    return _per_partition(_sides(raw, staged, keys, partition).groupBy(partition, *keys).agg(
+        F.sum("_r").alias("_r"), F.sum("_s").alias("_s")), partition)
+
+
+#: Hash ranges that a partition's keys are cut into.
+RANGES = 4096
+
+
+def _reconcile_tree(raw: DataFrame, staged: DataFrame, keys: Sequence[str], partition: str) -> DataFrame:
+    """``reconcile`` by descending from partitions to hash ranges to ids, only where checksums differ.
+
+    One pass over both sides sums a checksum per (partition, range) of either (combined map-side: at most
+    ``RANGES`` rows a partition and task) and is stored. Ranges with equal counts and checksums are matched as
+    they are; a difference in one is missed with a chance of 2^-64. Only partitions with an unequal range are
+    read again, and of these only the ids in such ranges are shuffled.
+    """
+    name = F.xxhash64(*[F.col(k) for k in keys])
+    both = _sides(raw, staged, keys, partition)
+    sides = both.select(partition, "_r", "_s", F.pmod(name, F.lit(RANGES)).alias("_range"),
+                        name.cast(T.DecimalType(38, 0)).alias("_h"))
+    leaves = stored(sides.groupBy(partition, "_range").agg(
+        F.sum("_r").alias("_r"), F.sum("_s").alias("_s"), F.sum(F.when(F.col("_r") == 1, F.col("_h"))).alias("_hr"),
+        F.sum(F.when(F.col("_s") == 1, F.col("_h"))).alias("_hs")), "reconcile-ranges")
+    equal = (F.col("_r") == F.col("_s")) & F.col("_hr").eqNullSafe(F.col("_hs"))
+    alike = leaves.where(equal).select(partition, "_r", "_s")
+    unequal = leaves.where(~equal).select(F.col(partition).alias("_p"), F.col("_range").alias("_q"))
+    days = [r["_p"] for r in unequal.select("_p").distinct().collect()]  # bounded by the calendar
+    if not days:
+        return _per_partition(alike, partition)
+    some = F.col(partition).isin([d for d in days if d is not None])
+    some = F.coalesce(some, F.lit(None in days))
+    cut = lambda df: df.where(some).withColumn("_range", F.pmod(name, F.lit(RANGES)))
+    rest = _sides(cut(raw), cut(staged), [*keys, "_range"], partition)
+    rest = rest.join(unequal, F.col(partition).eqNullSafe(F.col("_p")) & (F.col("_range") == F.col("_q")), "left_semi")
+    per_id = rest.groupBy(partition, *keys).agg(F.sum("_r").alias("_r"), F.sum("_s").alias("_s"))
+    return _per_partition(alike.unionByName(per_id.select(partition, "_r", "_s")), partition)
+
+
+def _sides(raw: DataFrame, staged: DataFrame, keys: Sequence[str], partition: str) -> DataFrame:
+    """The keys of both sides with ``_r`` and ``_s``, 1 on the row's own side."""
     r = raw.select(partition, *keys, F.lit(1).cast("long").alias("_r"), F.lit(0).cast("long").alias("_s"))
     s = staged.select(partition, *keys, F.lit(0).cast("long").alias("_r"), F.lit(1).cast("long").alias("_s"))
-    per_id = r.unionByName(s).groupBy(partition, *keys).agg(F.sum("_r").alias("_r"), F.sum("_s").alias("_s"))
-    return per_id.groupBy(partition).agg(
+    return r.unionByName(s)
+
+
+def _per_partition(counts: DataFrame, partition: str) -> DataFrame:
+    """The report from counts ``_r`` and ``_s`` of whatever is compared as one."""
+    return counts.groupBy(partition).agg(
         F.sum("_r").alias("raw_rows"), F.sum("_s").alias("staged_rows"),
         F.sum(F.least("_r", "_s")).alias("matched"),
         F.sum(F.greatest(F.col("_r") - F.col("_s"), F.lit(0))).cast("long").alias("missing_in_staged"),

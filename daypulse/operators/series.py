@@ -45,8 +45,9 @@ def positions(df: DataFrame, by: Sequence[str] = PERIOD, day: str = "day",
     """0-based position ``idx`` and series length ``n`` per group.
 
     Choose by the rows, not by habit: ``"window"`` for input with a row per day (a mart:
-    at most 31 rows per group and month; one scan, one shuffle), ``"daily"`` for event
-    rows, ``"range"`` for event rows where a single (group, day) may be hot.
+    at most 31 rows per group and month; one scan, one shuffle), ``"range"`` for event
+    rows (the series of sleep rows do so by default), ``"daily"`` for event rows where no
+    single (group, day) can be hot.
 
     ``method="daily"`` (default) never puts a whole series in one task: rows
     per (group, day) are counted first (partial aggregation), a window over
@@ -202,7 +203,7 @@ def series_target(wellness: DataFrame, by: Sequence[str] = PERIOD, day: str = "d
 
 def series_stacked(sleep: DataFrame, by: Sequence[str] = PERIOD, day: str = "day",
                    tiebreak: Sequence[str] = ("id",), long_sleep: str = LONG_SLEEP,
-                   method: str = "daily") -> DataFrame:
+                   method: str = "range") -> DataFrame:
     """Per long_sleep night the stage hours (NULL -> 0) and their stack bottoms."""
     ls = sleep.where(F.col("sleep_type") == long_sleep)
     p = positions(ls, by, day, tiebreak, method)
@@ -217,7 +218,7 @@ def series_stacked(sleep: DataFrame, by: Sequence[str] = PERIOD, day: str = "day
 
 def series_rolling(sleep: DataFrame, by: Sequence[str] = PERIOD, day: str = "day",
                    value: str = "avg_hrv", tiebreak: Sequence[str] = ("id",),
-                   long_sleep: str = LONG_SLEEP, method: str = "daily") -> DataFrame:
+                   long_sleep: str = LONG_SLEEP, method: str = "range") -> DataFrame:
     """C4: non-null long_sleep values and their 3-row mean; needs at least 2 points."""
     ls = sleep.where((F.col("sleep_type") == long_sleep) & F.col(value).isNotNull())
     p = positions(ls.select(*by, day, value, *tiebreak), by, day, tiebreak, method)
@@ -233,7 +234,7 @@ def series_rolling(sleep: DataFrame, by: Sequence[str] = PERIOD, day: str = "day
 
 def chart_series(wellness: DataFrame, sleep: DataFrame, by: Sequence[str] = PERIOD,
                  long_sleep: str = LONG_SLEEP, target: float = STEP_TARGET,
-                 wellness_method: str = "window", sleep_method: str = "daily") -> dict[str, DataFrame]:
+                 wellness_method: str = "window", sleep_method: str = "range") -> dict[str, DataFrame]:
     """All four series, each independent (an empty one does not stop the others).
 
     ``wellness`` is a mart with a row per day by default (``wellness_method``).

@@ -433,6 +433,10 @@ SELECT partition_date, CAST(sum(a) AS BIGINT) AS raw_rows, CAST(sum(b) AS BIGINT
   CAST(sum(least(a, b)) AS BIGINT) AS matched, CAST(sum(greatest(a - b, 0)) AS BIGINT) AS missing_in_staged,
   CAST(sum(greatest(b - a, 0)) AS BIGINT) AS extra_in_staged
 FROM j GROUP BY ALL"""
+    q["reconcile_tree"] = q["reconcile"]
+    q["reconcile_tree_equal_days"] = """SELECT partition_date, count(*) AS raw_rows, count(*) FILTER (WHERE kept) AS staged_rows,
+  count(*) FILTER (WHERE kept) AS matched, count(*) FILTER (WHERE NOT kept) AS missing_in_staged, CAST(0 AS BIGINT) AS extra_in_staged
+FROM (SELECT CAST(ts AS DATE) AS partition_date, day(CAST(ts AS DATE)) % 2 = 1 OR event_id % 7 <> 0 AS kept FROM events) GROUP BY ALL"""
     q["row_count_checks"] = "\nUNION ALL\n".join(
         f"SELECT '{t}' AS table_name, TRUE AS \"exists\", count(*) AS row_count, "
         f"CASE WHEN count(*) = 0 THEN 'WARN' END AS severity, TRUE AS passed, "

@@ -91,3 +91,28 @@ def test_row_count_check_on_catalog_tables(spark):
     assert (e["exists"], e["severity"], e["row_count"]) == (True, "WARN", 0)
     assert (f["exists"], f["severity"], f["row_count"]) == (True, None, 4)
     assert (m["exists"], m["severity"], m["passed"]) == (False, "WARN", True)
+
+
+def test_reconcile_tree_equals_counts(spark, monkeypatch):
+    import datetime as dt
+    import random
+
+    rng = random.Random(2)
+    days = [dt.date(2026, 1, i) for i in range(1, 9)] + [None]
+    rows = [(d, rng.choice([None, rng.randrange(40), rng.randrange(4000)]), "x") for d in days for _ in range(120)]
+    raw = spark.createDataFrame(rows, "partition_date date, id long, kind string")
+    other = [r for r in rows if r[0] != days[2] and (r[0] in days[:2] or rng.random() < 0.95)]
+    other += [(days[3], 9, "x"), (days[3], None, "x"), (dt.date(2026, 2, 1), 5, "x")]
+    for staged in (spark.createDataFrame(other, raw.schema), raw.repartition(3), raw.limit(0)):
+        for left, right in ((raw, staged), (staged, raw)):
+            for ranges in (quality.RANGES, 1, 7):
+                monkeypatch.setattr(quality, "RANGES", ranges)
+                got = quality.reconcile(left, right, ["id", "kind"], method="tree")
+                want = quality.reconcile(left, right, ["id", "kind"])
+                assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    # ids are read from unequal ranges only
+    sides = []
+    plain = quality._sides
+    monkeypatch.setattr(quality, "_sides", lambda *a: sides.append(a) or plain(*a))
+    quality.reconcile(raw, raw.repartition(3), ["id"], method="tree").count()
+    assert len(sides) == 1
