@@ -90,6 +90,33 @@ def with_period(df: DataFrame, period_type: str, start: dt.date, end: dt.date,
             .withColumn("end_date", F.lit(end)))
 
 
+#: Days of a bucket that rows and requested periods meet in.
+BUCKET_DAYS = 32
+
+
+def requested_periods(df: DataFrame, periods: DataFrame, keys: Sequence[str] = (), day: str = "day",
+                      bucket_days: int = BUCKET_DAYS) -> DataFrame:
+    """The rows of every requested period: ``periods`` (keys, period_type, start_date, end_date), both ends included.
+
+    Periods may be of any length, overlap and differ by entity; without ``keys`` they hold for all rows. A period
+    is listed under each bucket of ``bucket_days`` days that it touches, so rows meet only periods near them in an
+    equality join on (keys, bucket): its groups are bounded by an entity's rows of so many days, and AQE splits a
+    skewed one. A row comes once per period that holds its day; equal requests count once, one that ends before it
+    starts holds nothing. NULL keys and days match no period.
+    """
+    def bucket(c: Column) -> Column:
+        return F.floor(F.datediff(c, F.lit(dt.date(1970, 1, 1))) / bucket_days)
+
+    wanted = periods.select(*[F.col(k).alias(f"_k_{k}") for k in keys], *PERIOD).distinct().where("start_date <= end_date")
+    wanted = wanted.withColumn("_bucket", F.explode(F.sequence(bucket(F.col("start_date")), bucket(F.col("end_date")))))
+    rows = df.withColumn("_at", bucket(F.col(day)))
+    same = F.col("_at") == F.col("_bucket")
+    for k in keys:
+        same = same & (F.col(k) == F.col(f"_k_{k}"))
+    met = rows.join(wanted, same & F.col(day).between(F.col("start_date"), F.col("end_date")))
+    return met.select(*df.columns, *PERIOD)
+
+
 def _lit_map(d: Mapping[str, object], value_type: str) -> Column:
     """A literal map (JVM-side lookup, no join); typed even when empty."""
     if not d:

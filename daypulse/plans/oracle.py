@@ -487,6 +487,12 @@ GROUP BY ALL"""
     q["mart_duplicates_join"] = _with(*plain_legs, MART1) + "SELECT * FROM mart"
     q["mart_duplicates_product"] = q["mart_duplicates_join"]
     q["mart_key_duplicates"] = _with(*plain_legs, MART2) + "SELECT * FROM mart"
+    asked = """asked AS (SELECT user_id, min(day) AS a, max(day) AS z FROM mart GROUP BY user_id),
+per AS (SELECT mart.*, period_type, start_date, end_date FROM mart JOIN (
+  SELECT user_id, 'first' AS period_type, a AS start_date, a + 9 AS end_date FROM asked
+  UNION ALL SELECT user_id, 'early', a + 5, a + 40 FROM asked UNION ALL SELECT user_id, 'all', a - 3, z FROM asked
+  UNION ALL SELECT user_id, 'late', z - 2, z + 30 FROM asked) p ON mart.user_id = p.user_id AND day BETWEEN start_date AND end_date)"""
+    q["report_requested_periods"] = _summary_sql("j2").replace(_periods("per", "mart"), asked)
     q["report_one_period"] = f"SELECT * FROM ({_summary_sql('j2')}) WHERE period_type = 'weekly' AND start_date = DATE '2024-01-08'"
     gated = lambda sql: f"SELECT s.* FROM ({sql}) s SEMI JOIN okg USING (user_id, period_type, start_date, end_date)"
     okg = f"""okg AS (SELECT {BYC} FROM per GROUP BY {BYC} HAVING NOT ({gate_cond}))"""

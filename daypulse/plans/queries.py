@@ -268,6 +268,17 @@ def report_one_period(spark, sf):
     return report.metric_summary(week, BY, fixed=FIXED)
 
 
+def report_requested_periods(spark, sf):
+    """The summaries of four overlapping periods a user, of different lengths and ends, at once."""
+    mart = _mart2(spark, sf)
+    span = mart.groupBy("user_id").agg(F.min("day").alias("a"), F.max("day").alias("z"))
+    one = lambda name, start, end: F.struct(F.lit(name).alias("period_type"), start.alias("start_date"), end.alias("end_date"))
+    a, z, add = F.col("a"), F.col("z"), F.date_add
+    periods = span.select("user_id", F.inline(F.array(
+        one("first", a, add(a, 9)), one("early", add(a, 5), add(a, 40)), one("all", add(a, -3), z), one("late", add(z, -2), add(z, 30)))))
+    return report.metric_summary(report.requested_periods(mart, periods, ev.KEYS), BY, fixed=FIXED)
+
+
 def sleep_display(spark, sf):
     s = ratio_summary(spark, sf)
     stages = [D.pct0(f"{x}_pct") for x in ("deep", "light", "rem", "awake")]
@@ -690,7 +701,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         stage_variant, stage_missing_path, explode_variant, *FEED_QUERIES, not_null_pairs, mart_duplicates_join,
         mart_duplicates_product, mart_key_duplicates,
-        report_full, report_from_states, report_one_period, sleep_display, workout_display, areas_display, activity_map,
+        report_full, report_from_states, report_one_period,
+        report_requested_periods, sleep_display, workout_display, areas_display, activity_map,
         rolling_mean3_range, series_stacked_range, charts_long, land_envelope_files, single_day_audit,
         detail_null_counts, row_count_outcomes, request_days,
         mart_full_outer_chain, mart_full_outer_chain_grouped, mart_full_outer_key, mart_left_detail,
