@@ -8,10 +8,11 @@ sequence (both are calendar- and registry-bounded), not by a cross join.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,6 +31,50 @@ def not_null_audit(df: DataFrame, model: str, columns: Sequence[str]) -> DataFra
         .select("model", "column", "rows", "failures", (F.col("failures") == 0).alias("passed"))
 
 
+#: What a write says about itself: the load (any name of the caller's), the model, its rows, and per column the non-NULL ones.
+METRICS = "load string, model string, `column` string, rows bigint, non_null bigint"
+
+
+def write_audited(df: DataFrame, path: str, model: str, metrics: str, load: str, mode: str = "overwrite",
+                  partition_by: Sequence[str] = ()) -> int:
+    """Write a model and, observed on that write, its row count and non-NULL count of every column; rows written.
+
+    No second scan: the counts ride on the write's own tasks. They go to the small table ``metrics`` (a row a
+    column and load), where a load that is written again replaces its earlier counts (``read_metrics``).
+    """
+    spark, columns = df.sparkSession, df.columns
+    rows, counts = 0, [0] * len(columns)
+    if df.isEmpty():  # stops at the first row; an empty plan carries no observation
+        out = df
+    else:
+        obs = Observation(f"audit_{uuid.uuid4().hex[:8]}")
+        out = df.observe(obs, F.count(F.lit(1)).alias("rows"),
+                         *[F.count(F.col(f"`{c}`")).alias(f"c{i}") for i, c in enumerate(columns)])
+    w = out.write.mode(mode)
+    (w.partitionBy(*partition_by) if partition_by else w).parquet(path)
+    if out is not df:
+        got = obs.get
+        rows, counts = int(got["rows"]), [int(got[f"c{i}"]) for i in range(len(columns))]
+    said = spark.createDataFrame([(load, model, c, rows, n) for c, n in zip(columns, counts)], METRICS)
+    said.coalesce(1).withColumn("written", F.current_timestamp()).write.mode("append").parquet(metrics)
+    return rows
+
+
+def read_metrics(spark: SparkSession, metrics: str) -> DataFrame:
+    """The counts of every (load, model, column), the last written where one was written again."""
+    rows = spark.read.schema(f"{METRICS}, written timestamp").parquet(metrics)
+    last = rows.groupBy("load", "model", "column").agg(F.max_by(F.struct("rows", "non_null"), "written").alias("m"))
+    return last.select("load", "model", "column", "m.rows", "m.non_null")
+
+
+def not_null_from_metrics(metrics: DataFrame, columns: Mapping[str, Sequence[str]]) -> DataFrame:
+    """Q1 over all loads of each model from their metrics alone: ``columns`` lists what must not be NULL by model."""
+    wanted = [F.struct(F.lit(m).alias("m"), F.lit(c).alias("c")) for m, cs in columns.items() for c in cs]
+    total = metrics.where(F.struct(F.col("model").alias("m"), F.col("column").alias("c")).isin(wanted)).groupBy("model", "column").agg(
+        F.sum("rows").alias("rows"), F.sum(F.col("rows") - F.col("non_null")).alias("failures"))
+    return total.select("model", "column", "rows", "failures", (F.col("failures") == 0).alias("passed"))
+
+
 def completeness(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """``count(*)`` against ``count(col)`` per column (and group)."""
     aggs = [F.count(F.lit(1)).alias("_rows")] + [F.count(F.col(c)).alias(f"_n{i}")

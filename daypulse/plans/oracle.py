@@ -468,6 +468,7 @@ GROUP BY ALL"""
             f"SELECT 'stg_{spec.name}' AS model, '{c}' AS \"column\", count(*) AS rows, count(*) - count({x}) AS failures, "
             f"count(*) = count({x}) AS passed FROM e"
             for spec in FEEDS.values() for c, x in _feed_columns(spec).items() if c in spec.not_null)
+    q["not_null_observed"] = q["not_null_pairs"]
     with_k = """WITH e AS (SELECT *, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k,
   CASE WHEN event_id % 17 = 0 THEN 'not one JSON document' WHEN event_id % 19 = 0 THEN 'not an object' END AS reason FROM events)
 """

@@ -116,3 +116,18 @@ def test_reconcile_tree_equals_counts(spark, monkeypatch):
     monkeypatch.setattr(quality, "_sides", lambda *a: sides.append(a) or plain(*a))
     quality.reconcile(raw, raw.repartition(3), ["id"], method="tree").count()
     assert len(sides) == 1
+
+
+def test_counts_observed_on_the_write(spark, tmp_root):
+    df = spark.createDataFrame([(1, None, "x"), (2, 5, None), (None, 6, "y")], "a long, `b c` long, d string")
+    metrics = f"{tmp_root}/metrics"
+    assert quality.write_audited(df, f"{tmp_root}/t", "m", metrics, "one", partition_by=["a"]) == 3
+    assert quality.write_audited(df.limit(2), f"{tmp_root}/u", "m", metrics, "two") == 2
+    assert quality.write_audited(df, f"{tmp_root}/u", "m", metrics, "two") == 3  # again: replaces
+    assert quality.write_audited(df.limit(0), f"{tmp_root}/v", "empty", metrics, "one") == 0
+    assert spark.read.parquet(f"{tmp_root}/t").count() == 3 and spark.read.parquet(f"{tmp_root}/v").columns == df.columns
+    got = quality.read_metrics(spark, metrics)
+    assert sorted(map(tuple, got.where("model = 'm'").collect())) == sorted(
+        (x, "m", c, 3, 2) for x in ("one", "two") for c in ("a", "b c", "d"))
+    audit = quality.not_null_from_metrics(got, {"m": ["a", "d"], "empty": ["a"]})
+    assert sorted(map(tuple, audit.collect())) == [("empty", "a", 0, 0, True), ("m", "a", 6, 2, False), ("m", "d", 6, 2, False)]
