@@ -9,6 +9,7 @@ McMillan, 2014): reading the blocks in the order of the present interleave and s
 stably gives the interleave of one block more. Where a border between two neighbours first
 appears, their common prefix in blocks is known; suffixes that no border of depth
 ``WINDOW / BLOCK`` separates form the repeated intervals. No suffix is sorted again in merging.
+Strings of a very frequent anchor are merged in parts, whose intervals then meet by weight.
 
 Defined results: null text is empty; texts under one window have no spans; repeated rows count as
 other places, so they remove each other; overlapping occurrences in one text count. Equal blocks
@@ -25,6 +26,7 @@ from pyspark.sql import functions as F
 
 from daypulse.llm import repeats as rp
 from daypulse.llm import textbatch as tb
+from daypulse.llm.spark_utils import stored
 
 WINDOW = 200
 QGRAM = 16
@@ -69,8 +71,9 @@ def _payload(data, offs, rows):
     """A stretch's bytes; of a hot anchor, cut by the anchor's offset in the window, under finer keys.
 
     Windows with the anchor at offsets ``c * OFFSETS .. (c + 1) * OFFSETS - 1`` share all bytes but
-    OFFSETS - 1 at either end; that core names their group, so one common passage does not
-    gather all texts that have it.
+    OFFSETS - 1 at either end; that core names their group. A passage that many texts have gives
+    them one core, so its strings are dealt out further, by their own hash, to as many parts as
+    the anchor's occurrences fill.
     """
     begin = offs[rows["text"]] + rows["start"]
     raw = data.tobytes()
@@ -90,7 +93,9 @@ def _payload(data, offs, rows):
                 continue
             core = b + at - c * OFFSETS
             end = b + at - (c + 1) * OFFSETS + 1 + WINDOW
-            group.append(key[i] ^ tb.mix64(roll(np.array([core]), np.array([end])) + np.uint64(c))[0])
+            part = np.uint64(int(rows["content"][i]) % int(rows["parts"][i]))
+            group.append(key[i] ^ tb.mix64(roll(np.array([core]), np.array([end])) + np.uint64(c))[0]
+                         ^ tb.mix64(np.array([part]))[0])
             row.append(i), off.append(lo), count.append(hi - lo)
             bodies.append(raw[b + lo:b + hi + WINDOW - 1])
     return np.array(group, np.uint64), row, off, count, bodies
@@ -164,8 +169,12 @@ def _rows(inter: np.ndarray) -> np.ndarray:
     return row
 
 
-def _repeated(group, did, w, off, n, data, offs):
-    """For each string the runs of windows that lie in a repeated interval."""
+def _merged(w, n, data, offs):
+    """All strings as one sequence with their merged transform.
+
+    Gives, by place: the string, the bytes left of it, the interval; each string's first place, the
+    bytes, and each interval's weight, the copies of all strings with a suffix in it.
+    """
     length = np.diff(offs)
     # one more place after each string: the empty suffix, where its chain of blocks ends
     owner = np.repeat(np.arange(len(n)), length + 1)
@@ -179,18 +188,49 @@ def _repeated(group, did, w, off, n, data, offs):
     codes[i] = np.unique(tb.Rolling(padded)(i, i + BLOCK), return_inverse=True)[1]
     shard = (offs[:-1] // SHARD_BYTES)[owner]
     shard = np.cumsum(np.concatenate(([0], shard[1:] != shard[:-1])))
-    order, interval, _ = merge_transforms(codes, left, shard, WINDOW // BLOCK, int(length.max()) // BLOCK + 1)
-    # an interval's weight: the copies of all strings with a suffix in it
-    weight = np.bincount(interval, weights=w[owner[order]])
-    again = np.zeros(total, bool)
-    again[order] = weight[interval] >= 2
-    again &= left >= WINDOW
+    order, sorted_interval, _ = merge_transforms(codes, left, shard, WINDOW // BLOCK, int(length.max()) // BLOCK + 1)
+    interval = np.empty(total, np.int64)
+    interval[order] = sorted_interval
+    return owner, left, interval, begin, padded, np.bincount(interval, weights=w[owner])
+
+
+def _repeated(group, did, w, off, n, data, offs):
+    """For each string the runs of windows that lie in a repeated interval."""
+    owner, left, interval, begin, _, weight = _merged(w, n, data, offs)
+    again = (weight[interval] >= 2) & (left >= WINDOW)
     edge = np.flatnonzero(np.diff(np.concatenate(([0], again.astype(np.int8), [0]))))
     s, e = edge[::2], edge[1::2]  # never across strings: a string's last places start no window
     row = owner[s] if len(s) else s
     return row, (s - begin[row] + off[row]).astype(np.int32), (e - begin[row] + off[row]).astype(np.int32)
 
 
+def _intervals(group, did, w, off, n, data, offs):
+    """For each string its windows: place, name, whether its interval repeats here, and for the first of each
+    interval the interval's weight (0 for the others)."""
+    owner, left, interval, begin, padded, weight = _merged(w, n, data, offs)
+    at = np.flatnonzero(left >= WINDOW)
+    row, mine = owner[at], interval[at]
+    stands = np.zeros(len(at), np.int64)
+    first = np.unique(mine, return_index=True)[1]
+    stands[first] = weight[mine[first]].astype(np.int64)
+    name = tb.signed(tb.Rolling(padded)(at, at + WINDOW))
+    return row, (at - begin[row] + off[row]).astype(np.int32), name, stands, weight[mine] >= 2
+
+
+def _across_parts(ident: DataFrame, found: DataFrame, label: str) -> DataFrame:
+    """The repeated windows of hot anchors, as (key, content, s, e): merged in parts, then across them.
+
+    Every part sends on one weighted representative of each interval. These meet by the window's name in a
+    partial aggregate, where a window has one row a part, however many texts have it.
+    """
+    rows = stored(rp.compared(ident, found, _payload, _intervals, "s int, window long, stands long, again boolean",
+                              f"{label}-hot", MERGE_BYTES), f"{label}-parts")
+    total = rows.where("stands > 0").groupBy("key", "window").agg(F.sum("stands").alias("t")).where("t > 1")
+    late = rows.where("not again").join(total, ["key", "window"], "left_semi")
+    return rows.where("again").unionByName(late.select(*rows.columns)).select(
+        "key", "content", "s", (F.col("s") + 1).cast("int").alias("e"))
+
+
 def _finish(s, start, end, text):
     gone = tb.ranges_to_mask(start + s.offs[text], end + s.offs[text] + WINDOW - 1, len(s.data))
     total = np.concatenate(([0], np.cumsum(gone, dtype=np.int64)))
@@ -209,7 +249,8 @@ def _finish(s, start, end, text):
 def repeated_ranges(ident: DataFrame, label: str = "bytes") -> DataFrame:
     """(did, name, s, e): windows s .. e-1 of a text also start elsewhere."""
     found = rp.settled_and_open(ident, cut_stretches, [], F.col("c") >= 2, F.col("lo") == F.col("hi"), label)
-    runs = rp.compared(ident, found, _payload, _repeated, "s int, e int", label, MERGE_BYTES)
+    cool = rp.compared(ident, found.where("not hot"), _payload, _repeated, "s int, e int", label, MERGE_BYTES)
+    runs = cool.unionByName(_across_parts(ident, found.where("hot"), label))
     whole = found.where("whole").select("did", "name", "start", F.lit(0).alias("s"), F.col("n").alias("e"))
     rest = found.where("not whole").join(runs, ["key", "content"]).select("did", "name", "start", "s", "e")
     return whole.unionByName(rest).select("did", "name", (F.col("start") + F.col("s")).alias("s"),

@@ -95,10 +95,11 @@ def cut_out(ident: DataFrame, found: DataFrame, payload: Callable, label: str) -
     ``payload(data, texts, rows)`` gives (group, row, offset, n, bytes).
     """
     rep = F.min(F.struct("did", "name", "start", "n", "at"))
-    open_ = (found.where("not whole").groupBy("key", "content", "hot").agg(F.count("*").alias("w"), rep.alias("r"))
-             .select("key", "content", "hot", "w", "r.*"))
+    parts = F.ceil(F.max("c") / HOT).cast("long").alias("parts")
+    open_ = (found.where("not whole").groupBy("key", "content", "hot").agg(F.count("*").alias("w"), parts, rep.alias("r"))
+             .select("key", "content", "hot", "w", "parts", "r.*"))
     per_text = stored(open_.groupBy("did", "name").agg(
-        F.collect_list(F.struct("key", "content", "hot", "w", "start", "n", "at")).alias("cuts")), f"{label}-cuts")
+        F.collect_list(F.struct("key", "content", "hot", "w", "parts", "start", "n", "at")).alias("cuts")), f"{label}-cuts")
     wanted = sieve(per_text, "did")
     texts = with_names(ident, wanted).join(per_text, ["did", "name"])
     return texts.select("did", "text", "cuts").mapInArrow(
