@@ -127,8 +127,13 @@ class CharCnn:
         return self
 
 
+def gate(x: np.ndarray) -> np.ndarray:
+    """A gate of the LSTM: the sigmoid's tangent at 0, cut at 0 and 1, which needs no exponential."""
+    return np.clip(0.25 * x + 0.5, 0, 1)
+
+
 class BiLstmCrf:
-    """Embedding, one LSTM each way, and a linear-chain CRF over the tags."""
+    """Embedding, one LSTM each way with piecewise linear gates, and a linear-chain CRF over the tags."""
 
     def __init__(self, tags: int, seed: int = 0, embed: int = 12, hidden: int = 20):
         rng = np.random.default_rng(seed)
@@ -151,10 +156,10 @@ class BiLstmCrf:
         tape = []
         for k in (range(t) if d == "f" else range(t - 1, -1, -1)):
             a = table[x[:, k]] + now @ self.p[d + "h"]
-            i, f, o = sigmoid(a[:, :h]), sigmoid(a[:, h:2 * h]), sigmoid(a[:, 3 * h:])
-            g = np.tanh(a[:, 2 * h:3 * h])
+            i, f, o = gate(a[:, :h]), gate(a[:, h:2 * h]), gate(a[:, 3 * h:])
+            g = np.clip(a[:, 2 * h:3 * h], -1, 1)
             new = f * cell + i * g
-            tc = np.tanh(new)
+            tc = np.clip(new, -1, 1)
             if keep:
                 tape.append((k, now, cell, i, f, g, o, tc))
             now, cell = o * tc, new
@@ -224,9 +229,10 @@ class BiLstmCrf:
         dtable = np.zeros((ALPHABET, 4 * h))
         for k, prev, cell, i, f, gg, o, tc in reversed(tape):
             dnow = dnow + dhs[k]
-            dc = dcell + dnow * o * (1 - tc * tc)
-            da = np.concatenate((dc * gg * i * (1 - i), dc * cell * f * (1 - f), dc * i * (1 - gg * gg),
-                                 dnow * tc * o * (1 - o)), axis=1)
+            open_ = lambda x, low: (x > low) & (x < 1)  # noqa: E731 - where a cut function still rises
+            dc = dcell + dnow * o * open_(tc, -1)
+            da = np.concatenate((0.25 * dc * gg * open_(i, 0), 0.25 * dc * cell * open_(f, 0), dc * i * open_(gg, -1),
+                                 0.25 * dnow * tc * open_(o, 0)), axis=1)
             g[d + "h"] += prev.T @ da
             np.add.at(dtable, x[:, k], da)
             dnow, dcell = da @ self.p[d + "h"].T, dc * f
@@ -238,9 +244,10 @@ class BiLstmCrf:
         """Add one direction's share of the emissions to ``out`` (t, n, tags), in single precision."""
         n, t = x.shape
         h = self.h
-        half = np.array([0.5, 0.5, 1, 0.5], np.float32)[:, None, None]  # sigmoid(a) = tanh(a / 2) / 2 + 1 / 2
-        gates = lambda a: np.ascontiguousarray(a.reshape(-1, 4, h).transpose(1, 0, 2), np.float32) * half
-        table, w = gates(self.p["e"] @ self.p[d + "x"] + self.p[d + "c"]), gates(self.p[d + "h"])
+        slope, shift = (np.array(v, np.float32)[:, None, None] for v in ([0.25, 0.25, 1, 0.25], [0.5, 0.5, 0, 0.5]))
+        low = np.array([0, 0, -1, 0], np.float32)[:, None, None]
+        gates = lambda a: np.ascontiguousarray(a.reshape(-1, 4, h).transpose(1, 0, 2), np.float32) * slope
+        table, w = gates(self.p["e"] @ self.p[d + "x"] + self.p[d + "c"]) + shift, gates(self.p[d + "h"])
         o = (self.p["o"][:h] if d == "f" else self.p["o"][h:]).astype(np.float32)
         now, cell = np.zeros((n, h), np.float32), np.zeros((n, h), np.float32)
         a, b, em = np.empty((4, n, h), np.float32), np.empty((4, n, h), np.float32), np.empty((n, self.tags), np.float32)
@@ -249,28 +256,30 @@ class BiLstmCrf:
             np.matmul(now, w, out=a)
             np.take(table, x[k], axis=1, out=b, mode="clip")
             a += b
-            np.tanh(a, out=a)
-            a[:2] *= 0.5
-            a[:2] += 0.5
-            a[3] *= 0.5
-            a[3] += 0.5
+            np.maximum(a, low, out=a)
+            np.minimum(a, 1, out=a)
             cell *= a[1]
             a[0] *= a[2]
             cell += a[0]
-            np.tanh(cell, out=now)
+            np.clip(cell, -1, 1, out=now)
             now *= a[3]
             out[k] += np.matmul(now, o, out=em)
 
-    def quiet(self, x: np.ndarray) -> np.ndarray:
-        """Which windows' best path is surely tag 0 throughout: it alone has more than half of the probability.
-
-        Weights of paths are taken relative to that path, so its probability is one by their sum; 0.55
-        instead of 0.5 leaves room for single precision.
-        """
+    def _light(self, x: np.ndarray) -> np.ndarray:
+        """The emissions (t, n, tags) in single precision."""
         em = np.zeros((x.shape[1], len(x), self.tags), np.float32)
         em += self.p["ob"].astype(np.float32)
         self._relative(x, "f", em)
         self._relative(x, "b", em)
+        return em
+
+    def quiet(self, x: np.ndarray, least: float = 0.55) -> np.ndarray:
+        """Which windows' path of tag 0 throughout has more than ``least`` of the probability.
+
+        Weights of paths are taken relative to that path, so its probability is one by their sum. Above a
+        half it is the best path (0.55 leaves room for single precision).
+        """
+        em = self._light(x)
         with np.errstate(over="ignore", invalid="ignore"):
             em -= em[:, :, :1].copy()
             np.exp(em, out=em)
@@ -279,7 +288,7 @@ class BiLstmCrf:
             for k in range(1, len(em)):
                 at = at @ step
                 at *= em[k]
-            return at.sum(axis=1) < 1 / 0.55
+            return at.sum(axis=1) < 1 / least
 
     def fit(self, x, y, epochs: int = 10, batch: int = 48, rate: float = 0.02, seed: int = 1) -> BiLstmCrf:
         rng = np.random.default_rng(seed)
@@ -291,7 +300,7 @@ class BiLstmCrf:
 
     def decode(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Best tags (n, t) and the marginal probability of each."""
-        em = self.emissions(x)[0]
+        em = self._light(x).astype(np.float64)
         t, n, _ = em.shape
         score, back = em[0] + self.p["s"], []
         for k in range(1, t):

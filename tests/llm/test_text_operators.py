@@ -344,7 +344,7 @@ class FixedTagger:
     def __init__(self, of, p):
         self.of, self.p, self.seen = list(pii.nets.SYMBOL[np.frombuffer(of, np.uint8)]), p, 0
 
-    def quiet(self, x):
+    def quiet(self, x, least=0.55):
         self.seen += len(x)
         return ~np.isin(x, self.of).any(axis=1)
 
