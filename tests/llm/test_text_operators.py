@@ -77,21 +77,6 @@ def test_a_passage_in_every_document_is_no_group_of_its_own(spark, rng, monkeypa
     assert max(most) <= 20, most
 
 
-def test_strings_of_a_common_passage_are_merged_in_parts(spark, rng, monkeypatch):
-    monkeypatch.setattr(repeats, "HOT", 20)
-    passage, most = sentence(rng, 60), []
-    for n in (80, 160):
-        rows = [(i, f"{sentence(rng, 30)} {passage} {sentence(rng, 30)}") for i in range(n)]
-        ident = repeats.identified(docs(spark, rows), "doc_id", "text")
-        found = repeats.settled_and_open(ident, bwtmerge.cut_stretches, [], F.col("c") >= 2, F.col("lo") == F.col("hi"), "bytes")
-        assert found.where("hot and not whole").count() >= n
-        sent = repeats.cut_out(ident, found, bwtmerge._payload, "bytes")
-        most.append(max(r["count"] for r in sent.groupBy("grp").count().collect()))
-        same(bwtmerge.remove_repeats(docs(spark, rows)), brute.byte_windows(rows, 200),
-             ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
-    assert max(most) <= 60, most
-
-
 @pytest.mark.parametrize("hot", [4096, 2])
 def test_byte_windows(spark, rng, monkeypatch, hot):
     monkeypatch.setattr(repeats, "HOT", hot)
