@@ -75,20 +75,31 @@ def staged_events(spark: SparkSession, sf_dir: str, whole: bool = False) -> Data
                         "value", "k", F.to_date("ts").alias("partition_date"))
 
 
+def prepared(events: DataFrame) -> DataFrame:
+    """The events with what the records of all feeds are made of: ``_k`` from ``props``, parsed once a row, and ``_day``.
+
+    Inside a record the parse would be repeated for every column (a record's guards are not one common expression).
+    """
+    if "_k" in events.columns:
+        return events
+    k = F.try_variant_get(F.try_parse_json(F.col("props")), "$.k", "int")
+    return events.withColumn("_k", k).withColumn("_day", F.date_format("ts", "yyyy-MM-dd"))
+
+
 def feed_records(events: DataFrame, spec: FeedSpec) -> DataFrame:
     """Every event as a record of the feed's shape (``feed_record``): ``raw_data VARIANT, partition_date``."""
-    return events.select(F.to_variant_object(feed_record(spec)).alias("raw_data"), F.to_date("ts").alias("partition_date"))
+    return prepared(events).select(F.to_variant_object(feed_record(spec)).alias("raw_data"),
+                                   F.to_date("ts").alias("partition_date"))
 
 
 def feed_record(spec: FeedSpec) -> Column:
-    """An event as a struct of the feed's shape.
+    """A ``prepared`` event as a struct of the feed's shape.
 
     Column number j (by path, from 1) holds k + j, value + j, type_j or the day, by its
     type; tags are an array, timestamps carry an offset. Where ``k % 10 = j % 10`` the path
     is NULL.
     """
-    k = F.try_variant_get(F.try_parse_json("props"), "$.k", "int")
-    kind, day = F.col("event_type"), F.date_format("ts", "yyyy-MM-dd")
+    k, kind, day = F.col("_k"), F.col("event_type"), F.col("_day")
     paths = list(dict.fromkeys(c.path for c in spec.columns))
     tree: dict = {}
     for j, path in enumerate(paths, 1):

@@ -123,3 +123,14 @@ def test_registry_frame(spark):
     assert rows["activity"]["endpoint"] == "daily_activity" and rows["activity"]["end_exclusive"]
     assert rows["heartrate"]["kind"] == "granular" and not rows["heartrate"]["end_exclusive"]
     assert rows["sleep_periods"]["n_columns"] == 18
+
+
+def test_records_of_events_parse_props_once(spark):
+    from daypulse.plans import events as ev
+    from daypulse.sources.feeds import FEEDS
+
+    events = spark.createDataFrame([(1, 2, "view", 1.5, '{"k": 3}')], "event_id long, user_id long, event_type string, value double, props string")
+    events = events.withColumn("ts", F.lit("2024-01-02 03:04:05").cast("timestamp"))
+    for spec in FEEDS.values():
+        plan = stage(ev.feed_records(events, spec), spec)._jdf.queryExecution().analyzed().toString()
+        assert plan.lower().count("try_parse_json") + plan.lower().count("parsejson") <= 1, spec.name
