@@ -143,7 +143,7 @@ def metric_stats(df: DataFrame, by: Sequence[str] = PERIOD,
     of both halves split at the period midpoint and (with ``data_split``) at the
     midpoint of the first and last day present.
 
-    One wide aggregate per group, then the few result rows are unpivoted; input rows
+    Aggregates per group, whose few result rows are unpivoted; input rows
     are never copied per metric. With ``data_split`` a per-(by, day) aggregate comes
     first, so the data span is a window over at most one row per day. Metrics absent
     from ``df`` are skipped. ``start``/``end`` give the period (columns in ``by`` or
@@ -181,39 +181,66 @@ def stats_of_days(days: DataFrame, by: Sequence[str], metrics: Sequence[str], da
 def _wide_stats(rows: DataFrame, by: Sequence[str], metrics: Sequence[str], day: str, pcol: Mapping[str, Column],
                 pcols: Sequence[str], of_days: bool = False) -> DataFrame:
     """One wide aggregate per group, unpivoted. ``rows`` hold values or, ``of_days``, partials of a day each."""
-    parts, n_rows = range(len(metrics)), F.count(F.lit(1))
-    if of_days:
-        w = Window.partitionBy(*by)
-        rows = rows.withColumn("_dmin", F.min(day).over(w)).withColumn("_dmax", F.max(day).over(w))
-        n_rows = F.sum("_n")
-        value, count = (lambda i: F.col(f"_s{i}")), (lambda i: F.col(f"_c{i}"))
-        low, high = (lambda i: F.col(f"_lo{i}")), (lambda i: F.col(f"_hi{i}"))
-    else:
-        value = low = high = lambda i: F.col(f"_v{i}")
-        count = lambda i: F.col(f"_v{i}").isNotNull().cast("long")
-
     d = F.col(day)
-    splits = {"": d <= midpoint(pcol["_pstart"], pcol["_pend"])}
+    early = d <= midpoint(pcol["_pstart"], pcol["_pend"])
     if of_days:
-        splits["d"] = d <= midpoint(F.col("_dmin"), F.col("_dmax"))
-    aggs = [n_rows.alias("total_days")]
+        return _stats_of_halves(rows, by, metrics, day, early, pcols)
+    parts, value = range(len(metrics)), lambda i: F.col(f"_v{i}")
+    count = lambda i: F.col(f"_v{i}").isNotNull().cast("long")
+    aggs = [F.count(F.lit(1)).alias("total_days")]
     for i in parts:
         aggs += [F.sum(value(i)).alias(f"s{i}"), F.sum(count(i)).alias(f"c{i}"),
-                 F.min(low(i)).cast("double").alias(f"lo{i}"), F.max(high(i)).cast("double").alias(f"hi{i}")]
-        for tag, early in splits.items():
-            for half, cond in (("1", early), ("2", ~early)):
-                aggs += [F.sum(F.when(cond, value(i))).alias(f"s{half}{tag}_{i}"),
-                         F.coalesce(F.sum(F.when(cond, count(i))), F.lit(0)).alias(f"c{half}{tag}_{i}")]
+                 F.min(value(i)).cast("double").alias(f"lo{i}"), F.max(value(i)).cast("double").alias(f"hi{i}")]
+        for half, cond in (("1", early), ("2", ~early)):
+            aggs += [F.sum(F.when(cond, value(i))).alias(f"s{half}_{i}"),
+                     F.coalesce(F.sum(F.when(cond, count(i))), F.lit(0)).alias(f"c{half}_{i}")]
     wide = rows.groupBy(*by, *pcols).agg(*aggs)
     long = F.array(*[F.struct(
         F.lit(m).alias("metric"), F.col(f"c{i}").alias("days_with_data"),
         mean_of(F.col(f"s{i}"), F.col(f"c{i}")).alias("mean"), F.col(f"lo{i}").alias("lo"), F.col(f"hi{i}").alias("hi"),
-        *[x for tag in splits for half in "12" for x in (
-            mean_of(F.col(f"s{half}{tag}_{i}"), F.col(f"c{half}{tag}_{i}")).alias(f"m{half}{tag}"),
-            F.col(f"c{half}{tag}_{i}").alias(f"c{half}{tag}"))]) for i, m in enumerate(metrics)])
+        *[x for half in "12" for x in (
+            mean_of(F.col(f"s{half}_{i}"), F.col(f"c{half}_{i}")).alias(f"m{half}"),
+            F.col(f"c{half}_{i}").alias(f"c{half}"))]) for i, m in enumerate(metrics)])
     return wide.select(*by, "total_days", F.inline(long))
 
 
+def _stats_of_halves(days: DataFrame, by: Sequence[str], metrics: Sequence[str], day: str, early: Column,
+                     pcols: Sequence[str]) -> DataFrame:
+    """The statistics with both splits from partials of a day each.
+
+    A day is in one half of the period and one of the data, so days are first merged by these: at most four rows a
+    group and one sum a metric. Only they are unpivoted, and each metric's rows give the total and the halves. All
+    of it is dealt out as the window is, and no aggregate is too wide for generated code.
+    """
+    w = Window.partitionBy(*by)
+    days = days.withColumn("_dmin", F.min(day).over(w)).withColumn("_dmax", F.max(day).over(w))
+    days = days.withColumn("_e", early).withColumn("_ed", F.col(day) <= midpoint(F.col("_dmin"), F.col("_dmax")))
+    parts = range(len(metrics))
+    halves = days.groupBy(*by, *pcols, "_e", "_ed").agg(F.sum("_n").alias("_n"), *[
+        x for i in parts for x in (
+            F.sum(f"_s{i}").alias(f"_s{i}"), F.sum(f"_c{i}").alias(f"_c{i}"),
+            F.min(F.col(f"_lo{i}").cast("double")).alias(f"_lo{i}"), F.max(F.col(f"_hi{i}").cast("double")).alias(f"_hi{i}"))])
+    # sums keep their own type: one column for each that occurs
+    types = [halves.schema[f"_s{i}"].dataType for i in parts]
+    kinds = list(dict.fromkeys(types))
+    long = F.array(*[F.struct(
+        F.lit(m).alias("metric"), F.col(f"_c{i}").alias("_c"), F.col(f"_lo{i}").alias("_lo"), F.col(f"_hi{i}").alias("_hi"),
+        *[(F.col(f"_s{i}") if t == types[i] else F.lit(None).cast(t)).alias(f"_s{k}") for k, t in enumerate(kinds)])
+        for i, m in enumerate(metrics)])
+    rows = halves.select(*by, *pcols, "_e", "_ed", "_n", F.inline(long))
+    split = {f"{half}{tag}": cond for tag, e in (("", F.col("_e")), ("d", F.col("_ed"))) for half, cond in (("1", e), ("2", ~e))}
+    aggs = [F.sum("_n").alias("total_days"), F.sum("_c").alias("days_with_data"),
+            F.min("_lo").alias("lo"), F.max("_hi").alias("hi"),
+            *[F.sum(f"_s{k}").alias(f"_t{k}") for k in range(len(kinds))]]
+    for tag, cond in split.items():
+        aggs += [F.coalesce(F.sum(F.when(cond, F.col("_c"))), F.lit(0)).alias(f"c{tag}"),
+                 *[F.sum(F.when(cond, F.col(f"_s{k}"))).alias(f"_t{k}_{tag}") for k in range(len(kinds))]]
+    got = rows.groupBy(*by, *pcols, "metric").agg(*aggs)
+    mean = lambda tag, c: F.coalesce(*[mean_of(F.col(f"_t{k}{tag}"), F.col(c)) for k in range(len(kinds))])
+    return got.select(*by, "total_days", "metric", "days_with_data", mean("", "days_with_data").alias("mean"), "lo", "hi",
+                      *[x for tag in split for x in (mean(f"_{tag}", f"c{tag}").alias(f"m{tag}"), F.col(f"c{tag}"))])
+
+
 def _pct(tag: str = "") -> tuple[Column, Column]:
     """(valid, pct) of the split-half change ``(mean2 - mean1) / mean1 * 100``.
 
