@@ -33,6 +33,7 @@ import os
 import unicodedata
 from array import array
 from dataclasses import dataclass
+from functools import reduce
 from typing import NamedTuple
 
 import numpy as np
@@ -395,10 +396,12 @@ def _joined(segments: DataFrame, shared, fan_in: int) -> DataFrame:
 def encode_long(docs: DataFrame, text: str, shared, leaf: int = LEAF, fan_in: int = FAN_IN) -> DataFrame:
     """(name, ids, first) of every distinct text of more than ``leaf`` code points; name is its SHA-256."""
     rows = _leaf_rows(docs, text, leaf).distinct()  # copies of a text meet leaf by leaf, combined map-side
-    segments = stored(_encoded(rows, shared), "bpe-leaves")
+    segments, whole = stored(_encoded(rows, shared), "bpe-leaves"), []
     while (segments.agg(F.max("n")).first()[0] or 1) > 1:  # log(leaves of the longest text) rounds
-        segments = stored(_joined(segments, shared, fan_in), "bpe-joined")
-    return segments.select("name", "ids", "first")
+        # texts that are one segment by now stay where they are
+        whole.append(segments.where("n = 1"))
+        segments = stored(_joined(segments.where("n > 1"), shared, fan_in), "bpe-joined")
+    return reduce(DataFrame.unionByName, whole, segments).select("name", "ids", "first")
 
 
 def _digests(whole: DataFrame, shared) -> DataFrame:

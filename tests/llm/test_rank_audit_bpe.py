@@ -247,3 +247,20 @@ def test_skewed_join(spark):
     for how in ("inner", "left"):
         plain = rows.join(found, F.col("k") == F.col("key"), how)
         assert bag(map(tuple, join_skewed(rows, found, "k", "key", how).collect())) == bag(map(tuple, plain.collect()))
+
+
+def test_texts_that_are_joined_skip_later_rounds(spark, monkeypatch):
+    """A long text among many shorter ones: rounds join open texts only."""
+    shared = spark.sparkContext.broadcast(bpe.read_vocabulary(vocabulary_path()))
+    texts = ["one two three four " * 3 + str(i) for i in range(6)] + ["five six seven " * 20]
+    docs, sizes, joined = spark.createDataFrame([(t,) for t in texts], "text string"), [], bpe._joined
+
+    def counted(segments, *rest):
+        sizes.append(segments.select("name").distinct().count())
+        return joined(segments, *rest)
+
+    monkeypatch.setattr(bpe, "_joined", counted)
+    got = bpe.encode_long(docs, "text", shared, leaf=16, fan_in=8)
+    code = bpe.Coder(shared.value[1])
+    assert {r["name"]: code.decode(np.frombuffer(r["ids"], bpe.ID).tolist()) for r in got.collect()} == {bpe._sha(t): t for t in texts}
+    assert sizes == [7, 1]
