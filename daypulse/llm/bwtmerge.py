@@ -47,9 +47,8 @@ def cut_stretches(data: np.ndarray, offs: np.ndarray, window: int = WINDOW, q: i
         if not len(starts):
             continue
         roll = tb.Rolling(part)
-        i = np.arange(len(part) - q + 1)
-        h = roll(i, i + q)
-        packed = (h >> np.uint64(_INDEX_BITS) << np.uint64(_INDEX_BITS)) | i.astype(np.uint64)
+        h = roll.each(q)
+        packed = (h >> np.uint64(_INDEX_BITS) << np.uint64(_INDEX_BITS)) | np.arange(len(h), dtype=np.uint64)
         place = (tb.sliding_min(packed, window - q + 1)[starts] & np.uint64((1 << _INDEX_BITS) - 1)).astype(np.int64)
         fresh = np.ones(len(starts), bool)
         # windows of two texts are never neighbours: a text's last window starts before its end

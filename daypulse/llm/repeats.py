@@ -47,20 +47,16 @@ def _names(s: tb.Slice) -> np.ndarray:
     return tb.Rolling(s.data, 1)(s.offs[:-1], s.offs[1:])
 
 
-def stretches(ident: DataFrame, cut: Callable, shared=None) -> DataFrame:
-    """All stretches of all texts; with ``shared`` (a sieve) only those whose anchor passes it."""
+def stretches(ident: DataFrame, cut: Callable) -> DataFrame:
+    """All stretches of all texts."""
 
     def run(batches):
         for b in batches:
             ids = b.column(0).to_numpy()
             for s in tb.slices(b.column(1)):
                 key, content, row, start, n, at = cut(s.data, s.offs)
-                key = tb.signed(key)
-                if shared is not None:
-                    ok = passes(shared.value, key)
-                    key, content, row, start, n, at = (x[ok] for x in (key, content, row, start, n, at))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(key), pa.array(tb.signed(content)), pa.array(ids[s.first + row]),
+                    [pa.array(tb.signed(key)), pa.array(tb.signed(content)), pa.array(ids[s.first + row]),
                      pa.array(tb.signed(_names(s))[row]), pa.array(start.astype(np.int32)),
                      pa.array(n.astype(np.int32)), pa.array(at.astype(np.int32))],
                     names=["key", "content", "did", "name", "start", "n", "at"])
@@ -68,14 +64,28 @@ def stretches(ident: DataFrame, cut: Callable, shared=None) -> DataFrame:
     return ident.mapInArrow(run, _STRETCH)
 
 
+def _sifted(listed: DataFrame, shared) -> DataFrame:
+    """The stretches whose anchor passes the sieve."""
+
+    def run(batches):
+        for b in batches:
+            yield b.filter(pa.array(passes(shared.value, b.column(0).to_numpy())))
+
+    return listed.mapInArrow(run, _STRETCH)
+
+
 def settled_and_open(ident: DataFrame, cut: Callable, summary: list[Column], shared: Column, whole: Column,
                      label: str) -> DataFrame:
-    """Stretches of shared anchors with the anchor's summary, ``whole`` and ``hot``; stored."""
-    per_key = (stretches(ident, cut).groupBy("key")
+    """Stretches of shared anchors with the anchor's summary, ``whole`` and ``hot``; stored.
+
+    All stretches are cut once and stored (about 40 bytes each before compression), then counted and listed from there.
+    """
+    every = stored(stretches(ident, cut), f"{label}-every")
+    per_key = (every.groupBy("key")
                .agg(F.count("*").alias("c"), F.min("content").alias("lo"), F.max("content").alias("hi"), *summary)
                .where(shared).withColumn("whole", whole).withColumn("hot", F.col("c") > HOT).drop("lo", "hi"))
     per_key = stored(per_key, f"{label}-anchors")
-    listed = stretches(ident, cut, sieve(per_key, "key"))
+    listed = _sifted(every, sieve(per_key, "key"))
     return stored(listed.join(per_key, "key"), f"{label}-stretches")
 
 

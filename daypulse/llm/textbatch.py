@@ -23,6 +23,7 @@ _P, _LOW = np.uint64(PRIME), np.uint64(0xFFFFFFFF)
 _S29, _S32, _S61, _M29 = np.uint64(29), np.uint64(32), np.uint64(61), np.uint64((1 << 29) - 1)
 #: Sums of byte terms stay below 2^64 up to here; longer sequences reduce each term first.
 _PLAIN_SUM = 1 << 22
+_BLOCK = 1 << 13
 _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
@@ -147,6 +148,19 @@ class Rolling:
         return mix64(mulmod(raw, self._down[s]) ^ ((np.asarray(e) - s).astype(np.uint64) << np.uint64(40)))
 
 
+    def each(self, width: int) -> np.ndarray:
+        """The hashes of all ranges of ``width`` symbols, by start; block by block, so that the terms stay in the cache."""
+        n = max(len(self._low) - width, 0)
+        out = np.empty(n, np.uint64)
+        size = np.uint64(width << 40)
+        for a in range(0, n, _BLOCK):
+            z = min(a + _BLOCK, n)
+            low = self._low[a + width:z + width] - self._low[a:z]
+            raw = _reduce((low & _P) + (low >> _S61) + _times_2_32(self._high[a + width:z + width] - self._high[a:z]))
+            out[a:z] = mix64(mulmod(raw, self._down[a:z]) ^ size)
+        return out
+
+
 class Words(NamedTuple):
     """Words of a slice in order: byte start and end, and the text (0-based) of each."""
 

@@ -579,3 +579,19 @@ def test_ids_that_rows_with_different_texts_share(spark, rng):
         with_words = [r for r in kept if brute.shingles(r.text, 5)]
         assert len(kept) - len(with_words) == empty
         assert sorted((r.doc_id is None, r.doc_id or 0) for r in with_words) == least
+
+
+def test_texts_are_cut_into_stretches_once(spark, rng, monkeypatch):
+    calls, cut = [], repeats.stretches
+    monkeypatch.setattr(repeats, "stretches", lambda *a, **k: calls.append(1) or cut(*a, **k))
+    rows = hostile(rng)
+    same(bwtmerge.remove_repeats(docs(spark, rows)), brute.byte_windows(rows, 200),
+         ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+    assert len(calls) == 1
+
+
+def test_hashes_of_all_ranges(rng):
+    data = np.array([rng.randrange(256) for _ in range(20_000)], np.uint8)
+    for n, width in ((20_000, 16), (8192 + 15, 16), (16, 16), (15, 16), (0, 16)):
+        roll, i = tb.Rolling(data[:n]), np.arange(max(n - width + 1, 0))
+        assert np.array_equal(roll.each(width), roll(i, i + width))
