@@ -30,11 +30,11 @@ from __future__ import annotations
 import hashlib
 import json
 import os
+import re
 import unicodedata
 from array import array
 from dataclasses import dataclass
 from functools import reduce
-from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -54,10 +54,12 @@ FAN_IN = 16
 #: Bytes at the end of a part in which another ending could move a border (four times 16 code points).
 MARGIN = 64
 #: Pieces of one generation that a worker remembers; it holds two.
-REMEMBERED = 1 << 17
+REMEMBERED = 1 << 18
 
 #: Fixed value: the split of byte-level BPE vocabularies of this kind.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: The same for ASCII texts, spelled out for ``re``, which takes less time.
+ASCII_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^\t-\r A-Za-z0-9]+|[\t-\r ]+(?![^\t-\r ])|[\t-\r ]+"
 
 
 def byte_letters() -> list[str]:
@@ -76,14 +78,6 @@ def _unassigned() -> np.ndarray:
 ID = np.dtype(np.uint16)
 
 
-class Piece(NamedTuple):
-    """A piece's ids, packed, printed and decoded."""
-
-    ids: bytes
-    shown: str
-    raw: bytes
-
-
 @dataclass
 class Segment:
     """Ids of a stretch of text and, for each, whether it begins a piece."""
@@ -129,9 +123,11 @@ class Coder:
         self._model = Tokenizer.from_str(json.dumps(raw)).model
         self._split = regex.compile("(" + "|".join(map(regex.escape, sorted(added, key=len, reverse=True))) + ")") if added else None
         self._pattern = regex.compile(PATTERN)
+        self._ascii_pattern = re.compile(ASCII_PATTERN)
         self._new = _unassigned()
-        self._known: dict[str, Piece] = {}
-        self._before: dict[str, Piece] = {}
+        # the packed ids of pieces and nothing else: a small table stays in the processor's caches
+        self._known: dict[str, bytes] = {}
+        self._before: dict[str, bytes] = {}
 
     # pieces -----------------------------------------------------------------------------------
 
@@ -140,7 +136,7 @@ class Coder:
         sections = [text]
         if self._split is not None and any(t in text for t in self.special):
             sections = self._split.split(text)
-        cut = self._pattern.findall
+        cut = self._ascii_pattern.findall if text.isascii() else self._pattern.findall
         if not text.isascii() and self._new[np.frombuffer(text.encode("utf-32-le"), np.uint32)].any():
             cut = self._library_pieces
         if len(sections) == 1:
@@ -177,44 +173,46 @@ class Coder:
                 return a[:-wide] + got + b[wide:]
             wide *= 2
 
-    def learn(self, pieces: list[str]) -> list[Piece]:
-        """The tokens of each piece; what was met before is remembered, in two generations."""
+    def learn(self, pieces: list[str]) -> list[bytes]:
+        """The packed ids of each piece; what was met before is remembered, in two generations."""
         known = self._known
-        try:
-            return [known[p] for p in pieces]
-        except KeyError:
-            pass
-        new = [p for p in set(pieces) if p not in known]
-        if len(known) + len(new) > REMEMBERED:
-            self._before, self._known = known, {}
-            known, new = self._known, list(set(pieces))
-        again = [p for p in new if p in self._before]
-        known.update((p, self._before[p]) for p in again)
-        new = [p for p in new if p not in known]
-        plain = [p for p in new if p not in self.special and len(p) * 4 <= PIECE]
-        found = dict(zip(plain, self._plain([p.encode() for p in plain])))
-        for p in new:
-            ids = [self.special[p]] if p in self.special else found.get(p) or self.tokens(p.encode())
-            known[p] = Piece(array("H", ids).tobytes(), ",".join([self.shown[i] for i in ids]), self._bytes(ids))
-        return [known[p] for p in pieces]
+        new = set(pieces).difference(known)
+        if new:
+            if len(known) + len(new) > REMEMBERED:
+                self._before, self._known = known, {}
+                known, new = self._known, set(pieces)
+            again = [p for p in new if p in self._before]
+            known.update((p, self._before[p]) for p in again)
+            new.difference_update(again)
+            plain = [p for p in new if p not in self.special and len(p) * 4 <= PIECE]
+            for p, ids in zip(plain, self._plain([p.encode() for p in plain])):
+                known[p] = array("H", ids).tobytes()
+            for p in new.difference(plain):
+                known[p] = array("H", [self.special[p]] if p in self.special else self.tokens(p.encode())).tobytes()
+        return list(map(known.__getitem__, pieces))
 
     # segments ---------------------------------------------------------------------------------
 
     def encode(self, text: str) -> Segment:
-        ids = [p.ids for p in self.learn(self.pieces(text))]
-        first = np.zeros(sum(map(len, ids)) // ID.itemsize, bool)
-        if ids:
-            first[np.concatenate(([0], np.cumsum([len(x) // ID.itemsize for x in ids])[:-1]))] = True
-        return Segment(np.frombuffer(b"".join(ids), ID), first)
+        packed = self.learn(self.pieces(text))
+        ids = np.frombuffer(b"".join(packed), ID)
+        first = np.zeros(len(ids), bool)
+        if packed:
+            end = np.cumsum(np.fromiter(map(len, packed), np.int64, len(packed))) // ID.itemsize
+            first[0] = True
+            first[end[:-1]] = True
+        return Segment(ids, first)
 
     def digests(self, text: str) -> tuple[int, str, str]:
         """Number of ids, SHA-256 of the printed ids and of the text that they decode to."""
-        found = self.learn(self.pieces(text))
-        return (sum([len(p.ids) for p in found]) // ID.itemsize, _sha(",".join([p.shown for p in found])),
-                _sha(b"".join([p.raw for p in found]).decode("utf-8", "replace")))
+        return self.digests_of(b"".join(self.learn(self.pieces(text))))
+
+    def digests_of(self, packed: bytes) -> tuple[int, str, str]:
+        ids = np.frombuffer(packed, ID).tolist()
+        return len(ids), _sha(",".join(map(self.shown.__getitem__, ids))), _sha(self.decode(ids))
 
     def _bytes(self, ids) -> bytes:
-        return b"".join([self.bytes[i] for i in ids])
+        return b"".join(map(self.bytes.__getitem__, ids))
 
     @staticmethod
     def _spans(at: np.ndarray, starts: np.ndarray, stop: int) -> tuple[dict[int, int], dict[int, int]]:
@@ -410,13 +408,8 @@ def _digests(whole: DataFrame, shared) -> DataFrame:
     def run(batches):
         code = coder(shared.value)
         for b in batches:
-            n, ids, back = [], [], []
-            for x in b.column(1).to_pylist():
-                x = np.frombuffer(x, ID).tolist()
-                n.append(len(x))
-                ids.append(_sha(",".join([code.shown[i] for i in x])))
-                back.append(_sha(code.decode(x)))
-            yield _batch(schema, [b.column(0), n, ids, back])
+            got = [code.digests_of(x) for x in b.column(1).to_pylist()]
+            yield _batch(schema, [b.column(0), *map(list, zip(*got))] if got else [b.column(0), [], [], []])
 
     return whole.select("name", "ids").mapInArrow(run, schema)
 

@@ -204,6 +204,26 @@ def test_joins_of_leaves(library, coder, rng, monkeypatch):
     coder._known, coder._before = {}, {}
 
 
+def test_ascii_texts_are_cut_as_the_library_cuts_them(coder):
+    rng = random.Random(7)
+    pool = [chr(c) for c in range(128)] + list(" \n\t'stmdrevl0A.") * 6
+    for _ in range(20_000):
+        text = "".join(rng.choices(pool, k=rng.randrange(1, 12)))
+        assert coder._ascii_pattern.findall(text) == coder._library_pieces(text)
+
+
+def test_many_different_pieces_are_encoded_once(coder, monkeypatch):
+    """More different pieces than a worker remembered before: the second reading finds all of them."""
+    counted, plain = [], coder._plain
+    monkeypatch.setattr(coder, "_plain", lambda parts: counted.append(len(parts)) or plain(parts))
+    coder._known, coder._before = {}, {}
+    texts = ["".join(f" {k}" for k in range(s, s + 1000)) for s in range(0, 200_000, 1000)]
+    assert [coder.digests(t) for t in texts] == [coder.digests(t) for t in texts]
+    assert sum(counted) == 200_000
+    assert all(type(x) is bytes for x in coder._known.values())
+    coder._known, coder._before = {}, {}
+
+
 def test_long_unsplit_texts(library, coder):
     for text in ["a" * 60_001, "ab" * 30_000 + "a", "日本語" * 9_000, " " * 30_000 + "x", "=-" * 20_000, "9" * 30_000]:
         got = coder.fold([coder.encode(p) for p in bpe.leaves(text, 4096)])
