@@ -240,38 +240,57 @@ class BiLstmCrf:
         g[d + "x"] += self.p["e"].T @ dtable
         g["e"] += dtable @ self.p[d + "x"].T
 
-    def _relative(self, x: np.ndarray, d: str, out: np.ndarray) -> None:
-        """Add one direction's share of the emissions to ``out`` (t, n, tags), in single precision."""
+    def _packed(self) -> tuple[np.ndarray, np.ndarray]:
+        """Weights of both directions, gates i f o g in rows: of the state, the embedding and a one; of the emissions.
+
+        Emissions are taken relative to tag 0, which changes all paths alike.
+        """
+        h = self.h
+        order = np.concatenate((np.arange(2 * h), np.arange(3 * h, 4 * h), np.arange(2 * h, 3 * h)))
+        slope, shift = np.repeat([0.25, 0.25, 0.25, 1], h)[:, None], np.repeat([0.5, 0.5, 0.5, 0], h)[:, None]
+        w = [np.hstack((self.p[d + "h"].T[order] * slope, self.p[d + "x"].T[order] * slope,
+                        self.p[d + "c"][order][:, None] * slope + shift)) for d in "fb"]
+        o = (self.p["o"] - self.p["o"][:, :1])[:, 1:].T
+        return np.stack(w).astype(np.float32), np.stack((o[:, :h], o[:, h:])).astype(np.float32)
+
+    def _light(self, x: np.ndarray) -> np.ndarray:
+        """The emissions (t, tags - 1, n) relative to tag 0 in single precision.
+
+        Both directions go together, one from each end, with windows along the last axis: one product gives
+        all gates, and bounds are arrays of full size, which numpy compares several times faster than numbers.
+        """
         n, t = x.shape
         h = self.h
-        slope, shift = (np.array(v, np.float32)[:, None, None] for v in ([0.25, 0.25, 1, 0.25], [0.5, 0.5, 0, 0.5]))
-        low = np.array([0, 0, -1, 0], np.float32)[:, None, None]
-        gates = lambda a: np.ascontiguousarray(a.reshape(-1, 4, h).transpose(1, 0, 2), np.float32) * slope
-        table, w = gates(self.p["e"] @ self.p[d + "x"] + self.p[d + "c"]) + shift, gates(self.p[d + "h"])
-        o = (self.p["o"][:h] if d == "f" else self.p["o"][h:]).astype(np.float32)
-        now, cell = np.zeros((n, h), np.float32), np.zeros((n, h), np.float32)
-        a, b, em = np.empty((4, n, h), np.float32), np.empty((4, n, h), np.float32), np.empty((n, self.tags), np.float32)
+        w, o = self._packed()
+        e = self.p["e"].T.astype(np.float32)
+        e = np.ascontiguousarray(e)
+        d = len(e)
         x = np.ascontiguousarray(x.T.astype(np.intp))
-        for k in (range(t) if d == "f" else range(t - 1, -1, -1)):
-            np.matmul(now, w, out=a)
-            np.take(table, x[k], axis=1, out=b, mode="clip")
-            a += b
+        fed = np.zeros((2, h + d + 1, n), np.float32)
+        fed[:, h + d] = 1
+        now, ahead, back = fed[:, :h], fed[0, h:h + d], fed[1, h:h + d]
+        a, cell, new = np.empty((2, 4 * h, n), np.float32), np.zeros((2, h, n), np.float32), np.empty((2, h, n), np.float32)
+        take, keep, show, fresh = (a[:, j * h:(j + 1) * h] for j in range(4))
+        low, high = np.zeros_like(a), np.ones_like(a)
+        low[:, 3 * h:] = -1
+        least, most = np.full_like(cell, -1), np.ones_like(cell)
+        em = np.empty((t, 2, self.tags - 1, n), np.float32)
+        for k in range(t):
+            e.take(x[k], axis=1, out=ahead, mode="clip")
+            e.take(x[t - 1 - k], axis=1, out=back, mode="clip")
+            np.matmul(w, fed, out=a)
             np.maximum(a, low, out=a)
-            np.minimum(a, 1, out=a)
-            cell *= a[1]
-            a[0] *= a[2]
-            cell += a[0]
-            np.clip(cell, -1, 1, out=now)
-            now *= a[3]
-            out[k] += np.matmul(now, o, out=em)
-
-    def _light(self, x: np.ndarray) -> np.ndarray:
-        """The emissions (t, n, tags) in single precision."""
-        em = np.zeros((x.shape[1], len(x), self.tags), np.float32)
-        em += self.p["ob"].astype(np.float32)
-        self._relative(x, "f", em)
-        self._relative(x, "b", em)
-        return em
+            np.minimum(a, high, out=a)
+            np.multiply(cell, keep, out=cell)
+            np.multiply(take, fresh, out=new)
+            np.add(cell, new, out=cell)
+            np.maximum(cell, least, out=new)
+            np.minimum(new, most, out=new)
+            np.multiply(new, show, out=now)
+            np.matmul(o, now, out=em[k])
+        em[:, 0] += em[::-1, 1]
+        em[:, 0] += (self.p["ob"][1:] - self.p["ob"][0]).astype(np.float32)[:, None]
+        return em[:, 0]
 
     def quiet(self, x: np.ndarray, least: float = 0.55) -> np.ndarray:
         """Which windows' path of tag 0 throughout has more than ``least`` of the probability.
@@ -281,14 +300,14 @@ class BiLstmCrf:
         """
         em = self._light(x)
         with np.errstate(over="ignore", invalid="ignore"):
-            em -= em[:, :, :1].copy()
-            np.exp(em, out=em)
-            step = np.exp(self.p["t"] - self.p["t"][0, 0]).astype(np.float32)
-            at = em[0] * np.exp(self.p["s"] - self.p["s"][0]).astype(np.float32)
+            em = np.exp(em)
+            step = np.exp(self.p["t"] - self.p["t"][0, 0]).T.astype(np.float32)
+            at = np.ones((self.tags, len(x)), np.float32) * np.exp(self.p["s"] - self.p["s"][0]).astype(np.float32)[:, None]
+            at[1:] *= em[0]
             for k in range(1, len(em)):
-                at = at @ step
-                at *= em[k]
-            return at.sum(axis=1) < 1 / least
+                at = step @ at
+                at[1:] *= em[k]
+            return at.sum(axis=0) < 1 / least
 
     def fit(self, x, y, epochs: int = 10, batch: int = 48, rate: float = 0.02, seed: int = 1) -> BiLstmCrf:
         rng = np.random.default_rng(seed)
@@ -300,8 +319,9 @@ class BiLstmCrf:
 
     def decode(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Best tags (n, t) and the marginal probability of each."""
-        em = self._light(x).astype(np.float64)
-        t, n, _ = em.shape
+        n, t = x.shape
+        em = np.zeros((t, n, self.tags))
+        em[:, :, 1:] = self._light(x).transpose(0, 2, 1)
         score, back = em[0] + self.p["s"], []
         for k in range(1, t):
             s = score[:, :, None] + self.p["t"]
@@ -312,6 +332,20 @@ class BiLstmCrf:
         rows = np.arange(n)
         for k in range(t - 2, -1, -1):
             path[:, k] = back[k][rows, path[:, k + 1]]
-        alpha, beta = self._forward(em), self._backward(em)
-        marginal = np.exp(alpha + beta - self._total(alpha[-1])[None, :, None])
-        return path, np.take_along_axis(marginal.transpose(1, 0, 2), path[:, :, None], 2)[:, :, 0]
+        return path, np.take_along_axis(self._marginals(em).transpose(1, 0, 2), path[:, :, None], 2)[:, :, 0]
+
+    def _marginals(self, em: np.ndarray) -> np.ndarray:
+        """Probabilities (t, n, tags): weights forward and backward, scaled at every step, so that no logarithm is taken."""
+        step = np.exp(self.p["t"] - self.p["t"].max())
+        weight = np.exp(em - em.max(axis=2, keepdims=True))
+        alpha, beta = np.empty_like(em), np.ones_like(em)
+        first = em[0] + self.p["s"]
+        alpha[0] = np.exp(first - first.max(axis=1, keepdims=True))
+        for k in range(1, len(em)):
+            at = (alpha[k - 1] @ step) * weight[k]
+            np.divide(at, at.max(axis=1, keepdims=True), out=alpha[k])
+        for k in range(len(em) - 2, -1, -1):
+            at = (beta[k + 1] * weight[k + 1]) @ step.T
+            np.divide(at, at.max(axis=1, keepdims=True), out=beta[k])
+        alpha *= beta
+        return alpha / alpha.sum(axis=2, keepdims=True)

@@ -41,7 +41,9 @@ OVERLAP = 40
 #: Units of the network each way.
 HIDDEN = 16
 #: Windows that the network reads at once.
-BATCH = 512
+BATCH = 384
+#: Bytes of a slice of texts, whose windows are read and decoded together.
+SLICE_BYTES = 1 << 21
 SURE = 0.98
 #: Characters of an email address at most.
 LONGEST = 254
@@ -264,8 +266,10 @@ def _reconciled(starts: np.ndarray, tags: np.ndarray, sure: np.ndarray, z: int)
 
 def _loud(model, data: np.ndarray, starts: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
     """Which windows must be decoded; of equal ones one is read."""
-    end = np.minimum(starts + WINDOW, hi)
-    _, one, same = np.unique(tb.Rolling(data)(starts, end), return_index=True, return_inverse=True)
+    raw, end = data.tobytes(), np.minimum(starts + WINDOW, hi)
+    known: dict[bytes, int] = {}
+    same = np.fromiter((known.setdefault(raw[s:e], len(known)) for s, e in zip(starts.tolist(), end.tolist())), np.int64, len(starts))
+    _, one = np.unique(same, return_index=True)
     loud = np.zeros(len(one), bool)
     for some, width in _batches(starts[one], hi[one]):
         i = one[some]
@@ -323,7 +327,7 @@ def find(docs: DataFrame, model: nets.BiLstmCrf, doc_id: str = "doc_id", text: s
         for b in batches:
             counts = np.zeros((b.num_rows, 4), np.int64)
             digest, spans = [none] * b.num_rows, [""] * b.num_rows
-            for s in tb.slices(b.column(1)):
+            for s in tb.slices(b.column(1), SLICE_BYTES):
                 base, added = find_slice(model, s.data, s.offs)
                 if not (base or added):
                     continue

@@ -357,6 +357,25 @@ def test_equal_windows_are_read_once():
     assert len(pii.find_slice(model, data, offs)[1]) == 1 and model.seen == 2
 
 
+@pytest.mark.parametrize("n,t", [(1, 1), (7, 33), (3, 320)])
+def test_single_precision_reading_agrees_with_the_trained_network(n, t):
+    """The pass over all texts gives the emissions and probabilities that training sees, relative to tag 0."""
+    model = pii.nets.BiLstmCrf(9, seed=4, hidden=pii.HIDDEN)
+    rng = np.random.default_rng(n)
+    model.p["t"], model.p["s"] = rng.normal(0, 3, (9, 9)), rng.normal(0, 3, 9)
+    x = rng.integers(0, pii.nets.ALPHABET, (n, t))
+    em = model.emissions(x)[0]
+    assert np.allclose(model._light(x), (em - em[:, :, :1])[:, :, 1:].transpose(0, 2, 1), atol=1e-4)
+    alpha, beta = model._forward(em), model._backward(em)
+    want = np.exp(alpha + beta - model._total(alpha[-1])[None, :, None])
+    assert np.allclose(model._marginals(em), want, atol=1e-9)
+    assert np.allclose(model._marginals(em * 400), model._marginals(em * 400 + 9), atol=1e-9)  # no overflow
+    none = np.exp(model.p["s"][0] + em[:, :, 0].sum(axis=0) + (t - 1) * model.p["t"][0, 0] - model._total(alpha[-1]))
+    for least in (0.02, 0.5):
+        sure = np.abs(none - least) > 1e-3
+        assert (model.quiet(x, least) == (none > least))[sure].all()
+
+
 def test_decoded_spans_that_stick_out_of_base_findings_stay():
     class Whole(FixedTagger):
         def decode(self, x):
