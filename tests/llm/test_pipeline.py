@@ -78,7 +78,7 @@ def test_stages(spark, tmp_path):
 @pytest.mark.parametrize("name", sorted(oracle.ORACLE))
 def test_query_matches_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "benchmark", "conversations"):
+    for t in ("documents", "benchmark", "conversations", "labels"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SMALL}/{t}.parquet')")
     cur = con.execute(oracle.ORACLE[name])
     names = [d[0] for d in cur.description]
