@@ -1,8 +1,9 @@
 """Byte-level BPE encoding and decoding, with tree concatenation for long texts.
 
 A text of at most ``LEAF`` code points is encoded where it is read. A longer one is cut in halves,
-and those again, down to leaves that Spark deals out and encodes in parallel. A tree of rounds then
-joins neighbours. Two encodings meet like this:
+and those again, down to leaves. Spark deals them out in runs of ``FAN_IN`` neighbours; the task that
+gets a run encodes its leaves and joins them, and a tree of rounds joins the runs of a text. Two
+encodings meet like this:
 
 * The pieces (pre-tokens) around the cut are scanned again from the last one that the cut cannot have
   changed, over a window of the right side that grows until a border of the new scan is a border of
@@ -13,7 +14,9 @@ joins neighbours. Two encodings meet like this:
   whole, so both sides then agree exactly. A single piece of more than ``PIECE`` bytes is encoded in
   halves by the same rule, inside a task.
 
-Only ids and the flags "begins a piece" travel: the text is what the ids decode to.
+Each text is shuffled once, as runs of leaves. From then on only ids and the flags "begins a piece"
+travel: the text is what the ids decode to. Where digests are wanted, they take the place of the ids in
+the round that completes a text, so ids are written only for texts that have further rounds before them.
 
 The vocabulary is a ``tokenizers`` file of a byte-level BPE without normaliser; its path is a
 parameter, its content is read once and broadcast (a few MB, whatever the corpus). Results are those
@@ -49,8 +52,10 @@ from daypulse.llm.spark_utils import join_skewed, stored
 LEAF = 8192
 #: Bytes up to which a single piece is encoded in one go.
 PIECE = 4096
-#: Neighbouring segments that one task joins in a round.
+#: Neighbouring leaves or segments that one task joins in a round.
 FAN_IN = 16
+#: Runs that a task turns into Python strings at a time.
+RUNS = 64
 #: Bytes at the end of a part in which another ending could move a border (four times 16 code points).
 MARGIN = 64
 #: Pieces of one generation that a worker remembers; it holds two.
@@ -320,8 +325,10 @@ def _sha(data: str | bytes) -> str:
 
 
 _DIGEST = T.StructType().add("n_tokens", "long").add("ids_sha256", "string").add("decoded_sha256", "string")
+_RUN = T.StructType().add("name", "string").add("idx", "long").add("n", "long").add("leaves", T.ArrayType(T.StringType()))
 _SEGMENT = (T.StructType().add("name", "string").add("idx", "long").add("n", "long")
             .add("ids", "binary").add("first", "binary"))
+_SEGMENT = T.StructType([*_SEGMENT.fields, *_DIGEST.fields])  # of complete texts, where these are wanted
 
 
 def _batch(schema: T.StructType, columns: list) -> pa.RecordBatch:
@@ -349,69 +356,65 @@ def _short(docs: DataFrame, text: str, shared, leaf: int, prefix: str, keep: lis
     return docs.mapInArrow(run, schema)
 
 
-def _leaf_rows(docs: DataFrame, text: str, leaf: int) -> DataFrame:
+def _runs(docs: DataFrame, text: str, leaf: int, fan_in: int) -> DataFrame:
+    """The leaves of long texts in runs of ``fan_in`` neighbours: name of the text, number of the run, of all runs."""
     def run(batches):
         for b in batches:
             for x in b.column(0).to_pylist():
                 parts = leaves(x, leaf)
-                name = _sha(x)
-                yield pa.RecordBatch.from_pydict(
-                    {"name": [name] * len(parts), "idx": range(len(parts)), "n": [len(parts)] * len(parts), "leaf": parts},
-                    pa.schema([("name", pa.string()), ("idx", pa.int64()), ("n", pa.int64()), ("leaf", pa.string())]))
+                cut = [parts[i:i + fan_in] for i in range(0, len(parts), fan_in)]
+                yield _batch(_RUN, [[_sha(x)] * len(cut), range(len(cut)), [len(cut)] * len(cut), cut])
 
     long = docs.select(F.col(text).alias("text")).where(F.char_length("text") > leaf)
-    return long.mapInArrow(run, "name string, idx long, n long, leaf string")
+    return long.mapInArrow(run, _RUN)
 
 
-def _encoded(rows: DataFrame, shared) -> DataFrame:
-    def run(batches):
-        code = coder(shared.value)
-        for b in batches:
-            got = [code.encode(x) for x in b.column(3).to_pylist()]
-            yield _batch(_SEGMENT, [b.column(0), b.column(1), b.column(2), [g.ids.tobytes() for g in got],
-                                  [np.packbits(g.first).tobytes() for g in got]])
+def _segment(code: Coder, name: str, idx: int, n: int, whole: Segment, digests: bool) -> tuple:
+    """A row of ``_SEGMENT``; with ``digests``, those of a complete text take the place of its ids."""
+    if digests and n == 1:
+        return name, idx, n, None, None, *code.digests_of(whole.ids.tobytes())
+    return name, idx, n, whole.ids.tobytes(), np.packbits(whole.first).tobytes(), None, None, None
 
-    return rows.mapInArrow(run, _SEGMENT)
 
+def _joined(rows: DataFrame, shared, fan_in: int, digests: bool = False) -> DataFrame:
+    """A round: the leaves of each run, or ``fan_in`` neighbouring segments, become one segment."""
+    def encode(batches):
+        code = coder(shared.value)
+        for b in batches:
+            for i in range(0, b.num_rows, RUNS):
+                got = [_segment(code, r["name"], r["idx"], r["n"], code.fold([code.encode(x) for x in r["leaves"]]), digests)
+                       for r in b.slice(i, RUNS).to_pylist()]
+                yield _batch(_SEGMENT, list(map(list, zip(*got))))
 
-def _joined(segments: DataFrame, shared, fan_in: int) -> DataFrame:
-    def run(table: pa.Table) -> pa.Table:
+    def join(table: pa.Table) -> pa.Table:
         code = coder(shared.value)
         rows = sorted(table.to_pylist(), key=lambda r: r["idx"])
         ids = [np.frombuffer(r["ids"], ID) for r in rows]
         parts = [Segment(i, np.unpackbits(np.frombuffer(r["first"], np.uint8), count=len(i)).astype(bool))
                  for i, r in zip(ids, rows)]
-        whole = code.fold(parts)
         one = rows[0]
-        return pa.Table.from_batches([_batch(_SEGMENT, [
-            [one["name"]], [one["idx"] // fan_in], [-(-one["n"] // fan_in)], [whole.ids.tobytes()],
-            [np.packbits(whole.first).tobytes()]])])
+        got = _segment(code, one["name"], one["idx"] // fan_in, -(-one["n"] // fan_in), code.fold(parts), digests)
+        return pa.Table.from_batches([_batch(_SEGMENT, [[x] for x in got])])
+
+    if "leaves" in rows.columns:
+        return rows.mapInArrow(encode, _SEGMENT)
+    grouped = rows.withColumn("part", F.floor(F.col("idx") / fan_in)).groupBy("name", "part")
+    return grouped.applyInArrow(join, _SEGMENT)
 
-    grouped = segments.withColumn("part", F.floor(F.col("idx") / fan_in)).groupBy("name", "part")
-    return grouped.applyInArrow(run, _SEGMENT)
 
+def encode_long(docs: DataFrame, text: str, shared, leaf: int = LEAF, fan_in: int = FAN_IN, digests: bool = False) -> DataFrame:
+    """(name, ids, first) of every distinct text of more than ``leaf`` code points; name is its SHA-256.
 
-def encode_long(docs: DataFrame, text: str, shared, leaf: int = LEAF, fan_in: int = FAN_IN) -> DataFrame:
-    """(name, ids, first) of every distinct text of more than ``leaf`` code points; name is its SHA-256."""
-    rows = _leaf_rows(docs, text, leaf).distinct()  # copies of a text meet leaf by leaf, combined map-side
-    segments, whole = stored(_encoded(rows, shared), "bpe-leaves"), []
-    while (segments.agg(F.max("n")).first()[0] or 1) > 1:  # log(leaves of the longest text) rounds
+    With ``digests``, the name and the columns of ``_DIGEST`` instead.
+    """
+    rows, whole, most = _runs(docs, text, leaf, fan_in).distinct(), [], 2  # copies of a text meet run by run, combined map-side
+    while most > 1:  # log(leaves of the longest text) rounds
+        segments = stored(_joined(rows, shared, fan_in, digests), "bpe-joined")
         # texts that are one segment by now stay where they are
         whole.append(segments.where("n = 1"))
-        segments = stored(_joined(segments.where("n > 1"), shared, fan_in), "bpe-joined")
-    return reduce(DataFrame.unionByName, whole, segments).select("name", "ids", "first")
-
-
-def _digests(whole: DataFrame, shared) -> DataFrame:
-    schema = T.StructType([T.StructField("name", T.StringType()), *_DIGEST.fields])
-
-    def run(batches):
-        code = coder(shared.value)
-        for b in batches:
-            got = [code.digests_of(x) for x in b.column(1).to_pylist()]
-            yield _batch(schema, [b.column(0), *map(list, zip(*got))] if got else [b.column(0), [], [], []])
-
-    return whole.select("name", "ids").mapInArrow(run, schema)
+        rows, most = segments.where("n > 1"), segments.agg(F.max("n")).first()[0] or 1
+    names = ["name", *(_DIGEST.names if digests else ("ids", "first"))]
+    return reduce(DataFrame.unionByName, whole).select(*names)
 
 
 def round_trip(docs: DataFrame, vocabulary: str, text: str = "text", prefix: str = "", leaf: int = LEAF,
@@ -426,7 +429,7 @@ def round_trip(docs: DataFrame, vocabulary: str, text: str = "text", prefix: str
     names = [F.col(f"`{f.name}`") for f in keep] + [F.col(f"`{prefix}{f.name}`") for f in _DIGEST.fields]
     done = marked.where("__t_name is null").select(*names)
     open_ = marked.where("__t_name is not null").drop(*[prefix + f.name for f in _DIGEST.fields])
-    found = _digests(encode_long(docs, text, shared, leaf, fan_in), shared)
+    found = encode_long(docs, text, shared, leaf, fan_in, digests=True)
     found = found.select(F.col("name").alias("__t_key"), *[F.col(f.name).alias(f"__t_{f.name}") for f in _DIGEST.fields])
     filled = join_skewed(open_, found, "__t_name", "__t_key")
     return done.unionByName(filled.select(

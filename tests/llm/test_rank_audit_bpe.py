@@ -2,10 +2,12 @@
 
 import hashlib
 import math
+import os
 import random
 import unicodedata
 from collections import Counter
 from itertools import permutations
+from urllib.parse import urlparse
 
 import numpy as np
 import pytest
@@ -284,3 +286,31 @@ def test_texts_that_are_joined_skip_later_rounds(spark, monkeypatch):
     code = bpe.Coder(shared.value[1])
     assert {r["name"]: code.decode(np.frombuffer(r["ids"], bpe.ID).tolist()) for r in got.collect()} == {bpe._sha(t): t for t in texts}
     assert sizes == [7, 1]
+
+
+def test_long_texts_leave_no_ids_on_disk(spark, library, monkeypatch):
+    """Texts that the first round completes: their leaves are shuffled once, and only digests are stored."""
+    rng, sizes, plans, keep = random.Random(5), [], [], bpe.stored
+
+    def counted(df, name):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        out = keep(df, name)
+        sizes.append(sum(os.path.getsize(urlparse(f).path) for f in out.inputFiles()))
+        return out
+
+    monkeypatch.setattr(bpe, "stored", counted)
+    texts = ["".join(rng.choices("abcdefghij .,\n", k=20_000)) for _ in range(30)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts + texts[:5])], "doc_id long, text string").repartition(2)
+    got = bpe.round_trip(docs, vocabulary_path(), drop_text=True)
+    assert bag(map(tuple, got.collect())) == bag((i, *digests(library, t)) for i, t in enumerate(texts + texts[:5]))
+    assert sum(sizes) < 0.1 * 20_000 * len(texts)
+    # the repartition of the docs, and one shuffle for what follows
+    assert sum(p.count("Exchange") for p in plans if "leaves" in p) == 2
+
+
+@pytest.mark.parametrize("leaf,fan_in", [(16, 2), (16, 3), (7, 5)])
+def test_digests_of_texts_of_many_rounds(spark, library, rng, leaf, fan_in):
+    made = [*texts(rng, 20), "five six seven " * 60, "日本 語é" * 90, "x" * 1000, "one two three " * 3]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(made + made[::3])], "doc_id long, text string").repartition(3)
+    got = bpe.round_trip(docs, vocabulary_path(), leaf=leaf, fan_in=fan_in, drop_text=True)
+    assert bag(map(tuple, got.collect())) == bag((i, *digests(library, t)) for i, t in enumerate(made + made[::3]))
